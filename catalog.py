@@ -1,0 +1,93 @@
+"""The registered queries: a Spark callable and, where one exists, its DuckDB statement."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
+
+import adapters
+import oracles as o
+from ledgerlake.plans import bronze, gold, silver
+from ledgerlake.plans.warehouse import Warehouse
+
+AS_OF = dt.datetime(2024, 3, 1)
+# Order dates start in 1995, so the calendar does too.
+CALENDAR_START = dt.date(1995, 1, 1)
+
+
+class Registered(NamedTuple):
+    query: Callable[[SparkSession, str], DataFrame]
+    sql: str | None
+
+
+QUERIES: dict[str, Registered] = {}
+
+
+def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    return adapters.spark_raw(spark, sf_dir, entity)
+
+
+def warehouse(spark: SparkSession, sf_dir: str, **options) -> Warehouse:
+    return Warehouse(spark, lambda entity: raw(spark, sf_dir, entity), AS_OF,
+                     calendar_start=CALENDAR_START, **options)
+
+
+def register(name: str, sql: str | None):
+    def add(query: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = Registered(query, sql)
+        return query
+    return add
+
+
+def register_table(name: str, table: str) -> None:
+    register(name, o.whole(table))(lambda s, d: getattr(warehouse(s, d), table))
+
+
+# --- Bronze -----------------------------------------------------------------------------
+
+for _id, _entity in {
+    "B1": "fx_rates", "B2": "balance_transactions", "B3": "charges", "B4": "customers",
+    "B5": "disputes", "B6": "invoice_line_items", "B7": "payouts", "B8": "refunds",
+}.items():
+    _table = bronze.MODELS[_entity][0]
+    register(f"{_id}_{_table}", o.whole(_table))(
+        lambda s, d, e=_entity: warehouse(s, d).bronze(e))
+
+# --- Silver -----------------------------------------------------------------------------
+
+for _id, _table in {
+    "V1": "stg_charges", "V2": "stg_refunds", "V3": "stg_disputes", "V4": "stg_payouts",
+    "V5": "stg_invoice_line_items", "V6": "stg_finance_ledger_events", "V7": "stg_customers_history",
+}.items():
+    register_table(f"{_id}_{_table}", _table)
+
+
+@register("V5_daily_usd_unscaled", o.whole("stg_invoice_line_items_unscaled"))
+def _(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return silver.stg_invoice_line_items(w.bronze("invoice_line_items"), w.rates, daily_usd_scaled=False)
+
+
+@register("V6_currency_case_kept", o.whole("stg_finance_ledger_events_case"))
+def _(spark, sf_dir):
+    w = warehouse(spark, sf_dir)
+    return silver.stg_finance_ledger_events(w.bronze("balance_transactions"), w.rates,
+                                            match_currency_case=True)
+
+
+# --- Gold -------------------------------------------------------------------------------
+
+for _id, _table in {
+    "G1": "dim_customers", "G3": "dim_currencies", "G4": "dim_geography", "G5": "dim_payment_category",
+    "G6": "dim_plans", "G7": "fct_charges", "G8": "fct_refunds", "G9": "fct_disputes",
+    "G10": "fct_payouts", "G11": "fct_transactions", "G12": "fct_mrr_movements",
+}.items():
+    register_table(f"{_id}_{_table}", _table)
+
+
+@register("G11_direct_match_only", o.whole("fct_transactions_direct"))
+def _(spark, sf_dir):
+    return warehouse(spark, sf_dir, resolve_sources=False).fct_transactions
