@@ -83,9 +83,12 @@ def fiscal_month(day: Column, first_month: int) -> Column:
     return (F.pmod(F.month(day) - first_month, F.lit(12)) + 1).cast("int")
 
 
-def parse_utc(text: Column) -> Column:
-    """ISO-8601 text, with or without offset, to a zone-free UTC timestamp; NULL if malformed."""
-    return F.to_utc_timestamp(F.try_to_timestamp(text), F.current_timezone()).cast("timestamp_ntz")
+def parse_utc(text: str) -> str:
+    """SQL text: ISO-8601 text, with or without offset, as a zone-free UTC timestamp.
+
+    Malformed text gives NULL.
+    """
+    return f"CAST(to_utc_timestamp(try_to_timestamp({text}), current_timezone()) AS timestamp_ntz)"
 
 
 # --- keys and lookups -------------------------------------------------------------------

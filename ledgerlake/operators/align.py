@@ -16,19 +16,20 @@ def _by_lower_name(df: DataFrame) -> dict[str, T.StructField]:
     return {f.name.lower(): f for f in df.schema.fields}
 
 
-def _converted(found: T.StructField, want: T.DataType) -> Column:
-    source = F.col(f"`{found.name}`")
+def _converted(found: T.StructField, want: T.DataType) -> str:
+    """SQL text that converts a found column, NULL where that fails."""
+    source = f"`{found.name}`"
     if found.dataType == want:
         return source
     if isinstance(want, T.TimestampNTZType) and isinstance(found.dataType, T.StringType):
         return parse_utc(source)
     if isinstance(want, T.TimestampNTZType) and isinstance(found.dataType, T.TimestampType):
-        return F.to_utc_timestamp(source, F.current_timezone()).cast(want)
-    return source.try_cast(want)
+        return f"CAST(to_utc_timestamp({source}, current_timezone()) AS timestamp_ntz)"
+    return f"try_cast({source} AS {want.simpleString()})"
 
 
 def align_to_schema(df: DataFrame, schema: T.StructType,
-                    defaults: Mapping[str, object] = RAW_DEFAULTS) -> DataFrame:
+                    defaults: Mapping[str, str] = RAW_DEFAULTS) -> DataFrame:
     """Select exactly the columns of ``schema``.
 
     Names match whatever their case, columns the schema lacks are dropped, missing ones
@@ -38,15 +39,16 @@ def align_to_schema(df: DataFrame, schema: T.StructType,
     out = []
     for field in schema.fields:
         have = found.get(field.name.lower())
-        value = _converted(have, field.dataType) if have else F.lit(None).cast(field.dataType)
+        kind = field.dataType.simpleString()
+        value = _converted(have, field.dataType) if have else f"CAST(NULL AS {kind})"
         if field.name in defaults:
-            value = F.coalesce(value, F.lit(defaults[field.name]).cast(field.dataType))
-        out.append(value.alias(field.name))
-    return df.select(*out)
+            value = f"coalesce({value}, CAST('{defaults[field.name]}' AS {kind}))"
+        out.append(f"{value} AS `{field.name}`")
+    return df.selectExpr(*out)
 
 
 def load_errors(df: DataFrame, schema: T.StructType,
-                defaults: Mapping[str, object] = RAW_DEFAULTS) -> Column:
+                defaults: Mapping[str, str] = RAW_DEFAULTS) -> Column:
     """What is wrong with a row: the columns that fail to convert or lack a required value."""
     found = _by_lower_name(df)
     problems = []
@@ -59,7 +61,7 @@ def load_errors(df: DataFrame, schema: T.StructType,
             continue
         source = F.col(f"`{have.name}`")
         if have.dataType != field.dataType:
-            lost = source.isNotNull() & _converted(have, field.dataType).isNull()
+            lost = source.isNotNull() & F.expr(_converted(have, field.dataType)).isNull()
             problems.append(F.when(lost, F.lit(f"{field.name}: cannot convert")))
         if required:
             problems.append(F.when(source.isNull(), F.lit(f"{field.name}: missing")))
@@ -69,7 +71,7 @@ def load_errors(df: DataFrame, schema: T.StructType,
 
 
 def split_rejects(df: DataFrame, schema: T.StructType,
-                  defaults: Mapping[str, object] = RAW_DEFAULTS) -> tuple[DataFrame, DataFrame]:
+                  defaults: Mapping[str, str] = RAW_DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """``(good, rejects)``: good rows in the target schema, rejects untouched plus the reason."""
     checked = df.withColumn("_error", load_errors(df, schema, defaults))
     good = align_to_schema(checked.filter(F.col("_error") == "").drop("_error"), schema, defaults)

@@ -17,6 +17,12 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+STARTUP_SETTINGS = {
+    "spark.ui.enabled": "false",
+    # Recording the Python call site of every column costs more than building the column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every model relies on to an existing session."""
@@ -30,7 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerlake")
-        .config("spark.ui.enabled", "false")
+        .config(map=STARTUP_SETTINGS)
         .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
