@@ -43,7 +43,10 @@ def statement(needs: str, select: str) -> str:
     if not order:
         return select.strip()
     body = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
-    return f"WITH {body}\n{select.strip()}"
+    select = select.strip()
+    if select.startswith("WITH "):  # the statement has a clause of its own: one list of both
+        return f"WITH {body},\n{select[len('WITH '):]}"
+    return f"WITH {body}\n{select}"
 
 
 def whole(name: str) -> str:
