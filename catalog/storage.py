@@ -321,41 +321,44 @@ def _(spark, sf_dir):
 
 
 def _invoices(spark, sf_dir) -> DataFrame:
-    """One invoice object per customer and month of its orders' lines."""
-    lines = raw(spark, sf_dir, "invoice_line_items")
-    line = F.struct(
-        "id", "amount", "currency", "proration", "type", "subscription",
-        F.struct(F.col("period_start").alias("start"), F.col("period_end").alias("end")).alias("period"),
-        F.struct(F.col("plan_id").alias("id"), F.col("plan_interval").alias("interval"),
-                 F.col("plan_interval_count").alias("interval_count")).alias("plan"),
-        F.struct(F.col("price_id").alias("id")).alias("price"))
-    return lines.groupBy(F.concat("subscription", F.lit("_"), F.date_format(
-        epoch_date(F.col("period_start")), "yyyyMM")).alias("id")).agg(
-            F.min("subscription").alias("subscription"), F.sum("amount").alias("total"),
-            F.struct(F.collect_list(line).alias("data")).alias("lines"))
-
-
-_INVOICES = f"""SELECT subscription || '_' || strftime({o.on('period_start')}, '%Y%m') AS invoice, *
-FROM raw_invoice_line_items"""
-
-
-@register("P8_flatten_invoices", o.statement("raw_invoice_line_items", f"""
-SELECT invoice AS id, min(subscription) AS subscription, CAST(sum(amount) AS BIGINT) AS total,
- CAST(NULL AS VARCHAR) AS customer_email, CAST(NULL AS BIGINT) AS due_date
-FROM ({_INVOICES}) GROUP BY invoice"""))
+    """One invoice object per line of the RAW view: the line, and a second, prorated one.
+
+    Invoices whose line has no proration flag get an empty list of lines.
+    """
+    def line(id_, proration):
+        return F.struct(
+            id_.alias("id"), "amount", "currency", proration.alias("proration"), "type", "subscription",
+            F.struct(F.col("period_start").alias("start"), F.col("period_end").alias("end")).alias("period"),
+            F.struct(F.col("plan_id").alias("id"), F.col("plan_interval").alias("interval"),
+                     F.col("plan_interval_count").alias("interval_count")).alias("plan"),
+            F.struct(F.col("price_id").alias("id")).alias("price"))
+
+    pair = F.array(line(F.col("id"), F.col("proration")),
+                   line(F.concat("id", F.lit("_p")), F.lit(True)))
+    listed = F.when(F.col("proration").isNotNull(), pair).otherwise(F.slice(pair, 1, 0))
+    return raw(spark, sf_dir, "invoice_line_items").select(
+        F.col("invoice_id").alias("id"), "subscription", F.col("amount").alias("total"),
+        F.struct(listed.alias("data")).alias("lines"))
+
+
+@register("P8_flatten_invoices", o.statement("raw_invoice_line_items", """
+SELECT invoice_id AS id, subscription, amount AS total, CAST(NULL AS VARCHAR) AS customer_email,
+ CAST(NULL AS BIGINT) AS due_date FROM raw_invoice_line_items"""))
 def _(spark, sf_dir):
     payloads = _invoices(spark, sf_dir).select(F.to_json(F.struct("*")).alias("payload"))
     return flatten.flatten_invoices(payloads).select("id", "subscription", "total", "customer_email", "due_date")
 
 
+_LINE = ("invoice_id, amount, currency, period_start, period_end, plan_id, plan_interval, "
+         "plan_interval_count, price_id, type, subscription")
+
+
 @register("P9_flatten_invoice_line_items", o.statement("raw_invoice_line_items", f"""
-SELECT id, invoice AS invoice_id, amount, currency, period_start, period_end, plan_id, plan_interval,
- plan_interval_count, price_id, proration, type, subscription FROM ({_INVOICES})"""))
+SELECT id, proration, {_LINE} FROM raw_invoice_line_items WHERE proration IS NOT NULL
+UNION ALL SELECT id || '_p', true, {_LINE} FROM raw_invoice_line_items WHERE proration IS NOT NULL"""))
 def _(spark, sf_dir):
     payloads = _invoices(spark, sf_dir).select(F.to_json(F.struct("*")).alias("payload"))
-    return flatten.flatten_invoice_line_items(payloads).select(
-        "id", "invoice_id", "amount", "currency", "period_start", "period_end", "plan_id", "plan_interval",
-        "plan_interval_count", "price_id", "proration", "type", "subscription")
+    return flatten.flatten_invoice_line_items(payloads).select("id", "proration", *_LINE.split(", "))
 
 
 @register("P10_fx_from_usd_base", o.statement("raw_fx_rates", """
@@ -503,20 +506,16 @@ def _built_sql() -> str:
 
 def lake(spark, root: str, run_id: str) -> pipeline.Lake:
     return pipeline.Lake(spark, root, run_id, AS_OF, grain="year", calendar_start=CALENDAR_START,
-                         entities=LANDED)
+                         entities=LANDED, concurrent_models=8)
 
 
-@register("Q10_daily_runs", _built_sql())
+@register("Q10_daily_run", _built_sql())
 def _(spark, sf_dir):
-    """Two daily runs over two halves of the loads, from landing to the advanced watermarks."""
+    """One daily run, from landing to the advanced watermarks."""
     root = work_dir(spark, "q10")
-    cut = ntz(dt.datetime(2024, 2, 1, 12))
-    for run, late in (("run-a", False), ("run-b", True)):
-        for entity in LANDED:
-            rows = raw(spark, sf_dir, entity)
-            half = rows.filter(F.col("loaded_at") > cut) if late else rows.filter(F.col("loaded_at") <= cut)
-            landing.write_landing(half, root, entity, run, dt.date(2024, 2, 2 if late else 1))
-        pipeline.run_daily(lake(spark, root, run))
+    for entity in LANDED:
+        landing.write_landing(raw(spark, sf_dir, entity), root, entity, "run-a", dt.date(2024, 2, 5))
+    pipeline.run_daily(lake(spark, root, "run-a"))
     final = lake(spark, root, "read")
     out = None
     for table in _BUILT:

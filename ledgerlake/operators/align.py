@@ -70,10 +70,25 @@ def load_errors(df: DataFrame, schema: T.StructType,
     return F.concat_ws("; ", *problems)
 
 
+def marked(df: DataFrame, schema: T.StructType,
+           defaults: Mapping[str, str] = RAW_DEFAULTS) -> DataFrame:
+    """The rows untouched plus ``_error``: what is wrong with each, empty if nothing is."""
+    return df.withColumn("_error", load_errors(df, schema, defaults))
+
+
+def good_rows(df: DataFrame, schema: T.StructType,
+              defaults: Mapping[str, str] = RAW_DEFAULTS) -> DataFrame:
+    """The sound rows of a marked frame, in the target schema."""
+    return align_to_schema(df.filter(F.col("_error") == "").drop("_error"), schema, defaults)
+
+
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """The other rows of a marked frame, with the reason."""
+    return df.filter(F.col("_error") != "").withColumnRenamed("_error", "error_message")
+
+
 def split_rejects(df: DataFrame, schema: T.StructType,
                   defaults: Mapping[str, str] = RAW_DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """``(good, rejects)``: good rows in the target schema, rejects untouched plus the reason."""
-    checked = df.withColumn("_error", load_errors(df, schema, defaults))
-    good = align_to_schema(checked.filter(F.col("_error") == "").drop("_error"), schema, defaults)
-    rejects = checked.filter(F.col("_error") != "").withColumnRenamed("_error", "error_message")
-    return good, rejects
+    checked = marked(df, schema, defaults)
+    return good_rows(checked, schema, defaults), rejected_rows(checked)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.fx import rate_lookup
-from ledgerlake.operators.incremental import since
+from ledgerlake.operators.incremental import newer_than
 from ledgerlake.operators.lookup import Lookup
 from ledgerlake.operators.quality import count_missing_rates, freshness, reconcile, run_checks
 from ledgerlake.plans import bronze, checks, gold, silver
@@ -35,6 +35,7 @@ SILVER = {
 # The date that orders the rows of a Silver or Gold table on disk.
 LAID_OUT_BY = {"stg_invoice_line_items": "period_start_date", "stg_customers_history": "valid_from",
                "dim_customers": "valid_from", "fct_mrr_movements": "billing_month"}
+CLUSTERED_BRONZE = ("balance_transactions", "charges", "refunds", "disputes", "payouts")
 DIMENSIONS = ("dim_customers", "dim_dates", "dim_currencies", "dim_geography",
               "dim_payment_category", "dim_plans")
 FACTS = ("fct_charges", "fct_refunds", "fct_disputes", "fct_payouts", "fct_transactions",
@@ -69,7 +70,9 @@ class Lake:
         return Table(self.spark, f"{self.root}/raw/{entity}")
 
     def bronze(self, entity: str) -> Table:
-        return Table(self.spark, f"{self.root}/bronze/{bronze.MODELS[entity][0]}")
+        cluster = ("created_date",) if entity in CLUSTERED_BRONZE else ()
+        return Table(self.spark, f"{self.root}/bronze/{bronze.MODELS[entity][0]}",
+                     cluster_by=cluster, rebalance=False)
 
     def silver(self, name: str) -> Table:
         day = LAID_OUT_BY.get(name, "created_date")
@@ -135,7 +138,7 @@ def source_freshness(lake: Lake) -> DataFrame:
 def build_bronze(lake: Lake) -> None:
     def one(entity: str) -> None:
         target = lake.bronze(entity)
-        new = since(lake.raw(entity).read(), target.read_or_none(), lookback=lake.lookback)
+        new = newer_than(lake.raw(entity).read(), target.newest(), lookback=lake.lookback)
         target.append(bronze.MODELS[entity][1](new))
     lake.in_parallel(one, [e for e in lake.entities if e in bronze.MODELS])
 
@@ -156,7 +159,7 @@ def build_silver(lake: Lake) -> None:
     def one(name: str) -> None:
         entity, key = SILVER[name]
         target = lake.silver(name)
-        new = since(lake.bronze(entity).read(), target.read_or_none(), lookback=lake.lookback)
+        new = newer_than(lake.bronze(entity).read(), target.newest(), lookback=lake.lookback)
         target.upsert(silver_rows(lake, name, new), [key], ("loaded_at", "ingestion_run_id"))
     lake.in_parallel(one, SILVER)
 
@@ -289,17 +292,24 @@ def run_daily(lake: Lake) -> DataFrame:
         ("advance_watermarks", lambda: advance(lake)),
     ]
     outcome: dict[str, object] = {}
-    log = lake.audit("pipeline_runs")
-    for task, work in stages:
-        started = _now()
-        try:
-            outcome[task] = work()
-        except Exception as err:
-            control.record(log, "pipeline_runs", control.run_entry(
-                lake.spark, lake.run_id, task, "failed", started, _now(), error=str(err)[:2000]))
-            raise
-        control.record(log, "pipeline_runs", control.run_entry(
-            lake.spark, lake.run_id, task, "success", started, _now()))
+    entries: list[DataFrame] = []
+
+    def log(task: str, started: dt.datetime, error: str | None = None) -> None:
+        entries.append(control.run_entry(
+            lake.spark, lake.run_id, task, "failed" if error else "success", started, _now(), error=error))
+
+    try:
+        for task, work in stages:
+            started = _now()
+            try:
+                outcome[task] = work()
+            except Exception as err:
+                log(task, started, str(err)[:2000])
+                raise
+            log(task, started)
+    finally:
+        control.record(lake.audit("pipeline_runs"), "pipeline_runs",
+                       reduce(DataFrame.unionByName, entries))
     return outcome["reconcile"]
 
 

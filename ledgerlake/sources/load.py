@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.incremental import since
+from ledgerlake.operators.incremental import newer_than
 from ledgerlake.sources.tables import Table
 
 
@@ -17,7 +17,7 @@ def load(df: DataFrame, target: Table, strategy: str, cursor: tuple[str, object]
     """``timestamp_watermark`` appends rows loaded since the target's newest load,
     ``full_snapshot`` replaces the table, ``cursor`` appends rows past a cursor value."""
     if strategy == "timestamp_watermark":
-        target.append(since(df, target.read_or_none(), lookback=lookback))
+        target.append(newer_than(df, target.newest(), lookback=lookback))
     elif strategy == "full_snapshot":
         target.replace(df)
     elif strategy == "cursor":

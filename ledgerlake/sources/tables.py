@@ -7,10 +7,11 @@ failed or repeated job leaves no trace. One writer per table at a time.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,24 +21,34 @@ from ledgerlake.session import materialize
 from ledgerlake.sources import files
 
 PART = "table_part"
+LOADED_AT = "loaded_at"
 GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
 
+def _newest(state: dict) -> dt.datetime | None:
+    return dt.datetime.fromisoformat(state["newest"]) if state.get("newest") else None
+
+
+def _later(*times: dt.datetime | None) -> dt.datetime | None:
+    return max((t for t in times if t is not None), default=None)
+
+
 class Table:
     """A table at ``path``.
 
     ``part_by`` names a date column and ``grain`` the length of a part; an upsert rewrites
     only the parts it touches. ``cluster_by`` orders rows inside files, which keeps the
-    min/max statistics of those columns narrow.
+    min/max statistics of those columns narrow; ``rebalance`` shuffles them together first.
     """
 
     def __init__(self, spark: SparkSession, path: str, part_by: str | None = None,
-                 grain: str = "month", cluster_by: Sequence[str] = ()):
+                 grain: str = "month", cluster_by: Sequence[str] = (), rebalance: bool = True):
         self.spark = spark
         self.path = path.rstrip("/")
         self.part_by = part_by
         self.grain = grain
         self.cluster_by = list(cluster_by)
+        self.rebalance = rebalance
 
     # --- state --------------------------------------------------------------------------
 
@@ -49,10 +60,12 @@ class Table:
         number = self._state_number()
         return files.read_json(self.spark, f"{self.path}/_state/{number:08d}.json") if number else None
 
-    def _commit(self, schema: T.StructType, folders: list[str], applied: dict) -> None:
+    def _commit(self, schema: T.StructType, folders: list[str], applied: dict,
+                newest: dt.datetime | None) -> None:
         number = self._state_number() + 1
-        files.create_json(self.spark, f"{self.path}/_state/{number:08d}.json",
-                          {"schema": json.loads(schema.json()), "folders": folders, "applied": applied})
+        files.create_json(self.spark, f"{self.path}/_state/{number:08d}.json", {
+            "schema": json.loads(schema.json()), "folders": folders, "applied": applied,
+            "newest": newest.isoformat() if newest else None})
 
     def exists(self) -> bool:
         return self._state_number() > 0
@@ -61,6 +74,11 @@ class Table:
     def schema(self) -> T.StructType:
         return T.StructType.fromJson(self._state()["schema"])
 
+    def newest(self) -> dt.datetime | None:
+        """The newest ``loaded_at`` ever written, noted while writing; None if there is none."""
+        state = self._state()
+        return _newest(state) if state else None
+
     # --- read ---------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
@@ -91,26 +109,34 @@ class Table:
     def _part(self):
         return F.coalesce(F.date_format(self.part_by, GRAINS[self.grain]), F.lit("none"))
 
-    def _write(self, df: DataFrame) -> list[str]:
-        """Write a new version and return its folders."""
+    def _write(self, df: DataFrame) -> tuple[list[str], dt.datetime | None]:
+        """Write a new version; return its folders and the newest load time in it."""
         used = [int(n.split("=")[1]) for n in files.children(self.spark, self.path)
                 if n.startswith("table_version=")]
         version = f"table_version={max(used, default=0) + 1}"
         target = f"{self.path}/{version}"
+        seen = None
+        if LOADED_AT in df.columns:
+            seen = Observation()
+            df = df.observe(seen, F.max(LOADED_AT).alias("newest"))
         if self.part_by:
             # Rebalancing splits an oversized part over several tasks and merges small ones.
             laid_out = df.withColumn(PART, self._part()).hint("rebalance", PART)
             laid_out = laid_out.sortWithinPartitions(PART, *self.cluster_by)
             laid_out.write.partitionBy(PART).parquet(target)
-            return [f"{version}/{n}" for n in files.children(self.spark, target) if "=" in n]
-        if self.cluster_by:
-            df = df.hint("rebalance", *self.cluster_by[:1]).sortWithinPartitions(*self.cluster_by)
-        df.write.parquet(target)
-        return [version]
+            folders = [f"{version}/{n}" for n in files.children(self.spark, target) if "=" in n]
+        else:
+            if self.cluster_by:
+                moved = df.hint("rebalance", self.cluster_by[0]) if self.rebalance else df
+                df = moved.sortWithinPartitions(*self.cluster_by)
+            df.write.parquet(target)
+            folders = [version]
+        return folders, seen.get["newest"] if seen else None
 
     def replace(self, df: DataFrame) -> None:
         """Full refresh."""
-        self._commit(df.schema, self._write(df), (self._state() or {}).get("applied", {}))
+        folders, newest = self._write(df)
+        self._commit(df.schema, folders, (self._state() or {}).get("applied", {}), newest)
 
     def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> bool:
         """Add rows; new columns are added, missing ones stay NULL.
@@ -118,18 +144,19 @@ class Table:
         ``batch`` is a source name and a growing number. A batch already applied is
         skipped, which makes a replayed stream batch harmless. Returns whether it wrote.
         """
-        state = self._state() or {"folders": [], "applied": {}}
-        if batch and state["applied"].get(batch[0], -1) >= batch[1]:
+        state = self._state()
+        applied = dict(state["applied"]) if state else {}
+        if batch and applied.get(batch[0], -1) >= batch[1]:
             return False
-        schema = df.schema
-        if "schema" in state:
+        schema, folders, before = df.schema, [], None
+        if state:
             old = self.spark.createDataFrame([], T.StructType.fromJson(state["schema"]))
-            schema = evolve(old, df, "append_new_columns")[0].schema
-            df = evolve(old, df, "append_new_columns")[1]
-        applied = dict(state["applied"])
+            merged, df = evolve(old, df, "append_new_columns")
+            schema, folders, before = merged.schema, state["folders"], _newest(state)
         if batch:
             applied[batch[0]] = batch[1]
-        self._commit(schema, state["folders"] + self._write(df), applied)
+        added, newest = self._write(df)
+        self._commit(schema, folders + added, applied, _later(before, newest))
         return True
 
     def upsert(self, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = LOAD_ORDER,
@@ -141,22 +168,24 @@ class Table:
         key whose date moved is still replaced in place.
         """
         state = self._state()
-        updates = materialize(updates, "upsert", self.spark)
         if state is None:
             self.replace(dedup_latest(updates, keys, order))
             return
         old_schema = T.StructType.fromJson(state["schema"])
-        folders = state["folders"]
+        folders, kept = state["folders"], []
         if self.part_by:
+            # The updates are read twice below; evaluate what produces them once.
+            updates = materialize(updates, "upsert", self.spark)
             touched = self._touched_parts(self._load(old_schema, folders), updates, keys)
             kept = [f for f in folders if f.split(f"{PART}=")[-1] not in touched]
             folders = [f for f in folders if f not in kept]
-        else:
-            kept = []
+            if not touched:
+                return
         old, new = evolve(self._load(old_schema, folders).drop(PART), updates, schema_change)
         both = old.withColumn("_incoming", F.lit(0)).unionByName(new.withColumn("_incoming", F.lit(1)))
         merged = dedup_latest(both, keys, (*order, "_incoming")).drop("_incoming")
-        self._commit(new.schema, kept + self._write(merged), state["applied"])
+        added, newest = self._write(merged)
+        self._commit(new.schema, kept + added, state["applied"], _later(_newest(state), newest))
 
     def _touched_parts(self, target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> set[str]:
         hit = target.select(*keys, PART).join(updates.select(*keys).distinct(), list(keys), "left_semi")

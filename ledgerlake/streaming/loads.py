@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.operators.align import split_rejects
+from ledgerlake.operators.align import good_rows, marked, rejected_rows
 from ledgerlake.operators.dedup import LOAD_ORDER
 from ledgerlake.plans import bronze
 from ledgerlake.schemas import RAW
@@ -65,12 +65,17 @@ def load_once(spark: SparkSession, path: str, entity: str, target: Table, checkp
         return
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
+    tag = f"load:{entity}"
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_rejects(batch, RAW[entity])
-        if rejects is not None:
-            dead = shaped(failed_rows(bad, entity, run_id, now), "failed_files")
-            rejects.append(dead, batch=(f"load:{entity}", batch_id))
-        target.append(good, batch=(f"load:{entity}", batch_id))
+        seen = Observation()
+        checked = marked(batch, RAW[entity])
+        counted = checked.observe(seen, F.count_if(F.col("_error") != "").alias("rejected"))
+        wrote = target.append(good_rows(counted, RAW[entity]), batch=(tag, batch_id))
+        # After a crash between the two writes the first is skipped and nothing was counted.
+        if rejects is not None and (not wrote or seen.get["rejected"] > 0):
+            dead = failed_rows(rejected_rows(checked), entity, run_id, now)
+            rejects.append(shaped(dead, "failed_files"), batch=(tag, batch_id))
 
     _drain(landed_files(spark, path, file_schema, max_files), checkpoint, handle)
 
