@@ -47,41 +47,42 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFr
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """One result row per check.
 
-    All row-level checks of the table share one scan; each uniqueness check needs its own
-    grouping by the key.
+    The row-level checks of a table ride along with its first uniqueness check: the rows
+    are counted per key and the counters added up. Only a second key needs another pass.
     """
-    spark = df.sparkSession
     row_level = [c for c in checks if c.kind != "unique"]
-    parts = []
-    if row_level:
-        counts = df.agg(*(
-            F.count_if(F.col(c.column).isNull() if c.kind == "not_null"
-                       else ~F.col(c.column).isin(*c.values)).alias(f"c{i}")
-            for i, c in enumerate(row_level)
-        ))
-        rows = F.array(*(
-            F.struct(F.lit(c.kind).alias("kind"), F.lit(c.column).alias("column_name"),
-                     F.lit(c.severity).alias("severity"), F.col(f"c{i}").alias("failure_count"))
-            for i, c in enumerate(row_level)
-        ))
-        parts.append(counts.select(F.inline(rows)))
-    for c in checks:
-        if c.kind == "unique":
-            parts.append(unique(df, c.column).select(
-                F.lit(c.kind).alias("kind"), F.lit(c.column).alias("column_name"),
-                F.lit(c.severity).alias("severity"), F.col("failures").alias("failure_count")))
-    if not parts:
-        return spark.createDataFrame(
-            [], "test_name string, model_name string, column_name string, status string, failure_count long")
-    results = reduce(DataFrame.unionByName, parts)
-    failed = F.when(F.col("severity") == "warn", "warn").otherwise("fail")
-    return results.select(
-        F.concat_ws("_", "kind", F.lit(table), "column_name").alias("test_name"),
-        F.lit(table).alias("model_name"),
-        "column_name",
-        F.when(F.col("failure_count") == 0, "pass").otherwise(failed).alias("status"),
-        "failure_count",
-    )
+    keys = [c for c in checks if c.kind == "unique"]
+    counters = [
+        F.count_if(F.col(c.column).isNull() if c.kind == "not_null"
+                   else ~F.col(c.column).isin(*c.values)).alias(f"c{i}")
+        for i, c in enumerate(row_level)
+    ]
+    passes = []  # (one-row frame, checks whose counts it holds)
+    if keys:
+        grouped = df.groupBy(F.col(keys[0].column).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_n"), *counters)
+        repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1))
+        added = [F.coalesce(F.sum(f"c{i}"), F.lit(0)) for i in range(len(row_level))]
+        passes.append((grouped.agg(*(x.alias(f"f{i}") for i, x in enumerate([repeated, *added]))),
+                       [keys[0], *row_level]))
+    elif row_level:
+        passes.append((df.agg(*(x.alias(f"f{i}") for i, x in enumerate(counters))), row_level))
+    passes += [(unique(df, c.column).withColumnRenamed("failures", "f0"), [c]) for c in keys[1:]]
+
+    def rows(counts: DataFrame, held: Sequence[Check]) -> DataFrame:
+        failed = {c: "warn" if c.severity == "warn" else "fail" for c in held}
+        return counts.select(F.inline(F.array(*(
+            F.struct(
+                F.lit(f"{c.kind}_{table}_{c.column}").alias("test_name"),
+                F.lit(table).alias("model_name"),
+                F.lit(c.column).alias("column_name"),
+                F.when(F.col(f"f{i}") == 0, "pass").otherwise(failed[c]).alias("status"),
+                F.col(f"f{i}").alias("failure_count"),
+            )
+            for i, c in enumerate(held)
+        ))))
+
+    return reduce(DataFrame.unionByName, [rows(counts, held) for counts, held in passes])
 
 
 def freshness(df: DataFrame, source: str, as_of: dt.datetime, warn_hours: int, error_hours: int,
