@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import lru_cache
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 import adapters
 import oracles as o
 from ledgerlake.plans.warehouse import Warehouse
+from ledgerlake.session import configure
 
 AS_OF = dt.datetime(2024, 3, 1)
 # Order dates start in 1995, so the calendar does too.
@@ -25,11 +27,16 @@ class Registered(NamedTuple):
 QUERIES: dict[str, Registered] = {}
 
 
+@lru_cache(maxsize=128)
 def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return adapters.spark_raw(spark, sf_dir, entity)
 
 
+@lru_cache(maxsize=16)
 def warehouse(spark: SparkSession, sf_dir: str, **options) -> Warehouse:
+    """One warehouse per session and input folder: its plans are built, and its rate table
+    measured, once. No data is cached."""
+    configure(spark)
     return Warehouse(spark, lambda entity: raw(spark, sf_dir, entity), AS_OF,
                      calendar_start=CALENDAR_START, **options)
 

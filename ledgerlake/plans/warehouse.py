@@ -7,7 +7,9 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlake.operators.dedup import dedup_latest
 from ledgerlake.operators.fx import rate_lookup
 from ledgerlake.operators.lookup import FIXED_WIDTH, Lookup
 from ledgerlake.plans import bronze, gold, silver
@@ -69,6 +71,24 @@ class Warehouse:
     def stg_customers_history(self) -> DataFrame:
         return silver.stg_customers_history(self.bronze("customers"))
 
+    # What other models need of charges, refunds and disputes beyond their amounts: the same
+    # rows as in Silver, without the rate lookup behind the amounts.
+
+    @cached_property
+    def charge_owners(self) -> DataFrame:
+        return dedup_latest(self.bronze("charges"), ["id"]).select(
+            F.col("id").alias("charge_id"), "customer_id", "created_date")
+
+    @cached_property
+    def refund_charges(self) -> DataFrame:
+        return dedup_latest(self.bronze("refunds"), ["id"]).select(
+            F.col("id").alias("refund_id"), "charge_id")
+
+    @cached_property
+    def dispute_charges(self) -> DataFrame:
+        return dedup_latest(self.bronze("disputes"), ["id"]).select(
+            F.col("id").alias("dispute_id"), "charge_id")
+
     @cached_property
     def dim_customers(self) -> DataFrame:
         return gold.dim_customers(self.stg_customers_history)
@@ -110,12 +130,12 @@ class Warehouse:
 
     @cached_property
     def fct_refunds(self) -> DataFrame:
-        return gold.fct_refunds(self.stg_refunds, self.stg_charges, self.dim_customers,
+        return gold.fct_refunds(self.stg_refunds, self.charge_owners, self.dim_customers,
                                 self.dates, self.currencies)
 
     @cached_property
     def fct_disputes(self) -> DataFrame:
-        return gold.fct_disputes(self.stg_disputes, self.stg_charges, self.dim_customers,
+        return gold.fct_disputes(self.stg_disputes, self.charge_owners, self.dim_customers,
                                  self.dates, self.currencies)
 
     @cached_property
@@ -126,7 +146,7 @@ class Warehouse:
     def fct_transactions(self) -> DataFrame:
         sources = None
         if self.resolve_sources:
-            sources = gold.source_customers(self.stg_charges, self.stg_refunds, self.stg_disputes)
+            sources = gold.source_customers(self.charge_owners, self.refund_charges, self.dispute_charges)
         return gold.fct_transactions(self.stg_finance_ledger_events, self.dim_customers, self.dates, sources)
 
     @cached_property
