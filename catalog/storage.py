@@ -506,7 +506,8 @@ def _built_sql() -> str:
 
 def lake(spark, root: str, run_id: str) -> pipeline.Lake:
     return pipeline.Lake(spark, root, run_id, AS_OF, grain="year", calendar_start=CALENDAR_START,
-                         entities=LANDED, concurrent_models=8)
+                         entities=LANDED, concurrent_models=8,
+                         file_schemas={e: RAW[e] for e in LANDED})
 
 
 @register("Q10_daily_run", _built_sql())

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.operators.fx import rate_lookup
 from ledgerlake.operators.incremental import newer_than
@@ -62,6 +63,9 @@ class Lake:
     resolve_sources: bool = True
     lookback: dt.timedelta | None = None
     concurrent_models: int = 4
+    dates_never_change: bool = False
+    # Schema of the landed files per entity; without one, the footers of all files are merged.
+    file_schemas: Mapping[str, StructType] = field(default_factory=dict)
     # Tests whose failure is reported but does not stop the run, by test name.
     tolerated: frozenset[str] = frozenset()
     entities: tuple[str, ...] = field(default=DAILY_ENTITIES)
@@ -77,8 +81,11 @@ class Lake:
     def silver(self, name: str) -> Table:
         day = LAID_OUT_BY.get(name, "created_date")
         key = SILVER[name][1]
+        # The key of a customer version holds its load time. The other dates are set once by
+        # the source too, but only ``dates_never_change`` says that this may be relied on.
+        fixed = self.dates_never_change or name == "stg_customers_history"
         return Table(self.spark, f"{self.root}/silver/{name}", part_by=day, grain=self.grain,
-                     cluster_by=(day, key))
+                     cluster_by=(day, key), part_from_key=fixed)
 
     def gold(self, name: str) -> Table:
         if name in FACTS:
@@ -113,7 +120,8 @@ def load_raw(lake: Lake) -> None:
         if required and not files.has_files(lake.spark, path) and not lake.raw(entity).exists():
             raise FileNotFoundError(f"nothing landed for {entity}: {path}")
         load_once(lake.spark, path, entity, lake.raw(entity), lake.checkpoint(f"load_{entity}"),
-                  lake.audit(f"rejects/{entity}"), lake.run_id, lake.as_of)
+                  lake.audit(f"rejects/{entity}"), lake.run_id, lake.as_of,
+                  file_schema=lake.file_schemas.get(entity))
     lake.in_parallel(one, lake.entities)
 
 

@@ -39,16 +39,20 @@ class Table:
     ``part_by`` names a date column and ``grain`` the length of a part; an upsert rewrites
     only the parts it touches. ``cluster_by`` orders rows inside files, which keeps the
     min/max statistics of those columns narrow; ``rebalance`` shuffles them together first.
+    ``part_from_key`` states that a key can never change its part, which spares an upsert
+    the scan of the stored keys.
     """
 
     def __init__(self, spark: SparkSession, path: str, part_by: str | None = None,
-                 grain: str = "month", cluster_by: Sequence[str] = (), rebalance: bool = True):
+                 grain: str = "month", cluster_by: Sequence[str] = (), rebalance: bool = True,
+                 part_from_key: bool = False):
         self.spark = spark
         self.path = path.rstrip("/")
         self.part_by = part_by
         self.grain = grain
         self.cluster_by = list(cluster_by)
         self.rebalance = rebalance
+        self.part_from_key = part_from_key
 
     # --- state --------------------------------------------------------------------------
 
@@ -188,9 +192,11 @@ class Table:
         self._commit(new.schema, kept + added, state["applied"], _later(_newest(state), newest))
 
     def _touched_parts(self, target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> set[str]:
-        hit = target.select(*keys, PART).join(updates.select(*keys).distinct(), list(keys), "left_semi")
-        parts = hit.select(PART).union(updates.select(self._part())).distinct()
-        return {row[0] for row in parts.collect()}  # one value per month or day
+        parts = updates.select(self._part().alias(PART))
+        if not self.part_from_key:
+            known = target.select(*keys, PART).join(updates.select(*keys).distinct(), list(keys), "left_semi")
+            parts = parts.union(known.select(PART))
+        return {row[0] for row in parts.distinct().collect()}  # one value per month or day
 
     def drop_unused(self, keep_states: int = 1) -> None:
         """Delete folders no longer named by the last ``keep_states`` states."""

@@ -50,6 +50,13 @@ def test_upsert_leaves_untouched_parts_alone(spark, folder):
     assert table._state()["folders"] == after
 
 
+def test_upsert_without_key_scan(spark, folder):
+    table = Table(spark, folder, part_by="d", part_from_key=True)
+    table.upsert(rows(spark, ("a", 1, "2024-01-05", "2024-02-01"), ("b", 1, "2024-02-05", "2024-02-01")), ["k"], ORDER)
+    table.upsert(rows(spark, ("a", 2, "2024-01-05", "2024-02-02"), ("c", 2, "2024-04-05", "2024-02-02")), ["k"], ORDER)
+    assert content(table) == [("a", 2), ("b", 1), ("c", 2)]
+
+
 def test_upsert_order_of_arrival_does_not_matter(spark, folder):
     batches = [rows(spark, *[(f"k{i % 7}", 10 * n + i, f"2024-0{1 + i % 3}-05", f"2024-02-0{n}") for i in range(7)])
                for n in (1, 2, 3)]
