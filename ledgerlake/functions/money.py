@@ -1,8 +1,8 @@
 """Exact money arithmetic on integer cents.
 
 Cents are DECIMAL(18,0) and rates DECIMAL(12,6), so every product below fits into 38
-digits without losing scale and is rounded exactly once, half away from zero.
-All currencies are divided by 100, zero-decimal ones included.
+digits without losing scale. The cast to the result type rounds it exactly once, half away
+from zero. All currencies are divided by 100, zero-decimal ones included.
 """
 
 from __future__ import annotations
@@ -32,12 +32,12 @@ def rate_or_one(rate: Column) -> Column:
 
 def from_cents(cents: Column) -> Column:
     """Cents to currency units."""
-    return F.round(_exact(cents) * F.lit(CENT), 2).cast(MONEY)
+    return (_exact(cents) * F.lit(CENT)).cast(MONEY)
 
 
 def from_cents_at(cents: Column, rate: Column) -> Column:
     """Cents to currency units converted with ``rate``."""
-    return F.round(_exact(cents) * F.lit(CENT) * rate.cast(RATE), 2).cast(MONEY)
+    return (_exact(cents) * F.lit(CENT) * rate.cast(RATE)).cast(MONEY)
 
 
 def monthly(cents: Column, interval: Column, rate: Column | None = None,
@@ -56,17 +56,17 @@ def monthly(cents: Column, interval: Column, rate: Column | None = None,
 
     yearly = _exact(cents) * factor / F.lit(Decimal(100 * MONTHS_PER_YEAR))
     daily = scaled(DAYS_PER_MONTH) if scale_daily else scaled(Decimal(1))
-    # Sum of two decimals of different scale would widen them, so round in each branch.
+    # A common type of all branches would have to give up digits, so each is rounded by itself.
     value = (
-        F.when(interval == "year", F.round(yearly, 2).cast(MONEY))
-        .when(interval == "week", F.round(scaled(WEEKS_PER_MONTH), 2).cast(MONEY))
-        .when(interval == "day", F.round(daily, 2).cast(MONEY))
-        .otherwise(F.round(scaled(Decimal(1)), 2).cast(MONEY))
+        F.when(interval == "year", yearly.cast(MONEY))
+        .when(interval == "week", scaled(WEEKS_PER_MONTH).cast(MONEY))
+        .when(interval == "day", daily.cast(MONEY))
+        .otherwise(scaled(Decimal(1)).cast(MONEY))
     )
     if interval_count is None:
         return value
     n = F.when(interval_count > 1, interval_count).otherwise(F.lit(1)).cast("decimal(9,0)")
-    return F.round(value / n, 2).cast(MONEY)
+    return (value / n).cast(MONEY)
 
 
 def negated(amount: Column) -> Column:
