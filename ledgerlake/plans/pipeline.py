@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -256,7 +257,8 @@ def reconcile_run(lake: Lake) -> DataFrame:
     missing = count_missing_rates(
         [(lake.silver(n).read(), "period_start_date" if n == "stg_invoice_line_items" else "created_date")
          for n in SILVER if n != "stg_customers_history"], lake.rates)
-    results = materialize(reconcile(tables, lake.run_id, lake.as_of, missing), "reconcile")
+    results = materialize(reconcile(tables, lake.run_id, lake.as_of, missing),
+                          f"{lake.root}/audit/reconciled/{lake.run_id}-{uuid.uuid4().hex}")
     control.record(lake.audit("reconciliation_results"), "reconciliation_results", results)
     failed = [r[0] for r in results.filter("status = 'failed'").select("check_name").collect()]
     if failed:

@@ -59,13 +59,11 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/ledgerlake/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str, spark: SparkSession | None = None) -> DataFrame:
-    """Cut the lineage of ``df``: write it once to the shared folder, read it back.
+def materialize(df: DataFrame, path: str, spark: SparkSession | None = None) -> DataFrame:
+    """Cut the lineage of ``df``: write it once to ``path`` (see ``work_dir``), read it back.
 
-    Unlike a cache the written copy survives the loss of any executor. ``spark`` is the
-    session to read with, by default that of ``df``.
+    Unlike a cache the written copy survives the loss of any executor. The caller removes
+    it when done. ``spark`` is the session to read with, by default that of ``df``.
     """
-    spark = spark or df.sparkSession
-    path = work_dir(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (spark or df.sparkSession).read.schema(df.schema).parquet(path)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.dedup import LOAD_ORDER, dedup_latest
 from ledgerlake.operators.incremental import evolve
-from ledgerlake.session import materialize
+from ledgerlake.session import materialize, work_dir
 from ledgerlake.sources import files
 
 PART = "table_part"
@@ -175,20 +175,28 @@ class Table:
         if state is None:
             self.replace(dedup_latest(updates, keys, order))
             return
-        old_schema = T.StructType.fromJson(state["schema"])
-        folders, kept = state["folders"], []
-        if self.part_by:
-            # The updates are read twice below; evaluate what produces them once.
-            updates = materialize(updates, "upsert", self.spark)
-            touched = self._touched_parts(self._load(old_schema, folders), updates, keys)
-            kept = [f for f in folders if f.split(f"{PART}=")[-1] not in touched]
-            folders = [f for f in folders if f not in kept]
-            if not touched:
-                return
-        old, new = evolve(self._load(old_schema, folders).drop(PART), updates, schema_change)
+        if not self.part_by:
+            self._merge(state, state["folders"], updates, keys, order, schema_change)
+            return
+        # The updates are read twice below; evaluate what produces them once.
+        staged = work_dir(self.spark, "upsert")
+        updates = materialize(updates, staged, self.spark)
+        target = self._load(T.StructType.fromJson(state["schema"]), state["folders"])
+        parts = self._touched_parts(target, updates, keys)
+        touched = [f for f in state["folders"] if f.split(f"{PART}=")[-1] in parts]
+        if parts:
+            self._merge(state, touched, updates, keys, order, schema_change)
+        files.remove(self.spark, staged)
+
+    def _merge(self, state: dict, folders: list[str], updates: DataFrame, keys: Sequence[str],
+               order: Sequence[str], schema_change: str) -> None:
+        """Rewrite the given folders together with the updates, keep the others."""
+        stored = self._load(T.StructType.fromJson(state["schema"]), folders).drop(PART)
+        old, new = evolve(stored, updates, schema_change)
         both = old.withColumn("_incoming", F.lit(0)).unionByName(new.withColumn("_incoming", F.lit(1)))
         merged = dedup_latest(both, keys, (*order, "_incoming")).drop("_incoming")
         added, newest = self._write(merged)
+        kept = [f for f in state["folders"] if f not in folders]
         self._commit(new.schema, kept + added, state["applied"], _later(_newest(state), newest))
 
     def _touched_parts(self, target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> set[str]:
