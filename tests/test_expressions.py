@@ -66,7 +66,7 @@ def test_fiscal(spark, text, want):
     assert (got["y"], got["m"]) == want
 
 
-def test_calendar_reference_range(spark):
+def test_calendar_default_range(spark):
     dates = gold.dim_dates(spark)
     assert dates.count() == 4748
     rows = {str(r["date_day"]): r for r in dates.filter(
