@@ -90,3 +90,14 @@ def sorted_lookup(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     at = np.searchsorted(known, wanted)
     at[at == len(known)] = 0
     return np.where(known[at] == wanted, at, -1)
+
+
+def identified(docs: DataFrame, key: str, text: str, rid: str) -> DataFrame:
+    """``docs`` with a row identity beside the key: rows with the same key, null included, are
+    one document only if their texts are equal too."""
+    return docs.withColumn(rid, F.xxhash64(F.col(text), F.col(key).cast("string")))
+
+
+def same_row(left: DataFrame, right: DataFrame, key: str, rid: str):
+    """Join condition on identity; ``right`` names its columns ``r_key`` and ``r_rid``."""
+    return (left[rid] == right["r_rid"]) & left[key].eqNullSafe(right["r_key"])
