@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,6 @@ ONE_IN, LEAST = 2, 2
 
 def chunks_of(data: bytes) -> list[tuple[int, int, int, int]]:
     """(first line, line after, first byte, byte after) of each chunk."""
-    import xxhash
-
     lines = data.split(b"\n")
     sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines)) + 1
     at = np.concatenate([[0], np.cumsum(sizes)])
@@ -60,8 +59,6 @@ def _chunk_hashes(rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
     kind = rows.schema[key].dataType.simpleString()
 
     def emit(batches):
-        import xxhash
-
         for batch in batches:
             owner, number, digest = [], [], []
             for k, data in enumerate(bytes_of(batch.column(2))):

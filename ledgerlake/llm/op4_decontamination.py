@@ -15,10 +15,13 @@ builds; more are split into blocks of that size, which the documents pass one af
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.automaton import WORDS, Automaton, words_of
 from ledgerlake.llm.base import bytes_of, prepare, settle, table, with_fields
 
 WINDOW = 10
@@ -55,8 +58,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id
 
     def scanner(part: list[tuple[str, bytes]]):
         def scan(batches):
-            from ledgerlake.llm.automaton import Automaton, words_of
-
             automaton = Automaton(part, window)
             for batch in batches:
                 names = batch.schema.names
@@ -104,10 +105,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text", cove
     schema = kept.schema
 
     def cut(batches):
-        import re
-
-        from ledgerlake.llm.automaton import WORDS
-
         word = re.compile(rb"[^ ]+")
         for batch in batches:
             k = batch.schema.names.index(text)

@@ -12,12 +12,15 @@ replace those of the same name.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.base import fresh, prepare, rows_of, settle, table, texts_of, with_fields
+from ledgerlake.llm.bpe import ByteBpe
 from ledgerlake.llm.op1_token_counts import vocabulary
+from ledgerlake.llm.packing import complete
 
 CAPACITY, END = 1024, 2
 #: Pieces that one task packs at once. Bins with this much space are packed once more.
@@ -34,10 +37,6 @@ def pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text
     schema = f"`{key}` {kind}, piece int, start long, length long, ids binary"
 
     def cut(batches):
-        import numpy as np
-
-        from ledgerlake.llm.bpe import ByteBpe
-
         engine = ByteBpe(path)
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index(key))
@@ -85,8 +84,6 @@ def pack(items: DataFrame, *, length: str = "length", capacity: int = CAPACITY,
         schema = with_fields(dealt, **{bin_: "int", "offset": "long", fill: "int"})
 
         def packed(part: pa.Table) -> pa.Table:
-            from ledgerlake.llm.packing import complete
-
             sizes = part.column(length).to_pylist()
             queue: dict[int, list[int]] = {}
             for row, n in enumerate(sizes):

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import op1_token_counts, op6_best_fit_packing
+from ledgerlake.llm import (
+    op1_token_counts,
+    op2_line_dedup,
+    op4_decontamination,
+    op6_best_fit_packing,
+)
 
 QUERIES = {
     "op1_token_counts": op1_token_counts.query,
+    "op2_line_dedup": op2_line_dedup.query,
+    "op4_decontamination": op4_decontamination.query,
     "op6_best_fit_packing": op6_best_fit_packing.query,
 }
 ORACLES: dict[str, str] = {}
