@@ -101,3 +101,13 @@ def identified(docs: DataFrame, key: str, text: str, rid: str) -> DataFrame:
 def same_row(left: DataFrame, right: DataFrame, key: str, rid: str):
     """Join condition on identity; ``right`` names its columns ``r_key`` and ``r_rid``."""
     return (left[rid] == right["r_rid"]) & left[key].eqNullSafe(right["r_key"])
+
+
+#: Rows of a few numbers up to which a written table is sent to every task.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it has ``most`` rows at most (tens of
+    MB), and else to be joined by a shuffle."""
+    return F.broadcast(df) if rows_of(df) <= most else df

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerlake.llm import (
     op1_token_counts,
     op2_line_dedup,
+    op3_near_dedup,
     op4_decontamination,
     op6_best_fit_packing,
 )
@@ -12,6 +13,7 @@ from ledgerlake.llm import (
 QUERIES = {
     "op1_token_counts": op1_token_counts.query,
     "op2_line_dedup": op2_line_dedup.query,
+    "op3_near_dedup": op3_near_dedup.query,
     "op4_decontamination": op4_decontamination.query,
     "op6_best_fit_packing": op6_best_fit_packing.query,
 }
