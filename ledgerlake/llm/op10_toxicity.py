@@ -17,6 +17,7 @@ with the names of new ones are replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,15 @@ _MARK = re.compile(r"[^\w\s.,;:'\"()-]{2,4}")
 
 
 def features(text: str) -> set[str]:
-    """Beginnings of the words of a text, its runs of marks, and whether capitals prevail."""
-    words = set(_WORD.findall(text.lower()))
-    out: set[str] = set()
+    """The words of a text and their beginnings, the beginnings that occur twice or three times,
+    runs of marks, and whether capitals prevail."""
+    words = _WORD.findall(text.lower())
+    out = set(words)
     for n in BEGINNINGS:
-        out.update([w[:n] for w in words])
+        times = Counter([w[:n] for w in words])
+        out.update(times)
+        for least in (2, 3):
+            out.update([f"{w}\t{least}" for w, k in times.items() if k >= least])
     out.update(_MARK.findall(text))
     if len(text) > 20 and sum(map(str.isupper, text[:200])) * 2 > len(text[:200]):
         out.add("\tCAPITALS")

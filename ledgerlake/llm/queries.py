@@ -8,6 +8,7 @@ from ledgerlake.llm import (
     op3_near_dedup,
     op4_decontamination,
     op6_best_fit_packing,
+    op10_toxicity,
 )
 
 QUERIES = {
@@ -16,5 +17,6 @@ QUERIES = {
     "op3_near_dedup": op3_near_dedup.query,
     "op4_decontamination": op4_decontamination.query,
     "op6_best_fit_packing": op6_best_fit_packing.query,
+    "op10_toxicity": op10_toxicity.query,
 }
 ORACLES: dict[str, str] = {}
