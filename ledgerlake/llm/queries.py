@@ -8,6 +8,8 @@ from ledgerlake.llm import (
     op3_near_dedup,
     op4_decontamination,
     op6_best_fit_packing,
+    op8_vector_search,
+    op9_html_extraction,
     op10_toxicity,
 )
 
@@ -17,6 +19,10 @@ QUERIES = {
     "op3_near_dedup": op3_near_dedup.query,
     "op4_decontamination": op4_decontamination.query,
     "op6_best_fit_packing": op6_best_fit_packing.query,
+    "op8_vector_search": op8_vector_search.query,
+    "op9_html_extraction": op9_html_extraction.query,
     "op10_toxicity": op10_toxicity.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_vector_search": op8_vector_search.ORACLE,
+}
