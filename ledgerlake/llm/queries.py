@@ -7,6 +7,7 @@ from ledgerlake.llm import (
     op2_line_dedup,
     op3_near_dedup,
     op4_decontamination,
+    op5_suffix_dedup,
     op6_best_fit_packing,
     op8_vector_search,
     op9_html_extraction,
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup.query,
     "op3_near_dedup": op3_near_dedup.query,
     "op4_decontamination": op4_decontamination.query,
+    "op5_suffix_dedup": op5_suffix_dedup.query,
     "op6_best_fit_packing": op6_best_fit_packing.query,
     "op8_vector_search": op8_vector_search.query,
     "op9_html_extraction": op9_html_extraction.query,
