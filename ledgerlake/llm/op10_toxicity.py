@@ -162,10 +162,8 @@ def classify(docs: DataFrame, chain: Chain, *, text: str = "text", prefix: str =
     prepare(docs.sparkSession)
     names = [prefix + c for c in chain.categories]
     docs = docs.drop(*names)
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def score(batches):
-        chain = shared.value
         for batch in batches:
             texts = texts_of(batch.column(batch.schema.get_field_index(text)))
             found = np.array([chain.probabilities(t) for t in texts]).reshape(len(texts), len(names))
