@@ -9,6 +9,7 @@ from ledgerlake.llm import (
     op4_decontamination,
     op5_suffix_dedup,
     op6_best_fit_packing,
+    op7_private_data,
     op8_vector_search,
     op9_html_extraction,
     op10_toxicity,
@@ -21,6 +22,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination.query,
     "op5_suffix_dedup": op5_suffix_dedup.query,
     "op6_best_fit_packing": op6_best_fit_packing.query,
+    "op7_private_data": op7_private_data.query,
     "op8_vector_search": op8_vector_search.query,
     "op9_html_extraction": op9_html_extraction.query,
     "op10_toxicity": op10_toxicity.query,

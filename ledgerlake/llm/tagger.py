@@ -54,29 +54,38 @@ class Tagger:
         self.p = {"embedding": rng.normal(0, 0.3, (CHARS, EMBEDDING)).astype(np.float32),
                   "out": start(2 * h, TAGS), "out_bias": np.zeros(TAGS, np.float32),
                   "transition": np.zeros((TAGS, TAGS), np.float32)}
-        for d in ("ahead", "back"):
-            self.p[f"{d}_x"], self.p[f"{d}_h"] = start(EMBEDDING, 4 * h), start(h, 4 * h)
-            bias = np.zeros(4 * h, np.float32)
-            bias[h:2 * h] = 1  # remember at first
-            self.p[f"{d}_bias"] = bias
+        # Both directions run side by side: the first axis is the direction.
+        bias = np.zeros((2, 1, 4 * h), np.float32)
+        bias[:, :, h:2 * h] = 1  # remember at first
+        self.p |= {"x": np.stack([start(EMBEDDING, 4 * h) for _ in "ab"]),
+                   "h": np.stack([start(h, 4 * h) for _ in "ab"]), "bias": bias}
 
     # -- network ---------------------------------------------------------------------------
 
-    def _run(self, x: np.ndarray, d: str, keep: list | None) -> np.ndarray:
-        """States of one direction; x is [time, batch, embedding] in the order of that direction."""
-        h_size, w = HIDDEN, self.p[f"{d}_h"]
-        drive = x @ self.p[f"{d}_x"] + self.p[f"{d}_bias"]
-        h = np.zeros((x.shape[1], h_size), np.float32)
+    @staticmethod
+    def _both(x: np.ndarray) -> np.ndarray:
+        """[time, batch, size] as [time, direction, batch, size], the second direction reversed."""
+        return np.stack([x, x[::-1]], axis=1)
+
+    @staticmethod
+    def _joined(states: np.ndarray) -> np.ndarray:
+        return np.concatenate([states[:, 0], states[::-1, 1]], axis=2)
+
+    def _run(self, x: np.ndarray, keep: list | None) -> np.ndarray:
+        """States of both directions; x is [time, direction, batch, embedding]."""
+        n, w = HIDDEN, self.p["h"]
+        drive = np.matmul(x, self.p["x"]) + self.p["bias"]
+        h = np.zeros((2, x.shape[2], n), drive.dtype)
         c = np.zeros_like(h)
-        out = np.empty((*x.shape[:2], h_size), np.float32)
+        out = np.empty((*x.shape[:3], n), drive.dtype)
         for t in range(len(x)):
-            z = drive[t] + h @ w
-            gates = _sigmoid(z[:, :3 * h_size])  # in, forget, out
-            g = np.tanh(z[:, 3 * h_size:])
+            z = drive[t] + np.matmul(h, w)
+            gates = _sigmoid(z[:, :, :3 * n])  # in, forget, out
+            g = np.tanh(z[:, :, 3 * n:])
             before, h_before = c, h
-            c = gates[:, h_size:2 * h_size] * c + gates[:, :h_size] * g
+            c = gates[:, :, n:2 * n] * c + gates[:, :, :n] * g
             squashed = np.tanh(c)
-            h = gates[:, 2 * h_size:] * squashed
+            h = gates[:, :, 2 * n:] * squashed
             out[t] = h
             if keep is not None:
                 keep.append((gates, g, before, squashed, h_before))
@@ -84,38 +93,39 @@ class Tagger:
 
     def emissions(self, ids: np.ndarray) -> np.ndarray:
         """Scores of each tag, [time, batch, tag], for ids [time, batch]."""
-        x = self.p["embedding"][ids]
-        both = np.concatenate([self._run(x, "ahead", None), self._run(x[::-1], "back", None)[::-1]], axis=2)
-        return both @ self.p["out"] + self.p["out_bias"]
+        states = self._run(self._both(self.p["embedding"][ids]), None)
+        return self._joined(states) @ self.p["out"] + self.p["out_bias"]
 
-    def _unrun(self, x, grad, keep, d, grads):
-        h_size, w = HIDDEN, self.p[f"{d}_h"]
+    def _unrun(self, x: np.ndarray, grad: np.ndarray, keep: list, grads: dict) -> np.ndarray:
+        n, back = HIDDEN, self.p["h"].transpose(0, 2, 1)
         dh, dc = np.zeros_like(grad[0]), np.zeros_like(grad[0])
-        dz = np.empty((*x.shape[:2], 4 * h_size), np.float32)
+        dz = np.empty((*x.shape[:3], 4 * n), grad.dtype)
         for t in range(len(x) - 1, -1, -1):
-            gates, g, before, squashed, h_before = keep[t]
-            i, f, o = gates[:, :h_size], gates[:, h_size:2 * h_size], gates[:, 2 * h_size:]
+            gates, g, before, squashed, _ = keep[t]
+            i, f, o = gates[:, :, :n], gates[:, :, n:2 * n], gates[:, :, 2 * n:]
             dh = dh + grad[t]
-            dc = dc + dh * o * (1 - squashed ** 2)
-            dz[t] = np.concatenate([dc * g * i * (1 - i), dc * before * f * (1 - f),
-                                    dh * squashed * o * (1 - o), dc * i * (1 - g ** 2)], axis=1)
-            grads[f"{d}_h"] += h_before.T @ dz[t]
-            dh, dc = dz[t] @ w.T, dc * f
-        flat = dz.reshape(-1, 4 * h_size)
-        grads[f"{d}_x"] += x.reshape(-1, x.shape[2]).T @ flat
-        grads[f"{d}_bias"] += flat.sum(0)
-        return dz @ self.p[f"{d}_x"].T
+            dc = dc + dh * o * (1 - squashed * squashed)
+            slope = gates * (1 - gates)
+            dz[t, :, :, :n] = dc * g * slope[:, :, :n]
+            dz[t, :, :, n:2 * n] = dc * before * slope[:, :, n:2 * n]
+            dz[t, :, :, 2 * n:3 * n] = dh * squashed * slope[:, :, 2 * n:]
+            dz[t, :, :, 3 * n:] = dc * i * (1 - g * g)
+            dh, dc = np.matmul(dz[t], back), dc * f
+        before = np.stack([k[4] for k in keep])
+        for d in (0, 1):
+            flat = dz[:, d].reshape(-1, 4 * n)
+            grads["h"][d] = before[:, d].reshape(-1, n).T @ flat
+            grads["x"][d] = x[:, d].reshape(-1, x.shape[3]).T @ flat
+            grads["bias"][d, 0] = flat.sum(0)
+        return np.matmul(dz, self.p["x"].transpose(0, 2, 1))
 
     # -- training --------------------------------------------------------------------------
 
     def loss(self, ids: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log likelihood of the tags ([time, batch]) and its gradient."""
         grads = {k: np.zeros_like(v) for k, v in self.p.items()}
-        x = self.p["embedding"][ids]
-        keep_a, keep_b = [], []
-        ahead = self._run(x, "ahead", keep_a)
-        back = self._run(x[::-1], "back", keep_b)
-        both = np.concatenate([ahead, back[::-1]], axis=2)
+        x, keep = self._both(self.p["embedding"][ids]), []
+        both = self._joined(self._run(x, keep))
         e = (both @ self.p["out"] + self.p["out_bias"]).astype(np.float64)
         time, batch, _ = e.shape
         a = self.p["transition"].astype(np.float64) + allowed()
@@ -127,22 +137,19 @@ class Tagger:
             beta[t] = _log_sum(a[None] + (e[t + 1] + beta[t + 1])[:, None, :], 2)
         total = _log_sum(alpha[-1], 1)
         every = np.arange(batch)
-        path = e[0][every, tags[0]] + sum(
-            e[t][every, tags[t]] + a[tags[t - 1], tags[t]] for t in range(1, time))
+        path = e[np.arange(time)[:, None], every[None], tags].sum(0) + a[tags[:-1], tags[1:]].sum(0)
         de = np.exp(alpha + beta - total[None, :, None])
-        for t in range(time):
-            de[t][every, tags[t]] -= 1
-        for t in range(1, time):
-            pair = alpha[t - 1][:, :, None] + a[None] + (e[t] + beta[t])[:, None, :] - total[:, None, None]
-            grads["transition"] += np.exp(pair).sum(0).astype(np.float32)
-            np.subtract.at(grads["transition"], (tags[t - 1], tags[t]), 1)
-        de = (de / batch).astype(np.float32)
-        grads["transition"] /= batch
+        np.subtract.at(de, (np.arange(time)[:, None], every[None], tags), 1)
+        pairs = np.exp(alpha[:-1, :, :, None] + a + (e[1:] + beta[1:])[:, :, None, :] - total[None, :, None, None])
+        moves = pairs.sum((0, 1))
+        np.subtract.at(moves, (tags[:-1].reshape(-1), tags[1:].reshape(-1)), 1)
+        grads["transition"] = (moves / batch).astype(self.p["transition"].dtype)
+        de = (de / batch).astype(both.dtype)
         grads["out"] = both.reshape(-1, both.shape[2]).T @ de.reshape(-1, TAGS)
         grads["out_bias"] = de.sum((0, 1))
         db = de @ self.p["out"].T
-        dx = self._unrun(x, db[:, :, :HIDDEN], keep_a, "ahead", grads)
-        dx = dx + self._unrun(x[::-1], db[::-1, :, HIDDEN:], keep_b, "back", grads)[::-1]
+        dx = self._unrun(x, np.stack([db[:, :, :HIDDEN], db[::-1, :, HIDDEN:]], axis=1), keep, grads)
+        dx = dx[:, 0] + dx[::-1, 1]
         np.add.at(grads["embedding"], ids.reshape(-1), dx.reshape(-1, dx.shape[2]))
         return float((total - path).mean()), grads
 
@@ -164,8 +171,8 @@ class Tagger:
                 g = g * shrink
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.99 * v[k] + 0.01 * g * g
-                self.p[k] = self.p[k] - (now * (m[k] / (1 - 0.9 ** step))
-                                         / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+                step_by = now * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-8)
+                self.p[k] = self.p[k] - step_by.astype(self.p[k].dtype)
         return losses
 
     # -- decoding --------------------------------------------------------------------------
