@@ -136,3 +136,36 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLE = r"""
+WITH lowered AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), d AS (
+    SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered
+), b AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item, least(10, len(w)) AS n, list_slice(w, i, i + least(10, len(w)) - 1) AS gram
+    FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), places AS (
+    SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS gram
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+), found AS (
+    SELECT doc_id, n, i, item FROM places JOIN windows USING (n, gram)
+), hits AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT doc_id, n, i FROM found)) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -28,5 +28,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity.query,
 }
 ORACLES: dict[str, str] = {
+    "op3_near_dedup": op3_near_dedup.ORACLE,
+    "op4_decontamination": op4_decontamination.ORACLE,
     "op8_vector_search": op8_vector_search.ORACLE,
 }
