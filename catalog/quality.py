@@ -12,7 +12,7 @@ from ledgerlake.operators import quality
 from ledgerlake.plans import checks
 
 PRESENT = ("balance_transactions", "charges", "customers", "subscriptions", "invoice_line_items",
-           "refunds", "disputes", "fx_rates")
+           "refunds", "disputes", "invoices", "fx_rates")
 
 
 def _quoted(values) -> str:
@@ -44,7 +44,6 @@ def _layer(declared: dict, read) -> DataFrame:
     return reduce(DataFrame.unionByName, [quality.run_checks(read(t), t, cs) for t, cs in declared.items()])
 
 
-_RAW_CHECKS = {e: c for e, c in checks.RAW.items() if e != "invoices"}
 _SILVER_CORE = checks.SILVER
 
 register("Q1_not_null", o.statement("raw_customers", """
@@ -59,8 +58,8 @@ register("Q3_accepted_values", o.statement("brz_stripe_disputes", """
 SELECT count(*) FILTER (status NOT IN ('won', 'lost')) AS failures FROM brz_stripe_disputes"""))(
     lambda s, d: quality.accepted_values(warehouse(s, d).bronze("disputes"), "status", ("won", "lost")))
 
-register("Q1_Q2_Q3_source_tests", _layer_sql(_RAW_CHECKS, "raw_").replace("'raw_", "'"))(
-    lambda s, d: _layer(_RAW_CHECKS, lambda e: raw(s, d, e)))
+register("Q1_Q2_Q3_source_tests", _layer_sql(checks.RAW, "raw_").replace("'raw_", "'"))(
+    lambda s, d: _layer(checks.RAW, lambda e: raw(s, d, e)))
 
 register("Q1_Q2_Q3_silver_tests", _layer_sql(_SILVER_CORE))(
     lambda s, d: (lambda w: _layer(_SILVER_CORE, lambda t: getattr(w, t)))(warehouse(s, d)))
@@ -126,17 +125,19 @@ def _(spark, sf_dir):
     return quality.reconcile({t: getattr(w, t) for t in quality.RECONCILED}, "run-x", AS_OF)
 
 
-@register("Q5_fx_missing", o.statement("stg_charges stg_refunds fx", """
-WITH f AS (SELECT upper(currency) c, created_date d FROM stg_charges
-           UNION ALL SELECT upper(currency), created_date FROM stg_refunds)
+# Silver tables whose amounts are converted, and the day of their rate.
+_RATED = {"stg_charges": "created_date", "stg_refunds": "created_date", "stg_disputes": "created_date",
+          "stg_payouts": "created_date", "stg_finance_ledger_events": "created_date",
+          "stg_invoice_line_items": "period_start_date"}
+
+
+@register("Q5_fx_missing", o.statement(" ".join(_RATED) + " fx", f"""
+WITH f AS ({" UNION ALL ".join(f"SELECT upper(currency) c, {d} d FROM {t}" for t, d in _RATED.items())})
 SELECT count(*) FILTER (fx.rate IS NULL) AS fx_missing FROM f LEFT JOIN fx ON fx.from_currency = f.c AND fx.rate_date = f.d"""))
 def _(spark, sf_dir):
     w = warehouse(spark, sf_dir)
-    return quality.count_missing_rates(
-        [(w.stg_charges, "created_date"), (w.stg_refunds, "created_date")], w.rates)
-
+    return quality.count_missing_rates([(getattr(w, t), day) for t, day in _RATED.items()], w.rates)
 
-_GOLD = {t: c for t, c in checks.GOLD.items() if t != "dim_dates"}
 
-register("Q1_Q2_Q3_gold_tests", _layer_sql(_GOLD))(
-    lambda s, d: (lambda w: _layer(_GOLD, lambda t: getattr(w, t)))(warehouse(s, d)))
+register("Q1_Q2_Q3_gold_tests", _layer_sql(checks.GOLD))(
+    lambda s, d: (lambda w: _layer(checks.GOLD, lambda t: getattr(w, t)))(warehouse(s, d)))

@@ -144,10 +144,11 @@ GROUP BY ALL"""))(
     lambda s, d: (lambda w: marts.mrr_by_pricing_tier(w.fct_mrr_movements, w.dim_plans))(warehouse(s, d)))
 
 register("R7_masked_customers", o.statement("dim_customers", """
-SELECT customer_key, sha256(customer_id) AS customer_hash, created_date, currency, sha256(email) AS email_hash,
+SELECT sha256('pepper:' || sha256('pepper:' || customer_id)) AS customer_hash, created_date, currency,
+ sha256('pepper:' || sha256('pepper:' || email)) AS email_hash,
  regexp_extract(email, '@(.*)$', 1) AS email_domain,
  regexp_replace(regexp_replace(regexp_replace(name, '[0-9]', 'n', 'g'), '[A-Z]', 'X', 'g'), '[a-mo-z]', 'x', 'g') AS name_masked,
  phone AS phone_masked, billing_country, left(address_postal_code, 2) AS postal_area, delinquent, balance, tax_exempt,
  valid_from, valid_to, is_current
 FROM dim_customers"""))(
-    lambda s, d: marts.masked_customers(warehouse(s, d).dim_customers))
+    lambda s, d: marts.masked_customers(warehouse(s, d).dim_customers, "pepper"))

@@ -12,22 +12,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import adapters
 import oracles as o
 from catalog.base import AS_OF, CALENDAR_START, raw, register, warehouse
 from ledgerlake.functions.columns import epoch_date
 from ledgerlake.operators.align import align_to_schema, split_rejects
-from ledgerlake.operators.incremental import evolve
 from ledgerlake.plans import bronze, pipeline, silver
 from ledgerlake.schemas import RAW
 from ledgerlake.session import work_dir
-from ledgerlake.sources import control, flatten, landing, load
+from ledgerlake.sources import control, files, flatten, landing, load
 from ledgerlake.sources.tables import Table
 from ledgerlake.streaming import loads
 
 RUN_DAY = dt.datetime(2024, 2, 5, 15, 30)
 LANDED = ("balance_transactions", "charges", "refunds", "disputes", "payouts", "customers",
-          "subscriptions", "invoice_line_items", "fx_rates")
+          "subscriptions", "invoices", "invoice_line_items", "fx_rates")
 
 
 def ntz(value: dt.datetime):
@@ -157,26 +155,32 @@ def _(spark, sf_dir):
 
 
 @register("S8_append_new_columns", o.statement("raw_customers", """
-SELECT id, name, CASE WHEN loaded_at = TIMESTAMP '2024-02-01' THEN NULL ELSE email END AS email, loaded_at
-FROM raw_customers WHERE loaded_at < TIMESTAMP '2024-02-03'"""))
+SELECT id, CASE WHEN loaded_at = TIMESTAMP '2024-02-03' THEN NULL ELSE name END AS name,
+ CASE WHEN loaded_at = TIMESTAMP '2024-02-01' THEN NULL ELSE email END AS email,
+ CASE WHEN loaded_at = TIMESTAMP '2024-02-03' THEN balance END AS balance, loaded_at
+FROM raw_customers"""))
 def _(spark, sf_dir):
-    """The second load brings a new column."""
+    """The second load brings a new column; the third another one, and lacks an old one."""
     rows = raw(spark, sf_dir, "customers")
     table = Table(spark, work_dir(spark, "s8"))
     table.append(at_load(rows, 1).select("id", "name", "loaded_at"))
     table.append(at_load(rows, 2).select("id", "email", "loaded_at", "name"))
+    table.append(at_load(rows, 3).select("balance", "id", "email", "loaded_at"))
     return table.read()
 
 
 @register("S8_sync_all_columns", o.statement("raw_customers", """
-SELECT id, CASE WHEN loaded_at = TIMESTAMP '2024-02-01' THEN NULL ELSE email END AS email, loaded_at
-FROM raw_customers WHERE loaded_at < TIMESTAMP '2024-02-03'"""))
+SELECT id || '@' || CAST(CAST(loaded_at AS DATE) AS VARCHAR) AS version,
+ CASE WHEN loaded_at = TIMESTAMP '2024-02-03' THEN balance END AS balance, loaded_at
+FROM raw_customers"""))
 def _(spark, sf_dir):
-    """The second load drops one column and brings another."""
-    rows = raw(spark, sf_dir, "customers")
-    old, new = evolve(at_load(rows, 1).select("id", "name", "loaded_at"),
-                      at_load(rows, 2).select("id", "email", "loaded_at"), "sync_all_columns")
-    return old.unionByName(new)
+    """Three upserts into one table, each with other columns; the last ones stay."""
+    rows = raw(spark, sf_dir, "customers").withColumn(
+        "version", F.concat("id", F.lit("@"), F.col("loaded_at").cast("date").cast("string")))
+    table = Table(spark, work_dir(spark, "s8s"))
+    for day, column in ((1, "name"), (2, "email"), (3, "balance")):
+        table.upsert(at_load(rows, day).select("version", column, "loaded_at"), ["version"], ("loaded_at",))
+    return table.read()
 
 
 @register("S9_layout", o.statement("stg_charges", """
@@ -195,21 +199,41 @@ def _(spark, sf_dir):
     return landing.stamp(raw(spark, sf_dir, "payouts").select("id"), "run-9", RUN_DAY)
 
 
-@register("S14_ingest_all", o.statement("raw_charges raw_refunds raw_payouts", """
-SELECT 'charges' AS entity, count(*) FILTER (created > 800000000) AS rows FROM raw_charges
-UNION ALL SELECT 'refunds', count(*) FROM raw_refunds
-UNION ALL SELECT 'payouts', count(*) FILTER (created > 4000000000) FROM raw_payouts
-UNION ALL SELECT 'disputes', -1"""))
+_MARKS = {"charges": 800000000, "payouts": 4000000000, "invoices": 850000000, "invoice_line_items": 850000000}
+
+
+def _landed_sql(entity: str) -> str:
+    if entity == "fx_rates":
+        count = ("(SELECT count(*) FROM raw_fx_rates WHERE upper(from_currency) <> 'USD') + "
+                 "(SELECT count(DISTINCT rate_date) FROM raw_fx_rates)")
+    elif entity == "invoice_line_items":
+        count = (f"(SELECT 2 * count(*) FROM raw_invoice_line_items WHERE proration IS NOT NULL "
+                 f"AND period_start > {_MARKS[entity]})")
+    else:
+        kept = f"created > {_MARKS.get(entity, 0)}" if entity != "subscriptions" else "false"
+        count = f"(SELECT count(*) FROM raw_{entity} WHERE {kept})"
+    return f"SELECT '{entity}' AS entity, CAST({count} AS BIGINT) AS rows"
+
+
+@register("S14_ingest_all", o.statement(
+    " ".join(f"raw_{e}" for e in LANDED), " UNION ALL ".join(map(_landed_sql, LANDED)) + " UNION ALL SELECT 'prices', -1"))
 def _(spark, sf_dir):
-    """Watermarks cut charges partly and payouts wholly; the source of disputes fails."""
+    """Every daily entity, from JSON payloads, under watermarks that cut some partly, payouts
+    wholly and lines by the time of their invoice; a subscription without a time is not new;
+    the source of prices fails."""
     def fails() -> DataFrame:
         raise OSError("no payloads")
 
-    sources = {e: lambda e=e: flatten.to_payload(adapters.spark_view(spark, sf_dir, e))
-               for e in ("charges", "refunds", "payouts")}
-    landed = landing.ingest_all(
-        spark, sources | {"disputes": fails}, work_dir(spark, "s14"), "run-9", RUN_DAY,
-        {"charges": 800000000, "payouts": 4000000000})
+    def payloads(entity: str) -> DataFrame:
+        if entity == "fx_rates":
+            return _quotes(spark, sf_dir)
+        if entity == "invoice_line_items":
+            return flatten.to_payload(_invoices(spark, sf_dir))
+        return nested_payload(raw(spark, sf_dir, entity), flatten.NESTED.get(entity, {}))
+
+    sources = {e: lambda e=e: payloads(e) for e in LANDED}
+    landed = landing.ingest_all(spark, sources | {"prices": fails}, work_dir(spark, "s14"), "run-9", RUN_DAY,
+                                {e: 0 for e in LANDED} | _MARKS)
     return spark.createDataFrame(list(landed.items()), "entity string, rows long")
 
 
@@ -298,26 +322,36 @@ for _name, _entity in {
     "P1_flatten_balance_transactions": "balance_transactions", "P3_flatten_refunds": "refunds",
     "P4_flatten_disputes": "disputes", "P5_flatten_payouts": "payouts",
     "P6_flatten_customers": "customers", "P7_flatten_subscriptions": "subscriptions",
+    "P8_flatten_invoices": "invoices",
 }.items():
     _flat(_name, _entity)
 
 
-@register("P2_flatten_charges", o.statement("view_charges", f"""
-SELECT {o.js('customer')} AS customer, {o.js('failure_code')} AS failure_code,
- {o.js('payment_method_details.type')} AS payment_method_details_type,
- {o.js('payment_method_details.card.brand')} AS payment_method_details_card_brand,
- {o.js('payment_method_details.card.funding')} AS payment_method_details_card_funding,
- {o.js('payment_method_details.card.country')} AS payment_method_details_card_country,
- {o.js('payment_method_details.card.last4')} AS payment_method_details_card_last4,
- CAST({o.js('payment_method_details.card.exp_year')} AS BIGINT) AS payment_method_details_card_exp_year,
- raw_payload FROM view_charges"""))
+# Charge fields that the RAW view leaves NULL, in SQL that both engines read.
+_CHARGE_FIELDS = {
+    "object": "'charge'", "captured": "amount % 2 = 0", "customer": "'cus_' || id", "description": "'order ' || id",
+    "disputed": "amount % 7 = 0", "failure_code": "CASE WHEN amount % 3 = 0 THEN 'card_declined' END",
+    "failure_message": "CASE WHEN amount % 3 = 0 THEN 'The card was declined.' END", "invoice": "'in_' || id",
+    "paid": "amount % 5 <> 0", "payment_intent": "'pi_' || id", "receipt_email": "id || '@example.com'",
+    "refunded": "amount_refunded > 0", "payment_method": "'pm_' || id", "balance_transaction": "'txn_' || id",
+    "receipt_url": "'https://example.com/' || id", "statement_descriptor": "upper(id)",
+    "payment_method_details_type": "CASE WHEN amount % 11 <> 0 THEN 'card' END",
+    "payment_method_details_card_brand": "CASE WHEN amount % 2 = 0 THEN 'visa' ELSE 'amex' END",
+    "payment_method_details_card_funding": "CASE WHEN amount % 4 = 0 THEN 'debit' ELSE 'credit' END",
+    "payment_method_details_card_country": "CASE WHEN amount % 6 = 0 THEN NULL ELSE 'US' END",
+    "payment_method_details_card_last4": "right(id, 4)", "payment_method_details_card_exp_month": "amount % 12 + 1",
+    "payment_method_details_card_exp_year": "amount % 5 + 2024",
+}
+_CHARGE_COLUMNS = [f.name for f in RAW["charges"].fields if f.name not in _NOT_IN_PAYLOAD.split()]
+
+
+@register("P2_flatten_charges", o.statement("raw_charges", "SELECT " + ", ".join(
+    f"{_CHARGE_FIELDS[c]} AS {c}" if c in _CHARGE_FIELDS else c for c in _CHARGE_COLUMNS) + " FROM raw_charges"))
 def _(spark, sf_dir):
-    payloads = raw(spark, sf_dir, "charges").select(F.col("raw_payload").alias("payload"))
-    return flatten.flatten_charges(payloads).select(
-        "customer", "failure_code",
-        *(f"payment_method_details_{c}" for c in (
-            "type", "card_brand", "card_funding", "card_country", "card_last4", "card_exp_year")),
-        "raw_payload")
+    """Every field, the nested ones at their paths."""
+    rows = raw(spark, sf_dir, "charges").selectExpr(
+        *(f"{_CHARGE_FIELDS[c]} AS {c}" if c in _CHARGE_FIELDS else c for c in _CHARGE_COLUMNS))
+    return flatten.flatten(nested_payload(rows, flatten.NESTED["charges"]), "charges").drop("raw_payload")
 
 
 def _invoices(spark, sf_dir) -> DataFrame:
@@ -338,15 +372,7 @@ def _invoices(spark, sf_dir) -> DataFrame:
     listed = F.when(F.col("proration").isNotNull(), pair).otherwise(F.slice(pair, 1, 0))
     return raw(spark, sf_dir, "invoice_line_items").select(
         F.col("invoice_id").alias("id"), "subscription", F.col("amount").alias("total"),
-        F.struct(listed.alias("data")).alias("lines"))
-
-
-@register("P8_flatten_invoices", o.statement("raw_invoice_line_items", """
-SELECT invoice_id AS id, subscription, amount AS total, CAST(NULL AS VARCHAR) AS customer_email,
- CAST(NULL AS BIGINT) AS due_date FROM raw_invoice_line_items"""))
-def _(spark, sf_dir):
-    payloads = _invoices(spark, sf_dir).select(F.to_json(F.struct("*")).alias("payload"))
-    return flatten.flatten_invoices(payloads).select("id", "subscription", "total", "customer_email", "due_date")
+        F.col("period_start").alias("created"), F.struct(listed.alias("data")).alias("lines"))
 
 
 _LINE = ("invoice_id, amount, currency, period_start, period_end, plan_id, plan_interval, "
@@ -361,32 +387,34 @@ def _(spark, sf_dir):
     return flatten.flatten_invoice_line_items(payloads).select("id", "proration", *_LINE.split(", "))
 
 
+def _quotes(spark, sf_dir) -> DataFrame:
+    """One JSON object of quotes per day and load."""
+    rates = raw(spark, sf_dir, "fx_rates")
+    return rates.groupBy("rate_date", "ingestion_run_id").agg(F.to_json(F.struct(
+        F.first("rate_date").alias("rate_date"),
+        F.map_from_entries(F.collect_list(F.struct(F.upper("from_currency"), "rate"))).alias("rates"))
+    ).alias("payload")).select("payload")
+
+
 @register("P10_fx_from_usd_base", o.statement("raw_fx_rates", """
-WITH q AS (SELECT rate_date, upper(from_currency) AS from_currency, max(rate) AS quote FROM raw_fx_rates
- WHERE upper(from_currency) <> 'USD' AND loaded_at <> TIMESTAMP '2024-02-02' GROUP BY ALL),
- n AS (SELECT *, CAST(quote * 1000000 AS HUGEINT) AS k FROM q)
+WITH n AS (SELECT rate_date, upper(from_currency) AS from_currency, CAST(rate * 1000000 AS HUGEINT) AS k
+ FROM raw_fx_rates WHERE upper(from_currency) <> 'USD')
 SELECT rate_date, from_currency, 'USD' AS to_currency, CASE WHEN k <> 0 THEN
  CAST(CAST((2 * 1000000000000 + k) // (2 * k) AS DECIMAL(38,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS DECIMAL(12,6)) END AS rate,
  'exchangerate' AS source FROM n
-UNION ALL SELECT DISTINCT rate_date, 'USD', 'USD', CAST(1 AS DECIMAL(12,6)), 'exchangerate' FROM n"""))
+UNION ALL SELECT DISTINCT rate_date, 'USD', 'USD', CAST(1 AS DECIMAL(12,6)), 'exchangerate' FROM raw_fx_rates"""))
 def _(spark, sf_dir):
-    rates = raw(spark, sf_dir, "fx_rates").filter(
-        (F.upper("from_currency") != "USD") & (F.col("loaded_at") != ntz(dt.datetime(2024, 2, 2))))
-    quotes = rates.groupBy("rate_date", F.upper("from_currency").alias("c")).agg(F.max("rate").alias("q"))
-    return flatten.fx_from_usd_base(quotes.groupBy("rate_date").agg(
-        F.map_from_entries(F.collect_list(F.struct("c", "q"))).alias("rates")))
+    return flatten.fx_from_usd_base(_quotes(spark, sf_dir))
 
 
 @register("P11_to_payload", o.statement("raw_disputes", """
-SELECT id, amount, is_won, total_usd FROM (SELECT id, amount, ifnull(status = 'won', false) AS is_won,
- CAST(amount AS DOUBLE) / 100.0 AS total_usd FROM raw_disputes)"""))
+SELECT CAST(to_json({'id': id, 'amount': amount, 'is_won': ifnull(status = 'won', false), 'reason': reason,
+ 'total_usd': CAST(amount AS DOUBLE) / 100.0}) AS VARCHAR) AS payload FROM raw_disputes"""))
 def _(spark, sf_dir):
-    """Decimals are written as numbers: the text is read back with a double field."""
-    rows = raw(spark, sf_dir, "disputes").select(
-        "id", "amount", F.coalesce(F.col("status") == "won", F.lit(False)).alias("is_won"),
-        (F.col("amount").cast("decimal(18,0)") * F.expr("0.01BD")).alias("total_usd"))
-    shape = "id string, amount long, is_won boolean, total_usd double"
-    return flatten.to_payload(rows).select(F.from_json("payload", shape).alias("p")).select("p.*")
+    """The text itself: decimals are numbers, NULL fields are kept."""
+    return flatten.to_payload(raw(spark, sf_dir, "disputes").select(
+        "id", "amount", F.coalesce(F.col("status") == "won", F.lit(False)).alias("is_won"), "reason",
+        (F.col("amount").cast("decimal(18,0)") * F.expr("0.01BD")).alias("total_usd")))
 
 
 # --- streams ----------------------------------------------------------------------------
@@ -417,6 +445,40 @@ def _(spark, sf_dir):
     return target.read().select("id", "amount", "ingestion_run_id", "loaded_at")
 
 
+@register("S7_old_files", o.statement("raw_charges", """
+SELECT id, amount, ingestion_run_id, loaded_at FROM raw_charges"""))
+def _(spark, sf_dir):
+    """The newest day is loaded first; the files of the others then arrive, years old."""
+    root, charges = work_dir(spark, "s7o"), raw(spark, sf_dir, "charges")
+    target = Table(spark, f"{root}/raw/charges")
+    for number, day in enumerate((5, 2, 1)):
+        path = landing.write_landing(at_load(charges, day), root, "charges", f"run-{day}", dt.date(2024, 2, day))
+        if number:
+            files.set_modified(spark, path, dt.datetime(2019, 1, day))
+        loads.load_once(spark, landing.entity_path(root, "charges"), "charges", target, f"{root}/checkpoint",
+                        file_schema=RAW["charges"])
+    return target.read().select("id", "amount", "ingestion_run_id", "loaded_at")
+
+
+@register("F2_late_and_equal_loads", o.whole("stg_charges"))
+def _(spark, sf_dir):
+    """Charges land newest day first, and each day in two runs with the same load time; RAW,
+    Bronze and Silver take each of them up by what was committed."""
+    root = work_dir(spark, "f2")
+    daily = lake(spark, root, "run-f2", entities=("fx_rates", "charges"))
+    landing.write_landing(raw(spark, sf_dir, "fx_rates"), root, "fx_rates", "run-a", dt.date(2024, 2, 5))
+    charges = raw(spark, sf_dir, "charges")
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    for day in (5, 2, 1):
+        for part in (0, 1):
+            landing.write_landing(at_load(charges, day).filter(half == part), root, "charges",
+                                  f"run-{day}-{part}", dt.date(2024, 2, day))
+            pipeline.load_raw(daily)
+            pipeline.build_bronze(daily)
+            pipeline.build_silver(daily, ["stg_charges"])
+    return daily.silver("stg_charges").read()
+
+
 @register("T2_streaming_bronze", o.statement("brz_stripe_disputes", """
 SELECT * EXCLUDE (source_file) REPLACE ('streaming' AS load_mode) FROM brz_stripe_disputes"""))
 def _(spark, sf_dir):
@@ -504,9 +566,9 @@ def _built_sql() -> str:
     return o.statement(" ".join(_BUILT), " UNION ALL ".join(parts))
 
 
-def lake(spark, root: str, run_id: str) -> pipeline.Lake:
+def lake(spark, root: str, run_id: str, entities: tuple[str, ...] = LANDED) -> pipeline.Lake:
     return pipeline.Lake(spark, root, run_id, AS_OF, grain="year", calendar_start=CALENDAR_START,
-                         entities=LANDED, concurrent_models=8,
+                         entities=entities, concurrent_models=8,
                          file_schemas={e: RAW[e] for e in LANDED})
 
 

@@ -77,7 +77,11 @@ def dim_currencies(brz_fx: DataFrame, as_of: dt.date) -> DataFrame:
         F.lit(Decimal("1.000000")).cast(RATE).alias("latest_usd_rate"),
         F.lit(as_of).cast("date").alias("latest_rate_date"),
     )
-    members = latest.unionByName(base.join(latest.select("currency_code"), "currency_code", "left_anti"))
+    # A quoted USD rate comes before the constant one. One row per currency by now: no join.
+    either = latest.withColumn("_quoted", F.lit(1)).unionByName(base.withColumn("_quoted", F.lit(0)))
+    members = either.groupBy("currency_code").agg(
+        F.max_by(F.struct("latest_usd_rate", "latest_rate_date"), "_quoted").alias("_rate")).select(
+        "currency_code", "_rate.*")
     code = F.col("currency_code")
     regions = {c: region for region, codes in labels.CURRENCY_REGIONS.items() for c in codes}
     return members.select(

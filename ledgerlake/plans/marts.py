@@ -248,13 +248,20 @@ def mrr_by_pricing_tier(fct_mrr: DataFrame, dim_plans: DataFrame) -> DataFrame:
     )
 
 
-def masked_customers(dim_customers: DataFrame) -> DataFrame:
-    """Customers for analysts: identity hashed, contact data masked, region kept."""
+def masked_customers(dim_customers: DataFrame, secret: str) -> DataFrame:
+    """Customers for analysts: identity hashed, contact data masked, region kept.
+
+    Ids and addresses can be enumerated, so the hashes take a ``secret`` that analysts do not
+    have; no other key of the customer is shown.
+    """
+    def keyed(column: str) -> Column:
+        inner = F.sha2(F.concat(F.lit(secret), F.lit(":"), F.col(column)), 256)
+        return F.sha2(F.concat(F.lit(secret), F.lit(":"), inner), 256)
+
     return dim_customers.select(
-        "customer_key",
-        F.sha2("customer_id", 256).alias("customer_hash"),
+        keyed("customer_id").alias("customer_hash"),
         "created_date", "currency",
-        F.sha2("email", 256).alias("email_hash"),
+        keyed("email").alias("email_hash"),
         F.regexp_extract("email", "@(.*)$", 1).alias("email_domain"),
         F.mask("name").alias("name_masked"),
         F.mask("phone").alias("phone_masked"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -14,12 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.operators.fx import rate_lookup
-from ledgerlake.operators.incremental import newer_than
 from ledgerlake.operators.lookup import Lookup
 from ledgerlake.operators.quality import count_missing_rates, freshness, reconcile, run_checks
 from ledgerlake.plans import bronze, checks, gold, silver
 from ledgerlake.schemas import AUDIT, DAILY_ENTITIES, OPTIONAL_ENTITIES
-from ledgerlake.session import materialize
 from ledgerlake.sources import control, files, landing
 from ledgerlake.sources.tables import Table
 from ledgerlake.streaming.loads import load_once
@@ -42,8 +39,10 @@ DIMENSIONS = ("dim_customers", "dim_dates", "dim_currencies", "dim_geography",
               "dim_payment_category", "dim_plans")
 FACTS = ("fct_charges", "fct_refunds", "fct_disputes", "fct_payouts", "fct_transactions",
          "fct_mrr_movements")
-GOLD_KEYS = {"fct_charges": "charge_id", "fct_refunds": "refund_id", "fct_disputes": "dispute_id",
-             "fct_payouts": "payout_id", "fct_transactions": "transaction_id"}
+AUDIT_TABLES = ("dbt_test_results", "reconciliation_results", "pipeline_runs", "source_freshness",
+                "ingestion_control")
+# States that readers of an older one may still use.
+KEPT_STATES = 5
 
 
 class GateFailed(RuntimeError):
@@ -62,7 +61,6 @@ class Lake:
     calendar_start: dt.date = gold.CALENDAR_START
     calendar_end: dt.date = gold.CALENDAR_END
     resolve_sources: bool = True
-    lookback: dt.timedelta | None = None
     concurrent_models: int = 4
     dates_never_change: bool = False
     # Schema of the landed files per entity; without one, the footers of all files are merged.
@@ -135,21 +133,60 @@ def collect_rejects(lake: Lake) -> DataFrame:
 
 
 def source_freshness(lake: Lake) -> DataFrame:
-    parts = [
-        freshness(lake.raw(e).read(), e, lake.as_of, *checks.FRESHNESS[e])
-        for e in lake.entities if checks.FRESHNESS[e]
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Age of the newest load of each source, from the time its table noted while writing."""
+    def age(entity: str) -> DataFrame:
+        newest = lake.spark.createDataFrame([(lake.raw(entity).newest(),)], "loaded_at timestamp_ntz")
+        return freshness(newest, entity, lake.as_of, *checks.FRESHNESS[entity])
+    return reduce(DataFrame.unionByName, [age(e) for e in lake.entities if checks.FRESHNESS[e]])
+
+
+def record_freshness(lake: Lake) -> None:
+    """Keep the ages. A stale source is reported, it does not stop the run."""
+    found = source_freshness(lake).withColumns({
+        "run_id": F.lit(lake.run_id), "checked_at": F.lit(lake.as_of).cast("timestamp_ntz")})
+    lake.audit("source_freshness").append(found.coalesce(1))
+
+
+def maintain(lake: Lake) -> None:
+    """Merge the folders of appended tables and delete what no recent state names.
+
+    RAW and Bronze are merged only as far as the next layer has read them.
+    """
+    readers = {e: [n for n, (source, _) in SILVER.items() if source == e] for e in lake.entities}
+
+    def one(entity: str) -> None:
+        raw = lake.raw(entity)
+        if entity in bronze.MODELS:
+            target = lake.bronze(entity)
+            raw.compact(target.applied(f"raw:{entity}"))
+            taken = [lake.silver(n).applied(f"bronze:{entity}") for n in readers[entity]]
+            target.compact(min(taken, default=None))
+            target.drop_unused(KEPT_STATES)
+        else:
+            raw.compact()
+        raw.drop_unused(KEPT_STATES)
+        rejects = lake.audit(f"rejects/{entity}")
+        rejects.compact()
+        rejects.drop_unused(KEPT_STATES)
+
+    lake.in_parallel(one, lake.entities)
+    for table in (*(lake.silver(n) for n in SILVER), *(lake.gold(n) for n in (*DIMENSIONS, *FACTS)),
+                  *(lake.audit(n) for n in AUDIT_TABLES)):
+        table.compact()
+        table.drop_unused(KEPT_STATES)
 
 
 # --- layers -----------------------------------------------------------------------------
 
 def build_bronze(lake: Lake) -> None:
+    """Append what RAW committed since Bronze last took from it."""
     def one(entity: str) -> None:
-        target = lake.bronze(entity)
-        new = newer_than(lake.raw(entity).read(), target.newest(), lookback=lake.lookback)
-        target.append(bronze.MODELS[entity][1](new))
+        target, source = lake.bronze(entity), f"raw:{entity}"
+        new, reached = lake.raw(entity).committed_since(target.applied(source))
+        if new is not None:
+            target.append(bronze.MODELS[entity][1](new), batch=(source, reached))
     lake.in_parallel(one, [e for e in lake.entities if e in bronze.MODELS])
+    lake.__dict__.pop("rates", None)  # rates may have come
 
 
 def silver_rows(lake: Lake, name: str, brz: DataFrame) -> DataFrame:
@@ -161,16 +198,19 @@ def silver_rows(lake: Lake, name: str, brz: DataFrame) -> DataFrame:
     return getattr(silver, name)(brz, lake.rates)
 
 
-def build_silver(lake: Lake) -> None:
-    """Upsert Bronze rows newer than what Silver holds."""
+def build_silver(lake: Lake, names: Iterable[str] = tuple(SILVER)) -> None:
+    """Upsert what Bronze committed since Silver last took from it."""
     _ = lake.rates.size  # measured once, before the models share it
 
     def one(name: str) -> None:
         entity, key = SILVER[name]
         target = lake.silver(name)
-        new = newer_than(lake.bronze(entity).read(), target.newest(), lookback=lake.lookback)
-        target.upsert(silver_rows(lake, name, new), [key], ("loaded_at", "ingestion_run_id"))
-    lake.in_parallel(one, SILVER)
+        source = f"bronze:{entity}"
+        new, reached = lake.bronze(entity).committed_since(target.applied(source))
+        if new is not None:
+            target.upsert(silver_rows(lake, name, new), [key], ("loaded_at", "ingestion_run_id"),
+                          batch=(source, reached))
+    lake.in_parallel(one, names)
 
 
 def rebuild_silver(lake: Lake, name: str) -> None:
@@ -189,8 +229,12 @@ def restate_rates(lake: Lake, name: str, days: DataFrame) -> None:
     found by a semi join on them.
     """
     entity, key = SILVER[name]
+    lake.__dict__.pop("rates", None)  # the late rates must count
     day = "period_start_date" if name == "stg_invoice_line_items" else "created_date"
-    brz = lake.bronze(entity).read()
+    first, last = days.agg(F.min("rate_date"), F.max("rate_date")).first()
+    if first is None:
+        return
+    brz = lake.bronze(entity).read().filter(F.col(day).between(F.lit(first), F.lit(last)))
     late = days.select(F.col("from_currency").alias("_ccy"), F.col("rate_date").alias("_day")).distinct()
     hit = brz.join(late, (F.upper("currency") == F.col("_ccy")) & (F.col(day) == F.col("_day")), "left_semi")
     lake.silver(name).upsert(silver_rows(lake, name, hit), [key], ("loaded_at", "ingestion_run_id"))
@@ -257,9 +301,10 @@ def reconcile_run(lake: Lake) -> DataFrame:
     missing = count_missing_rates(
         [(lake.silver(n).read(), "period_start_date" if n == "stg_invoice_line_items" else "created_date")
          for n in SILVER if n != "stg_customers_history"], lake.rates)
-    results = materialize(reconcile(tables, lake.run_id, lake.as_of, missing),
-                          f"{lake.root}/audit/reconciled/{lake.run_id}-{uuid.uuid4().hex}")
-    control.record(lake.audit("reconciliation_results"), "reconciliation_results", results)
+    # A few rows, computed once: recorded, read back for the gate.
+    control.record(lake.audit("reconciliation_results"), "reconciliation_results",
+                   reconcile(tables, lake.run_id, lake.as_of, missing))
+    results = lake.audit("reconciliation_results").read().filter(F.col("run_id") == lake.run_id)
     failed = [r[0] for r in results.filter("status = 'failed'").select("check_name").collect()]
     if failed:
         raise GateFailed(f"reconciliation failed: {', '.join(sorted(failed))}")
@@ -292,7 +337,7 @@ def run_daily(lake: Lake) -> DataFrame:
         ("source_tests", lambda: run_tests(
             lake, {e: c for e, c in checks.RAW.items() if e in lake.entities},
             lambda e: lake.raw(e).read())),
-        ("source_freshness", lambda: source_freshness(lake).collect()),
+        ("source_freshness", lambda: record_freshness(lake)),
         ("bronze", lambda: build_bronze(lake)),
         ("silver", lambda: build_silver(lake)),
         ("test_silver", lambda: run_tests(lake, checks.SILVER, lambda n: lake.silver(n).read())),
@@ -300,6 +345,7 @@ def run_daily(lake: Lake) -> DataFrame:
         ("test_gold", lambda: run_tests(lake, checks.GOLD, lambda n: lake.gold(n).read())),
         ("reconcile", lambda: reconcile_run(lake)),
         ("advance_watermarks", lambda: advance(lake)),
+        ("maintain", lambda: maintain(lake)),
     ]
     outcome: dict[str, object] = {}
     entries: list[DataFrame] = []
@@ -314,7 +360,7 @@ def run_daily(lake: Lake) -> DataFrame:
             try:
                 outcome[task] = work()
             except Exception as err:
-                log(task, started, str(err)[:2000])
+                log(task, started, str(err))
                 raise
             log(task, started)
     finally:

@@ -7,6 +7,7 @@ against the declared fields; anything absent, null or of another shape becomes N
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,38 +93,6 @@ def flatten(df: DataFrame, entity: str) -> DataFrame:
                          F.col("payload").alias("raw_payload"))
 
 
-def flatten_balance_transactions(df: DataFrame) -> DataFrame:
-    return flatten(df, "balance_transactions")
-
-
-def flatten_charges(df: DataFrame) -> DataFrame:
-    return flatten(df, "charges")
-
-
-def flatten_refunds(df: DataFrame) -> DataFrame:
-    return flatten(df, "refunds")
-
-
-def flatten_disputes(df: DataFrame) -> DataFrame:
-    return flatten(df, "disputes")
-
-
-def flatten_payouts(df: DataFrame) -> DataFrame:
-    return flatten(df, "payouts")
-
-
-def flatten_customers(df: DataFrame) -> DataFrame:
-    return flatten(df, "customers")
-
-
-def flatten_subscriptions(df: DataFrame) -> DataFrame:
-    return flatten(df, "subscriptions")
-
-
-def flatten_invoices(df: DataFrame) -> DataFrame:
-    return flatten(df, "invoices")
-
-
 def flatten_invoice_line_items(df: DataFrame) -> DataFrame:
     """One row per line of each invoice; an invoice without lines gives none.
 
@@ -146,36 +115,46 @@ def flatten_invoice_line_items(df: DataFrame) -> DataFrame:
 def fx_from_usd_base(df: DataFrame, source: str = "exchangerate") -> DataFrame:
     """Quotes per USD to rates into USD.
 
-    Input: ``rate_date`` and ``rates``, a map from currency to units per USD. A quote that
-    is zero or missing gives a NULL rate. USD itself is added once per day at 1.
+    Input: ``payload``, a JSON object of ``rate_date`` and ``rates``, an object from currency to
+    units per USD. A quote that is zero or missing gives a NULL rate. USD itself is added once
+    per day at 1.
     """
-    quoted = df.select("rate_date", F.explode("rates").alias("from_currency", "quote"))
-    quote = F.col("quote").cast("decimal(24,12)")
-    inverse = F.when(quote != 0, F.round(F.lit(1).cast("decimal(1,0)") / quote, 6))
+    parsed = df.select(F.from_json("payload", "rate_date date, rates map<string, decimal(24,12)>").alias("p"))
+    days = parsed.select("p.rate_date", "p.rates")
+    quoted = days.select("rate_date", F.explode("rates").alias("from_currency", "quote")).where("from_currency <> 'USD'")
+    inverse = F.when(F.col("quote") != 0, F.round(F.lit(1).cast("decimal(1,0)") / F.col("quote"), 6))
     rates = quoted.select("rate_date", "from_currency", inverse.try_cast("decimal(12,6)").alias("rate"))
-    base = df.select("rate_date").distinct().select(
+    base = days.select("rate_date").distinct().select(
         "rate_date", F.lit("USD").alias("from_currency"), F.lit(1).cast("decimal(12,6)").alias("rate"))
     return rates.unionByName(base).select(
         "rate_date", "from_currency", F.lit("USD").alias("to_currency"), "rate",
         F.lit(source).alias("source"))
 
 
+def _as_numbers(value: Column, kind: T.DataType) -> Column:
+    """Decimals, also inside structs and arrays, as doubles."""
+    if isinstance(kind, T.DecimalType):
+        return value.cast("double")
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*(_as_numbers(value[f.name], f.dataType).alias(f.name) for f in kind.fields))
+        return F.when(value.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _as_numbers(x, kind.elementType))
+    return value
+
+
 def to_payload(df: DataFrame) -> DataFrame:
-    """The whole row as JSON text; decimals become numbers and NULL fields are left out."""
-    numbers = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-               else F.col(f.name) for f in df.schema.fields]
-    return df.select(F.to_json(F.struct(*numbers)).alias("payload"))
+    """The whole row as JSON text; decimals become numbers, NULL fields stay as ``null``."""
+    values = [_as_numbers(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
+    return df.select(F.to_json(F.struct(*values), {"ignoreNullFields": "false"}).alias("payload"))
+
 
+# Entities whose payload is one flat row.
+PLAIN = ("balance_transactions", "charges", "refunds", "disputes", "payouts", "customers",
+         "subscriptions", "invoices")
 
 FLATTENERS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "balance_transactions": flatten_balance_transactions,
-    "charges": flatten_charges,
-    "refunds": flatten_refunds,
-    "disputes": flatten_disputes,
-    "payouts": flatten_payouts,
-    "customers": flatten_customers,
-    "subscriptions": flatten_subscriptions,
-    "invoices": flatten_invoices,
+    **{entity: partial(flatten, entity=entity) for entity in PLAIN},
     "invoice_line_items": flatten_invoice_line_items,
     "fx_rates": fx_from_usd_base,
 }

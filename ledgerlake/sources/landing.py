@@ -14,9 +14,6 @@ from ledgerlake.operators.incremental import created_after
 from ledgerlake.sources import files
 from ledgerlake.sources.flatten import FLATTENERS
 
-DAY_PARTS = ("year", "month", "day")
-
-
 def entity_path(root: str, entity: str) -> str:
     return f"{root.rstrip('/')}/landing/{entity}"
 
@@ -62,13 +59,20 @@ def read_optional(spark: SparkSession, root: str, entity: str, schema: T.StructT
 
 
 def backfill(spark: SparkSession, root: str, entity: str, schema: T.StructType,
-             first: dt.date, last: dt.date) -> DataFrame:
-    """Landed files of the days from ``first`` to ``last``. Only their folders are read."""
-    found = spark.read.option("mergeSchema", "true").parquet(entity_path(root, entity))
-    day = F.make_date(*(F.col(p).cast("int") for p in DAY_PARTS))
-    chosen = found.filter((day >= F.lit(first)) & (day <= F.lit(last)))
-    chosen = chosen.drop("source_file").withColumn("source_file", F.col("_metadata.file_path"))
-    return align_to_schema(chosen.drop(*DAY_PARTS, "run_id"), schema)
+             first: dt.date, last: dt.date, file_schema: T.StructType | None = None) -> DataFrame:
+    """Landed files of the days from ``first`` to ``last``. Only their folders are opened.
+
+    ``file_schema`` declares what the files hold; without it the footers of these days are merged.
+    """
+    base = entity_path(root, entity)
+    days = [first + dt.timedelta(n) for n in range((last - first).days + 1)]
+    paths = [p for d in days if files.exists(spark, p := f"{base}/{d:year=%Y/month=%m/day=%d}")]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = reader.schema(file_schema) if file_schema else reader.option("mergeSchema", "true")
+    chosen = reader.parquet(*paths).drop("source_file").withColumn("source_file", F.col("_metadata.file_path"))
+    return align_to_schema(chosen, schema)
 
 
 def ingest_all(spark: SparkSession, payloads: Mapping[str, Callable[[], DataFrame]], root: str,
@@ -82,9 +86,14 @@ def ingest_all(spark: SparkSession, payloads: Mapping[str, Callable[[], DataFram
     landed: dict[str, int] = {}
     for entity, fetch in payloads.items():
         try:
-            rows = flatteners[entity](fetch())
-            if watermarks and "created" in rows.columns:
-                rows = created_after(rows, watermarks.get(entity, 0))
+            found = fetch()
+            mark = watermarks.get(entity, 0) if watermarks else None
+            if mark is not None and entity == "invoice_line_items":
+                # Lines have no time of their own; they are as new as their invoice.
+                found = found.filter(F.get_json_object("payload", "$.created").cast("long") > mark)
+            rows = flatteners[entity](found)
+            if mark is not None and "created" in rows.columns:
+                rows = created_after(rows, mark)
             seen = Observation()
             counted = stamp(rows, run_id, loaded_at).observe(seen, F.count(F.lit(1)).alias("rows"))
             write_landing(counted, root, entity, run_id, loaded_at.date())

@@ -3,6 +3,9 @@
 Every write goes to a new folder ``table_version=N``. A small state file then names the
 folders that make up the table, so readers see either the old or the new content and a
 failed or repeated job leaves no trace. One writer per table at a time.
+
+A state also tells in which state each folder's rows came, so that a reader of an appended
+table can take what was committed since it last looked, whatever the rows hold.
 """
 
 from __future__ import annotations
@@ -65,11 +68,17 @@ class Table:
         return files.read_json(self.spark, f"{self.path}/_state/{number:08d}.json") if number else None
 
     def _commit(self, schema: T.StructType, folders: list[str], applied: dict,
-                newest: dt.datetime | None) -> None:
+                newest: dt.datetime | None, since: dict | None = None, level: dict | None = None) -> None:
+        """``since``: the state in which a folder's rows came; by default this one for new folders."""
+        before = self._state() or {}
         number = self._state_number() + 1
+        known = before.get("since", {}) | (since or {})
+        levels = before.get("level", {}) | (level or {})
         files.create_json(self.spark, f"{self.path}/_state/{number:08d}.json", {
             "schema": json.loads(schema.json()), "folders": folders, "applied": applied,
-            "newest": newest.isoformat() if newest else None})
+            "newest": newest.isoformat() if newest else None,
+            "since": {f: known.get(f, number) for f in folders},
+            "level": {f: levels[f] for f in folders if levels.get(f)}})
 
     def exists(self) -> bool:
         return self._state_number() > 0
@@ -83,8 +92,30 @@ class Table:
         state = self._state()
         return _newest(state) if state else None
 
+    def applied(self, source: str) -> int:
+        """The number of the last batch taken from ``source``; -1 before the first."""
+        state = self._state()
+        return state["applied"].get(source, -1) if state else -1
+
     # --- read ---------------------------------------------------------------------------
 
+    def committed_since(self, number: int) -> tuple[DataFrame | None, int]:
+        """Rows committed after state ``number``, and the state they reach to.
+
+        For appended tables. What counts is when rows were committed here, not any time
+        inside them, so late rows and rows with equal times are neither lost nor read twice.
+        None if nothing came.
+        """
+        state = self._state()
+        if state is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        since = {f: state["since"][f] for f in state["folders"]}
+        new = [f for f in state["folders"] if since[f] > number]
+        if not new:
+            return None, number
+        rows = self._load(T.StructType.fromJson(state["schema"]), new).drop(PART)
+        return rows, max(since.values())
+
     def read(self) -> DataFrame:
         state = self._state()
         if state is None:
@@ -164,29 +195,41 @@ class Table:
         return True
 
     def upsert(self, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = LOAD_ORDER,
-               schema_change: str = "sync_all_columns") -> None:
+               schema_change: str = "sync_all_columns", batch: tuple[str, int] | None = None) -> None:
         """Insert new keys and replace known ones by the newest row, by ``order``.
 
         An update older than the stored row changes nothing; on a tie the update wins.
         Which parts hold any of the keys is found from the key columns alone, so a
-        key whose date moved is still replaced in place.
+        key whose date moved is still replaced in place. A ``batch`` is taken once, as in
+        ``append``.
         """
         state = self._state()
+        taken = {batch[0]: batch[1]} if batch else {}
         if state is None:
-            self.replace(dedup_latest(updates, keys, order))
+            latest = dedup_latest(updates, keys, order)
+            folders, newest = self._write(latest)
+            self._commit(latest.schema, folders, taken, newest)
+            return
+        if batch and state["applied"].get(batch[0], -1) >= batch[1]:
             return
+        state = state | {"applied": state["applied"] | taken}
         if not self.part_by:
             self._merge(state, state["folders"], updates, keys, order, schema_change)
             return
         # The updates are read twice below; evaluate what produces them once.
         staged = work_dir(self.spark, "upsert")
-        updates = materialize(updates, staged, self.spark)
-        target = self._load(T.StructType.fromJson(state["schema"]), state["folders"])
-        parts = self._touched_parts(target, updates, keys)
-        touched = [f for f in state["folders"] if f.split(f"{PART}=")[-1] in parts]
-        if parts:
-            self._merge(state, touched, updates, keys, order, schema_change)
-        files.remove(self.spark, staged)
+        try:
+            updates = materialize(updates, staged, self.spark)
+            target = self._load(T.StructType.fromJson(state["schema"]), state["folders"])
+            parts = self._touched_parts(target, updates, keys)
+            touched = [f for f in state["folders"] if f.split(f"{PART}=")[-1] in parts]
+            if parts:
+                self._merge(state, touched, updates, keys, order, schema_change)
+            elif taken:
+                self._commit(T.StructType.fromJson(state["schema"]), state["folders"], state["applied"],
+                             _newest(state))
+        finally:
+            files.remove(self.spark, staged)
 
     def _merge(self, state: dict, folders: list[str], updates: DataFrame, keys: Sequence[str],
                order: Sequence[str], schema_change: str) -> None:
@@ -206,9 +249,40 @@ class Table:
             parts = parts.union(known.select(PART))
         return {row[0] for row in parts.distinct().collect()}  # one value per month or day
 
+    def compact(self, consumed: int | None = None, fan: int = 16) -> int:
+        """Merge appended folders, ``fan`` of one level into one of the next; return how many
+        merges. Each row is so rewritten once per level, and a table of n appends has about
+        ``fan * log(n)`` folders.
+
+        Only folders whose rows came up to state ``consumed`` are merged, so that no reader of
+        ``committed_since`` sees rows again; by default all.
+        """
+        merges = 0
+        while not self.part_by:
+            state = self._state()
+            if state is None:
+                break
+            level = {f: state["level"].get(f, 0) for f in state["folders"]}
+            ready = [f for f in state["folders"] if consumed is None or state["since"][f] <= consumed]
+            full = [n for n in sorted(set(level.values())) if sum(level[f] == n for f in ready) >= fan]
+            if not full:
+                break
+            chosen = [f for f in ready if level[f] == full[0]][:fan]
+            schema = T.StructType.fromJson(state["schema"])
+            added, _ = self._write(self._load(schema, chosen).drop(PART))
+            kept = [f for f in state["folders"] if f not in chosen]
+            self._commit(schema, added + kept, state["applied"], _newest(state),
+                         {f: max(state["since"][c] for c in chosen) for f in added},
+                         {f: full[0] + 1 for f in added})
+            merges += 1
+        return merges
+
     def drop_unused(self, keep_states: int = 1) -> None:
-        """Delete folders no longer named by the last ``keep_states`` states."""
+        """Delete folders and states that the last ``keep_states`` states do not name or are."""
         last = self._state_number()
+        for name in files.children(self.spark, f"{self.path}/_state"):
+            if name.endswith(".json") and int(name[:-5]) <= last - keep_states:
+                files.remove(self.spark, f"{self.path}/_state/{name}")
         states = [files.read_json(self.spark, f"{self.path}/_state/{n:08d}.json")
                   for n in range(max(1, last - keep_states + 1), last + 1)]
         named = {f for s in states for f in s["folders"]}

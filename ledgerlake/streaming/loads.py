@@ -20,13 +20,19 @@ from ledgerlake.sources.control import failed_rows, shaped
 from ledgerlake.sources.tables import Table
 
 
+# Longer than any file is old; the source otherwise skips files a week older than the newest.
+ANY_AGE = "36500d"
+
+
 def landed_files(spark: SparkSession, path: str, file_schema: T.StructType | None = None,
                  max_files: int | None = None) -> DataFrame:
     """A stream over the Parquet files below ``path``, with the file each row came from."""
     if file_schema is None:
         file_schema = (
             spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path).schema)
-    reader = spark.readStream.schema(file_schema).option("recursiveFileLookup", "true")
+    # Files are known by name alone: one that was never loaded is never too old to load.
+    reader = (spark.readStream.schema(file_schema).option("recursiveFileLookup", "true")
+              .option("maxFileAge", ANY_AGE))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.parquet(path)

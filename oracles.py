@@ -64,6 +64,9 @@ _VIEW_COLUMNS = {
                 "evidence_details_has_evidence loaded_at ingestion_run_id",
     "payouts": "id amount currency status method created arrival_date failure_code loaded_at ingestion_run_id",
     "subscriptions": "id customer plan_id loaded_at ingestion_run_id",
+    "invoices": "id object account_country amount_due amount_paid amount_remaining created currency customer "
+                "customer_email due_date period_end period_start status subscription subtotal tax total "
+                "loaded_at ingestion_run_id",
     "invoice_line_items": "id invoice_id amount currency period_start period_end plan_id plan_interval "
                           "plan_interval_count price_id proration type subscription loaded_at ingestion_run_id",
     "balance_transactions": "id source amount fee net currency created available_on type "

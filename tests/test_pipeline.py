@@ -55,11 +55,11 @@ def test_two_days_equal_one(spark, two_days):
 def test_what_a_run_records(spark, two_days):
     now = lake(spark, two_days, "check")
     log = now.audit("pipeline_runs").read()
-    assert log.filter("status = 'success'").count() == 20
+    assert log.filter("status = 'success'").count() == 22
     results = now.audit("reconciliation_results").read()
     assert {r.status for r in results.collect()} <= {"passed", "warning"}
     tests = now.audit("dbt_test_results").read()
-    assert tests.filter("status = 'fail'").count() == 0 and tests.filter("run_id = 'run-a'").count() == 7 + 43 + 62
+    assert tests.filter("status = 'fail'").count() == 0 and tests.filter("run_id = 'run-a'").count() == 8 + 43 + 62
     state = now.audit("ingestion_control").read()
     newest = catalog.raw(spark, SF, "payouts").agg(F.max("created")).first()[0]
     assert control.get_watermark(state, "payouts") == newest

@@ -135,7 +135,7 @@ def payloads(spark, *texts):
 
 
 def test_flatten_charges(spark):
-    got = flatten.flatten_charges(payloads(
+    got = flatten.FLATTENERS["charges"](payloads(
         spark,
         '{"id":"a","amount":5,"paid":true,"payment_method_details":{"type":"card","card":{"brand":"visa","exp_year":2030}}}',
         '{"id":"b","payment_method_details":{"type":"iban"}}', '{"id":"c","payment_method_details":null}', "{broken"))
@@ -162,9 +162,7 @@ def test_flatten_lines(spark):
 
 
 def test_rates_from_quotes(spark):
-    df = spark.createDataFrame(
-        [(day("2024-01-10"), {"EUR": 0.8, "JPY": 149.123456, "ZERO": 0.0, "NONE": None, "BTC": 0.0000153})],
-        "rate_date date, rates map<string,double>")
+    df = payloads(spark, '{"rate_date":"2024-01-10","rates":{"USD":1,"EUR":0.8,"JPY":149.123456,"ZERO":0.0,"NONE":null,"BTC":0.0000153}}')
     got = {r.from_currency: r.rate for r in flatten.fx_from_usd_base(df).collect()}
     assert {k: None if v is None else str(v) for k, v in got.items()} == {
         "EUR": "1.250000", "JPY": "0.006706", "ZERO": None, "NONE": None, "BTC": "65359.477124", "USD": "1.000000"}
