@@ -147,7 +147,7 @@ def repeat_texts():
 
 @pytest.mark.parametrize("most", [1000, 4])
 def test_removed_bytes_equal_brute_force(spark, monkeypatch, most):
-    monkeypatch.setattr(op5_suffix_dedup, "MOST", most)  # 4: groups are split into halves
+    monkeypatch.setattr(op5_suffix_dedup, "MOST", most)  # 4: groups are split
     texts = repeat_texts()
     docs = frame(spark, texts).withColumnsRenamed({"lang": "removed", "source": "rid"})
     rows = collected(remove_repeats(docs))
