@@ -4,8 +4,8 @@ Every document becomes its token ids and the end token; a null text is an empty
 leaves the end token alone. Only documents longer than a sequence are cut, so that the first
 piece takes the remainder. Full pieces are sequences of their own. The others are dealt into
 blocks of bounded size, each block is packed by one task, and the bins that stay open are
-dealt into fewer blocks again until one block is left. A hot source or many equal lengths
-change nothing, as blocks are dealt by a hash of the whole key. Repeated rows are packed as
+dealt into fewer blocks again until one block is left. A hot source, many equal lengths or
+repeated rows change nothing, as blocks are dealt by a hash of a row's number. Repeated rows are packed as
 often as they occur. An empty table gives no rows. Other columns are carried along; new ones
 replace those of the same name.
 """
@@ -24,7 +24,7 @@ from ledgerlake.llm.packing import complete
 
 CAPACITY, END = 1024, 2
 #: Pieces that one task packs at once. Bins with this much space are packed once more.
-BLOCK, OPEN = 1500, 8
+BLOCK, OPEN = 6000, 8
 FULL_IDS = 1 << 62
 
 
@@ -66,8 +66,8 @@ def pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text
 def pack(items: DataFrame, *, length: str = "length", capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
     """``items`` with ``sequence_id`` and ``offset``, in as few sequences as the search finds.
 
-    ``items`` is read more than once and should be a written table. Lengths are 1 to
-    ``capacity``.
+    ``items`` is read more than once and must be a written table (see ``base.settle``). Lengths
+    are 1 to ``capacity``.
     """
     spark = prepare(items.sparkSession)
     items = items.drop("sequence_id", "offset")
@@ -79,8 +79,10 @@ def pack(items: DataFrame, *, length: str = "length", capacity: int = CAPACITY,
     left, level, done = rows_of(rest), 0, [full]
     while left:
         blocks = max(1, -(-left // block))
-        # Dealt evenly whatever the rows hold, the same way each time a task is repeated.
-        dealt = rest.withColumn(group, F.pmod(F.xxhash64(F.lit(level), *columns), F.lit(blocks)).cast("int"))
+        # Dealt evenly whatever the rows hold, also where they repeat. The numbers follow from the
+        # written files, so a task that is repeated deals the same way.
+        number = F.xxhash64(F.lit(level), F.monotonically_increasing_id())
+        dealt = rest.withColumn(group, F.pmod(number, F.lit(blocks)).cast("int"))
         schema = with_fields(dealt, **{bin_: "int", "offset": "long", fill: "int"})
 
         def packed(part: pa.Table) -> pa.Table:
