@@ -244,8 +244,12 @@ def fct_payouts(stg: DataFrame, dates: Lookup, currencies: Lookup) -> DataFrame:
     return _with_currency(_with_day(p, dates, "arrival_date", "arrival_date_key"), currencies)
 
 
-def source_customers(stg_charges: DataFrame, stg_refunds: DataFrame, stg_disputes: DataFrame) -> DataFrame:
-    """The customer behind each ledger source: a charge, or a refund or dispute of one."""
+def source_customers(stg_charges: DataFrame, stg_refunds: DataFrame, stg_disputes: DataFrame,
+                     unique: bool = True) -> DataFrame:
+    """The customer behind each ledger source: a charge, or a refund or dispute of one.
+
+    Ids of different kinds share a namespace only by accident; ``unique`` keeps one row per id.
+    """
     charges = stg_charges.filter(F.col("customer_id").isNotNull()).select("charge_id", "customer_id")
     claims = stg_refunds.select(F.col("refund_id").alias("source_id"), "charge_id").unionByName(
         stg_disputes.select(F.col("dispute_id").alias("source_id"), "charge_id")
@@ -255,8 +259,7 @@ def source_customers(stg_charges: DataFrame, stg_refunds: DataFrame, stg_dispute
     sources = charges.withColumnRenamed("charge_id", "source_id").unionByName(
         claimed.filter(F.col("customer_id").isNotNull()).select("source_id", "customer_id")
     )
-    # Ids of different kinds share a namespace only by accident; keep one row per id.
-    return sources.groupBy("source_id").agg(F.min("customer_id").alias("customer_id"))
+    return sources.groupBy("source_id").agg(F.min("customer_id").alias("customer_id")) if unique else sources
 
 
 def fct_transactions(stg_ledger: DataFrame, dim_customers: DataFrame, dates: Lookup,
@@ -264,7 +267,7 @@ def fct_transactions(stg_ledger: DataFrame, dim_customers: DataFrame, dates: Loo
     """The ledger with its customer and day.
 
     A source id that is a customer id matches directly. With ``sources`` (see
-    ``source_customers``) any other id is resolved through its charge.
+    ``source_customers``, which need not be unique) any other id is resolved through its charge.
     """
     ledger = stg_ledger
     current = current_customers(dim_customers)
@@ -276,9 +279,10 @@ def fct_transactions(stg_ledger: DataFrame, dim_customers: DataFrame, dates: Loo
         resolved = join_large(sources, current, "customer_id", "customer_id",
                               {"customer_key": "customer_key"}, spread_by="source_id")
         direct = current.select(F.col("customer_id").alias("source_id"), "customer_key",
-                                F.lit(0).alias("_via"))
+                                F.struct(F.lit(0).alias("via"), "customer_id").alias("_via"))
         through = resolved.filter(F.col("customer_key").isNotNull()).select(
-            "source_id", "customer_key", F.lit(1).alias("_via"))
+            "source_id", "customer_key", F.struct(F.lit(1).alias("via"), "customer_id").alias("_via"))
+        # The only aggregate over the ids.
         keys = direct.unionByName(through).groupBy("source_id").agg(
             F.min_by("customer_key", "_via").alias("customer_key"))
         keyed = join_large(ledger, keys, "source_id", "source_id",

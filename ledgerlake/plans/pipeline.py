@@ -261,7 +261,7 @@ def build_gold(lake: Lake) -> None:
     charges, refunds, disputes = stg["stg_charges"], stg["stg_refunds"], stg["stg_disputes"]
 
     def transactions() -> DataFrame:
-        sources = gold.source_customers(charges, refunds, disputes) if lake.resolve_sources else None
+        sources = gold.source_customers(charges, refunds, disputes, unique=False) if lake.resolve_sources else None
         return gold.fct_transactions(stg["stg_finance_ledger_events"], customers, dates, sources)
 
     facts = {

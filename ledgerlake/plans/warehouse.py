@@ -146,7 +146,8 @@ class Warehouse:
     def fct_transactions(self) -> DataFrame:
         sources = None
         if self.resolve_sources:
-            sources = gold.source_customers(self.charge_owners, self.refund_charges, self.dispute_charges)
+            sources = gold.source_customers(
+                self.charge_owners, self.refund_charges, self.dispute_charges, unique=False)
         return gold.fct_transactions(self.stg_finance_ledger_events, self.dim_customers, self.dates, sources)
 
     @cached_property
