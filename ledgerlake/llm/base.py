@@ -30,8 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def settle(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` once to the cluster's shared folder and read it back."""
-    return materialize(df, work_dir(df.sparkSession, purpose))
+    """Write ``df`` once to the cluster's shared folder and read it back.
+
+    Four tasks for each core write it at most: after a shuffle of small rows the many partitions
+    of the session would each write a file of a few rows.
+    """
+    most = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return materialize(df.coalesce(most), work_dir(df.sparkSession, purpose))
 
 
 def rows_of(df: DataFrame) -> int:

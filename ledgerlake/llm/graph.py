@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(least, "u").where(F.col("v") != F.col("m")) \
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = settle(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")

@@ -1,18 +1,20 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is the set of its distinct five-word shingles, held as 64-bit hashes; a minwise
-sketch embeds the set in 128 coordinates. Documents with the same set are one class and only
+sketch embeds the set in 256 coordinates. Documents with the same set are one class and only
 classes are joined. Each tree starts at another coordinate: classes with the same minwise token
 there are a node. Nodes of up to ``SMALL`` classes are compared exhaustively by their sketches;
 larger ones choose one or two coordinates by the node's path and branch by the tokens found
-there. Independent trees bring the recall of a pair at the threshold beyond 0.9999. Every pair
+there, unless all but a few of their classes are linked already: then these few are held against
+the others block by block. Independent trees bring the recall of a pair at the threshold beyond 0.9999. Every pair
 found is confirmed on the full sets.
 
 Only links that can join two components matter, so nodes whose classes are all linked already
 are left. First each class is held against the least class that shares three tokens with it
-(a star); then the most similar pair between two components of a node; then every pair left. So
+(a star); then the most similar pair between two components of a node; then, where that is no
+link, every pair left, by the full sets within the node. So
 a group of thousands of near copies costs a few links for each copy. A node that does not fall
-apart in ``DEPTH`` levels is compared in pairs of blocks.
+apart in ``DEPTH`` double levels is compared in pairs of blocks.
 
 Null and empty texts, and texts without words, have an empty set and are linked with nothing. A
 text of fewer than five words is one shingle. Keys may repeat or be null: rows are told apart by
@@ -29,15 +31,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.base import bytes_of, fresh, identified, prepare, rows_of, settle, sized, table
+from ledgerlake.llm.base import BROADCAST_ROWS, bytes_of, fresh, identified, prepare, rows_of, settle, sized, table
 from ledgerlake.llm.graph import components
 from ledgerlake.llm.shingles import FUNCTIONS, ROOTS, shingles, similar, sketches
 
 PERCENT = 75
-#: Equal coordinates of two sketches from which a pair is confirmed: four standard deviations
+#: Equal coordinates of two sketches from which a pair is confirmed: 3.5 standard deviations
 #: below what a pair at the threshold has.
-LEAST_EQUAL = 76
-SMALL, DEPTH, STARS = 200, 16, 8
+LEAST_EQUAL = 168
+SMALL, DEPTH, TREES, STARS = 400, 5, 12, 8
 
 
 def _sets(rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
@@ -49,7 +51,7 @@ def _sets(rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
             sets = [shingles(t) for t in bytes_of(batch.column(2))]
             some = [s for s in sets if len(s)]
             found = sketches(some) if some else np.empty((0, FUNCTIONS), dtype=np.uint32)
-            coarse, roots = found.astype("<u2"), found[:, :ROOTS].astype("<u4")
+            coarse, roots = found.astype("u1"), found[:, :ROOTS].astype("<u4")
             row = iter(range(len(some)))
             parts: list[tuple] = []
             for s in sets:
@@ -66,13 +68,13 @@ def _sets(rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
         emit, f"r_key {kind}, r_rid long, n_shingles long, signature binary, sketch binary, roots binary")
 
 
-def _root_paths(classes: DataFrame, levels: int, trees: int) -> DataFrame:
+def _root_paths(classes: DataFrame, levels: int, trees: int, *carried: str) -> DataFrame:
     """For each class and tree the path of its first ``levels`` tokens."""
 
     def emit(batches):
         for batch in batches:
             n = batch.num_rows
-            roots = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u4").reshape(n, ROOTS).astype(np.uint64)
+            roots = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype="<u4").reshape(n, ROOTS).astype(np.uint64)
             paths = np.empty((n, trees), dtype=np.uint64)
             for t in range(trees):
                 at = [t, (t + 5) % ROOTS, (t + 11) % ROOTS][:levels]
@@ -80,11 +82,13 @@ def _root_paths(classes: DataFrame, levels: int, trees: int) -> DataFrame:
                 for c in at:
                     path = _step(path, roots[:, c])
                 paths[:, t] = path
+            row = pa.array(np.repeat(np.arange(n), trees))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(paths.reshape(-1).view(np.int64)),
-                 batch.column(0).take(pa.array(np.repeat(np.arange(n), trees)))], names=["path", "id"])
+                [pa.array(paths.reshape(-1).view(np.int64)), *(c.take(row) for c in batch.columns[1:])],
+                names=["path", "id", *carried])
 
-    return classes.select("id", "roots").mapInArrow(emit, "path long, id long")
+    return classes.select("roots", "id", *carried).mapInArrow(
+        emit, "path long, id long" + "".join(f", {c} long" for c in carried))
 
 
 def _step(path: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -93,38 +97,40 @@ def _step(path: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 
 def _branch(nodes: DataFrame) -> DataFrame:
-    """The children that each class goes to: by one coordinate, in a third of the nodes by two."""
+    """The grandchildren that each class goes to: twice by one coordinate, in a third of the nodes
+    by two."""
 
     def emit(batches):
         for batch in batches:
-            n = batch.num_rows
             path = batch.column(0).to_numpy().view(np.uint64)
-            sketch = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype="<u2").reshape(n, FUNCTIONS)
-            choice = _step(path, np.uint64(0x51ED270B))
-            first = (choice % np.uint64(FUNCTIONS)).astype(np.int64)
-            second = (first + 1 + ((choice >> np.uint64(8)) % np.uint64(FUNCTIONS - 1)).astype(np.int64)) % FUNCTIONS
-            two = (choice >> np.uint64(40)) % np.uint64(3) == 0
-            every = np.arange(n)
-            row = np.concatenate([every, every[two]])
-            at = np.concatenate([first, second[two]])
-            child = _step(_step(path[row], at.astype(np.uint64)), sketch[row, at].astype(np.uint64))
+            sketch = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype="u1").reshape(-1, FUNCTIONS)
+            row = np.arange(len(path))
+            for _ in range(2):
+                choice = _step(path, np.uint64(0x51ED270B))
+                first = (choice % np.uint64(FUNCTIONS)).astype(np.int64)
+                second = (first + 1 + ((choice >> np.uint64(8)) % np.uint64(FUNCTIONS - 1)).astype(np.int64)) % FUNCTIONS
+                two = (choice >> np.uint64(40)) % np.uint64(3) == 0
+                path, row = np.concatenate([path, path[two]]), np.concatenate([row, row[two]])
+                at = np.concatenate([first, second[two]])
+                path = _step(_step(path, at.astype(np.uint64)), sketch[row, at].astype(np.uint64))
             index = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(child.view(np.int64)), batch.column(1).take(index), batch.column(2).take(index)],
+                [pa.array(path.view(np.int64)), batch.column(1).take(index), batch.column(2).take(index)],
                 names=["path", "id", "label"])
 
     return nodes.select("path", "id", "label", "sketch").mapInArrow(emit, "path long, id long, label long")
 
 
-def _compare(nodes: DataFrame, best: bool) -> DataFrame:
-    """Pairs of classes of one node that differ in label and whose sketches are alike; with
-    ``best`` the most alike of each two labels. Every node is small."""
+def _compare(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of one node that differ in label and whose sketches are alike: the most
+    alike of each two labels, and whether there are ``more``. Every node is small."""
 
-    def pairs(ids, labels, matrix):
-        n = len(ids)
+    def pairs(ids, labels, matrix, sizes):
         one, other, equal = [], [], []
-        for i in range(n - 1):
-            ok = np.flatnonzero(labels[i + 1:] != labels[i]) + i + 1
+        for i in range(len(ids) - 1):
+            a, b = sizes[i], sizes[i + 1:]
+            near = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)  # else sets cannot be alike
+            ok = np.flatnonzero(near & (labels[i + 1:] != labels[i])) + i + 1
             if len(ok):
                 same = np.count_nonzero(matrix[ok] == matrix[i], axis=1)
                 alike = same >= LEAST_EQUAL
@@ -134,39 +140,42 @@ def _compare(nodes: DataFrame, best: bool) -> DataFrame:
         if not one:
             return None
         one, other, equal = map(np.concatenate, (one, other, equal))
-        if best and len(one) > 1:
+        more = np.zeros(len(one), dtype=bool)
+        if len(one) > 1:
             lo, hi = np.minimum(labels[one], labels[other]), np.maximum(labels[one], labels[other])
             order = np.lexsort((-equal, hi, lo))
             lo, hi = lo[order], hi[order]
             head = np.ones(len(order), dtype=bool)
             head[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
             one, other = one[order[head]], other[order[head]]
-        return ids[one], ids[other]
+            more = np.diff(np.append(np.flatnonzero(head), len(head))) > 1
+        return ids[one], ids[other], more
 
     def emit(batches):
         held = None
         for batch in _with_end(batches):
             if batch is not None:
                 part = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(),
-                        np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype="<u2").reshape(-1, FUNCTIONS))
+                        np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype="u1").reshape(-1, FUNCTIONS),
+                        batch.column(4).to_numpy())
                 held = part if held is None else tuple(np.concatenate(x) for x in zip(held, part))
             if held is None:
                 continue
-            path, ids, labels, matrix = held
+            path, ids, labels, matrix, sizes = held
             edge = np.flatnonzero(np.diff(path)) + 1
             bounds = [0, *edge.tolist()]
             if batch is None:
                 bounds.append(len(path))
             found = [x for a, b in zip(bounds, bounds[1:]) if b - a > 1
-                     and (x := pairs(ids[a:b], labels[a:b], matrix[a:b])) is not None]
+                     and (x := pairs(ids[a:b], labels[a:b], matrix[a:b], sizes[a:b])) is not None]
             held = tuple(x[bounds[-1]:] for x in held) if batch is not None else None
             if found:
-                a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))],
-                                                 names=["a", "b"])
+                a, b, more = (np.concatenate([x[k] for x in found]) for k in range(3))
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)),
+                                                  pa.array(more)], names=["a", "b", "more"])
 
-    return (nodes.select("path", "id", "label", "sketch").repartition("path").sortWithinPartitions("path")
-            .mapInArrow(emit, "a long, b long").distinct())
+    return (nodes.select("path", "id", "label", "sketch", "size").repartition("path").sortWithinPartitions("path")
+            .mapInArrow(emit, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
 def _with_end(batches):
@@ -174,28 +183,103 @@ def _with_end(batches):
     yield None
 
 
-def _candidates(state: DataFrame, best: bool) -> DataFrame:
-    """Pairs that some tree brings into one small node; ``state`` has id, label, sketch, roots."""
-    members = _root_paths(state, 1, ROOTS).join(state.select("id", "label"), "id").select("path", "id", "label")
+def _link(nodes: DataFrame, percent: int) -> DataFrame:
+    """Links between components within each node, by the full sets of its members. What is linked
+    within the node already is not compared again, so that few pairs leave it."""
+
+    def links(table: pa.Table):
+        ids, labels, sizes = (table.column(k).to_numpy() for k in ("id", "label", "size"))
+        matrix = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype="u1").reshape(-1, FUNCTIONS)
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("elements").to_pylist()]
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        for i in range(len(ids) - 1):
+            a, b = sizes[i], sizes[i + 1:]
+            near = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+            ok = np.flatnonzero(near & (labels[i + 1:] != labels[i])) + i + 1
+            ok = ok[np.count_nonzero(matrix[ok] == matrix[i], axis=1) >= LEAST_EQUAL] if len(ok) else ok
+            for j in ok.tolist():
+                one, other = find(int(labels[i])), find(int(labels[j]))
+                if one != other and similar(sets[i], sets[j], percent):
+                    parent[one] = other
+                    yield max(int(ids[i]), int(ids[j])), min(int(ids[i]), int(ids[j]))
+
+    def emit(batches):
+        held: pa.Table | None = None
+        for batch in _with_end(batches):
+            if batch is not None:
+                part = pa.Table.from_batches([batch])
+                held = part if held is None else pa.concat_tables([held, part])
+            if held is None:
+                continue
+            edge = (np.flatnonzero(np.diff(held.column("path").to_numpy())) + 1).tolist()
+            bounds = [0, *edge] if batch is not None else [0, *edge, held.num_rows]
+            found = [x for a, b in zip(bounds, bounds[1:]) if b - a > 1 for x in links(held.slice(a, b - a))]
+            held = held.slice(bounds[-1]) if batch is not None else None
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)],
+                                                 names=["a", "b"])
+
+    return (nodes.select("path", "id", "label", "size", "sketch", "elements").repartition("path")
+            .sortWithinPartitions("path").mapInArrow(emit, "a long, b long").distinct())
+
+
+def _full_sets(wanted: DataFrame, rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
+    """``id`` and ``elements``, the hashes of the whole set, of the classes in ``wanted``."""
+    found = rows.join(sized(wanted), (rows[rid] == F.col("r_rid")) & rows[key].eqNullSafe(F.col("r_key"))) \
+        .select("id", text)
+
+    def emit(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([shingles(t).tobytes() for t in bytes_of(batch.column(1))], pa.binary())],
+                names=["id", "elements"])
+
+    return found.mapInArrow(emit, "id long, elements binary").dropDuplicates(["id"])
+
+
+def _nodes(state: DataFrame) -> DataFrame:
+    """Small nodes (path, id, label) of all trees; ``state`` has id, label, size, sketch, roots."""
+    members = _root_paths(state, 1, TREES, "label")
     small: list[DataFrame] = []
     for level in range(DEPTH + 1):
-        members = settle(members.distinct() if level else members, "nodes")
-        mixed = (members.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"),
-                                             F.max("label").alias("hi"))
-                 .where((F.col("n") > 1) & (F.col("lo") < F.col("hi"))).select("path", "n"))
+        by_label = members.groupBy("path", "label").agg(F.count(F.lit(1)).alias("k"))
+        mixed = (by_label.groupBy("path").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("labels"),
+                                              F.max(F.struct("k", "label")).alias("most"))
+                 .where(F.col("labels") > 1)
+                 .select("path", "n", (F.col("n") - F.col("most.k")).alias("others"), F.col("most.label").alias("main")))
         alive = settle(members.join(mixed, "path"), "nodes")
-        small.append(alive.where(F.col("n") <= SMALL).select("path", "id", "label"))
-        large = alive.where(F.col("n") > SMALL)
+        fits = F.col("n") <= SMALL
+        # Few classes beside those of one label, which are linked already: no need to branch.
+        few = ~fits & (F.col("others") <= SMALL // 2)
+        small.append(alive.where(fits).select("path", "id", "label"))
+        small.append(_against_main(alive.where(few)))
+        large = alive.where(~fits & ~few)
         if not large.take(1):
             break
         if level == DEPTH:
             small.append(_blocks(large))
             break
-        members = _branch(large.join(state.select("id", "sketch"), "id"))
+        members = settle(_branch(large.join(state.select("id", "sketch"), "id")).distinct(), "nodes")
     nodes = small[0]
     for part in small[1:]:
         nodes = nodes.unionByName(part)
-    return _compare(nodes.join(state.select("id", "sketch"), "id"), best)
+    return nodes
+
+
+def _against_main(nodes: DataFrame) -> DataFrame:
+    """Nodes whose classes have one label but for a few: the main part in blocks, the few in each."""
+    half = SMALL // 2
+    blocks = F.ceil((F.col("n") - F.col("others")) / half).cast("long")
+    block = F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("id", "path"), blocks))) \
+        .otherwise(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    return (nodes.withColumn("block", F.explode(block))
+            .select(F.xxhash64("path", "block").alias("path"), "id", "label"))
 
 
 def _blocks(large: DataFrame) -> DataFrame:
@@ -217,8 +301,9 @@ def _confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame, key: str, ri
                                                                        F.lit(False).alias("second"))
     second = pairs.select(F.col("b").alias("id")).distinct().select(
         "id", F.array("id").alias("to"), F.lit(True).alias("second"))
-    wanted = settle(first.unionByName(second).join(classes.select("id", "r_key", "r_rid"), "id"), "wanted")
-    wanted = sized(wanted)
+    wanted = first.unionByName(second).join(classes.select("id", "r_key", "r_rid"), "id")
+    if rows_of(pairs) <= BROADCAST_ROWS // 2:  # each pair wants two documents at most
+        wanted = F.broadcast(wanted)
     sent = (rows.join(wanted, (rows[rid] == F.col("r_rid")) & rows[key].eqNullSafe(F.col("r_key")))
             .select("id", "second", F.explode("to").alias("b"), F.col(text).alias("words")))
     left = sent.where(~F.col("second")).select(F.col("id").alias("a"), "b", "words")
@@ -252,30 +337,46 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     least = F.min(F.struct(F.col("r_key").isNull().alias("no"), "r_key", "r_rid")).alias("least")
     classes = settle(
         base.where(F.col("n_shingles") > 0).groupBy("signature")
-        .agg(least, F.first("sketch").alias("sketch"), F.first("roots").alias("roots"))
+        .agg(least, F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"),
+             F.first("roots").alias("roots"))
         .select(F.monotonically_increasing_id().alias("id"), "signature", F.col("least.r_key").alias("r_key"),
-                F.col("least.r_rid").alias("r_rid"), "sketch", "roots"), "classes")
+                F.col("least.r_rid").alias("r_rid"), "size", "sketch", "roots"), "classes")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return settle(_confirm(pairs, classes, rows, key, rid, text, percent), "links")
 
-    star_members = settle(_root_paths(classes, 3, STARS), "stars")
+    star_members = _root_paths(classes, 3, STARS)
     pivots = star_members.groupBy("path").agg(F.min("id").alias("b"), F.max("id").alias("top")) \
         .where(F.col("b") < F.col("top")).select("path", "b")
     tried = settle(star_members.join(pivots, "path").where(F.col("id") != F.col("b"))
                    .select(F.col("id").alias("a"), "b").distinct(), "pairs")
     links = confirmed(tried)
-    for best in (True, False):
-        labels = components(links)
-        state = settle(classes.select("id", "sketch", "roots").join(labels, "id", "left")
-                       .withColumn("label", F.coalesce("label", "id")), "state")
-        pairs = settle(_candidates(state, best).join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not rows_of(pairs):
-            break
-        tried = tried.unionByName(pairs)
-        links = links.unionByName(confirmed(pairs))
-    else:
-        labels = components(links)
+    labels = components(links)
+
+    def labelled_state() -> DataFrame:
+        return settle(classes.select("id", "r_key", "r_rid", "size", "sketch", "roots").join(labels, "id", "left")
+                      .withColumn("label", F.coalesce("label", "id")), "state")
+
+    state = labelled_state()
+    pairs = settle(_compare(_nodes(state).join(state.select("id", "sketch", "size"), "id"), percent), "pairs")
+    if pairs.take(1):
+        new = confirmed(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"))
+        links = links.unionByName(new)
+        if new.take(1):
+            labels = components(links)
+        # Only components whose most similar pair is no link, though there are others.
+        open_pairs = pairs.where("more").join(links, ["a", "b"], "left_anti").select("a", "b")
+        if open_pairs.take(1):
+            state = labelled_state()
+            ends = open_pairs.select(F.explode(F.array("a", "b")).alias("id"))
+            state = settle(state.join(ends.join(state.select("id", "label"), "id").select("label").distinct(),
+                                      "label", "left_semi"), "state")
+            sets = settle(_full_sets(state.select("id", "r_key", "r_rid"), rows, key, rid, text), "sets")
+            members = _nodes(state).join(state.select("id", "sketch", "size"), "id").join(sets, "id")
+            new = settle(_link(members, percent), "links")
+            if new.take(1):
+                links = links.unionByName(new)
+                labels = components(links)
 
     labelled = classes.select("id", "signature", "r_key").join(labels, "id", "left") \
         .withColumn("label", F.coalesce("label", "id"))
@@ -299,3 +400,31 @@ def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "t
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("r_key").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, list_slice(w, i, i + least(5, len(w)) - 1) AS gram
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b USING (gram)
+    WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), named AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM named LEFT JOIN sizes USING (doc_id)
+"""

@@ -7,7 +7,7 @@ import xxhash
 
 WORDS = 5
 #: Minwise functions of a sketch. The first ``ROOTS`` are also kept with all their bits.
-FUNCTIONS, ROOTS = 128, 16
+FUNCTIONS, ROOTS = 256, 16
 _rng = np.random.Generator(np.random.PCG64(20240601))
 _PLACES = _rng.integers(1, 1 << 63, size=WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MINWISE = _rng.integers(1, 1 << 63, size=FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
