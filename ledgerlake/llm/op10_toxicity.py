@@ -7,11 +7,12 @@ that a later model learns how far to trust the earlier ones. Only beginnings who
 the two classes differs beyond chance enter a model, which keeps long texts from adding up noise.
 
 Training takes the ``SAMPLE`` labelled documents with the least hash of their key, a fixed
-bound, and collects their features only; every document is scored on its whole text. A null or
-empty text has no features and gets the model's base rate. Labels that are null are left out;
-of repeated labels the highest counts. A category without labels, or with one class only, has
-that class's share as its probability. An empty table gives an empty table. Existing columns
-with the names of new ones are replaced.
+bound; which of their features tell classes apart is counted on the cluster, and only these
+features are collected. Every document is scored on its whole text. A null or empty text has no
+features and gets the model's base rate. Labels that are null are left out; of repeated labels
+the highest counts. A category without labels, or with one class only, has that class's share
+as its probability. An empty table gives an empty table. Existing columns with the names of new
+ones are replaced.
 """
 
 from __future__ import annotations
@@ -57,6 +58,7 @@ class Linear:
     def __init__(self):
         self.weights: dict[str, float] = {}
         self.bias, self.of_numbers = 0.0, np.empty(0)
+        self.chosen, self.values = np.empty(0, dtype=np.int64), np.empty(0)
 
     def fit(self, sets: list[np.ndarray], names: np.ndarray, numbers: np.ndarray, y: np.ndarray) -> "Linear":
         """``sets`` hold indices into ``names``."""
@@ -65,7 +67,7 @@ class Linear:
             share = min(max(positive / n if n else 0.0, 1e-6), 1 - 1e-6)
             self.bias, self.of_numbers = float(np.log(share / (1 - share))), np.zeros(numbers.shape[1])
             return self
-        flat = np.concatenate(sets)
+        flat = np.concatenate([*sets, np.empty(0, dtype=np.int64)]).astype(np.int64)
         row = np.repeat(np.arange(n), [len(s) for s in sets])
         yes = np.bincount(flat, weights=y[row], minlength=len(names))
         every = np.bincount(flat, minlength=len(names))
@@ -86,9 +88,17 @@ class Linear:
             seen_w, seen_v, seen_b = seen_w + gw * gw, seen_v + gv * gv, seen_b + gb * gb
             w, v, b = w - gw / np.sqrt(seen_w) / 2, v - gv / np.sqrt(seen_v) / 4, b - gb / np.sqrt(seen_b) / 4
         self.weights = {str(names[c]): float(x) for c, x in zip(chosen, w)}
+        self.chosen, self.values = chosen, w
         self.bias, self.of_numbers = float(b), v
         return self
 
+    def log_odds_indexed(self, sets: list[np.ndarray], size: int, numbers: np.ndarray) -> np.ndarray:
+        """The same for sets of indices into ``size`` names."""
+        every = np.zeros(size)
+        every[self.chosen] = self.values
+        z = np.array([every[s].sum() for s in sets]) + self.bias + numbers @ self.of_numbers
+        return np.clip(z, -30, 30)
+
     def log_odds(self, found: set[str], numbers) -> float:
         weights = self.weights
         z = self.bias + sum(map(weights.__getitem__, weights.keys() & found))
@@ -106,8 +116,12 @@ class Chain:
         names = np.array(sorted(set().union(*sets)) if sets else [], dtype=object)
         number = {name: k for k, name in enumerate(names)}
         indexed = [np.fromiter(map(number.__getitem__, s), dtype=np.int64, count=len(s)) for s in sets]
-        fold = np.arange(len(sets)) % FOLDS
-        before = np.empty((len(sets), 0))
+        return self.fit_indexed(indexed, names, labels)
+
+    def fit_indexed(self, indexed: list[np.ndarray], names: np.ndarray, labels: dict[str, np.ndarray]) -> "Chain":
+        """The same for sets of indices into ``names``."""
+        fold = np.arange(len(indexed)) % FOLDS
+        before = np.empty((len(indexed), 0))
         for category in self.categories:
             y = labels[category]
             known = ~np.isnan(y)
@@ -116,11 +130,11 @@ class Chain:
                 return Linear().fit([indexed[i] for i in rows], names, before[rows], y[rows])
 
             self.models.append(model(np.flatnonzero(known)))
-            out = np.empty(len(sets))
+            out = np.empty(len(indexed))
             for k in range(FOLDS):
+                held = np.flatnonzero(fold == k)
                 part = model(np.flatnonzero(known & (fold != k)))
-                for i in np.flatnonzero(fold == k):
-                    out[i] = part.log_odds(sets[i], before[i])
+                out[held] = part.log_odds_indexed([indexed[i] for i in held], len(names), before[held])
             before = np.column_stack([before, out])
         return self
 
@@ -141,20 +155,45 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     drawn = settle(known.groupBy("r_key").agg(*(F.max(n).alias(n) for n in columns))
                    .orderBy(F.xxhash64("r_key"), "r_key").limit(sample), "labels")
 
+    kinds = "".join(f", {n} double" for n in columns)
+
     def extract(batches):
         for batch in batches:
-            found = [sorted(features(t)) for t in texts_of(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(["\n".join(f) for f in found]), *batch.columns[1:]], names=["found", *columns])
-
-    rows = (docs.select(key, text).join(F.broadcast(drawn), F.col(key) == F.col("r_key"))
-            .select(text, *columns).mapInArrow(extract, "found string, " + ", ".join(f"{n} double" for n in columns))
-            .limit(sample).toArrow())
-    order = np.argsort(np.array(rows.column("found").to_pylist(), dtype=object), kind="stable")
-    sets = [set(t.split("\n")) if t else set() for t in rows.column("found").take(pa.array(order)).to_pylist()]
-    values = {c: rows.column(n).take(pa.array(order)).to_numpy(zero_copy_only=False).astype(float)
-              for c, n in zip(categories, columns)}
-    return Chain(categories).fit(sets, values)
+                [pa.array([sorted(features(t)) for t in texts_of(batch.column(0))], pa.list_(pa.string())),
+                 *batch.columns[1:]], names=["found", *columns])
+
+    rows = settle(docs.select(key, text).join(F.broadcast(drawn), F.col(key) == F.col("r_key"))
+                  .select(text, *columns).mapInArrow(extract, "found array<string>" + kinds), "sample")
+    # Which features tell the classes of some category apart is counted where the rows are; only
+    # these come to the driver.
+    known_rows = rows.agg(*(F.count(n).alias(f"n_{n}") for n in columns), *(F.sum(n).alias(f"y_{n}") for n in columns)).first()
+    telling = F.lit(False)
+    for n in columns:
+        total, positive = known_rows[f"n_{n}"], known_rows[f"y_{n}"] or 0.0
+        if 0 < positive < total:
+            share = positive / total
+            spread = F.sqrt(F.col(f"n_{n}") * (share * (1 - share)))
+            telling = telling | ((F.col(f"n_{n}") >= 3) & (
+                F.abs(F.col(f"y_{n}") - F.col(f"n_{n}") * share) >= SIGNIFICANT * spread))
+    chosen = (rows.select(F.explode("found").alias("feature"), *columns).groupBy("feature")
+              .agg(*(F.count(n).alias(f"n_{n}") for n in columns), *(F.sum(n).alias(f"y_{n}") for n in columns))
+              .where(telling).select("feature").collect())
+    names = sorted(r["feature"] for r in chosen)
+    number = {name: k for k, name in enumerate(names)}
+
+    def reduced(batches):
+        for batch in batches:
+            found = [np.array(sorted(number[x] for x in f if x in number), dtype="<i4").tobytes()
+                     for f in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *batch.columns[1:]],
+                                             names=["found", *columns])
+
+    # In the same order, and so the same folds, however the rows came.
+    small = rows.mapInArrow(reduced, "found binary" + kinds).orderBy("found", *columns).toArrow()
+    indexed = [np.frombuffer(f, dtype="<i4") for f in small.column("found").to_pylist()]
+    values = {c: small.column(n).to_numpy(zero_copy_only=False).astype(float) for c, n in zip(categories, columns)}
+    return Chain(categories).fit_indexed(indexed, np.array(names, dtype=object), values)
 
 
 def classify(docs: DataFrame, chain: Chain, *, text: str = "text", prefix: str = "p_") -> DataFrame:
