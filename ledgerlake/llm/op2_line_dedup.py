@@ -105,8 +105,9 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     # Equal rows are one document: their chunks count once.
     chunks = _chunk_hashes(rows, key, rid, text)
     place = F.struct("r_key", "r_rid", "chunk")
-    repeated = (chunks.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last"))
+    # Written, so that the join below reads plain exchanges on both sides and a hot chunk is split.
+    repeated = settle(chunks.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                      .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "repeated")
     found = (chunks.join(repeated, "hash")
              .groupBy("r_key", "r_rid")
              .agg(F.collect_set(F.struct("chunk", "hash", place.eqNullSafe(F.col("first")).alias("first")))
