@@ -41,7 +41,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of lines that occurred before go, and documents of which nothing is left."""
-    return _measured(dedup_lines(docs, drop_emptied=True), docs.columns)
+    return _measured(dedup_lines(docs, drop_emptied=True, runs=True), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

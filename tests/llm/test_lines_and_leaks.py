@@ -84,6 +84,49 @@ def test_equal_hashes_of_unequal_bytes_stay(spark, monkeypatch):
     assert gone[2] == 2 and sum(gone.values()) == 2  # only hash "a" stands for one text
 
 
+def brute_runs(rows, words=50):
+    """What stays, and how many lines go, as they lie in a chunk or a run of over 50 words that came before."""
+    came, chunks, out = set(), {}, {}
+    for key, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        lines, data, gone = (t or "").split("\n"), (t or "").encode(), set()
+        for first in range(len(lines)):
+            for after in range(first + 1, len(lines) + 1):
+                run = tuple(lines[first:after])
+                if run[0].split() and run[-1].split() and sum(len(x.split()) for x in run) > words:
+                    if run in came:
+                        gone |= set(range(first, after))
+                    came.add(run)
+        for n, (first, after, a, b) in enumerate(chunks_of(data)):
+            if after - first >= 2 and chunks.setdefault(data[a:b], (key, t, n)) != (key, t, n):
+                gone |= set(range(first, after))
+        out[key, t] = None if t is None else "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)
+    return out
+
+
+def test_repeated_runs_of_over_50_words_go_wherever_chunks_end(spark):
+    rng = random.Random(8)
+    texts = []
+    for n in (1, 2, 3, 4, 5, 8):  # lines of a passage of 60 words, within documents of their own
+        w = words(900 + n, 60)
+        shared = [" ".join(w[60 * i // n:60 * (i + 1) // n]) for i in range(n)]
+        for i in range(8):
+            texts.append("\n".join(passage(rng.random(), rng.randrange(4)) + shared + passage(rng.random(), rng.randrange(4))))
+    wide = [" ".join(words(950 + i, 55)) for i in range(2)]
+    gaps = [wide[0], "", " ", wide[1]]
+    short = [" ".join(words(960, 25)), "", " ".join(words(961, 25))]  # 50 words are not over 50
+    for i in range(3):
+        texts += ["\n".join(passage(rng.random(), 1) + x + passage(rng.random(), 1)) for x in (gaps, short, gaps[:1], [""] * 9)]
+    texts += ["\n".join(["same line of a document of its own"] * 30), "\n".join(passage(7, 30) * 2)] + odd_texts()
+    rows = list(enumerate(texts))
+    found = collected(dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), runs=True))
+    expected = brute_runs(rows)
+    for r, (key, t) in zip(found, rows, strict=True):
+        assert (r["text"], r["n_removed"]) == expected[key, t]
+    kept = [r["text"] or "" for r in found]
+    assert all(sum(line in t.split("\n") for t in kept) == 1 for line in wide)
+    assert sum(line in t.split("\n") for line in short[:1] for t in kept) == 3
+
+
 # -- decontamination --------------------------------------------------------------------------
 
 def brute_words(t):
