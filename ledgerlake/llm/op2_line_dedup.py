@@ -2,9 +2,9 @@
 
 A rolling hash over the hashes of two neighbouring lines decides where a chunk ends, so that
 a run of lines is cut in the same places wherever it stands. A chunk has two lines at least,
-but for the last of a document. Chunks of several lines that occur more than once, in one
-document or in many, are compared by their bytes, and all but the first (smallest key, then
-place) are removed.
+the last of a document too, unless the document is one line. Chunks of several lines that occur
+more than once, in one document or in many, are compared by their bytes, and all but the first
+(smallest key, then place) are removed.
 
 A chunk boundary seldom meets both ends of a passage. With ``runs``, as the query and the
 pipeline ask, each line also goes that lies in a run of lines of over 50 words (parted by ASCII
@@ -66,7 +66,7 @@ def chunks_of(data: bytes) -> list[tuple[int, int, int, int]]:
         possible = np.flatnonzero((rolled >> np.uint64(40)) % np.uint64(ONE_IN) == 0) + 2
         ends, last = [], 0
         for end in possible.tolist():
-            if end - last >= LEAST and end < len(lines):
+            if end - last >= LEAST and len(lines) - end >= LEAST:
                 ends.append(end)
                 last = end
         ends.append(len(lines))

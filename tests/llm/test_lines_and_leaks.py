@@ -61,6 +61,13 @@ def test_repeated_runs_of_lines_go(spark):
     assert dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_exact_copies_leave_no_last_line(spark):
+    texts = ["\n".join(passage(400 + i, n)) for i in range(12) for n in (2, 3, 5, 8)]
+    assert all(after - first >= 2 for t in texts for first, after, _, _ in chunks_of(t.encode()))
+    docs = spark.createDataFrame(list(enumerate(texts + texts)), "doc_id long, text string")
+    assert {r.doc_id for r in dedup_lines(docs, drop_emptied=True).collect()} == set(range(len(texts)))
+
+
 def test_null_keys(spark):
     shared = "\n".join(passage(3, 6))
     docs = spark.createDataFrame([(None, shared), (None, shared + "\nmore\nlines"), (2, shared)], "doc_id long, text string")
