@@ -11,7 +11,7 @@ from ledgerlake.llm.columns import WINDOW, Hasher, anchors, repeated_windows
 from ledgerlake.llm.graph import components
 from ledgerlake.llm.op3_near_dedup import drop_near_duplicates, near_duplicates
 from ledgerlake.llm.op5_suffix_dedup import remove_repeats
-from ledgerlake.llm.shingles import shingles, similar
+from ledgerlake.llm.shingles import shingles, similar, sketches
 from tests.llm.cases import collected, frame, odd_texts, repeated, text, words
 
 
@@ -101,6 +101,33 @@ def test_every_pair_of_a_large_node_meets(spark):
         assert len(met) == 350 * 350
 
 
+def test_pairs_at_the_threshold_meet_at_full_depth():
+    rng = np.random.Generator(np.random.PCG64(4))
+    n = 2000
+    left, right = [], []
+    for _ in range(n):  # 600 of 800 elements are common
+        x = rng.integers(1, 1 << 63, size=800, dtype=np.uint64)
+        left.append(x[:700])
+        right.append(np.concatenate([x[:600], x[700:]]))
+    wide = [sketches(left), sketches(right)]
+    coarse = [x.astype("u1") for x in wide]
+    alike = np.count_nonzero(coarse[0] == coarse[1], axis=1) >= op3_near_dedup.LEAST_EQUAL
+    met = np.zeros(n, dtype=bool)
+    for tree in range(op3_near_dedup.TREES):
+        pair = np.flatnonzero(wide[0][:, tree] == wide[1][:, tree])
+        path = op3_near_dedup._step(np.full(len(pair), tree + 1, dtype=np.uint64), wide[0][pair, tree].astype(np.uint64))
+        for _ in range(op3_near_dedup.DEPTH):  # no node ever is small: every one branches
+            sides = []
+            for sketch in coarse:
+                to, row = op3_near_dedup._grandchildren(path, sketch[pair])
+                sides.append(set(zip(pair[row].tolist(), to.tolist())))
+            both = sorted(sides[0] & sides[1])
+            pair = np.array([p for p, _ in both], dtype=np.int64)
+            path = np.array([t for _, t in both], dtype=np.uint64)
+        met[pair] = True
+    assert np.count_nonzero(met & alike) >= n - 1
+
+
 def test_shingles_and_similarity():
     t = text(3, 100)
     assert len(shingles(t.encode())) == len(brute_set(t))
