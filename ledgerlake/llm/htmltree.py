@@ -12,7 +12,7 @@ BLOCK = frozenset(
     "summary table tbody td tfoot th thead tr ul caption".split())
 #: Elements that never hold text of the article.
 DROPPED = frozenset(
-    "script style noscript template iframe object embed svg canvas math form button select option input textarea "
+    "script style noscript template iframe object embed svg canvas math button select option input textarea "
     "nav footer aside head title menu dialog audio video datalist".split())
 #: Words in the class, id or role of elements that are no part of the article, and of those that are.
 UNLIKELY = frozenset(
@@ -89,6 +89,12 @@ class Tree(HTMLParser):
     def handle_data(self, data):
         self.stack[-1].children.append(data)
 
+    def parse_marked_section(self, i, report=1):
+        """A comment up to the next ">", as browsers read it, but for CDATA within drawings and formulas."""
+        foreign = self.rawdata[i + 3:i + 9] == "CDATA[" and any(n.tag in ("svg", "math") for n in self.stack)
+        end = super().parse_marked_section(i, report) if foreign else -1
+        return end if end >= 0 else self.parse_bogus_comment(i, report)
+
     def _close(self, tags, barrier):
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k].tag in tags:
@@ -128,13 +134,14 @@ def _is_noise(node: Node) -> bool:
         return False
     if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in (a.get("style") or "").replace(" ", ""):
         return True
-    names = _names(node)
+    names = _names(node) - {node.tag} if node.tag == "form" else _names(node)
     return bool(names & UNLIKELY) and not (names & LIKELY and node.tag in ("article", "main"))
 
 
 def _weigh(nodes: list[Node]) -> None:
     """Length of the text and of the linked text below each node, white space aside."""
     for node in reversed(nodes):
+        node.text = node.links = 0
         if node.dropped:
             continue
         for child in node.children:
@@ -181,15 +188,21 @@ def _own_text(node: Node) -> int:
 
 def main_text(html: str) -> str:
     tree = Tree()
-    try:
-        tree.feed(html)
-        tree.close()
-    except AssertionError:  # the parser gives up on some broken declarations; what was read counts
-        pass
+    tree.feed(html)
+    tree.close()
     nodes = tree.nodes
     for node in nodes:  # parents come before their children
         node.dropped = (node.parent is not None and node.parent.dropped) or _is_noise(node)
     _weigh(nodes)
+    # A form goes, unless most of the page's text stands in it: then it holds the article.
+    least = max(LEAST_TEXT, tree.root.text // 2 + 1)
+    forms = [n for n in nodes if n.tag == "form" and not n.dropped and n.text < least]
+    if forms:
+        for node in forms:
+            node.dropped = True
+        for node in nodes:
+            node.dropped = node.dropped or (node.parent is not None and node.parent.dropped)
+        _weigh(nodes)
 
     scored: dict[int, Node] = {}
     for node in nodes:

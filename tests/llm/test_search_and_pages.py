@@ -79,6 +79,22 @@ def test_article_without_the_rest(wrap):
     assert main_text(PAGE.format(body=wrap.format(BODY))) == TEXT
 
 
+@pytest.mark.parametrize("odd", ["<![foo]>", "<![1]>", "<![ x]>", "<![]>", "<![CDATA[q]]>", "<![CDATA[q>", "<![if !IE]>",
+                                 "<![if IE>", "<![temp>", "<!x>", "<!>"])
+def test_nothing_is_cut_behind_declarations(odd):
+    assert main_text(f"<p>a</p>{odd}<p>b</p><p>c [d]> e ]]> f</p>") == "a b c [d]> e ]]> f"
+
+
+def test_pages_that_stand_in_a_form():
+    field = "<label>Name</label><input><select><option>one, two, three, four, five, six</select>"
+    for attrs in ("", " id=aspnetForm", " id=form1 class='main-form'"):
+        page = PAGE.format(body=f"<form{attrs}><input><div>{BODY}</div></form>")
+        assert main_text(page) == TEXT
+        assert main_text(f"<html><body><form{attrs}><input type=hidden><article>{BODY}</article></form></body></html>") == TEXT
+    assert main_text(f"<body><form>{field}</form></body>") == ""
+    assert main_text(f"<body><div>{BODY}</div><form>{field}</form></body>") == TEXT
+
+
 def test_defined_results_of_odd_pages(spark):
     deep = "<div>" * 3000 + "text that lies deep, very deep, in the tree" + "</div>" * 3000
     long = "<article>" + "<p>A sentence, not short, again and again.</p>" * 20_000 + "</article>"
