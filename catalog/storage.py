@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import adapters
 import oracles as o
 from catalog.base import AS_OF, CALENDAR_START, raw, register, warehouse
 from ledgerlake.functions.columns import epoch_date
