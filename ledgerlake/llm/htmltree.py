@@ -23,6 +23,8 @@ UNLIKELY = frozenset(
     "search share sharing sidebar sidenav signup skip skyscraper social sponsor sponsored sponsors subscribe "
     "subscription taboola teaser toolbar widget widgets complementary contentinfo rail topbar".split())
 LIKELY = frozenset("article body content entry main post story text".split())
+#: Names of reader comments, which may be longer than the article.
+REPLIES = frozenset("comment comments comentarios commentlist disqus replies reply respond".split())
 #: Names with these tell about the page, as in "has-sidebar".
 ABOUT = frozenset("has with no without layout".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -122,20 +124,40 @@ def _inside(node: Node | None, tags) -> bool:
     return False
 
 
-def _is_noise(node: Node) -> bool:
+def _never(node: Node) -> bool:
+    """Whether an element is no part of any article by its kind, or is not shown."""
     if node.tag in DROPPED:
         return True
     if node.tag == "header" and not _inside(node.parent, ("article", "main")):
         return True
-    if node.tag in ("html", "body"):
-        return False
     a = node.attrs
-    if not a:
+    return node.tag not in ("html", "body") and bool(a) and (
+        "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in (a.get("style") or "").replace(" ", ""))
+
+
+def _named_noise(node: Node, whole: int) -> bool:
+    """Whether an element goes by its name, or as a form. One that holds half of the page's text that is
+    no link holds the article, whatever it is called; reader comments are no article unless a
+    heading of the page or an article element stands in them."""
+    if node.tag in ("html", "body", "h1") or not (node.attrs or node.tag == "form"):
         return False
-    if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in (a.get("style") or "").replace(" ", ""):
+    names = _names(node)
+    if not names & UNLIKELY and node.tag != "form" or names & LIKELY and node.tag in ("article", "main"):
+        return False
+    if names & REPLIES and not _holds(node, ("h1", "article", "main")):
         return True
-    names = _names(node) - {node.tag} if node.tag == "form" else _names(node)
-    return bool(names & UNLIKELY) and not (names & LIKELY and node.tag in ("article", "main"))
+    return 2 * (node.text - node.links) < max(whole, 2 * LEAST_TEXT)
+
+
+def _holds(node: Node, tags) -> bool:
+    stack = [node]
+    while stack:
+        for child in stack.pop().children:
+            if not isinstance(child, str) and not child.dropped:
+                if child.tag in tags:
+                    return True
+                stack.append(child)
+    return False
 
 
 def _weigh(nodes: list[Node]) -> None:
@@ -192,16 +214,13 @@ def main_text(html: str) -> str:
     tree.close()
     nodes = tree.nodes
     for node in nodes:  # parents come before their children
-        node.dropped = (node.parent is not None and node.parent.dropped) or _is_noise(node)
+        node.dropped = (node.parent is not None and node.parent.dropped) or _never(node)
     _weigh(nodes)
-    # A form goes, unless most of the page's text stands in it: then it holds the article.
-    least = max(LEAST_TEXT, tree.root.text // 2 + 1)
-    forms = [n for n in nodes if n.tag == "form" and not n.dropped and n.text < least]
-    if forms:
-        for node in forms:
-            node.dropped = True
+    for forms in (False, True):  # forms are held against what is left without the others
+        whole = tree.root.text - tree.root.links
         for node in nodes:
-            node.dropped = node.dropped or (node.parent is not None and node.parent.dropped)
+            node.dropped = node.dropped or (node.parent is not None and node.parent.dropped) or (
+                (node.tag == "form") == forms and _named_noise(node, whole))
         _weigh(nodes)
 
     scored: dict[int, Node] = {}
@@ -241,7 +260,11 @@ def main_text(html: str) -> str:
     if up is not None:
         best = up
     kept = [best]
-    # Beside an element that says it is the article, nothing else is.
+    # Beside an element that says it is the article, only other parts of it that say so and score alike.
+    if best.tag == "article" and best.parent is not None:
+        kept = [n for n in best.parent.children if n is best or (
+            not isinstance(n, str) and not n.dropped and n.tag == "article"
+            and n.score >= 0.5 * best.score and n.links < 0.25 * n.text)]
     if best.parent is not None and best.tag not in ("body", "html", "main", "article"):
         least = max(10.0, 0.2 * best.score)
         kept = []

@@ -7,10 +7,10 @@ that a later model learns how far to trust the earlier ones. Only beginnings who
 the two classes differs beyond chance enter a model, which keeps long texts from adding up noise.
 
 Training takes the ``SAMPLE`` labelled documents with the least hash of their key, a fixed
-bound; which of their features tell classes apart is counted on the cluster, and only these
+bound on keys and on examples; which of their features tell classes apart is counted on the cluster, and only these
 features are collected. Every document is scored on its whole text. A null or empty text has no
 features and gets the model's base rate. Labels that are null are left out; of repeated labels
-the highest counts. A category without labels, or with one class only, has that class's share
+the highest counts, of different texts with one key the least. A category without labels, or with one class only, has that class's share
 as its probability. An empty table gives an empty table. Existing columns with the names of new
 ones are replaced.
 """
@@ -47,7 +47,7 @@ def features(text: str) -> set[str]:
         for least in (2, 3):
             out.update([f"{w}\t{least}" for w, k in times.items() if k >= least])
     out.update(_MARK.findall(text))
-    if len(text) > 20 and sum(map(str.isupper, text[:200])) * 2 > len(text[:200]):
+    if len(text) > 20 and sum(map(str.isupper, text)) * 2 > len(text):
         out.add("\tCAPITALS")
     return out
 
@@ -163,8 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
                 [pa.array([sorted(features(t)) for t in texts_of(batch.column(0))], pa.list_(pa.string())),
                  *batch.columns[1:]], names=["found", *columns])
 
-    rows = settle(docs.select(key, text).join(F.broadcast(drawn), F.col(key) == F.col("r_key"))
-                  .select(text, *columns).mapInArrow(extract, "found array<string>" + kinds), "sample")
+    # One example for each key, however many rows repeat it; of different texts the least counts.
+    labelled = (docs.select(key, text).join(F.broadcast(drawn), F.col(key) == F.col("r_key"))
+                .groupBy("r_key", *columns).agg(F.min(text).alias("r_text")))
+    rows = settle(labelled.select("r_text", *columns).mapInArrow(extract, "found array<string>" + kinds), "sample")
     # Which features tell the classes of some category apart is counted where the rows are; only
     # these come to the driver.
     known_rows = rows.agg(*(F.count(n).alias(f"n_{n}") for n in columns), *(F.sum(n).alias(f"y_{n}") for n in columns)).first()

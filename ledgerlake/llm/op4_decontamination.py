@@ -98,7 +98,12 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text", coverage: float = COVERAGE,
                   **options) -> DataFrame:
-    """``docs`` without hit words, and without documents that are hit beyond ``coverage``."""
+    """``docs`` without hit words, and without documents that are hit beyond ``coverage``.
+
+    Documents without words, null texts among them, stay as they are. Repeated rows are cut one by
+    one. Empty documents or items give the documents back; other columns, also ones named like
+    those of ``find_leaks``, keep their names and places, but such columns come back replaced.
+    """
     columns = docs.columns
     found = find_leaks(docs, items, text=text, **options)
     kept = found.where(F.col("n_hit") <= F.lit(coverage) * F.col("n_words"))
@@ -121,9 +126,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text", cove
                             start = at[r["after"] - 1][1]
                         value = b"".join([*parts, data[start:]]).decode()
                     texts.append(value)
-                columns = list(batch.columns)
-                columns[k] = pa.array(texts, columns[k].type)
-                batch = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                # The field stays as it came: all batches of a task must have one schema.
+                batch = batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
             yield batch
 
     return kept.mapInArrow(cut, schema).select(*columns)

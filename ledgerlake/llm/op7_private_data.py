@@ -137,8 +137,12 @@ def _contexts(docs: DataFrame, text: str) -> DataFrame:
                         if b - a < WINDOW - 10:
                             kinds.append(kind)
                             passages.append(t[max(0, a - AROUND):b + AROUND])
+                    inside, at = sorted((a - 20, b + 20) for _, a, b in spans), 0
+                    reach = -1  # the furthest end of the spans that begin before this place
                     for m in _ANY.finditer(t):
-                        if m.start() > end and not any(a - 20 <= m.start() < b + 20 for _, a, b in spans[:50]):
+                        while at < len(inside) and inside[at][0] <= m.start():
+                            reach, at = max(reach, inside[at][1]), at + 1
+                        if m.start() > end and m.start() >= reach:
                             kinds.append(len(KINDS))
                             passages.append(t[max(0, m.start() - AROUND):m.start() + AROUND])
                             end = m.start() + AROUND
@@ -180,7 +184,8 @@ def examples(passages: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray
 def train(docs: DataFrame, *, text: str = "text", per_kind: int = PER_KIND, steps: int = STEPS) -> Tagger | None:
     prepare(docs.sparkSession)
     order = Window.partitionBy("kind").orderBy(F.xxhash64("passage"), "passage")
-    rows = (_contexts(docs, text).withColumn("nth", F.row_number().over(order))
+    # Each passage once: a text with very many copies is one example.
+    rows = (_contexts(docs, text).distinct().withColumn("nth", F.row_number().over(order))
             .where(F.col("nth") <= per_kind).orderBy("kind", "nth").collect())
     if not any(r["kind"] < len(KINDS) for r in rows):
         return None

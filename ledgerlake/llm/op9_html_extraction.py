@@ -1,8 +1,8 @@
 """Main text of web pages by tree scoring (see ``htmltree``).
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are left out by element and by name; a form that holds most of the page's text stays, but for
-its fields. A declaration that is none of HTML's is a comment up to the next ">". Each paragraph passes points for its length and commas to
+are left out by element and by name; what holds half of the page's text that is no link stays, whatever it
+is called, but reader comments go however long they are. Sibling articles that score alike are parts of one. A declaration that is none of HTML's is a comment up to the next ">". Each paragraph passes points for its length and commas to
 its ancestors, the nearer the more, discounted by the share of linked text; the best container,
 or the article around it, is kept with those siblings that score alike. Text is decoded, white
 space within it becomes one space, and blocks are joined by one space in page order.

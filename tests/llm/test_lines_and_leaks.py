@@ -203,6 +203,19 @@ def test_decontaminated_texts(spark):
     assert find_leaks(docs.limit(0), items).count() == 0
 
 
+def test_batches_with_and_without_hits_in_one_task(spark, tmp_path):
+    leak = next(t for _, t in ITEMS if t)
+    items = spark.createDataFrame(ITEMS[:1], "item_id long, text string")
+    for name, hit in (("first", {3}), ("second", {1700}), ("third", {2400, 1200})):
+        texts = [" ".join(words(20_000 + i, 60)) + (" " + leak + " tail" if i in hit else "") for i in range(2500)]
+        frame(spark, texts, 0).coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        decontaminate(docs, items, coverage=0.6).write.parquet(f"{tmp_path}/{name}-out")
+        got = collected(spark.read.parquet(f"{tmp_path}/{name}-out"))
+        assert len(got) == 2500
+        assert {r["doc_id"] for r in got if r["text"] != texts[r["doc_id"]]} == hit
+
+
 def test_digest_of_items(spark, tmp_path):
     from ledgerlake.llm.op4_decontamination import query
 

@@ -127,6 +127,39 @@ def test_private_data_of_odd_rows(spark, tagger):
     assert train(docs.limit(0)) is None and private_data(docs.limit(0), None).count() == 0
 
 
+def test_training_takes_distinct_passages(spark):
+    many = private_texts(8, 2000)
+    docs = spark.createDataFrame([(t,) for t in many + many[:1] * 3000], "text string")
+    seen = {}
+
+    class Stop(Exception):
+        pass
+
+    from ledgerlake.llm import op7_private_data as op
+
+    kept = op.examples
+
+    def examples(passages, *more):
+        seen["n"], seen["distinct"] = len(passages), len(set(passages))
+        raise Stop
+
+    op.examples = examples
+    try:
+        with pytest.raises(Stop):
+            op.train(docs)
+    finally:
+        op.examples = kept
+    assert seen["n"] == seen["distinct"] > 4 * 300
+
+
+def test_places_inside_spans_are_no_counterexamples(spark):
+    from ledgerlake.llm.op7_private_data import _contexts
+
+    t = " ".join(f"a{i}@b{i}.example.com" for i in range(120))
+    rows = _contexts(spark.createDataFrame([(t,)], "text string"), "text").collect()
+    assert {r.kind for r in rows} == {0} and len(rows) == 120
+
+
 def test_examples_are_labelled():
     ids, tags = examples(private_texts(4, 50))
     assert ids.shape == tags.shape == (150, WINDOW)
@@ -172,6 +205,22 @@ def test_later_categories_use_earlier_ones():
     assert chain.models[1].of_numbers[0] > 0.1
 
 
+def test_capitals_count_over_the_whole_text():
+    quiet, loud = "quiet words " * 25, "SHOUTED WORDS " * 70
+    assert all("\tCAPITALS" in features(t) for t in (quiet + loud, loud + quiet))
+    assert not any("\tCAPITALS" in features(t) for t in (quiet * 9 + loud, loud + quiet * 9))
+
+
+def test_repeated_keys_are_one_example(spark, monkeypatch):
+    rows = [(i % 50, r[0]) for i, r in enumerate(labelled(5, 200))] + [(0, "x"), (None, "y")]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(50)], "doc_id long, quality int, toxic int")
+    sizes = []
+    monkeypatch.setattr(Chain, "fit_indexed", lambda self, indexed, names, labels: sizes.append(len(indexed)) or self)
+    train_chain(docs, labels)
+    assert sizes == [50]
+
+
 def test_toxicity_of_odd_rows(spark):
     texts = [r[0] for r in labelled(4, 400)]
     docs = repeated(frame(spark, texts + odd_texts()))

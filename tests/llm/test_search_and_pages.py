@@ -95,6 +95,32 @@ def test_pages_that_stand_in_a_form():
     assert main_text(f"<body><div>{BODY}</div><form>{field}</form></body>") == TEXT
 
 
+LONG_BODY = "".join(f"<p>Sentence {i}, with commas, and words, of which the article is made.</p>" for i in range(12))
+LONG_TEXT = " ".join(f"Sentence {i}, with commas, and words, of which the article is made." for i in range(12))
+
+
+@pytest.mark.parametrize("attrs", ['class="elementor-widget-container"', 'class="page left-sidebar"', 'id="modal"',
+                                   'class="story-text post-share-wrap"', 'class="subscription-page"'])
+def test_names_do_not_take_the_article(attrs):
+    assert main_text(PAGE.format(body=f"<div {attrs}>{LONG_BODY}</div>")) == LONG_TEXT
+
+
+def test_headline_and_parts_of_an_article_stay():
+    page = f'<article><h1 class="notice-title">The head</h1>{LONG_BODY}</article>'
+    assert main_text(PAGE.format(body=page)) == "The head " + LONG_TEXT
+    assert main_text(PAGE.format(body=f"<div><article>{LONG_BODY}</article><article>{LONG_BODY}</article></div>")) \
+        == LONG_TEXT + " " + LONG_TEXT
+    teasers = "".join(f"<article><a href=/{i}>Another story, of which more</a></article>" for i in range(6))
+    assert main_text(PAGE.format(body=f"<div><article>{LONG_BODY}</article>{teasers}</div>")) == LONG_TEXT
+
+
+def test_comments_longer_than_the_article_go():
+    replies = "".join(f"<div class=comment><p>I, reader {i}, say this, and that, and more.</p></div>" for i in range(80))
+    for tag in ("div", "section"):
+        page = PAGE.format(body=f"<div>{LONG_BODY}</div><{tag} id=comments>{replies}</{tag}>")
+        assert main_text(page) == LONG_TEXT
+
+
 def test_defined_results_of_odd_pages(spark):
     deep = "<div>" * 3000 + "text that lies deep, very deep, in the tree" + "</div>" * 3000
     long = "<article>" + "<p>A sentence, not short, again and again.</p>" * 20_000 + "</article>"
