@@ -39,6 +39,11 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df.coalesce(most), work_dir(df.sparkSession, purpose))
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The same by as many tasks as ``df`` has, for what is read from files or large throughout."""
+    return materialize(df, work_dir(df.sparkSession, purpose))
+
+
 def rows_of(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 
@@ -108,11 +113,19 @@ def same_row(left: DataFrame, right: DataFrame, key: str, rid: str):
     return (left[rid] == right["r_rid"]) & left[key].eqNullSafe(right["r_key"])
 
 
-#: Rows of a few numbers up to which a written table is sent to every task.
-BROADCAST_ROWS = 1_000_000
+#: Rows, and bytes of them, up to which a written table is sent to every task.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table of narrow rows, to be broadcast if it has ``most`` rows at most (tens of
-    MB), and else to be joined by a shuffle."""
-    return F.broadcast(df) if rows_of(df) <= most else df
+    """A written table of narrow rows, to be broadcast if it has ``most`` rows at most and its columns
+    take ``BROADCAST_BYTES`` at most, both measured, and else to be joined by a shuffle."""
+    width = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        width = width + 16
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType):
+            width = width + 32 * F.coalesce(F.size(field.name), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return F.broadcast(df) if rows <= most and (size or 0) <= BROADCAST_BYTES else df

@@ -13,6 +13,9 @@ from ledgerlake.llm import (
     op8_vector_search,
     op9_html_extraction,
     op10_toxicity,
+    op11_quality_rules,
+    op12_lexical_search,
+    op13_importance_resampling,
 )
 
 QUERIES = {
@@ -26,9 +29,15 @@ QUERIES = {
     "op8_vector_search": op8_vector_search.query,
     "op9_html_extraction": op9_html_extraction.query,
     "op10_toxicity": op10_toxicity.query,
+    "op11_quality_rules": op11_quality_rules.query,
+    "op12_lexical_search": op12_lexical_search.query,
+    "op13_importance_resampling": op13_importance_resampling.query,
 }
 ORACLES: dict[str, str] = {
     "op3_near_dedup": op3_near_dedup.ORACLE,
     "op4_decontamination": op4_decontamination.ORACLE,
     "op8_vector_search": op8_vector_search.ORACLE,
+    "op11_quality_rules": op11_quality_rules.ORACLE,
+    "op12_lexical_search": op12_lexical_search.ORACLE,
+    "op13_importance_resampling": op13_importance_resampling.ORACLE,
 }

@@ -96,7 +96,7 @@ def test_registration():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_oracles_agree(spark):
