@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +47,26 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df, work_dir(df.sparkSession, purpose))
 
 
+def lean(work):
+    """``work`` on batches, after which the Python worker gives its free memory back: Spark keeps
+    workers for later tasks, and what they once held adds to the executor's memory."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do it by themselves
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def rows_of(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 

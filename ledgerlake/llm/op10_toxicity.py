@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.base import prepare, settle, table, texts_of, with_fields
+from ledgerlake.llm.base import lean, prepare, settle, table, texts_of, with_fields
 
 CATEGORIES = ("quality", "toxic")
 SAMPLE, FOLDS, STEPS = 12_000, 5, 250
@@ -166,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     # One example for each key, however many rows repeat it; of different texts the least counts.
     labelled = (docs.select(key, text).join(F.broadcast(drawn), F.col(key) == F.col("r_key"))
                 .groupBy("r_key", *columns).agg(F.min(text).alias("r_text")))
-    rows = settle(labelled.select("r_text", *columns).mapInArrow(extract, "found array<string>" + kinds), "sample")
+    rows = settle(labelled.select("r_text", *columns).mapInArrow(lean(extract), "found array<string>" + kinds), "sample")
     # Which features tell the classes of some category apart is counted where the rows are; only
     # these come to the driver.
     known_rows = rows.agg(*(F.count(n).alias(f"n_{n}") for n in columns), *(F.sum(n).alias(f"y_{n}") for n in columns)).first()
@@ -192,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
                                              names=["found", *columns])
 
     # In the same order, and so the same folds, however the rows came.
-    small = rows.mapInArrow(reduced, "found binary" + kinds).orderBy("found", *columns).toArrow()
+    small = rows.mapInArrow(lean(reduced), "found binary" + kinds).orderBy("found", *columns).toArrow()
     indexed = [np.frombuffer(f, dtype="<i4") for f in small.column("found").to_pylist()]
     values = {c: small.column(n).to_numpy(zero_copy_only=False).astype(float) for c, n in zip(categories, columns)}
     return Chain(categories).fit_indexed(indexed, np.array(names, dtype=object), values)
@@ -211,7 +211,7 @@ def classify(docs: DataFrame, chain: Chain, *, text: str = "text", prefix: str =
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[:, k]) for k in range(len(names)))],
                                              names=[*batch.schema.names, *names])
 
-    return docs.mapInArrow(score, with_fields(docs, **{n: "double" for n in names}))
+    return docs.mapInArrow(lean(score), with_fields(docs, **{n: "double" for n in names}))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.base import bytes_of, fresh, prepare, sized, table, with_fields, written
+from ledgerlake.llm.base import bytes_of, fresh, lean, prepare, sized, table, with_fields, written
 
 #: Base rules: least words of a document, greatest share of words in repeated windows in percent.
 LEAST_WORDS, REPEATED = 50, 50
@@ -106,7 +106,7 @@ def _measured(docs: DataFrame, text: str, names: dict[str, str], keep_text: bool
                  pa.array(list(map(hashed, texts)), pa.binary()), *(pa.array(c, pa.int64()) for c in counts),
                  pa.array(lines, kind)], names=schema.names)
 
-    found = docs.mapInArrow(measure, schema)
+    found = docs.mapInArrow(lean(measure), schema)
     return written(found.withColumn(names["row"], F.monotonically_increasing_id()), "quality")
 
 
@@ -176,7 +176,7 @@ def clean(docs: DataFrame, *, text: str = "text", host: str = "source", least: i
             field = batch.schema.field(place)
             yield batch.set_column(place, field, pa.array(texts, pa.binary()).cast(field.type))
 
-    return found.mapInArrow(cut, schema).select(*columns)
+    return found.mapInArrow(lean(cut), schema).select(*columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

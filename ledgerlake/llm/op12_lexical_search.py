@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.llm.automaton import words_of
-from ledgerlake.llm.base import bytes_of, prepare, ragged, table, written
+from ledgerlake.llm.base import bytes_of, lean, prepare, ragged, table, written
 
 K = 10
 #: Parameters of the length norm: m = 100 - NORM + (NORM * n * N) div L; and of the saturation.
@@ -125,7 +125,7 @@ def _bags(docs: DataFrame, key: str, text: str, items: Items) -> DataFrame:
                 [batch.column(0).take(pa.array(some, pa.int64())), pa.array([len(words[k]) for k in some], pa.int64()),
                  pa.array([items.bag(words[k]).tobytes() for k in some], pa.binary())], names=["id", "n", "bag"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(restrict, "id long, n long, bag binary")
+    return docs.select(F.col(key).cast("long").alias("id"), text).mapInArrow(lean(restrict), "id long, n long, bag binary")
 
 
 def _frequencies(bags: DataFrame, terms: int) -> np.ndarray:
@@ -140,7 +140,7 @@ def _frequencies(bags: DataFrame, terms: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["term", "df"])
 
     out = np.zeros(terms, dtype=np.int64)
-    for r in bags.select("bag").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
+    for r in bags.select("bag").mapInArrow(lean(count), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
         out[r.term] = r.df  # as many rows as the block has terms
     return out
 
@@ -193,7 +193,7 @@ def _search_block(docs: DataFrame, block: list, key: str, text: str, k: int, kin
         yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in range(3)],
                                          names=["item", "doc_id", "score"])
 
-    found = _classes(bags, n_docs, n_terms, k).mapInArrow(rank, "item long, doc_id long, score long")
+    found = _classes(bags, n_docs, n_terms, k).mapInArrow(lean(rank), "item long, doc_id long, score long")
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     named = spark.createDataFrame(list(enumerate(i for i, _ in block)), T.StructType([
         T.StructField("item", T.LongType()), T.StructField("item_id", kind)]))

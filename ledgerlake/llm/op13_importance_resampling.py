@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.automaton import words_of
-from ledgerlake.llm.base import bytes_of, fresh, prepare, table, with_fields, written
+from ledgerlake.llm.base import bytes_of, fresh, lean, prepare, table, with_fields, written
 
 LONGEST, BUCKETS, SEED = 1, 10_000, 2024
 PERCENT, LEAST_WORDS = 10, 20
@@ -63,7 +63,7 @@ def bucket_counts(texts: DataFrame, text: str = "text", longest: int = LONGEST,
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["bucket", "n"])
 
-    rows = (texts.select(text).mapInArrow(count, "bucket long, n long").groupBy("bucket")
+    rows = (texts.select(text).mapInArrow(lean(count), "bucket long, n long").groupBy("bucket")
             .agg(F.sum("n").alias("n")).collect())  # as many rows as buckets, a parameter
     out = np.zeros(buckets, dtype=np.int64)
     for r in rows:
@@ -110,7 +110,7 @@ def scores(docs: DataFrame, target: DataFrame, *, key: str = "doc_id", text: str
                 [*(c for k, c in enumerate(batch.columns) if k != place), *(pa.array(c, pa.int64()) for c in columns),
                  pa.array(digests, pa.int64())], names=schema.names)
 
-    return docs.mapInArrow(score, schema).withColumn("score", F.col("weight") + noise(F.col(key), seed))
+    return docs.mapInArrow(lean(score), schema).withColumn("score", F.col("weight") + noise(F.col(key), seed))
 
 
 def _cutoff(rows: DataFrame, value: str, want: int) -> tuple[int, int, int]:

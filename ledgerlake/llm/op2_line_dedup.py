@@ -32,16 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.base import (
-    RUN_CHARS,
-    bytes_of,
-    fresh,
-    identified,
-    prepare,
-    rows_of,
-    same_row,
-    settle,
-    sized,
-    table,
+    RUN_CHARS, bytes_of, fresh, identified, lean, prepare, rows_of, same_row, settle, sized, table,
     with_fields,
 )
 
@@ -129,7 +120,7 @@ def _chunk_hashes(rows: DataFrame, key: str, rid: str, text: str, runs: bool) ->
                 names=["r_key", "r_rid", "chunk", "lines", "hash"])
 
     return rows.select(key, rid, text).mapInArrow(
-        emit, f"r_key {kind}, r_rid long, chunk int, lines int, hash binary")
+        lean(emit), f"r_key {kind}, r_rid long, chunk int, lines int, hash binary")
 
 
 def _unequal(rows: DataFrame, text: str, hits: str, brief: bool) -> DataFrame:
@@ -173,7 +164,7 @@ def _unequal(rows: DataFrame, text: str, hits: str, brief: bool) -> DataFrame:
                                           names=["hash", "content"])
 
     # Of equal hashes the least and the greatest content must be the same.
-    return (rows.where(F.col(hits).isNotNull()).select(text, hits).mapInArrow(emit, "hash binary, content binary")
+    return (rows.where(F.col(hits).isNotNull()).select(text, hits).mapInArrow(lean(emit), "hash binary, content binary")
             .groupBy("hash").agg(F.min("content").alias("least"), F.max("content").alias("most"))
             .where(F.col("least") != F.col("most")).select("hash"))
 
@@ -234,7 +225,7 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
                                              names=[*names, "n_lines", "n_removed"])
 
-    out = joined.mapInArrow(remove, with_fields(joined, n_lines="long", n_removed="long")).drop(rid, hits)
+    out = joined.mapInArrow(lean(remove), with_fields(joined, n_lines="long", n_removed="long")).drop(rid, hits)
     return out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))) if drop_emptied else out
 
 

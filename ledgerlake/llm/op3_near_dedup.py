@@ -33,7 +33,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.base import BROADCAST_ROWS, bytes_of, fresh, identified, prepare, rows_of, settle, sized, table
+from ledgerlake.llm.base import (
+    BROADCAST_ROWS, bytes_of, fresh, identified, lean, prepare, rows_of, settle, sized, table,
+)
 from ledgerlake.llm.graph import components
 from ledgerlake.llm.shingles import FUNCTIONS, ROOTS, shingles, similar, sketches
 
@@ -67,7 +69,7 @@ def _sets(rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
                 names=["r_key", "r_rid", "n_shingles", "signature", "sketch", "roots"])
 
     return rows.select(key, rid, text).mapInArrow(
-        emit, f"r_key {kind}, r_rid long, n_shingles long, signature binary, sketch binary, roots binary")
+        lean(emit), f"r_key {kind}, r_rid long, n_shingles long, signature binary, sketch binary, roots binary")
 
 
 def _root_paths(classes: DataFrame, levels: int, trees: int, *carried: str) -> DataFrame:
@@ -90,7 +92,7 @@ def _root_paths(classes: DataFrame, levels: int, trees: int, *carried: str) -> D
                 names=["path", "id", *carried])
 
     return classes.select("roots", "id", *carried).mapInArrow(
-        emit, "path long, id long" + "".join(f", {c} long" for c in carried))
+        lean(emit), "path long, id long" + "".join(f", {c} long" for c in carried))
 
 
 def _step(path: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -125,7 +127,7 @@ def _branch(nodes: DataFrame) -> DataFrame:
                 [pa.array(path.view(np.int64)), batch.column(1).take(index), batch.column(2).take(index)],
                 names=["path", "id", "label"])
 
-    return nodes.select("path", "id", "label", "sketch").mapInArrow(emit, "path long, id long, label long")
+    return nodes.select("path", "id", "label", "sketch").mapInArrow(lean(emit), "path long, id long, label long")
 
 
 def _compare(nodes: DataFrame, percent: int) -> DataFrame:
@@ -182,7 +184,7 @@ def _compare(nodes: DataFrame, percent: int) -> DataFrame:
                                                   pa.array(more)], names=["a", "b", "more"])
 
     return (nodes.select("path", "id", "label", "sketch", "size").repartition("path").sortWithinPartitions("path")
-            .mapInArrow(emit, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
+            .mapInArrow(lean(emit), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
 def _with_end(batches):
@@ -233,7 +235,7 @@ def _link(nodes: DataFrame, percent: int) -> DataFrame:
                                                  names=["a", "b"])
 
     return (nodes.select("path", "id", "label", "size", "sketch", "elements").repartition("path")
-            .sortWithinPartitions("path").mapInArrow(emit, "a long, b long").distinct())
+            .sortWithinPartitions("path").mapInArrow(lean(emit), "a long, b long").distinct())
 
 
 def _full_sets(wanted: DataFrame, rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
@@ -247,7 +249,7 @@ def _full_sets(wanted: DataFrame, rows: DataFrame, key: str, rid: str, text: str
                 [batch.column(0), pa.array([shingles(t).tobytes() for t in bytes_of(batch.column(1))], pa.binary())],
                 names=["id", "elements"])
 
-    return found.mapInArrow(emit, "id long, elements binary").dropDuplicates(["id"])
+    return found.mapInArrow(lean(emit), "id long, elements binary").dropDuplicates(["id"])
 
 
 def _nodes(state: DataFrame) -> DataFrame:
@@ -330,7 +332,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame, key: str, ri
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    return both.mapInArrow(emit, "a long, b long").distinct()
+    return both.mapInArrow(lean(emit), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.automaton import WORDS, Automaton, words_of
-from ledgerlake.llm.base import bytes_of, prepare, settle, table, with_fields
+from ledgerlake.llm.base import bytes_of, lean, prepare, settle, table, with_fields
 
 WINDOW = 10
 #: Documents of which a larger share of words is hit are dropped as a whole.
@@ -82,7 +82,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id
     for k, part in enumerate(_blocks(items, item_id, item_text, block_bytes)):
         if k:
             found = settle(found, "leaks")
-        found = found.mapInArrow(scanner(part), schema)
+        found = found.mapInArrow(lean(scanner(part)), schema)
     return found
 
 
@@ -130,7 +130,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text", cove
                 batch = batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
             yield batch
 
-    return kept.mapInArrow(cut, schema).select(*columns)
+    return kept.mapInArrow(lean(cut), schema).select(*columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

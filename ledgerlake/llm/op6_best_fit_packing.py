@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.base import fresh, prepare, rows_of, settle, table, texts_of, with_fields
+from ledgerlake.llm.base import fresh, lean, prepare, rows_of, settle, table, texts_of, with_fields
 from ledgerlake.llm.bpe import ByteBpe
 from ledgerlake.llm.op1_token_counts import vocabulary
 from ledgerlake.llm.packing import complete
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text
                     pa.array([raw[a:a + 4 * m] for a, m in zip(at.tolist(), length.tolist())], pa.binary()),
                 ], names=[key, "piece", "start", "length", "ids"])
 
-    return docs.select(key, text).mapInArrow(cut, schema)
+    return docs.select(key, text).mapInArrow(lean(cut), schema)
 
 
 def pack(items: DataFrame, *, length: str = "length", capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
