@@ -128,11 +128,10 @@ def _charge_versions(spark, sf_dir) -> DataFrame:
 def _(spark, sf_dir):
     """Two loads upserted in the wrong order, then one of them once more."""
     rows = _charge_versions(spark, sf_dir)
-    table = Table(spark, work_dir(spark, "s4"), part_by="created_date", grain="year",
-                  cluster_by=("created_date", "id"))
+    table = Table(spark, work_dir(spark, "s4"), keys=["id"], cluster_by=("created_date", "id"))
     second, first = rows.filter("ingestion_run_id = 'run-2'"), rows.filter("ingestion_run_id = 'run-1'")
     for batch in (second, first, second):
-        table.upsert(batch, ["id"], ("loaded_at", "ingestion_run_id"))
+        table.upsert(batch, ("loaded_at", "ingestion_run_id"))
     return table.read()
 
 
@@ -178,9 +177,9 @@ def _(spark, sf_dir):
     """Three upserts into one table, each with other columns; the last ones stay."""
     rows = raw(spark, sf_dir, "customers").withColumn(
         "version", F.concat("id", F.lit("@"), F.col("loaded_at").cast("date").cast("string")))
-    table = Table(spark, work_dir(spark, "s8s"))
+    table = Table(spark, work_dir(spark, "s8s"), keys=["version"], buckets=4)
     for day, column in ((1, "name"), (2, "email"), (3, "balance")):
-        table.upsert(at_load(rows, day).select("version", column, "loaded_at"), ["version"], ("loaded_at",))
+        table.upsert(at_load(rows, day).select("version", column, "loaded_at"), ("loaded_at",))
     return table.read()
 
 
@@ -497,7 +496,7 @@ def _(spark, sf_dir):
     """The newest day arrives first; the order of arrival leaves no trace."""
     root = work_dir(spark, "t3")
     w = warehouse(spark, sf_dir)
-    target = Table(spark, f"{root}/silver/charges", part_by="created_date", grain="year")
+    target = Table(spark, f"{root}/silver/charges", keys=["charge_id"])
     charges = raw(spark, sf_dir, "charges")
     for day in (5, 2, 1):
         landing.write_landing(at_load(charges, day), root, "charges", f"run-{day}", dt.date(2024, 2, day))
@@ -505,7 +504,7 @@ def _(spark, sf_dir):
         loads.stream_upsert(
             align_to_schema(stream, RAW["charges"]),
             lambda batch: silver.stg_charges(bronze.brz_stripe_charges(batch), w.rates),
-            target, ["charge_id"], f"{root}/checkpoint", ("loaded_at", "ingestion_run_id"))
+            target, f"{root}/checkpoint", ("loaded_at", "ingestion_run_id"))
     return target.read()
 
 
@@ -535,7 +534,7 @@ _SEED = 1577836800  # 2020-01-01
     f" UNION ALL SELECT 'invoices', {_SEED} UNION ALL SELECT 'unknown', 0"))
 def _(spark, sf_dir):
     """Seeded, advanced to what was loaded (never back), and read again."""
-    table = Table(spark, work_dir(spark, "q8"))
+    table = control.control_table(spark, work_dir(spark, "q8"))
     table.replace(control.control_seed(spark))
     reached = None
     for entity in _MARKED:

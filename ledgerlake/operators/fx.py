@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.money import RATE, rate_or_one
-from ledgerlake.operators.dedup import LOAD_ORDER, dedup_latest
+from ledgerlake.operators.dedup import latest_values
 from ledgerlake.operators.lookup import Lookup
 
 
 def daily_rates(brz_fx: DataFrame) -> DataFrame:
     """One rate to USD per currency and day: the one loaded last."""
     usd = brz_fx.filter(F.col("to_currency") == "USD")
-    latest = dedup_latest(usd, ["from_currency", "rate_date"], LOAD_ORDER)
+    latest = latest_values(usd, ["from_currency", "rate_date"], ["rate"])
     return latest.select("from_currency", "rate_date", F.col("rate").cast(RATE).alias("rate"))
 
 

@@ -11,37 +11,36 @@ from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 FIXED_WIDTH = 16
-SALTS = 32
-
 
 class Lookup:
     """A side table with unique keys and a measured size.
 
     It is broadcast only while its measured size stays under the limit. Beyond that it
     is joined by shuffle, with the fact rows of each key spread over ``salts`` tasks and
-    the side table repeated once per salt, so that a hot key never meets a single task.
+    the side table repeated once per salt, so that a hot key never meets a single task. There
+    are more salts the smaller the side is, so that its copies stay within ``salted_bytes``.
     ``bytes_bound`` skips the measurement where a bound is already proven.
     """
 
     def __init__(self, frame: DataFrame, keys: Sequence[str], bytes_bound: int | None = None,
-                 limit: int = BROADCAST_LIMIT_BYTES, salts: int = SALTS):
+                 limit: int = BROADCAST_LIMIT_BYTES, salts: int | None = None,
+                 salted_bytes: int = 64 * BROADCAST_LIMIT_BYTES):
         self.frame = frame
         self.keys = list(keys)
         self.limit = limit
-        self.salts = salts
+        self._salts = salts
+        self.salted_bytes = salted_bytes
         self._bound = bytes_bound
 
     @cached_property
     def size(self) -> int:
         """Upper bound of the size in bytes; one aggregation if none was given."""
-        if self._bound is not None:
-            return self._bound
-        width = F.lit(0)
-        for field in self.frame.schema.fields:
-            width = width + FIXED_WIDTH
-            if isinstance(field.dataType, T.StringType):
-                width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-        return self.frame.agg(F.sum(width.cast("long"))).first()[0] or 0
+        return measured_bytes(self.frame) if self._bound is None else self._bound
+
+    @property
+    def salts(self) -> int:
+        """How often the side is repeated where it is not broadcast: 2 to 64 times."""
+        return self._salts or min(64, max(2, self.salted_bytes // max(self.size, 1)))
 
     @property
     def fits(self) -> bool:
@@ -66,6 +65,30 @@ class Lookup:
         return salted.join(repeated, match, "left").select(*kept)
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Upper bound of the size of ``df`` in memory, by one aggregation."""
+    width = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        width = width + FIXED_WIDTH
+        if isinstance(field.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
+def semi_join(rows: DataFrame, keys: DataFrame, on: Mapping[str, str],
+              limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """The ``rows`` whose columns ``on`` occur among the given columns of ``keys``, NULL like any value.
+
+    The keys are broadcast if their measured size stays below the limit, else shuffled; hot
+    keys of ``rows`` are split then by adaptive execution.
+    """
+    names = {column: f"_m{n}" for n, column in enumerate(on)}
+    wanted = keys.select(*(F.col(on[c]).alias(names[c]) for c in on)).distinct()
+    if measured_bytes(wanted) <= limit:
+        wanted = F.broadcast(wanted)
+    return rows.join(wanted, [F.col(c).eqNullSafe(F.col(names[c])) for c in on], "left_semi")
+
+
 def join_large(facts: DataFrame, side: DataFrame, key: str, side_key: str,
                take: Mapping[str, str], spread_by: str) -> DataFrame:
     """Left join to a side table that may be as large as the facts.

@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.columns import (
     epoch_date, epoch_timestamp, flag, is_true, lowered, uppered,
 )
+from ledgerlake.operators.dedup import ROW_HASH
 
 LOADED = ("source_file", "ingestion_run_id", "load_mode", "loaded_at")
 
+
+def _loaded(raw: DataFrame) -> list[str]:
+    """The load columns, and the stored hash of the row where the table has it."""
+    return [*LOADED, *(c for c in raw.columns if c == ROW_HASH)]
+
+
 # The payload fields the charge model reads; everything is text until cast.
 CHARGE_PAYLOAD = """
     customer string, invoice string, payment_intent string, payment_method string,
@@ -39,7 +46,7 @@ def brz_fx_rates(raw: DataFrame) -> DataFrame:
         uppered(F.col("to_currency")).alias("to_currency"),
         "rate",
         "source",
-        *LOADED,
+        *_loaded(raw),
     )
 
 
@@ -54,7 +61,7 @@ def brz_stripe_balance_transactions(raw: DataFrame) -> DataFrame:
         lowered(F.col("reporting_category"), "unknown").alias("reporting_category"),
         F.col("source").alias("source_id"),
         "description",
-        *LOADED,
+        *_loaded(raw),
     )
 
 
@@ -89,7 +96,7 @@ def brz_stripe_charges(raw: DataFrame) -> DataFrame:
         card["last4"].alias("card_last4"),
         card["exp_month"].try_cast("long").alias("card_exp_month"),
         card["exp_year"].try_cast("long").alias("card_exp_year"),
-        *LOADED,
+        *_loaded(raw),
     )
 
 
@@ -104,7 +111,7 @@ def brz_stripe_customers(raw: DataFrame) -> DataFrame:
         uppered(F.col("address_country"), "UNKNOWN").alias("billing_country"),
         "address_city", "address_line1", "address_postal_code", "delinquent", "balance",
         lowered(F.col("tax_exempt"), "none").alias("tax_exempt"),
-        *LOADED,
+        *_loaded(raw),
     )
 
 
@@ -125,7 +132,7 @@ def brz_stripe_disputes(raw: DataFrame) -> DataFrame:
         F.col("charge").alias("charge_id"),
         F.col("payment_intent").alias("payment_intent_id"),
         F.col("balance_transaction").alias("balance_transaction_id"),
-        *LOADED,
+        *_loaded(raw),
     )
 
 
@@ -143,7 +150,7 @@ def brz_stripe_invoice_line_items(raw: DataFrame) -> DataFrame:
         "plan_interval_count", "plan_amount", "price_id", "proration", "quantity",
         "subscription", "subscription_item",
         lowered(F.col("type"), "unknown").alias("line_item_type"),
-        *LOADED,
+        *_loaded(raw),
     )
 
 
@@ -163,7 +170,7 @@ def brz_stripe_payouts(raw: DataFrame) -> DataFrame:
         "failure_code", "failure_message",
         F.col("failure_balance_transaction").alias("failure_balance_transaction_id"),
         "description", "statement_descriptor", "source_type",
-        *LOADED,
+        *_loaded(raw),
     )
 
 
@@ -180,7 +187,7 @@ def brz_stripe_refunds(raw: DataFrame) -> DataFrame:
         "description", "receipt_number",
         F.col("failure_balance_transaction").alias("failure_balance_transaction_id"),
         lowered(F.col("failure_reason")).alias("failure_reason"),
-        *LOADED,
+        *_loaded(raw),
     )
 
 

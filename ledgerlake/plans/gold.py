@@ -18,7 +18,7 @@ from ledgerlake.functions.columns import (
     surrogate_key, title_case, weekday_from_sunday,
 )
 from ledgerlake.functions.money import MONEY, RATE
-from ledgerlake.operators.dedup import LOAD_ORDER, dedup_latest
+from ledgerlake.operators.dedup import LOAD_ORDER, latest_values
 from ledgerlake.operators.lookup import Lookup, join_large
 from ledgerlake.plans import labels
 
@@ -66,7 +66,7 @@ def dim_dates(spark: SparkSession, start: dt.date = CALENDAR_START, end: dt.date
 def dim_currencies(brz_fx: DataFrame, as_of: dt.date) -> DataFrame:
     """One row per currency with its latest rate; USD is always a member."""
     usd = brz_fx.filter(F.col("to_currency") == "USD")
-    latest = dedup_latest(usd, ["from_currency"], ("rate_date", *LOAD_ORDER)).select(
+    latest = latest_values(usd, ["from_currency"], ["rate", "rate_date"], ("rate_date", *LOAD_ORDER)).select(
         F.col("from_currency").alias("currency_code"),
         F.col("rate").cast(RATE).alias("latest_usd_rate"),
         F.col("rate_date").alias("latest_rate_date"),
@@ -157,12 +157,10 @@ def billing_cadence(interval: Column, count: Column) -> Column:
 
 def dim_plans(stg_lines: DataFrame) -> DataFrame:
     """One row per plan and price, taken from its latest recurring line."""
-    recurring = stg_lines.filter(F.col("is_recurring") & F.col("plan_id").isNotNull()).select(
-        "plan_id", "price_id", "plan_interval", "plan_interval_count", "currency",
-        "mrr_amount_usd", "loaded_at", "ingestion_run_id", "line_item_id",
-    )
-    latest = dedup_latest(recurring, ["plan_id", "price_id"],
-                          ("loaded_at", "ingestion_run_id", "line_item_id"))
+    recurring = stg_lines.filter(F.col("is_recurring") & F.col("plan_id").isNotNull())
+    latest = latest_values(recurring, ["plan_id", "price_id"],
+                           ["plan_interval", "plan_interval_count", "currency", "mrr_amount_usd"],
+                           ("loaded_at", "ingestion_run_id", "line_item_id"))
     price = F.col("mrr_amount_usd")
     return latest.select(
         surrogate_key(F.col("plan_id"), F.col("price_id")).alias("plan_key"),
@@ -300,7 +298,7 @@ def recurring_by_subscription(stg_lines: DataFrame) -> DataFrame:
 
 
 def subscription_customers(raw_subscriptions: DataFrame) -> DataFrame:
-    latest = dedup_latest(raw_subscriptions, ["id"])
+    latest = latest_values(raw_subscriptions, ["id"], ["customer"])
     return latest.select(F.col("id").alias("subscription_id"), F.col("customer").alias("customer_id"))
 
 

@@ -15,8 +15,9 @@ from pyspark.sql.types import StructType
 from ledgerlake.operators.fx import rate_lookup
 from ledgerlake.operators.lookup import Lookup
 from ledgerlake.operators.quality import count_missing_rates, freshness, reconcile, run_checks
-from ledgerlake.plans import bronze, checks, gold, silver
-from ledgerlake.schemas import AUDIT, DAILY_ENTITIES, OPTIONAL_ENTITIES
+from ledgerlake.plans import bronze, checks, gold, increments, silver
+from ledgerlake.schemas import AUDIT, DAILY_ENTITIES, OPTIONAL_ENTITIES, RAW
+from ledgerlake.session import work_dir
 from ledgerlake.sources import control, files, landing
 from ledgerlake.sources.tables import Table
 from ledgerlake.streaming.loads import load_once
@@ -37,12 +38,9 @@ LAID_OUT_BY = {"stg_invoice_line_items": "period_start_date", "stg_customers_his
 CLUSTERED_BRONZE = ("balance_transactions", "charges", "refunds", "disputes", "payouts")
 DIMENSIONS = ("dim_customers", "dim_dates", "dim_currencies", "dim_geography",
               "dim_payment_category", "dim_plans")
-FACTS = ("fct_charges", "fct_refunds", "fct_disputes", "fct_payouts", "fct_transactions",
-         "fct_mrr_movements")
-AUDIT_TABLES = ("dbt_test_results", "reconciliation_results", "pipeline_runs", "source_freshness",
-                "ingestion_control")
-# States that readers of an older one may still use.
-KEPT_STATES = 5
+FACTS = tuple(increments.FACTS)
+AUDIT_TABLES = ("dbt_test_results", "reconciliation_results", "pipeline_runs", "source_freshness")
+LOAD_LOG = "load_number long, rows long, newest_loaded_at timestamp_ntz, newest_created timestamp_ntz"
 
 
 class GateFailed(RuntimeError):
@@ -62,8 +60,11 @@ class Lake:
     calendar_end: dt.date = gold.CALENDAR_END
     resolve_sources: bool = True
     concurrent_models: int = 4
+    # Hash buckets of each Silver table and fact, fixed when they are made: about their size over
+    # that of a file, say 1 GB.
+    buckets: int = 16
     dates_never_change: bool = False
-    # Schema of the landed files per entity; without one, the footers of all files are merged.
+    # Schema of the landed files of an entity where it is not the declared one.
     file_schemas: Mapping[str, StructType] = field(default_factory=dict)
     # Tests whose failure is reported but does not stop the run, by test name.
     tolerated: frozenset[str] = frozenset()
@@ -83,17 +84,19 @@ class Lake:
         # The key of a customer version holds its load time. The other dates are set once by
         # the source too, but only ``dates_never_change`` says that this may be relied on.
         fixed = self.dates_never_change or name == "stg_customers_history"
-        return Table(self.spark, f"{self.root}/silver/{name}", part_by=day, grain=self.grain,
-                     cluster_by=(day, key), part_from_key=fixed)
+        return Table(self.spark, f"{self.root}/silver/{name}", keys=[key], buckets=self.buckets,
+                     part_by=day if fixed else None, grain=self.grain, cluster_by=(day, key))
 
     def gold(self, name: str) -> Table:
-        if name in FACTS:
-            cluster = (LAID_OUT_BY.get(name, "created_date"),)
-        else:
-            cluster = ()
-        return Table(self.spark, f"{self.root}/gold/{name}", cluster_by=cluster)
+        path = f"{self.root}/gold/{name}"
+        if name not in FACTS:
+            return Table(self.spark, path)
+        return Table(self.spark, path, keys=[increments.FACTS[name][0]], buckets=self.buckets,
+                     cluster_by=(LAID_OUT_BY.get(name, "created_date"),))
 
     def audit(self, name: str) -> Table:
+        if name == "ingestion_control":
+            return control.control_table(self.spark, f"{self.root}/audit/{name}")
         return Table(self.spark, f"{self.root}/audit/{name}")
 
     def checkpoint(self, name: str) -> str:
@@ -111,17 +114,49 @@ class Lake:
 
 # --- load -------------------------------------------------------------------------------
 
-def load_raw(lake: Lake) -> None:
-    """Load every landed file not loaded before. Only optional entities may be absent."""
-    def one(entity: str) -> None:
+def load_raw(lake: Lake) -> int:
+    """Load every landed file not loaded before. Only optional entities may be absent.
+
+    What was seen while writing a load is noted beside it. Returns how many rows came.
+    """
+    def one(entity: str) -> int:
         path = landing.entity_path(lake.root, entity)
         required = entity not in OPTIONAL_ENTITIES
         if required and not files.has_files(lake.spark, path) and not lake.raw(entity).exists():
             raise FileNotFoundError(f"nothing landed for {entity}: {path}")
+        loaded: list[tuple[int, dict]] = []
         load_once(lake.spark, path, entity, lake.raw(entity), lake.checkpoint(f"load_{entity}"),
                   lake.audit(f"rejects/{entity}"), lake.run_id, lake.as_of,
-                  file_schema=lake.file_schemas.get(entity))
-    lake.in_parallel(one, lake.entities)
+                  file_schema=lake.file_schemas.get(entity, RAW[entity]), note=lambda n, seen: loaded.append((n, seen)))
+        log = lake.audit(f"loads/{entity}")
+        for number, seen in loaded:
+            created = seen["newest_created"]
+            if isinstance(created, int):
+                created = dt.datetime.fromtimestamp(created, dt.timezone.utc).replace(tzinfo=None)
+            elif isinstance(created, dt.date):
+                created = dt.datetime(created.year, created.month, created.day)
+            row = (number, seen["rows"], seen["newest_loaded_at"], created)
+            log.append(lake.spark.createDataFrame([row], LOAD_LOG).coalesce(1), number)
+        return sum(seen["rows"] for _, seen in loaded)
+    return sum(lake.in_parallel(one, lake.entities))
+
+
+def load_log(lake: Lake, entity: str) -> DataFrame:
+    """One row for each load of an entity: its rows, its newest load and creation times.
+
+    A load that a crash kept from being noted is read for it.
+    """
+    raw, log = lake.raw(entity), lake.audit(f"loads/{entity}")
+    noted = log.read_or_none()
+    rest, last = raw.loaded_since(log.last()) if raw.exists() else (None, -1)
+    parts = [] if noted is None else [noted]
+    if rest is not None:
+        created = "rate_date" if entity == "fx_rates" else "created"
+        newest = F.max(created) if created in rest.columns else F.lit(None)
+        newest = newest.cast("timestamp_ntz") if entity == "fx_rates" else F.timestamp_seconds(newest).cast("timestamp_ntz")
+        parts.append(rest.agg(F.lit(last).cast("long").alias("load_number"), F.count(F.lit(1)).alias("rows"),
+                              F.max("loaded_at").alias("newest_loaded_at"), newest.alias("newest_created")))
+    return reduce(DataFrame.unionByName, parts, lake.spark.createDataFrame([], LOAD_LOG))
 
 
 def collect_rejects(lake: Lake) -> DataFrame:
@@ -133,10 +168,10 @@ def collect_rejects(lake: Lake) -> DataFrame:
 
 
 def source_freshness(lake: Lake) -> DataFrame:
-    """Age of the newest load of each source, from the time its table noted while writing."""
+    """Age of the newest load of each source, from the times noted while loading."""
     def age(entity: str) -> DataFrame:
-        newest = lake.spark.createDataFrame([(lake.raw(entity).newest(),)], "loaded_at timestamp_ntz")
-        return freshness(newest, entity, lake.as_of, *checks.FRESHNESS[entity])
+        return freshness(load_log(lake, entity), entity, lake.as_of, *checks.FRESHNESS[entity],
+                         loaded_at="newest_loaded_at")
     return reduce(DataFrame.unionByName, [age(e) for e in lake.entities if checks.FRESHNESS[e]])
 
 
@@ -148,45 +183,47 @@ def record_freshness(lake: Lake) -> None:
 
 
 def maintain(lake: Lake) -> None:
-    """Merge the folders of appended tables and delete what no recent state names.
+    """Rewrite single loads of appended tables together and delete folders that others stand for.
 
-    RAW and Bronze are merged only as far as the next layer has read them.
+    RAW and Bronze are rewritten only as far as the layers that read them by load have done so.
     """
-    readers = {e: [n for n, (source, _) in SILVER.items() if source == e] for e in lake.entities}
-
     def one(entity: str) -> None:
         raw = lake.raw(entity)
+        facts = [lake.gold(f).applied(entity) for f, (_, used) in increments.FACTS.items() if entity in used]
         if entity in bronze.MODELS:
             target = lake.bronze(entity)
-            raw.compact(target.applied(f"raw:{entity}"))
-            taken = [lake.silver(n).applied(f"bronze:{entity}") for n in readers[entity]]
-            target.compact(min(taken, default=None))
-            target.drop_unused(KEPT_STATES)
+            raw.compact(target.applied())
+            taken = [lake.silver(n).applied() for n, (source, _) in SILVER.items() if source == entity]
+            target.compact(min([*taken, *facts], default=None))
+            target.drop_replaced()
         else:
-            raw.compact()
-        raw.drop_unused(KEPT_STATES)
-        rejects = lake.audit(f"rejects/{entity}")
-        rejects.compact()
-        rejects.drop_unused(KEPT_STATES)
+            raw.compact(min(facts, default=None))
+        for table in (raw, lake.audit(f"rejects/{entity}"), lake.audit(f"loads/{entity}")):
+            if table is not raw:
+                table.compact()
+            table.drop_replaced()
 
     lake.in_parallel(one, lake.entities)
     for table in (*(lake.silver(n) for n in SILVER), *(lake.gold(n) for n in (*DIMENSIONS, *FACTS)),
                   *(lake.audit(n) for n in AUDIT_TABLES)):
         table.compact()
-        table.drop_unused(KEPT_STATES)
+        table.drop_replaced()
 
 
 # --- layers -----------------------------------------------------------------------------
 
-def build_bronze(lake: Lake) -> None:
-    """Append what RAW committed since Bronze last took from it."""
-    def one(entity: str) -> None:
-        target, source = lake.bronze(entity), f"raw:{entity}"
-        new, reached = lake.raw(entity).committed_since(target.applied(source))
-        if new is not None:
-            target.append(bronze.MODELS[entity][1](new), batch=(source, reached))
-    lake.in_parallel(one, [e for e in lake.entities if e in bronze.MODELS])
+def build_bronze(lake: Lake) -> int:
+    """Append what RAW loaded since Bronze last took from it. Returns how many rows."""
+    def one(entity: str) -> int:
+        target = lake.bronze(entity)
+        new, reached = lake.raw(entity).loaded_since(target.applied())
+        if new is None:
+            return 0
+        target.append(bronze.MODELS[entity][1](new), reached) if reached > 0 else target.replace(bronze.MODELS[entity][1](new))
+        return target.rows_written
+    rows = sum(lake.in_parallel(one, [e for e in lake.entities if e in bronze.MODELS]))
     lake.__dict__.pop("rates", None)  # rates may have come
+    return rows
 
 
 def silver_rows(lake: Lake, name: str, brz: DataFrame) -> DataFrame:
@@ -199,20 +236,24 @@ def silver_rows(lake: Lake, name: str, brz: DataFrame) -> DataFrame:
 
 
 def build_silver(lake: Lake, names: Iterable[str] = tuple(SILVER)) -> None:
-    """Upsert what Bronze committed since Silver last took from it."""
+    """Upsert what Bronze loaded since Silver last took from it."""
     _ = lake.rates.size  # measured once, before the models share it
 
     def one(name: str) -> None:
-        entity, key = SILVER[name]
         target = lake.silver(name)
-        source = f"bronze:{entity}"
-        new, reached = lake.bronze(entity).committed_since(target.applied(source))
+        new, reached = lake.bronze(SILVER[name][0]).loaded_since(target.applied())
         if new is not None:
-            target.upsert(silver_rows(lake, name, new), [key], ("loaded_at", "ingestion_run_id"),
-                          batch=(source, reached))
+            target.upsert(silver_rows(lake, name, new), ("loaded_at", "ingestion_run_id"), batch=reached)
     lake.in_parallel(one, names)
 
 
+def _facts_start_anew(lake: Lake, name: str) -> None:
+    """Silver rows changed without a load: the facts that read them are built whole next time."""
+    for fact, (_, entities) in increments.FACTS.items():
+        if SILVER[name][0] in entities:
+            lake.gold(fact).forget()
+
+
 def rebuild_silver(lake: Lake, name: str) -> None:
     """Full refresh of one Silver table from all of Bronze."""
     brz = lake.bronze(SILVER[name][0]).read()
@@ -220,6 +261,7 @@ def rebuild_silver(lake: Lake, name: str) -> None:
         lake.silver(name).replace(silver.stg_customers_history(brz))
     else:
         lake.silver(name).replace(silver_rows(lake, name, brz))
+    _facts_start_anew(lake, name)
 
 
 def restate_rates(lake: Lake, name: str, days: DataFrame) -> None:
@@ -228,7 +270,7 @@ def restate_rates(lake: Lake, name: str, days: DataFrame) -> None:
     For rates that arrived after the facts they apply to. The days are few; the rows are
     found by a semi join on them.
     """
-    entity, key = SILVER[name]
+    entity = SILVER[name][0]
     lake.__dict__.pop("rates", None)  # the late rates must count
     day = "period_start_date" if name == "stg_invoice_line_items" else "created_date"
     first, last = days.agg(F.min("rate_date"), F.max("rate_date")).first()
@@ -237,10 +279,12 @@ def restate_rates(lake: Lake, name: str, days: DataFrame) -> None:
     brz = lake.bronze(entity).read().filter(F.col(day).between(F.lit(first), F.lit(last)))
     late = days.select(F.col("from_currency").alias("_ccy"), F.col("rate_date").alias("_day")).distinct()
     hit = brz.join(late, (F.upper("currency") == F.col("_ccy")) & (F.col(day) == F.col("_day")), "left_semi")
-    lake.silver(name).upsert(silver_rows(lake, name, hit), [key], ("loaded_at", "ingestion_run_id"))
+    lake.silver(name).upsert(silver_rows(lake, name, hit), ("loaded_at", "ingestion_run_id"))
+    _facts_start_anew(lake, name)
 
 
-def build_gold(lake: Lake) -> None:
+def build_gold(lake: Lake, whole: bool = False) -> None:
+    """Dimensions anew, facts by what changed since they were last built, or ``whole``."""
     stg = {name: lake.silver(name).read() for name in SILVER}
     history, lines = stg["stg_customers_history"], stg["stg_invoice_line_items"]
     dimensions = {
@@ -273,7 +317,32 @@ def build_gold(lake: Lake) -> None:
         "fct_mrr_movements": lambda: gold.fct_mrr_movements(
             lines, lake.raw("subscriptions").read(), lake.as_of),
     }
-    lake.in_parallel(lambda n: lake.gold(n).replace(facts[n]()), facts)
+
+    # A fact may take no more than Silver has.
+    reached = {e: lake.silver(n).applied() for n, (e, _) in SILVER.items()}
+    reached["subscriptions"] = lake.raw("subscriptions").last()
+
+    def loads(entity: str) -> Table:
+        return lake.bronze(entity) if entity in bronze.MODELS else lake.raw(entity)
+
+    scratch = work_dir(lake.spark, "increments")
+    sources = increments.Sources(
+        lake.silver, lambda entity, load: loads(entity).loaded_since(load)[0], lambda entity: loads(entity).read(),
+        customers, dates, currencies, lake.resolve_sources, lake.as_of, scratch)
+
+    def one(name: str) -> None:
+        target, used = lake.gold(name), increments.FACTS[name][1]
+        taken = {e: target.applied(e) for e in used}
+        if whole or not target.exists() or min(taken.values()) < 0:
+            target.replace(facts[name]())
+        elif found := increments.changes(sources, name, target.read(), taken.__getitem__):
+            target.swap(*found)
+        for entity in used:
+            target.took(reached[entity], entity)
+    try:
+        lake.in_parallel(one, facts)
+    finally:
+        files.remove(lake.spark, scratch)
 
 
 # --- gates ------------------------------------------------------------------------------
@@ -312,21 +381,19 @@ def reconcile_run(lake: Lake) -> DataFrame:
 
 
 def advance(lake: Lake) -> None:
-    """Move each watermark to the newest creation time loaded."""
+    """Move each watermark to the newest creation time loaded, as noted while loading.
+
+    Invoice lines are as new as their invoices, which is also what ingest holds them against.
+    """
     table = lake.audit("ingestion_control")
     if not table.exists():
         table.replace(control.control_seed(lake.spark))
     reached = []
     for entity in lake.entities:
-        rows = lake.raw(entity).read()
-        if entity == "fx_rates":
-            midnight = F.unix_seconds(F.col("rate_date").cast("timestamp"))
-            reached.append(control.loaded_watermark(
-                rows.select(midnight.alias("created")), "rates", source="fx"))
-        elif "created" in rows.columns:
-            reached.append(control.loaded_watermark(rows, entity))
-        else:  # invoice lines carry no creation time of their own
-            reached.append(control.loaded_watermark(rows, entity, created="period_start"))
+        noted = load_log(lake, "invoices" if entity == "invoice_line_items" else entity)
+        source, name = ("fx", "rates") if entity == "fx_rates" else ("stripe", entity)
+        reached.append(noted.agg(F.max("newest_created").alias("last_successful_watermark")).select(
+            F.lit(source).alias("source_name"), F.lit(name).alias("entity_name"), "last_successful_watermark"))
     control.advance_watermarks(table, reduce(DataFrame.unionByName, reached), lake.run_id, lake.as_of)
 
 
@@ -350,9 +417,10 @@ def run_daily(lake: Lake) -> DataFrame:
     outcome: dict[str, object] = {}
     entries: list[DataFrame] = []
 
-    def log(task: str, started: dt.datetime, error: str | None = None) -> None:
+    def log(task: str, started: dt.datetime, rows: object = None, error: str | None = None) -> None:
         entries.append(control.run_entry(
-            lake.spark, lake.run_id, task, "failed" if error else "success", started, _now(), error=error))
+            lake.spark, lake.run_id, task, "failed" if error else "success", started, _now(),
+            rows=rows if isinstance(rows, int) else None, error=error))
 
     try:
         for task, work in stages:
@@ -360,9 +428,9 @@ def run_daily(lake: Lake) -> DataFrame:
             try:
                 outcome[task] = work()
             except Exception as err:
-                log(task, started, str(err))
+                log(task, started, error=str(err))
                 raise
-            log(task, started)
+            log(task, started, outcome[task])
     finally:
         control.record(lake.audit("pipeline_runs"), "pipeline_runs",
                        reduce(DataFrame.unionByName, entries))

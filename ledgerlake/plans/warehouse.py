@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.dedup import dedup_latest
+from ledgerlake.operators.dedup import latest_values
 from ledgerlake.operators.fx import rate_lookup
 from ledgerlake.operators.lookup import FIXED_WIDTH, Lookup
 from ledgerlake.plans import bronze, gold, silver
@@ -76,17 +76,17 @@ class Warehouse:
 
     @cached_property
     def charge_owners(self) -> DataFrame:
-        return dedup_latest(self.bronze("charges"), ["id"]).select(
+        return latest_values(self.bronze("charges"), ["id"], ["customer_id", "created_date"]).select(
             F.col("id").alias("charge_id"), "customer_id", "created_date")
 
     @cached_property
     def refund_charges(self) -> DataFrame:
-        return dedup_latest(self.bronze("refunds"), ["id"]).select(
+        return latest_values(self.bronze("refunds"), ["id"], ["charge_id"]).select(
             F.col("id").alias("refund_id"), "charge_id")
 
     @cached_property
     def dispute_charges(self) -> DataFrame:
-        return dedup_latest(self.bronze("disputes"), ["id"]).select(
+        return latest_values(self.bronze("disputes"), ["id"], ["charge_id"]).select(
             F.col("id").alias("dispute_id"), "charge_id")
 
     @cached_property

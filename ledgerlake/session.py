@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -67,3 +68,11 @@ def materialize(df: DataFrame, path: str, spark: SparkSession | None = None) ->
     """
     df.write.parquet(path)
     return (spark or df.sparkSession).read.schema(df.schema).parquet(path)
+
+
+def observed(seen: Observation, default: dict) -> dict:
+    """What was observed during a write; ``default`` where its plan turned out to be empty."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return default

@@ -16,6 +16,11 @@ from ledgerlake.sources.tables import Table
 CONTROL_KEYS = ("source_name", "entity_name")
 
 
+def control_table(spark: SparkSession, path: str) -> Table:
+    """The watermark table: a row for each entity."""
+    return Table(spark, path, keys=CONTROL_KEYS, buckets=1)
+
+
 def control_seed(spark: SparkSession) -> DataFrame:
     """The watermark table before the first run."""
     rows = [(source, entity, strategy) for (source, entity), strategy in LOAD_STRATEGIES.items()]
@@ -60,7 +65,7 @@ def advanced(control: DataFrame, reached: DataFrame, run_id: str, now: dt.dateti
 
 
 def advance_watermarks(control: Table, reached: DataFrame, run_id: str, now: dt.datetime) -> None:
-    control.upsert(advanced(control.read(), reached, run_id, now), CONTROL_KEYS, order=())
+    control.upsert(advanced(control.read(), reached, run_id, now), order=())
 
 
 def shaped(rows: DataFrame, table: str) -> DataFrame:

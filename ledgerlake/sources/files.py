@@ -47,18 +47,19 @@ def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(text)
 
 
-def create_json(spark: SparkSession, path: str, value: dict) -> None:
-    """Create the file in one step; fails if it exists, so two writers cannot both win."""
-    fs, target, draft = _fs(spark, path), _path(spark, path), _path(spark, path + ".draft")
-    if fs.exists(target):
-        raise FileExistsError(path)
-    stream = fs.create(draft, True)
+def write_json(spark: SparkSession, path: str, value: object) -> None:
+    """Write the file in place of an older one."""
+    stream = _fs(spark, path).create(_path(spark, path), True)
     try:
         stream.write(bytearray(json.dumps(value).encode()))
     finally:
         stream.close()
-    if not fs.rename(draft, target):
-        raise FileExistsError(path)
+
+
+def finished(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path`` that a Spark write has finished."""
+    found = _fs(spark, path).globStatus(_path(spark, f"{path}/*/_SUCCESS"))
+    return sorted(s.getPath().getParent().getName() for s in found or ())
 
 
 def set_modified(spark: SparkSession, path: str, time: dt.datetime) -> None:

@@ -1,18 +1,21 @@
-"""Parquet tables with append, full refresh and upsert.
-
-Every write goes to a new folder ``table_version=N``. A small state file then names the
-folders that make up the table, so readers see either the old or the new content and a
-failed or repeated job leaves no trace. One writer per table at a time.
-
-A state also tells in which state each folder's rows came, so that a reader of an appended
-table can take what was committed since it last looked, whatever the rows hold.
+"""Plain Parquet tables with append, full refresh and upsert.
+
+An appended table has one folder for each load, ``load=N``, or ``load=M-N`` for several that were
+rewritten together; a full refresh writes ``base=N``, which stands for all loads up to N. A folder
+counts once Spark has finished it (``_SUCCESS``), and one that lies within another no longer
+does, so a failed or repeated job leaves no trace. The number of a load is its identity: a batch
+that comes again finds its folder and is skipped.
+
+A keyed table deals its rows over hash buckets of the key, below a folder for each period where
+the key fixes the date. The buckets of a batch follow from its keys: an upsert reads and
+overwrites their folders and no others, with Spark's dynamic partition overwrite. One writer
+per table at a time. Formats with row-level MERGE are served by ``upsert_by_catalog``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,283 +23,277 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.dedup import LOAD_ORDER, dedup_latest
 from ledgerlake.operators.incremental import evolve
-from ledgerlake.session import materialize, work_dir
+from ledgerlake.operators.lookup import semi_join
+from ledgerlake.session import materialize, observed, work_dir
 from ledgerlake.sources import files
 
-PART = "table_part"
+PART, BUCKET = "table_part", "key_bucket"
 LOADED_AT = "loaded_at"
 GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 
 
-def _newest(state: dict) -> dt.datetime | None:
-    return dt.datetime.fromisoformat(state["newest"]) if state.get("newest") else None
-
-
-def _later(*times: dt.datetime | None) -> dt.datetime | None:
-    return max((t for t in times if t is not None), default=None)
-
-
 class Table:
     """A table at ``path``.
 
-    ``part_by`` names a date column and ``grain`` the length of a part; an upsert rewrites
-    only the parts it touches. ``cluster_by`` orders rows inside files, which keeps the
+    ``keys`` make it a keyed table of ``buckets`` buckets, which is fixed for its life: about its
+    size over that of a file. ``part_by`` names a date column that a key can never change, and
+    ``grain`` the length of a part. ``cluster_by`` orders rows inside files, which keeps the
     min/max statistics of those columns narrow; ``rebalance`` shuffles them together first.
-    ``part_from_key`` states that a key can never change its part, which spares an upsert
-    the scan of the stored keys.
     """
 
-    def __init__(self, spark: SparkSession, path: str, part_by: str | None = None,
-                 grain: str = "month", cluster_by: Sequence[str] = (), rebalance: bool = True,
-                 part_from_key: bool = False):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), buckets: int = 16,
+                 part_by: str | None = None, grain: str = "month", cluster_by: Sequence[str] = (),
+                 rebalance: bool = True):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keys = list(keys)
+        self.buckets = buckets
         self.part_by = part_by
         self.grain = grain
         self.cluster_by = list(cluster_by)
         self.rebalance = rebalance
-        self.part_from_key = part_from_key
-
-    # --- state --------------------------------------------------------------------------
-
-    def _state_number(self) -> int:
-        names = files.children(self.spark, f"{self.path}/_state")
-        return max((int(n[:-5]) for n in names if n.endswith(".json")), default=0)
-
-    def _state(self) -> dict | None:
-        number = self._state_number()
-        return files.read_json(self.spark, f"{self.path}/_state/{number:08d}.json") if number else None
-
-    def _commit(self, schema: T.StructType, folders: list[str], applied: dict,
-                newest: dt.datetime | None, since: dict | None = None, level: dict | None = None) -> None:
-        """``since``: the state in which a folder's rows came; by default this one for new folders."""
-        before = self._state() or {}
-        number = self._state_number() + 1
-        known = before.get("since", {}) | (since or {})
-        levels = before.get("level", {}) | (level or {})
-        files.create_json(self.spark, f"{self.path}/_state/{number:08d}.json", {
-            "schema": json.loads(schema.json()), "folders": folders, "applied": applied,
-            "newest": newest.isoformat() if newest else None,
-            "since": {f: known.get(f, number) for f in folders},
-            "level": {f: levels[f] for f in folders if levels.get(f)}})
+        self.rows_written = 0
+
+    # --- folders ------------------------------------------------------------------------
+
+    def _folders(self) -> list[tuple[int, int, str]]:
+        """(first load, last load, name) of the folders that make up the table."""
+        found = []
+        for name in files.finished(self.spark, self.path):
+            kind, _, numbers = name.partition("=")
+            first, _, last = numbers.partition("-")
+            found.append((-1 if kind == "base" else int(first), int(last or first), name))
+        # The widest of those that end at a load is the one that counts.
+        found.sort(key=lambda f: (-f[1], f[0]))
+        kept, reach = [], None
+        for first, last, name in found:
+            if reach is None or last < reach:
+                kept.append((first, last, name))
+                reach = first
+        return kept[::-1]
+
+    def last(self) -> int:
+        """The number of the newest load; -1 before the first."""
+        return max((last for _, last, _ in self._folders()), default=-1)
 
     def exists(self) -> bool:
-        return self._state_number() > 0
+        return bool(self._folders())
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromJson(self._state()["schema"])
+        return T.StructType.fromJson(files.read_json(self.spark, f"{self.path}/_schema.json"))
+
+    def _keep_schema(self, schema: T.StructType) -> None:
+        file = f"{self.path}/_schema.json"
+        plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+        if not files.exists(self.spark, file) or self.schema != plain:
+            files.write_json(self.spark, file, plain.jsonValue())
+
+    def applied(self, source: str = "") -> int:
+        """The number of the last batch taken (of one of several sources); -1 before the first."""
+        if not self.keys:
+            return self.last()
+        taken = (n.rpartition("=") for n in files.children(self.spark, f"{self.path}/_taken"))
+        return max((int(number) for name, _, number in taken if name == source), default=-1)
+
+    def took(self, batch: int | None, source: str = "") -> None:
+        """Note that a keyed table has taken a batch."""
+        if batch is not None:
+            files.write_json(self.spark, f"{self.path}/_taken/{source}={batch}", {})
+
+    def forget(self) -> None:
+        """Take no batch as taken: what is built on it starts anew."""
+        files.remove(self.spark, f"{self.path}/_taken")
 
     def newest(self) -> dt.datetime | None:
-        """The newest ``loaded_at`` ever written, noted while writing; None if there is none."""
-        state = self._state()
-        return _newest(state) if state else None
-
-    def applied(self, source: str) -> int:
-        """The number of the last batch taken from ``source``; -1 before the first."""
-        state = self._state()
-        return state["applied"].get(source, -1) if state else -1
+        """The newest ``loaded_at``; None if there is none."""
+        return self.read().agg(F.max(LOADED_AT)).first()[0] if self.exists() else None
 
     # --- read ---------------------------------------------------------------------------
 
-    def committed_since(self, number: int) -> tuple[DataFrame | None, int]:
-        """Rows committed after state ``number``, and the state they reach to.
-
-        For appended tables. What counts is when rows were committed here, not any time
-        inside them, so late rows and rows with equal times are neither lost nor read twice.
-        None if nothing came.
-        """
-        state = self._state()
-        if state is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        since = {f: state["since"][f] for f in state["folders"]}
-        new = [f for f in state["folders"] if since[f] > number]
-        if not new:
-            return None, number
-        rows = self._load(T.StructType.fromJson(state["schema"]), new).drop(PART)
-        return rows, max(since.values())
+    def _load(self, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        found = self.spark.read.schema(schema).parquet(*(f"{self.path}/{f}" for f in folders))
+        return found.select(*schema.names)
 
     def read(self) -> DataFrame:
-        state = self._state()
-        if state is None:
+        found = self._folders()
+        if not found:
             raise FileNotFoundError(f"no table at {self.path}")
-        return self._load(T.StructType.fromJson(state["schema"]), state["folders"]).drop(PART)
+        return self._load(self.schema, [name for _, _, name in found])
 
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
 
-    def _load(self, schema: T.StructType, folders: list[str]) -> DataFrame:
-        wanted = T.StructType([*schema.fields, T.StructField(PART, T.StringType())])
-        if not folders:
-            return self.spark.createDataFrame([], wanted)
-        declared = wanted if self.part_by else schema
-        found = (
-            self.spark.read.schema(declared)
-            .option("basePath", self.path)
-            .parquet(*(f"{self.path}/{f}" for f in folders))
-        )
-        if not self.part_by:
-            found = found.withColumn(PART, F.lit(""))
-        return found.select(*wanted.names)
+    def loaded_since(self, number: int) -> tuple[DataFrame | None, int]:
+        """The loads after ``number``, and the newest of them; None if there are none.
+
+        What counts is the load that rows came with, not any time inside them, so late rows and
+        rows with equal times are neither lost nor read twice.
+        """
+        found = self._folders()
+        if not found:
+            raise FileNotFoundError(f"no table at {self.path}")
+        new = [(last, name) for _, last, name in found if last > number]
+        if not new:
+            return None, number
+        return self._load(self.schema, [name for _, name in new]), new[-1][0]
+
+    def rows_of(self, keys: DataFrame) -> DataFrame:
+        """The rows whose key occurs in ``keys``. Only the buckets that these keys fall into are read."""
+        if not self.keys or self.part_by:
+            stored = self.read()
+        else:
+            wanted = keys.select(self._place()[BUCKET].alias(BUCKET)).distinct().collect()  # bounded by the buckets
+            base = self._folders()[-1][2]
+            folders = [f"{base}/{BUCKET}={r[0]}" for r in wanted]
+            stored = self._load(self.schema, [f for f in folders if files.exists(self.spark, f"{self.path}/{f}")])
+        return semi_join(stored, keys, {k: k for k in self.keys})
 
     # --- write --------------------------------------------------------------------------
 
-    def _part(self):
-        return F.coalesce(F.date_format(self.part_by, GRAINS[self.grain]), F.lit("none"))
-
-    def _write(self, df: DataFrame) -> tuple[list[str], dt.datetime | None]:
-        """Write a new version; return its folders and the newest load time in it."""
-        used = [int(n.split("=")[1]) for n in files.children(self.spark, self.path)
-                if n.startswith("table_version=")]
-        version = f"table_version={max(used, default=0) + 1}"
-        target = f"{self.path}/{version}"
-        seen = None
-        if LOADED_AT in df.columns:
-            seen = Observation()
-            df = df.observe(seen, F.max(LOADED_AT).alias("newest"))
+    def _place(self) -> dict:
+        """The folder columns of a keyed table."""
+        out = {}
         if self.part_by:
-            # Rebalancing splits an oversized part over several tasks and merges small ones.
-            laid_out = df.withColumn(PART, self._part()).hint("rebalance", PART)
-            laid_out = laid_out.sortWithinPartitions(PART, *self.cluster_by)
-            laid_out.write.partitionBy(PART).parquet(target)
-            folders = [f"{version}/{n}" for n in files.children(self.spark, target) if "=" in n]
-        else:
-            if self.cluster_by:
-                moved = df.hint("rebalance", self.cluster_by[0]) if self.rebalance else df
-                df = moved.sortWithinPartitions(*self.cluster_by)
-            df.write.parquet(target)
-            folders = [version]
-        return folders, seen.get["newest"] if seen else None
-
-    def replace(self, df: DataFrame) -> None:
-        """Full refresh."""
-        folders, newest = self._write(df)
-        self._commit(df.schema, folders, (self._state() or {}).get("applied", {}), newest)
-
-    def append(self, df: DataFrame, batch: tuple[str, int] | None = None) -> bool:
-        """Add rows; new columns are added, missing ones stay NULL.
-
-        ``batch`` is a source name and a growing number. A batch already applied is
-        skipped, which makes a replayed stream batch harmless. Returns whether it wrote.
+            out[PART] = F.coalesce(F.date_format(self.part_by, GRAINS[self.grain]), F.lit("none"))
+        if self.keys:
+            out[BUCKET] = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return out
+
+    def _write(self, df: DataFrame, folder: str, mode: str = "static") -> None:
+        place = self._place()
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        self._store(df, folder, mode, place)
+        self.rows_written = observed(seen, {"rows": 0})["rows"]
+
+    def _store(self, df: DataFrame, folder: str, mode: str, place: dict) -> None:
+        if place:
+            # Rebalancing splits an oversized folder over several tasks and merges small ones.
+            laid_out = df.withColumns(place).hint("rebalance", *place)
+            laid_out = laid_out.sortWithinPartitions(*place, *self.cluster_by)
+            (laid_out.write.partitionBy(*place).mode("overwrite")
+             .option("partitionOverwriteMode", mode).parquet(f"{self.path}/{folder}"))
+            return
+        if self.cluster_by:
+            moved = df.hint("rebalance", self.cluster_by[0]) if self.rebalance else df
+            df = moved.sortWithinPartitions(*self.cluster_by)
+        df.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+
+    def replace(self, df: DataFrame, batch: int | None = None) -> None:
+        """Full refresh. What was there before can be read until ``drop_replaced``."""
+        self._write(df, f"base={self.last() + 1}")
+        self._keep_schema(df.schema)
+        self.took(batch)
+
+    def append(self, df: DataFrame, batch: int | None = None) -> bool:
+        """Add rows as one load; new columns are added, missing ones stay NULL.
+
+        ``batch`` is a growing number above 0. One already loaded is skipped, which makes a replayed
+        stream batch harmless. Returns whether it wrote.
         """
-        state = self._state()
-        applied = dict(state["applied"]) if state else {}
-        if batch and applied.get(batch[0], -1) >= batch[1]:
+        last = self.last()
+        if batch is not None and batch <= last:
             return False
-        schema, folders, before = df.schema, [], None
-        if state:
-            old = self.spark.createDataFrame([], T.StructType.fromJson(state["schema"]))
-            merged, df = evolve(old, df, "append_new_columns")
-            schema, folders, before = merged.schema, state["folders"], _newest(state)
-        if batch:
-            applied[batch[0]] = batch[1]
-        added, newest = self._write(df)
-        self._commit(schema, folders + added, applied, _later(before, newest))
+        schema = df.schema
+        if last >= 0:
+            old, df = evolve(self.spark.createDataFrame([], self.schema), df, "append_new_columns")
+            schema = old.schema
+        self._write(df, f"load={max(last, 0) + 1 if batch is None else batch}")
+        self._keep_schema(schema)
         return True
 
-    def upsert(self, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = LOAD_ORDER,
-               schema_change: str = "sync_all_columns", batch: tuple[str, int] | None = None) -> None:
+    def upsert(self, updates: DataFrame, order: Sequence[str] = LOAD_ORDER,
+               schema_change: str = "sync_all_columns", batch: int | None = None) -> None:
         """Insert new keys and replace known ones by the newest row, by ``order``.
 
-        An update older than the stored row changes nothing; on a tie the update wins.
-        Which parts hold any of the keys is found from the key columns alone, so a
-        key whose date moved is still replaced in place. A ``batch`` is taken once, as in
-        ``append``.
+        An update older than the stored row changes nothing; on a tie the update wins. Taking a
+        ``batch`` again leaves the same table; one known to be taken is skipped.
         """
-        state = self._state()
-        taken = {batch[0]: batch[1]} if batch else {}
-        if state is None:
-            latest = dedup_latest(updates, keys, order)
-            folders, newest = self._write(latest)
-            self._commit(latest.schema, folders, taken, newest)
+        if batch is not None and batch <= self.applied():
             return
-        if batch and state["applied"].get(batch[0], -1) >= batch[1]:
+        if not self.exists():
+            self.replace(dedup_latest(updates, self.keys, order), batch)
+            return
+
+        def merged(stored: DataFrame, new: DataFrame) -> DataFrame:
+            old, new = evolve(stored, new, schema_change)
+            both = old.withColumn("_incoming", F.lit(0)).unionByName(new.withColumn("_incoming", F.lit(1)))
+            return dedup_latest(both, self.keys, (*order, "_incoming")).drop("_incoming")
+
+        self._rewrite(updates, self._columns(updates, schema_change), merged)
+        self.took(batch)
+
+    def swap(self, gone: DataFrame, rows: DataFrame, batch: int | None = None) -> None:
+        """Put ``rows`` in the place of all rows whose key occurs in ``gone`` or in ``rows``."""
+        if batch is not None and batch <= self.applied():
             return
-        state = state | {"applied": state["applied"] | taken}
-        if not self.part_by:
-            self._merge(state, state["folders"], updates, keys, order, schema_change)
+        if not self.exists():
+            self.replace(rows, batch)
             return
-        # The updates are read twice below; evaluate what produces them once.
+        if self.part_by:
+            raise ValueError("rows are swapped by key alone; the table has parts")
+        both = gone.select(*self.keys).withColumn("_gone", F.lit(True)).unionByName(
+            rows.withColumn("_gone", F.lit(False)), allowMissingColumns=True)
+
+        def merged(stored: DataFrame, new: DataFrame) -> DataFrame:
+            # A key of many rows is dropped by one of them.
+            keys = new.select(*(F.col(k).alias(f"_{k}") for k in self.keys)).distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys]
+            kept = stored.join(keys, same, "left_anti")
+            return kept.unionByName(new.filter(~F.col("_gone")).select(*stored.columns))
+
+        self._rewrite(both, rows.schema, merged)
+        self.took(batch)
+
+    def _columns(self, updates: DataFrame, schema_change: str) -> T.StructType:
+        return evolve(self.spark.createDataFrame([], self.schema), updates, schema_change)[0].schema
+
+    def _rewrite(self, incoming: DataFrame, schema: T.StructType,
+                 merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Overwrite the folders that ``incoming`` falls into by ``merge`` of their rows and it."""
+        place = self._place()
+        base = self._folders()[-1][2]
+        # The rows are read twice below; evaluate what produces them once.
         staged = work_dir(self.spark, "upsert")
         try:
-            updates = materialize(updates, staged, self.spark)
-            target = self._load(T.StructType.fromJson(state["schema"]), state["folders"])
-            parts = self._touched_parts(target, updates, keys)
-            touched = [f for f in state["folders"] if f.split(f"{PART}=")[-1] in parts]
-            if parts:
-                self._merge(state, touched, updates, keys, order, schema_change)
-            elif taken:
-                self._commit(T.StructType.fromJson(state["schema"]), state["folders"], state["applied"],
-                             _newest(state))
+            incoming = materialize(incoming, staged, self.spark)
+            parts = incoming.select(*(c.alias(n) for n, c in place.items())).distinct().collect()  # one row per folder
+            touched = ["/".join(f"{n}={row[n]}" for n in place) for row in parts]
+            known = [f"{base}/{f}" for f in touched if files.exists(self.spark, f"{self.path}/{base}/{f}")]
+            before = {f: files.children(self.spark, f"{self.path}/{f}") for f in known}
+            if touched:
+                stored = self._load(self.schema, known)
+                self._write(merge(stored, incoming), base, "dynamic")
+                for folder, names in before.items():  # one that is empty now was not overwritten
+                    if files.children(self.spark, f"{self.path}/{folder}") == names:
+                        files.remove(self.spark, f"{self.path}/{folder}")
+                self._keep_schema(schema)
         finally:
             files.remove(self.spark, staged)
 
-    def _merge(self, state: dict, folders: list[str], updates: DataFrame, keys: Sequence[str],
-               order: Sequence[str], schema_change: str) -> None:
-        """Rewrite the given folders together with the updates, keep the others."""
-        stored = self._load(T.StructType.fromJson(state["schema"]), folders).drop(PART)
-        old, new = evolve(stored, updates, schema_change)
-        both = old.withColumn("_incoming", F.lit(0)).unionByName(new.withColumn("_incoming", F.lit(1)))
-        merged = dedup_latest(both, keys, (*order, "_incoming")).drop("_incoming")
-        added, newest = self._write(merged)
-        kept = [f for f in state["folders"] if f not in folders]
-        self._commit(new.schema, kept + added, state["applied"], _later(_newest(state), newest))
-
-    def _touched_parts(self, target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> set[str]:
-        parts = updates.select(self._part().alias(PART))
-        if not self.part_from_key:
-            known = target.select(*keys, PART).join(updates.select(*keys).distinct(), list(keys), "left_semi")
-            parts = parts.union(known.select(PART))
-        return {row[0] for row in parts.distinct().collect()}  # one value per month or day
-
-    def compact(self, consumed: int | None = None, fan: int = 16) -> int:
-        """Merge appended folders, ``fan`` of one level into one of the next; return how many
-        merges. Each row is so rewritten once per level, and a table of n appends has about
-        ``fan * log(n)`` folders.
-
-        Only folders whose rows came up to state ``consumed`` are merged, so that no reader of
-        ``committed_since`` sees rows again; by default all.
+    # --- upkeep -------------------------------------------------------------------------
+
+    def compact(self, upto: int | None = None, fan: int = 16) -> bool:
+        """Rewrite single loads together, ``fan`` at least; each row is so rewritten once.
+
+        Only loads up to ``upto`` are, those that every reader of ``loaded_since`` has taken.
         """
-        merges = 0
-        while not self.part_by:
-            state = self._state()
-            if state is None:
-                break
-            level = {f: state["level"].get(f, 0) for f in state["folders"]}
-            ready = [f for f in state["folders"] if consumed is None or state["since"][f] <= consumed]
-            full = [n for n in sorted(set(level.values())) if sum(level[f] == n for f in ready) >= fan]
-            if not full:
-                break
-            chosen = [f for f in ready if level[f] == full[0]][:fan]
-            schema = T.StructType.fromJson(state["schema"])
-            added, _ = self._write(self._load(schema, chosen).drop(PART))
-            kept = [f for f in state["folders"] if f not in chosen]
-            self._commit(schema, added + kept, state["applied"], _newest(state),
-                         {f: max(state["since"][c] for c in chosen) for f in added},
-                         {f: full[0] + 1 for f in added})
-            merges += 1
-        return merges
-
-    def drop_unused(self, keep_states: int = 1) -> None:
-        """Delete folders and states that the last ``keep_states`` states do not name or are."""
-        last = self._state_number()
-        for name in files.children(self.spark, f"{self.path}/_state"):
-            if name.endswith(".json") and int(name[:-5]) <= last - keep_states:
-                files.remove(self.spark, f"{self.path}/_state/{name}")
-        states = [files.read_json(self.spark, f"{self.path}/_state/{n:08d}.json")
-                  for n in range(max(1, last - keep_states + 1), last + 1)]
-        named = {f for s in states for f in s["folders"]}
-        for version in files.children(self.spark, self.path):
-            if not version.startswith("table_version="):
-                continue
-            inner = [f"{version}/{n}" for n in files.children(self.spark, f"{self.path}/{version}")
-                     if n.startswith(f"{PART}=")]
-            if version not in named and not any(f in named for f in inner):
-                files.remove(self.spark, f"{self.path}/{version}")
-                continue
-            for folder in inner:
-                if folder not in named:
-                    files.remove(self.spark, f"{self.path}/{folder}")
+        ready = [(last, name) for first, last, name in self._folders()
+                 if first == last and (upto is None or last <= upto)]
+        if self.keys or len(ready) < fan:
+            return False
+        self._write(self._load(self.schema, [name for _, name in ready]), f"load={ready[0][0]}-{ready[-1][0]}")
+        return True
+
+    def drop_replaced(self) -> None:
+        """Delete folders that others stand for. No reader may still use them."""
+        current = {name for _, _, name in self._folders()}
+        for name in files.finished(self.spark, self.path):
+            if name not in current:
+                files.remove(self.spark, f"{self.path}/{name}")
 
 
 def upsert_by_catalog(updates: DataFrame, table: str, keys: Sequence[str], order: str = "loaded_at") -> None:

@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.align import good_rows, marked, rejected_rows
-from ledgerlake.operators.dedup import LOAD_ORDER
+from ledgerlake.operators.dedup import LOAD_ORDER, with_row_hash
 from ledgerlake.plans import bronze
 from ledgerlake.schemas import RAW
-from ledgerlake.session import configure
+from ledgerlake.session import configure, observed
 from ledgerlake.sources import files
 from ledgerlake.sources.control import failed_rows, shaped
 from ledgerlake.sources.tables import Table
@@ -22,6 +22,8 @@ from ledgerlake.sources.tables import Table
 
 # Longer than any file is old; the source otherwise skips files a week older than the newest.
 ANY_AGE = "36500d"
+# Entities whose creation time is not called ``created``.
+CREATED = {"fx_rates": "rate_date"}
 
 
 def landed_files(spark: SparkSession, path: str, file_schema: T.StructType | None = None,
@@ -58,30 +60,39 @@ def _drain(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int]
 
 def load_once(spark: SparkSession, path: str, entity: str, target: Table, checkpoint: str,
               rejects: Table | None = None, run_id: str = "", now: dt.datetime | None = None,
-              file_schema: T.StructType | None = None, max_files: int | None = None) -> None:
+              file_schema: T.StructType | None = None, max_files: int | None = None,
+              note: Callable[[int, dict], None] | None = None) -> None:
     """Load the files below ``path`` that no earlier call has loaded.
 
-    The checkpoint remembers the files; the target remembers the last batch it took, so
+    The checkpoint remembers the files; the target has a load for each batch, so
     a batch replayed after a crash is not added twice. Rows that do not fit the schema go to
-    ``rejects``. An empty or absent folder loads nothing.
+    ``rejects``. An empty or absent folder loads nothing. ``note`` is told the number of each load and
+    what was seen while writing it: its rows and the newest load and creation times.
     """
     if not files.has_files(spark, path):
         if not target.exists():
-            target.replace(spark.createDataFrame([], RAW[entity]))
+            target.replace(with_row_hash(spark.createDataFrame([], RAW[entity])))
         return
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
-    tag = f"load:{entity}"
+    created = CREATED.get(entity, "created")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
+        seen, kept = Observation(), Observation()
         checked = marked(batch, RAW[entity])
         counted = checked.observe(seen, F.count_if(F.col("_error") != "").alias("rejected"))
-        wrote = target.append(good_rows(counted, RAW[entity]), batch=(tag, batch_id))
+        rows = with_row_hash(good_rows(counted, RAW[entity]))
+        newest = F.max(created) if created in rows.columns else F.lit(None).cast("long")
+        rows = rows.observe(kept, F.count(F.lit(1)).alias("rows"), F.max("loaded_at").alias("newest_loaded_at"),
+                            newest.alias("newest_created"))
+        number = batch_id + 1  # the load that the batch is
+        wrote = target.append(rows, number)
+        if wrote and note is not None:
+            note(number, observed(kept, {"rows": 0, "newest_loaded_at": None, "newest_created": None}))
         # After a crash between the two writes the first is skipped and nothing was counted.
-        if rejects is not None and (not wrote or seen.get["rejected"] > 0):
+        if rejects is not None and (not wrote or observed(seen, {"rejected": 0})["rejected"] > 0):
             dead = failed_rows(rejected_rows(checked), entity, run_id, now)
-            rejects.append(shaped(dead, "failed_files"), batch=(tag, batch_id))
+            rejects.append(shaped(dead, "failed_files"), number)
 
     _drain(landed_files(spark, path, file_schema, max_files), checkpoint, handle)
 
@@ -92,19 +103,19 @@ def stream_bronze(stream: DataFrame, entity: str, target: Table, checkpoint: str
     projected = bronze.MODELS[entity][1](stream.withColumn("load_mode", F.lit(load_mode)))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        target.append(batch, batch=(f"bronze:{entity}", batch_id))
+        target.append(batch, batch_id + 1)
 
     _drain(projected, checkpoint, handle)
 
 
 def stream_upsert(stream: DataFrame, model: Callable[[DataFrame], DataFrame], target: Table,
-                  keys: Sequence[str], checkpoint: str, order: Sequence[str] = LOAD_ORDER) -> None:
+                  checkpoint: str, order: Sequence[str] = LOAD_ORDER) -> None:
     """Silver from a stream: each batch runs the model and is upserted.
 
     The newest row per key wins whatever the order of arrival, so late files and replayed
     batches leave the same table.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        target.upsert(model(batch), keys, order)
+        target.upsert(model(batch), order)
 
     _drain(stream, checkpoint, handle)

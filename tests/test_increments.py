@@ -23,40 +23,40 @@ def keys(df):
     return sorted(r.k for r in df.collect())
 
 
-def test_committed_since_knows_no_load_times(spark, folder):
+def test_loads_know_no_load_times(spark, folder):
     table = Table(spark, folder)
     table.append(rows(spark, ("a", 1, "2024-02-02")))
-    first, one = table.committed_since(-1)
+    first, one = table.loaded_since(-1)
     assert keys(first) == ["a"]
     table.append(rows(spark, ("b", 1, "2024-02-02")))  # the same time
     table.append(rows(spark, ("c", 1, "2024-01-01")))  # an older one
-    new, two = table.committed_since(one)
+    new, two = table.loaded_since(one)
     assert keys(new) == ["b", "c"] and two > one
-    assert table.committed_since(two) == (None, two)
+    assert table.loaded_since(two) == (None, two)
 
 
 def test_batches_are_taken_once(spark, folder):
     target = Table(spark, folder)
     for number in (1, 1, 2, 1):
-        target.append(rows(spark, (f"n{number}", 1, "2024-02-01")), batch=("raw:x", number))
-    assert keys(target.read()) == ["n1", "n2"] and target.applied("raw:x") == 2 and target.applied("other") == -1
-    merged = Table(spark, f"{folder}/upsert")
+        target.append(rows(spark, (f"n{number}", 1, "2024-02-01")), number)
+    assert keys(target.read()) == ["n1", "n2"] and target.applied() == 2
+    merged = Table(spark, f"{folder}/upsert", keys=["k"])
     for number, value in ((1, 1), (2, 2), (2, 9)):
-        merged.upsert(rows(spark, ("a", value, "2024-02-01")), ["k"], ("loaded_at",), batch=("brz:x", number))
-    assert [r.v for r in merged.read().collect()] == [2]
+        merged.upsert(rows(spark, ("a", value, "2024-02-01")), ("loaded_at",), batch=number)
+    assert [r.v for r in merged.read().collect()] == [2] and merged.applied() == 2
+    merged.took(7, "other")
+    assert merged.applied("other") == 7 and merged.applied() == 2 and merged.applied("none") == -1
 
 
-def test_many_appends_end_in_few_folders(spark, folder):
+def test_single_loads_are_rewritten_together_once(spark, folder):
     table = Table(spark, folder)
     for n in range(40):
         table.append(rows(spark, (f"k{n:02d}", n, "2024-02-01")))
         table.compact(fan=4)
-        table.drop_unused(2)
+        table.drop_replaced()
     assert keys(table.read()) == [f"k{n:02d}" for n in range(40)]
-    assert len(table._state()["folders"]) <= 3 * 4
-    assert len(files.children(spark, f"{folder}/_state")) <= 2
-    versions = [n for n in files.children(spark, folder) if n.startswith("table_version=")]
-    assert len(versions) <= 3 * 4 + 5
+    names = [n for n in files.children(spark, folder) if "=" in n]
+    assert len(names) == 10 and all("-" in n for n in names)
 
 
 def test_compaction_repeats_no_rows_to_a_reader(spark, folder):
@@ -64,10 +64,10 @@ def test_compaction_repeats_no_rows_to_a_reader(spark, folder):
     for n in range(20):
         table.append(rows(spark, (f"k{n:02d}", n, "2024-02-01")))
         if n % 3 == 0:
-            new, mark = table.committed_since(mark)
+            new, mark = table.loaded_since(mark)
             seen += keys(new)
         table.compact(mark, fan=3)
-    new, mark = table.committed_since(mark)
+    new, mark = table.loaded_since(mark)
     seen += keys(new)
     assert seen == [f"k{n:02d}" for n in range(20)]
 
@@ -94,14 +94,14 @@ def test_late_and_equal_files_reach_silver(spark):
 def test_failed_upsert_leaves_no_staging(spark, folder, monkeypatch):
     from ledgerlake.sources import tables
 
-    table = Table(spark, folder, part_by="d")
-    day = rows(spark, ("a", 1, "2024-02-01")).withColumn("d", F.lit("2024-02-01").cast("date"))
-    table.upsert(day, ["k"], ("loaded_at",))
+    table = Table(spark, folder, keys=["k"])
+    day = rows(spark, ("a", 1, "2024-02-01"))
+    table.upsert(day, ("loaded_at",))
     staged = f"{folder}-staging"
     monkeypatch.setattr(tables, "work_dir", lambda spark, purpose: staged)
-    monkeypatch.setattr(Table, "_merge", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(Table, "_write", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     try:
-        table.upsert(day, ["k"], ("loaded_at",))
+        table.upsert(day, ("loaded_at",))
     except RuntimeError:
         pass
     assert not files.exists(spark, staged)
@@ -130,3 +130,75 @@ def test_run_records_freshness_and_whole_errors(spark, folder):
     kept = one.audit("source_freshness").read().collect()
     assert [(r.source, r.run_id) for r in kept] == [("charges", "r")]
     assert kept[0].max_loaded_at == catalog.raw(spark, SF, "charges").agg(F.max("loaded_at")).first()[0]
+
+
+def buckets_of(run, name):
+    folder = run.gold(name).path
+    base = [n for n in files.children(run.spark, folder) if n.startswith("base=")][-1]
+    return {b: files.children(run.spark, f"{folder}/{base}/{b}") for b in files.children(run.spark, f"{folder}/{base}") if "=" in b}
+
+
+def build(run):
+    for step in (pipeline.load_raw, pipeline.build_bronze, pipeline.build_silver, pipeline.build_gold):
+        step(run)
+
+
+def test_increments_equal_the_whole_and_write_little(spark):
+    """A changed charge with its refunds, a new customer version, and nothing at all."""
+    from catalog.increments import two_steps
+    from ledgerlake.plans.increments import FACTS
+
+    run = two_steps(spark, SF)
+    two_steps.cache_clear()  # the lake is changed below
+    before = {f: buckets_of(run, f) for f in FACTS}
+    build(run)
+    assert before == {f: buckets_of(run, f) for f in FACTS}  # nothing came, nothing was written
+    refund = run.silver("stg_refunds").read().orderBy("refund_id").first()
+    charge = catalog.raw(spark, SF, "charges").filter(F.col("id") == refund.charge_id).orderBy("loaded_at").limit(1)
+    moved = charge.withColumns({"loaded_at": F.lit(ts("2024-02-20")).cast("timestamp_ntz"), "amount": F.col("amount") + 100,
+                                "raw_payload": F.regexp_replace("raw_payload", '"customer":"[^"]*"', '"customer":"cus_new"')})
+    landing.write_landing(moved, run.root, "charges", "run-c", dt.date(2024, 2, 20))
+    buyer = run.gold("fct_charges").read().filter("customer_key IS NOT NULL").orderBy("charge_id").first().customer_id
+    again = catalog.raw(spark, SF, "customers").filter(F.col("id") == buyer).orderBy("loaded_at").limit(1)
+    landing.write_landing(again.withColumn("loaded_at", F.lit(ts("2024-02-20")).cast("timestamp_ntz")),
+                          run.root, "customers", "run-c", dt.date(2024, 2, 20))
+    build(run)
+    after = {f: buckets_of(run, f) for f in FACTS}
+    assert after["fct_payouts"] == before["fct_payouts"] and after["fct_mrr_movements"] == before["fct_mrr_movements"]
+    assert after["fct_charges"] != before["fct_charges"] and after["fct_refunds"] != before["fct_refunds"]
+    facts = {f: run.gold(f).read() for f in FACTS}
+    kept = {f: sorted(map(str, df.collect())) for f, df in facts.items()}
+    assert any("cus_new" in r for r in kept["fct_refunds"])
+    pipeline.build_gold(run, whole=True)
+    for f, rows_ in kept.items():
+        assert sorted(map(str, run.gold(f).read().collect())) == rows_, f
+
+
+def test_one_changed_fact_rewrites_one_bucket(spark, folder):
+    from catalog.storage import LANDED
+
+    run = lake(spark, folder, "r")
+    for entity in LANDED:
+        landing.write_landing(catalog.raw(spark, SF, entity), folder, entity, "run-a", dt.date(2024, 2, 5))
+    build(run)
+    before = {f: buckets_of(run, f) for f in ("fct_payouts", "fct_charges")}
+    one = catalog.raw(spark, SF, "payouts").orderBy("id").limit(1).withColumn("loaded_at", F.lit(ts("2024-03-01")).cast("timestamp_ntz"))
+    landing.write_landing(one, folder, "payouts", "run-b", dt.date(2024, 3, 1))
+    build(run)
+    after = {f: buckets_of(run, f) for f in before}
+    assert sum(before["fct_payouts"][b] != after["fct_payouts"].get(b) for b in before["fct_payouts"]) == 1
+    assert before["fct_charges"] == after["fct_charges"]
+
+
+def test_latest_wins_reads_few_columns(spark, folder):
+    """Two columns of the last versions: keys, order and the stored hash beside them."""
+    from ledgerlake.operators.dedup import dedup_latest, latest_values, with_row_hash
+
+    table = Table(spark, folder)
+    table.append(with_row_hash(catalog.raw(spark, SF, "charges")))
+    for latest in (dedup_latest(table.read(), ["id"]).select("id", "amount"),
+                   latest_values(table.read(), ["id"], ["amount"])):
+        scan = latest._jdf.queryExecution().sparkPlan().collectLeaves().head()
+        assert scan.requiredSchema().size() <= 6
+    whole = dedup_latest(table.read(), ["id"]).select("id", "amount", "status")
+    assert whole.exceptAll(latest_values(table.read(), ["id"], ["amount", "status"])).isEmpty()

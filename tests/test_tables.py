@@ -23,38 +23,64 @@ def content(table):
     return sorted((r.k, r.v) for r in table.read().collect())
 
 
-@pytest.mark.parametrize("part_by", [None, "d"])
-def test_upsert(spark, folder, part_by):
-    table = Table(spark, folder, part_by=part_by, cluster_by=("d", "k"))
+def written_files(spark, folder):
+    """Files of a table by bucket folder."""
+    found = {}
+    base = sorted(n for n in files.children(spark, folder) if n.startswith("base="))[-1]
+    for bucket in files.children(spark, f"{folder}/{base}"):
+        if "=" in bucket:
+            found[bucket] = set(files.children(spark, f"{folder}/{base}/{bucket}"))
+    return found
+
+
+def test_upsert(spark, folder):
+    table = Table(spark, folder, keys=["k"], buckets=3, cluster_by=("d", "k"))
     first = rows(spark, ("a", 1, "2024-01-05", "2024-02-01"), ("b", 1, "2024-02-05", "2024-02-01"),
                  ("c", 1, "2024-03-05", "2024-02-01"))
     second = rows(spark, ("a", 2, "2024-01-05", "2024-02-02"), ("d", 2, "2024-02-09", "2024-02-02"))
     late = rows(spark, ("a", 0, "2024-01-05", "2024-01-15"), ("e", 0, "2024-01-07", "2024-01-15"))
     moved = rows(spark, ("c", 3, "2024-01-09", "2024-02-03"))
     for batch in (first, second, second, late):
-        table.upsert(batch, ["k"], ORDER)
+        table.upsert(batch, ORDER)
     assert content(table) == [("a", 2), ("b", 1), ("c", 1), ("d", 2), ("e", 0)]
-    table.upsert(moved, ["k"], ORDER)
+    table.upsert(moved, ORDER)
     assert content(table) == [("a", 2), ("b", 1), ("c", 3), ("d", 2), ("e", 0)]
     assert table.newest() == ts("2024-02-03")
 
 
-def test_upsert_leaves_untouched_parts_alone(spark, folder):
-    table = Table(spark, folder, part_by="d")
-    table.upsert(rows(spark, ("a", 1, "2024-01-05", "2024-02-01"), ("b", 1, "2024-02-05", "2024-02-01")), ["k"], ORDER)
-    before = table._state()["folders"]
-    table.upsert(rows(spark, ("b", 2, "2024-02-05", "2024-02-02")), ["k"], ORDER)
-    after = table._state()["folders"]
-    assert len(set(before) & set(after)) == 1 and "table_part=2024-01" in (set(before) & set(after)).pop()
-    table.upsert(rows(spark).limit(0), ["k"], ORDER)
-    assert table._state()["folders"] == after
+def test_upsert_opens_only_the_buckets_of_its_keys(spark, folder):
+    table = Table(spark, folder, keys=["k"], buckets=16)
+    table.upsert(rows(spark, *[(f"k{i}", 1, "2024-01-05", "2024-02-01") for i in range(200)]), ORDER)
+    before = written_files(spark, folder)
+    assert len(before) == 16
+    table.upsert(rows(spark, ("k7", 2, "2024-01-05", "2024-02-02"), ("new", 2, "2024-04-05", "2024-02-02")), ORDER)
+    after = written_files(spark, folder)
+    assert sum(before[b] != after[b] for b in before) <= 2 and len(content(table)) == 201
+    some = table.rows_of(rows(spark, ("k7", 0, "2024-01-05", "2024-02-01")))
+    assert [(r.k, r.v) for r in some.collect()] == [("k7", 2)] and len(some.inputFiles()) == 1
+    table.upsert(rows(spark).limit(0), ORDER)
+    assert written_files(spark, folder) == after
+
+
+def test_parts_of_dates_that_keys_fix(spark, folder):
+    table = Table(spark, folder, keys=["k"], buckets=2, part_by="d")
+    table.upsert(rows(spark, ("a", 1, "2024-01-05", "2024-02-01"), ("b", 1, "2024-02-05", "2024-02-01")), ORDER)
+    before = written_files(spark, folder)
+    table.upsert(rows(spark, ("a", 2, "2024-01-05", "2024-02-02"), ("c", 2, "2024-04-05", "2024-02-02")), ORDER)
+    assert content(table) == [("a", 2), ("b", 1), ("c", 2)]
+    assert set(written_files(spark, folder)) == {*before, "table_part=2024-04"}
 
 
-def test_upsert_without_key_scan(spark, folder):
-    table = Table(spark, folder, part_by="d", part_from_key=True)
-    table.upsert(rows(spark, ("a", 1, "2024-01-05", "2024-02-01"), ("b", 1, "2024-02-05", "2024-02-01")), ["k"], ORDER)
-    table.upsert(rows(spark, ("a", 2, "2024-01-05", "2024-02-02"), ("c", 2, "2024-04-05", "2024-02-02")), ["k"], ORDER)
-    assert content(table) == [("a", 2), ("b", 1), ("c", 2)]
+def test_swap_leaves_no_old_rows(spark, folder):
+    table = Table(spark, folder, keys=["k"], buckets=4)
+    values = [(k, n, "2024-01-05", "2024-02-01") for k in ("a", "b", "c", None) for n in (1, 2, 3)]
+    table.replace(rows(spark, *values))
+    before = written_files(spark, folder)
+    table.swap(spark.createDataFrame([("a",), (None,)], "k string"), rows(spark, ("a", 9, "2024-01-05", "2024-02-02")))
+    assert sorted((r.k or "", r.v) for r in table.read().collect()) == [("a", 9), *[(k, n) for k in "bc" for n in (1, 2, 3)]]
+    assert sum(before[b] != written_files(spark, folder).get(b) for b in before) <= 2
+    table.swap(spark.createDataFrame([(k,) for k in "abc"], "k string"), rows(spark).limit(0))  # whole buckets go
+    assert table.read().count() == 0
 
 
 def test_upsert_order_of_arrival_does_not_matter(spark, folder):
@@ -62,22 +88,24 @@ def test_upsert_order_of_arrival_does_not_matter(spark, folder):
                for n in (1, 2, 3)]
     seen = set()
     for n, order in enumerate([(0, 1, 2), (2, 1, 0), (1, 2, 0, 1)]):
-        table = Table(spark, f"{folder}/{n}", part_by="d")
+        table = Table(spark, f"{folder}/{n}", keys=["k"], buckets=2)
         for i in order:
-            table.upsert(batches[i], ["k"], ORDER)
+            table.upsert(batches[i], ORDER)
         seen.add(tuple(content(table)))
     assert len(seen) == 1
 
 
 def test_schema_changes(spark, folder):
-    table = Table(spark, folder, part_by="d")
     base = rows(spark, ("a", 1, "2024-01-05", "2024-02-01"), ("b", 1, "2024-02-05", "2024-02-01"))
+    table = Table(spark, f"{folder}/appended")
     table.append(base)
     wider = rows(spark, ("c", 1, "2024-02-05", "2024-02-02")).withColumn("w", F.lit("new"))
     table.append(wider)
     assert sorted((r.k, r.w) for r in table.read().collect()) == [("a", None), ("b", None), ("c", "new")]
+    table = Table(spark, f"{folder}/keyed", keys=["k"], buckets=8)
+    table.upsert(base.unionByName(wider.drop("w")), ORDER)
     narrower = rows(spark, ("b", 2, "2024-02-05", "2024-02-03")).drop("v").withColumn("x", F.lit(7))
-    table.upsert(narrower, ["k"], ORDER)
+    table.upsert(narrower, ORDER)
     got = table.read()
     assert set(got.columns) == {"k", "d", "loaded_at", "x"}
     assert sorted((r.k, r.x) for r in got.collect()) == [("a", None), ("b", 7), ("c", None)]
@@ -86,46 +114,46 @@ def test_schema_changes(spark, folder):
 def test_replayed_batch_is_skipped(spark, folder):
     table = Table(spark, folder)
     batch = rows(spark, ("a", 1, "2024-01-05", "2024-02-01"))
-    assert table.append(batch, ("s", 0)) and not table.append(batch, ("s", 0)) and table.append(batch, ("s", 1))
-    assert table.read().count() == 2
-
-
-def test_one_of_two_writers_fails(spark, folder):
-    table = Table(spark, folder)
-    table.replace(rows(spark, ("a", 1, "2024-01-05", "2024-02-01")))
-    files.create_json(spark, f"{folder}/_state/00000099.json", {})
-    with pytest.raises(FileExistsError):
-        files.create_json(spark, f"{folder}/_state/00000099.json", {})
+    assert table.append(batch, 1) and not table.append(batch, 1) and table.append(batch, 2)
+    assert table.read().count() == 2 and table.rows_written == 1
 
 
 def test_failed_write_leaves_the_table(spark, folder):
     table = Table(spark, folder)
     table.replace(rows(spark, ("a", 1, "2024-01-05", "2024-02-01")))
     broken = rows(spark, ("b", 1, "2024-01-05", "2024-02-01")).withColumn("v", F.raise_error(F.lit("x")).cast("int"))
-    with pytest.raises(Exception):
-        table.append(broken)
-    assert content(table) == [("a", 1)]
+    for write in (table.append, table.replace):
+        with pytest.raises(Exception):
+            write(broken)
+        assert content(table) == [("a", 1)]
     table.append(rows(spark, ("c", 1, "2024-01-05", "2024-02-01")))
     assert content(table) == [("a", 1), ("c", 1)]
+    keyed = Table(spark, f"{folder}/keyed", keys=["k"], buckets=2)
+    keyed.upsert(rows(spark, ("a", 1, "2024-01-05", "2024-02-01")), ORDER)
+    with pytest.raises(Exception):
+        keyed.upsert(broken, ORDER)
+    assert content(keyed) == [("a", 1)]
 
 
-def test_drop_unused(spark, folder):
-    table = Table(spark, folder, part_by="d")
+def test_full_refresh_stands_for_all_before(spark, folder):
+    table = Table(spark, folder)
     for v in (1, 2, 3):
-        table.upsert(rows(spark, ("a", v, "2024-01-05", f"2024-02-0{v}"), ("b", v, f"2024-0{v + 1}-05", "2024-02-01")),
-                     ["k"], ORDER)
-    want = content(table)
-    table.drop_unused()
-    assert content(table) == want
-    kept = {f.split("/")[0] for f in table._state()["folders"]}
-    assert {n for n in files.children(spark, folder) if n.startswith("table_version")} == kept
+        table.append(rows(spark, (f"a{v}", v, "2024-01-05", "2024-02-01")))
+    table.replace(rows(spark, ("z", 9, "2024-01-05", "2024-02-01")))
+    table.append(rows(spark, ("y", 8, "2024-01-05", "2024-02-01")))
+    assert content(table) == [("y", 8), ("z", 9)]
+    table.drop_replaced()
+    assert content(table) == [("y", 8), ("z", 9)] and len([n for n in files.children(spark, folder) if "=" in n]) == 2
 
 
 def test_empty_table_keeps_its_schema(spark, folder):
-    table = Table(spark, folder, part_by="d")
-    table.replace(rows(spark).limit(0))
-    assert table.read().count() == 0 and table.read().columns == ["k", "v", "d", "loaded_at"]
-    assert table.newest() is None
+    for n, keys in enumerate(([], ["k"])):
+        table = Table(spark, f"{folder}/{n}", keys=keys)
+        table.replace(rows(spark).limit(0))
+        assert table.read().count() == 0 and table.read().columns == ["k", "v", "d", "loaded_at"]
+        assert table.newest() is None and table.rows_written == 0
+    table.upsert(rows(spark, ("a", 1, "2024-01-05", "2024-02-01")), ORDER)
+    assert content(table) == [("a", 1)]
 
 
 # --- payloads ---------------------------------------------------------------------------
@@ -231,7 +259,7 @@ def test_ingest_isolates_failures(spark, folder):
 # --- control ----------------------------------------------------------------------------
 
 def test_watermarks(spark, folder):
-    table = Table(spark, folder)
+    table = control.control_table(spark, folder)
     table.replace(control.control_seed(spark))
     seed = epoch("2020-01-01T00:00:00")
     assert control.get_watermark(table.read(), "charges") == seed
