@@ -504,7 +504,7 @@ def _(spark, sf_dir):
         loads.stream_upsert(
             align_to_schema(stream, RAW["charges"]),
             lambda batch: silver.stg_charges(bronze.brz_stripe_charges(batch), w.rates),
-            target, f"{root}/checkpoint", ("loaded_at", "ingestion_run_id"))
+            target, f"{root}/checkpoint", ("loaded_at", "ingestion_run_id"), newest_by=["id"])
     return target.read()
 
 

@@ -18,6 +18,7 @@ from ledgerlake.session import configure, observed
 from ledgerlake.sources import files
 from ledgerlake.sources.control import failed_rows, shaped
 from ledgerlake.sources.tables import Table
+from ledgerlake.streaming.newest import newest_rows
 
 
 # Longer than any file is old; the source otherwise skips files a week older than the newest.
@@ -109,13 +110,17 @@ def stream_bronze(stream: DataFrame, entity: str, target: Table, checkpoint: str
 
 
 def stream_upsert(stream: DataFrame, model: Callable[[DataFrame], DataFrame], target: Table,
-                  checkpoint: str, order: Sequence[str] = LOAD_ORDER) -> None:
+                  checkpoint: str, order: Sequence[str] = LOAD_ORDER, newest_by: Sequence[str] = (),
+                  keep: dt.timedelta = dt.timedelta(days=400)) -> None:
     """Silver from a stream: each batch runs the model and is upserted.
 
     The newest row per key wins whatever the order of arrival, so late files and replayed
-    batches leave the same table.
+    batches leave the same table. ``newest_by`` names the key of the stream: rows older than what
+    was seen of their key, within ``keep``, then do not reach the table at all.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         target.upsert(model(batch), order)
 
+    if newest_by:
+        stream = newest_rows(with_row_hash(stream), newest_by, order, keep)
     _drain(stream, checkpoint, handle)
