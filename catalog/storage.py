@@ -435,7 +435,7 @@ def _(spark, sf_dir):
     target = Table(spark, f"{root}/raw/charges")
 
     def run() -> None:
-        loads.load_once(spark, landing.entity_path(root, "charges"), "charges", target, f"{root}/checkpoint")
+        loads.load_once(spark, landing.entity_path(root, "charges"), "charges", target, f"{root}/manifest")
 
     run()
     run()
@@ -455,7 +455,7 @@ def _(spark, sf_dir):
         path = landing.write_landing(at_load(charges, day), root, "charges", f"run-{day}", dt.date(2024, 2, day))
         if number:
             files.set_modified(spark, path, dt.datetime(2019, 1, day))
-        loads.load_once(spark, landing.entity_path(root, "charges"), "charges", target, f"{root}/checkpoint",
+        loads.load_once(spark, landing.entity_path(root, "charges"), "charges", target, f"{root}/manifest",
                         file_schema=RAW["charges"])
     return target.read().select("id", "amount", "ingestion_run_id", "loaded_at")
 
@@ -546,6 +546,54 @@ def _(spark, sf_dir):
     return spark.createDataFrame(marks, "entity string, watermark long")
 
 
+_INGESTED = ("charges", "refunds", "customers")
+_SEEN = 850000000
+
+
+@register("Q7_ingest_by_watermark", o.statement(" ".join(f"raw_{e}" for e in _INGESTED), " UNION ALL ".join(
+    f"SELECT '{run}' AS run_id, '{e}' AS entity, count(*) AS n FROM raw_{e} WHERE {kept} HAVING count(*) > 0"
+    for e in _INGESTED for run, kept in (("run-1", f"created <= {_SEEN}"), ("run-2", f"created > {_SEEN}")))))
+def _(spark, sf_dir):
+    """The source gives all it has each time; a run lands what is newer than the watermark that
+    the run before it left, and a run without news lands nothing."""
+    root = work_dir(spark, "q7")
+
+    def source(entity: str, until: int):
+        rows = raw(spark, sf_dir, entity).filter(F.col("created") <= until)
+        return lambda mark: nested_payload(rows, flatten.NESTED.get(entity, {}))
+
+    for number, until in ((1, _SEEN), (2, 1 << 40), (3, 1 << 40)):
+        run = pipeline.Lake(spark, root, f"run-{number}", AS_OF, entities=_INGESTED, watermark_start="1970-01-01",
+                            payloads={e: source(e, until) for e in _INGESTED})
+        pipeline.ingest(run)
+        pipeline.load_raw(run)
+        pipeline.advance(run)
+    out = None
+    for entity in _INGESTED:
+        part = run.raw(entity).read().groupBy(F.col("ingestion_run_id").alias("run_id")).agg(F.count(F.lit(1)).alias("n"))
+        part = part.select("run_id", F.lit(entity).alias("entity"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("S17_backfill_to_silver", o.whole("stg_charges"))
+def _(spark, sf_dir):
+    """Three days landed and none loaded; two are taken through the layers, then the third, and
+    the first once more."""
+    root, charges = work_dir(spark, "s17s"), raw(spark, sf_dir, "charges")
+    run = lake(spark, root, "run-s17", entities=("fx_rates", "charges"))
+    landing.write_landing(raw(spark, sf_dir, "fx_rates"), root, "fx_rates", "run-a", dt.date(2024, 2, 5))
+    one = lake(spark, root, "run-s17", entities=("fx_rates",))
+    pipeline.load_raw(one)
+    pipeline.build_bronze(one)
+    for day in (1, 2, 5):
+        landing.write_landing(at_load(charges, day), root, "charges", f"run-{day}", dt.date(2024, 2, day))
+    for first, last in ((2, 5), (1, 1), (1, 1)):
+        pipeline.backfill(run, "charges", dt.date(2024, 2, first), dt.date(2024, 2, last))
+    assert run.raw("charges").read().count() == charges.count()
+    return run.silver("stg_charges").read()
+
+
 _BUILT = {
     "stg_charges": "stg_charges", "stg_refunds": "stg_refunds", "stg_disputes": "stg_disputes",
     "stg_payouts": "stg_payouts", "stg_invoice_line_items": "stg_invoice_line_items",

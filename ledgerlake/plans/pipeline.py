@@ -1,4 +1,4 @@
-"""The daily run: load, Bronze, Silver, tests, Gold, tests, reconcile, advance."""
+"""The daily run: ingest, load, Bronze, Silver, tests, Gold, tests, reconcile, advance."""
 
 from __future__ import annotations
 
@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlake.operators.dedup import with_row_hash
 from ledgerlake.operators.fx import rate_lookup
 from ledgerlake.operators.lookup import Lookup
 from ledgerlake.operators.quality import count_missing_rates, freshness, reconcile, run_checks
 from ledgerlake.plans import bronze, checks, gold, increments, silver
-from ledgerlake.schemas import AUDIT, DAILY_ENTITIES, OPTIONAL_ENTITIES, RAW
+from ledgerlake.schemas import AUDIT, DAILY_ENTITIES, OPTIONAL_ENTITIES, RAW, WATERMARK_START
 from ledgerlake.session import work_dir
 from ledgerlake.sources import control, files, landing
 from ledgerlake.sources.tables import Table
@@ -66,6 +67,10 @@ class Lake:
     dates_never_change: bool = False
     # Schema of the landed files of an entity where it is not the declared one.
     file_schemas: Mapping[str, StructType] = field(default_factory=dict)
+    # What a run ingests before it loads: payloads (JSON texts) of an entity from a watermark on,
+    # which may hold older ones too.
+    payloads: Mapping[str, Callable[[int], DataFrame]] = field(default_factory=dict)
+    watermark_start: str = WATERMARK_START
     # Tests whose failure is reported but does not stop the run, by test name.
     tolerated: frozenset[str] = frozenset()
     entities: tuple[str, ...] = field(default=DAILY_ENTITIES)
@@ -99,9 +104,6 @@ class Lake:
             return control.control_table(self.spark, f"{self.root}/audit/{name}")
         return Table(self.spark, f"{self.root}/audit/{name}")
 
-    def checkpoint(self, name: str) -> str:
-        return f"{self.root}/checkpoints/{name}"
-
     @cached_property
     def rates(self) -> Lookup:
         return rate_lookup(self.bronze("fx_rates").read())
@@ -114,6 +116,38 @@ class Lake:
 
 # --- load -------------------------------------------------------------------------------
 
+def _control_name(entity: str) -> tuple[str, str]:
+    return ("fx", "rates") if entity == "fx_rates" else ("stripe", entity)
+
+
+def _control(lake: Lake) -> Table:
+    table = lake.audit("ingestion_control")
+    if not table.exists():
+        table.replace(control.control_seed(lake.spark, lake.watermark_start))
+    return table
+
+
+def ingest(lake: Lake) -> int:
+    """Land what came after the watermarks, entity by entity. Returns how many rows.
+
+    An entity that fails is recorded and does not keep the others from landing, but stops the
+    run after them: its watermark stays, so the next run takes it up again.
+    """
+    marks = control.watermarks(_control(lake).read())
+    errors: dict[str, str] = {}
+    landed = landing.ingest_all(
+        lake.spark, {e: lambda e=e, fetch=fetch: fetch(marks.get(_control_name(e), 0)) for e, fetch in lake.payloads.items()},
+        lake.root, lake.run_id, lake.as_of, {e: marks.get(_control_name(e), 0) for e in lake.payloads}, errors=errors)
+    if errors:
+        rows = [(_control_name(e)[0], e, "ingest_failed", message, lake.run_id) for e, message in errors.items()]
+        found = lake.spark.createDataFrame(rows, "source string, entity string, error_type string, error_message string, run_id string")
+        control.record(lake.audit("failed_files"), "failed_files", found.withColumns({
+            "file_path": F.concat(F.lit(f"{lake.root}/landing/"), F.col("entity")),
+            "failed_at": F.lit(lake.as_of).cast("timestamp_ntz")}))
+    landing.raise_on_failure(landed)
+    return sum(landed.values())
+
+
 def load_raw(lake: Lake) -> int:
     """Load every landed file not loaded before. Only optional entities may be absent.
 
@@ -125,7 +159,7 @@ def load_raw(lake: Lake) -> int:
         if required and not files.has_files(lake.spark, path) and not lake.raw(entity).exists():
             raise FileNotFoundError(f"nothing landed for {entity}: {path}")
         loaded: list[tuple[int, dict]] = []
-        load_once(lake.spark, path, entity, lake.raw(entity), lake.checkpoint(f"load_{entity}"),
+        load_once(lake.spark, path, entity, lake.raw(entity), f"{lake.root}/manifest/{entity}",
                   lake.audit(f"rejects/{entity}"), lake.run_id, lake.as_of,
                   file_schema=lake.file_schemas.get(entity, RAW[entity]), note=lambda n, seen: loaded.append((n, seen)))
         log = lake.audit(f"loads/{entity}")
@@ -160,8 +194,8 @@ def load_log(lake: Lake, entity: str) -> DataFrame:
 
 
 def collect_rejects(lake: Lake) -> DataFrame:
-    """The dead letters of all entities."""
-    found = [lake.audit(f"rejects/{e}").read_or_none() for e in lake.entities]
+    """The dead letters of all entities, and what could not be ingested."""
+    found = [lake.audit(name).read_or_none() for name in ("failed_files", *(f"rejects/{e}" for e in lake.entities))]
     present = [df for df in found if df is not None]
     empty = lake.spark.createDataFrame([], AUDIT["failed_files"])
     return reduce(DataFrame.unionByName, present, empty)
@@ -198,7 +232,8 @@ def maintain(lake: Lake) -> None:
             target.drop_replaced()
         else:
             raw.compact(min(facts, default=None))
-        for table in (raw, lake.audit(f"rejects/{entity}"), lake.audit(f"loads/{entity}")):
+        manifest = Table(lake.spark, f"{lake.root}/manifest/{entity}")
+        for table in (raw, manifest, lake.audit(f"rejects/{entity}"), lake.audit(f"loads/{entity}")):
             if table is not raw:
                 table.compact()
             table.drop_replaced()
@@ -283,6 +318,35 @@ def restate_rates(lake: Lake, name: str, days: DataFrame) -> None:
     _facts_start_anew(lake, name)
 
 
+def backfill(lake: Lake, entity: str, first: dt.date, last: dt.date) -> None:
+    """Take the landed files of some days through the layers, as after a model was corrected.
+
+    Files that were never loaded are loaded; Silver takes all rows of these days anew, and the facts
+    that read them are built whole next time. Only the folders of these days are opened.
+    """
+    rows = landing.backfill(lake.spark, lake.root, entity, RAW[entity], first, last, lake.file_schemas.get(entity, RAW[entity]))
+    known = lake.raw(entity).read_or_none()
+    held = with_row_hash(rows)
+    if known is not None:
+        loaded = known.select("source_file").filter(F.col("source_file").rlike(_days(first, last))).distinct()
+        held = held.join(loaded, "source_file", "left_anti").select(*held.columns)
+    lake.raw(entity).append(held)
+    if entity not in bronze.MODELS:
+        return
+    build_bronze(lake)
+    brz = bronze.MODELS[entity][1](with_row_hash(rows))
+    for name, (source, _) in SILVER.items():
+        if source == entity:
+            lake.silver(name).upsert(silver_rows(lake, name, brz), ("loaded_at", "ingestion_run_id"))
+            _facts_start_anew(lake, name)
+
+
+def _days(first: dt.date, last: dt.date) -> str:
+    """A pattern for the folders of the days."""
+    days = [first + dt.timedelta(n) for n in range((last - first).days + 1)]
+    return "/(" + "|".join(f"{d:year=%Y/month=%m/day=%d}" for d in days) + ")/"
+
+
 def build_gold(lake: Lake, whole: bool = False) -> None:
     """Dimensions anew, facts by what changed since they were last built, or ``whole``."""
     stg = {name: lake.silver(name).read() for name in SILVER}
@@ -385,13 +449,11 @@ def advance(lake: Lake) -> None:
 
     Invoice lines are as new as their invoices, which is also what ingest holds them against.
     """
-    table = lake.audit("ingestion_control")
-    if not table.exists():
-        table.replace(control.control_seed(lake.spark))
+    table = _control(lake)
     reached = []
     for entity in lake.entities:
         noted = load_log(lake, "invoices" if entity == "invoice_line_items" else entity)
-        source, name = ("fx", "rates") if entity == "fx_rates" else ("stripe", entity)
+        source, name = _control_name(entity)
         reached.append(noted.agg(F.max("newest_created").alias("last_successful_watermark")).select(
             F.lit(source).alias("source_name"), F.lit(name).alias("entity_name"), "last_successful_watermark"))
     control.advance_watermarks(table, reduce(DataFrame.unionByName, reached), lake.run_id, lake.as_of)
@@ -400,6 +462,7 @@ def advance(lake: Lake) -> None:
 def run_daily(lake: Lake) -> DataFrame:
     """One full run. Returns the reconciliation results; raises before watermarks move."""
     stages: list[tuple[str, Callable[[], object]]] = [
+        *([("ingest", lambda: ingest(lake))] if lake.payloads else []),
         ("load_raw", lambda: load_raw(lake)),
         ("source_tests", lambda: run_tests(
             lake, {e: c for e, c in checks.RAW.items() if e in lake.entities},

@@ -21,12 +21,12 @@ def control_table(spark: SparkSession, path: str) -> Table:
     return Table(spark, path, keys=CONTROL_KEYS, buckets=1)
 
 
-def control_seed(spark: SparkSession) -> DataFrame:
-    """The watermark table before the first run."""
+def control_seed(spark: SparkSession, start: str = WATERMARK_START) -> DataFrame:
+    """The watermark table before the first run, all watermarks at ``start``."""
     rows = [(source, entity, strategy) for (source, entity), strategy in LOAD_STRATEGIES.items()]
     seeded = spark.createDataFrame(rows, "source_name string, entity_name string, load_strategy string")
-    start = F.lit(WATERMARK_START).cast("timestamp_ntz")
-    return align_to_schema(seeded.withColumn("last_successful_watermark", start),
+    begin = F.lit(start).cast("timestamp_ntz")
+    return align_to_schema(seeded.withColumn("last_successful_watermark", begin),
                            AUDIT["ingestion_control"])
 
 
@@ -42,6 +42,12 @@ def get_watermark(control: DataFrame, entity: str, source: str = "stripe") -> in
     return row[0] if row else 0
 
 
+def watermarks(control: DataFrame) -> dict[tuple[str, str], int]:
+    """All watermarks in Unix seconds, by source and entity. One row each, a dozen in all."""
+    rows = control.select(*CONTROL_KEYS, epoch_seconds(F.col("last_successful_watermark")).alias("mark")).collect()
+    return {(r["source_name"], r["entity_name"]): r["mark"] or 0 for r in rows}
+
+
 def loaded_watermark(loaded: DataFrame, entity: str, source: str = "stripe",
                      created: str = "created") -> DataFrame:
     """The watermark an entity has reached: the newest creation time actually loaded."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,35 @@ def has_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
     return False
 
 
+def listed(spark: SparkSession, path: str, suffix: str, most: int) -> Iterator[list[str]]:
+    """Files below ``path`` with the suffix, by their path from there, ``most`` at a time.
+
+    Hidden files and folders are left out, as Spark does. The listing is taken up as the store
+    hands it out; one folder's children are sorted.
+    """
+    fs, found, waiting = _fs(spark, path), [], [""]
+    while waiting:
+        here = waiting.pop()
+        inner = fs.listStatusIterator(_path(spark, f"{path}/{here}" if here else path))
+        folders = []
+        while inner.hasNext():
+            status = inner.next()
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")) and "=" not in name:
+                continue
+            name = f"{here}/{name}" if here else name
+            if status.isDirectory():
+                folders.append(name)
+            elif name.endswith(suffix):
+                found.append(name)
+                if len(found) == most:
+                    yield sorted(found)
+                    found = []
+        waiting += sorted(folders, reverse=True)
+    if found:
+        yield sorted(found)
+
+
 def read_json(spark: SparkSession, path: str) -> dict:
     stream = _fs(spark, path).open(_path(spark, path))
     try:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.align import align_to_schema
 from ledgerlake.operators.incremental import created_after
+from ledgerlake.session import observed
 from ledgerlake.sources import files
 from ledgerlake.sources.flatten import FLATTENERS
 
@@ -77,11 +78,13 @@ def backfill(spark: SparkSession, root: str, entity: str, schema: T.StructType,
 
 def ingest_all(spark: SparkSession, payloads: Mapping[str, Callable[[], DataFrame]], root: str,
                run_id: str, loaded_at: dt.datetime, watermarks: Mapping[str, int] | None = None,
-               flatteners: Mapping[str, Callable[[DataFrame], DataFrame]] = FLATTENERS) -> dict[str, int]:
+               flatteners: Mapping[str, Callable[[DataFrame], DataFrame]] = FLATTENERS,
+               errors: dict[str, str] | None = None) -> dict[str, int]:
     """Flatten, stamp and land every entity.
 
     Returns the rows landed per entity: 0 where nothing was new, -1 where it failed. A
-    failure does not stop the other entities; see ``raise_on_failure``.
+    failure does not stop the other entities; ``errors`` takes what it was, and
+    ``raise_on_failure`` stops the run.
     """
     landed: dict[str, int] = {}
     for entity, fetch in payloads.items():
@@ -97,10 +100,11 @@ def ingest_all(spark: SparkSession, payloads: Mapping[str, Callable[[], DataFram
             seen = Observation()
             counted = stamp(rows, run_id, loaded_at).observe(seen, F.count(F.lit(1)).alias("rows"))
             write_landing(counted, root, entity, run_id, loaded_at.date())
-            landed[entity] = seen.get["rows"]
+            landed[entity] = observed(seen, {"rows": 0})["rows"]
         except Exception as err:  # one entity must not stop the others
-            print(f"ingest of {entity} failed: {err}")
             landed[entity] = -1
+            if errors is not None:
+                errors[entity] = str(err)
     return landed
 
 

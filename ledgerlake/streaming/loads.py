@@ -1,4 +1,4 @@
-"""File streams: load every landed file once, project it, upsert it."""
+"""Load every landed file once; streams of landed files: project them, upsert them."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from ledgerlake.schemas import RAW
 from ledgerlake.session import configure, observed
 from ledgerlake.sources import files
 from ledgerlake.sources.control import failed_rows, shaped
+from ledgerlake.sources.manifest import PORTION, Manifest
 from ledgerlake.sources.tables import Table
 from ledgerlake.streaming.newest import newest_rows
 
@@ -59,14 +60,14 @@ def _drain(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int]
     return query
 
 
-def load_once(spark: SparkSession, path: str, entity: str, target: Table, checkpoint: str,
+def load_once(spark: SparkSession, path: str, entity: str, target: Table, manifest: str,
               rejects: Table | None = None, run_id: str = "", now: dt.datetime | None = None,
-              file_schema: T.StructType | None = None, max_files: int | None = None,
+              file_schema: T.StructType | None = None, portion: int = PORTION,
               note: Callable[[int, dict], None] | None = None) -> None:
-    """Load the files below ``path`` that no earlier call has loaded.
+    """Load the files below ``path`` that no earlier call has loaded, whatever their age.
 
-    The checkpoint remembers the files; the target has a load for each batch, so
-    a batch replayed after a crash is not added twice. Rows that do not fit the schema go to
+    The folder ``manifest`` names them. Each portion of new files is one load of the target; a load
+    that a crash kept from being named is known by its rows. Rows that do not fit the schema go to
     ``rejects``. An empty or absent folder loads nothing. ``note`` is told the number of each load and
     what was seen while writing it: its rows and the newest load and creation times.
     """
@@ -75,27 +76,29 @@ def load_once(spark: SparkSession, path: str, entity: str, target: Table, checkp
             target.replace(with_row_hash(spark.createDataFrame([], RAW[entity])))
         return
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-
     created = CREATED.get(entity, "created")
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    known = Manifest(spark, manifest, path, target)
+    known.repair()
+    for names in known.new_files(portion=portion):
         seen, kept = Observation(), Observation()
-        checked = marked(batch, RAW[entity])
+        checked = marked(known.rows(names, file_schema or _merged(spark, path, names)), RAW[entity])
         counted = checked.observe(seen, F.count_if(F.col("_error") != "").alias("rejected"))
         rows = with_row_hash(good_rows(counted, RAW[entity]))
         newest = F.max(created) if created in rows.columns else F.lit(None).cast("long")
         rows = rows.observe(kept, F.count(F.lit(1)).alias("rows"), F.max("loaded_at").alias("newest_loaded_at"),
                             newest.alias("newest_created"))
-        number = batch_id + 1  # the load that the batch is
-        wrote = target.append(rows, number)
-        if wrote and note is not None:
+        number = max(target.last(), 0) + 1
+        target.append(rows, number)
+        if rejects is not None and observed(seen, {"rejected": 0})["rejected"] > 0:
+            rejects.append(shaped(failed_rows(rejected_rows(checked), entity, run_id, now), "failed_files"), number)
+        known.loaded(names, number)
+        if note is not None:
             note(number, observed(kept, {"rows": 0, "newest_loaded_at": None, "newest_created": None}))
-        # After a crash between the two writes the first is skipped and nothing was counted.
-        if rejects is not None and (not wrote or observed(seen, {"rejected": 0})["rejected"] > 0):
-            dead = failed_rows(rejected_rows(checked), entity, run_id, now)
-            rejects.append(shaped(dead, "failed_files"), number)
 
-    _drain(landed_files(spark, path, file_schema, max_files), checkpoint, handle)
+
+def _merged(spark: SparkSession, path: str, names: Sequence[str]) -> T.StructType:
+    """The columns of all the given files, from their footers."""
+    return spark.read.option("mergeSchema", "true").parquet(*(f"{path}/{n}" for n in names)).schema
 
 
 def stream_bronze(stream: DataFrame, entity: str, target: Table, checkpoint: str,

@@ -9,6 +9,7 @@ import catalog
 from catalog.storage import LANDED, lake
 from ledgerlake.plans import pipeline
 from ledgerlake.plans.warehouse import Warehouse
+from ledgerlake.schemas import RAW
 from ledgerlake.session import work_dir
 from ledgerlake.sources import control, landing
 
@@ -85,3 +86,24 @@ def test_failed_gate_stops_the_run(spark):
 def test_missing_required_entity(spark, folder):
     with pytest.raises(FileNotFoundError, match="balance_transactions"):
         pipeline.run_daily(lake(spark, folder, "run-a"))
+
+
+def test_failed_ingest_is_recorded_and_stops_the_run(spark, folder):
+    def fails(mark):
+        raise OSError("source is down")
+
+    run = lake(spark, folder, "run-a")
+    run.payloads = {"charges": fails, "refunds": lambda mark: spark.createDataFrame([('{"id":"a","created":%d}' % (mark + 5),)], "payload string")}
+    with pytest.raises(RuntimeError, match="charges"):
+        pipeline.run_daily(run)
+    letters = pipeline.collect_rejects(run).collect()
+    assert [(r.entity, r.error_type, r.error_message) for r in letters] == [("charges", "ingest_failed", "source is down")]
+    assert landing.read_optional(spark, folder, "refunds", RAW["refunds"]).count() == 1
+    assert [r.status for r in run.audit("pipeline_runs").read().collect()] == ["failed"]
+
+
+def test_row_counts_in_the_run_log(spark, two_days):
+    log = lake(spark, two_days, "check").audit("pipeline_runs").read().filter("run_id = 'run-b'")
+    rows = {r.task_id: r.row_count for r in log.collect()}
+    late = sum(catalog.raw(spark, SF, e).filter(F.col("loaded_at") > F.lit(CUT).cast("timestamp_ntz")).count() for e in LANDED)
+    assert rows["load_raw"] == late and 0 < rows["bronze"] <= late

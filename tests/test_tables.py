@@ -223,7 +223,7 @@ def test_load_once_with_rejects(spark, folder, raw):
     path = landing.entity_path(folder, "refunds")
 
     def run():
-        loads.load_once(spark, path, "refunds", target, f"{folder}/cp", dead, "r", ts("2024-02-05"))
+        loads.load_once(spark, path, "refunds", target, f"{folder}/manifest", dead, "r", ts("2024-02-05"))
 
     run()
     assert target.read().count() == 0 and not dead.exists()
@@ -240,6 +240,38 @@ def test_load_once_with_rejects(spark, folder, raw):
     assert dead.read().columns == AUDIT["failed_files"].names
 
 
+def test_files_are_loaded_in_portions_and_once(spark, folder, raw):
+    target, path, noted = Table(spark, f"{folder}/raw"), landing.entity_path(folder, "refunds"), []
+
+    def run():
+        loads.load_once(spark, path, "refunds", target, f"{folder}/manifest", portion=3, file_schema=RAW["refunds"],
+                        note=lambda n, seen: noted.append((n, seen["rows"])))
+
+    for n in range(7):
+        landing.write_landing(raw("refunds", [refund(f"a{n}")]).coalesce(1), folder, "refunds", f"r{n}", day(f"2024-02-0{n + 1}"))
+    run()
+    run()
+    assert noted == [(1, 3), (2, 3), (3, 1)] and target.read().count() == 7
+    landing.write_landing(raw("refunds", [refund("old")]).coalesce(1), folder, "refunds", "late", day("2023-01-01"))
+    run()
+    assert target.read().count() == 8 and noted[-1] == (4, 1)
+    files.remove(spark, f"{folder}/manifest/load=4")  # as if the run had ended before it was written
+    run()
+    assert target.read().count() == 8 and len(noted) == 4
+    manifest = Table(spark, f"{folder}/manifest").read()
+    assert manifest.count() == manifest.select("file").distinct().count() == 8
+
+
+def test_many_files_are_listed_in_bounded_portions(spark, tmp_path):
+    for n in range(120):
+        inner = tmp_path / f"day={n % 6}"
+        inner.mkdir(exist_ok=True)
+        (inner / f"f{n:03d}.parquet").touch()
+        (inner / f"_hidden{n}.parquet").touch()
+    portions = list(files.listed(spark, str(tmp_path), ".parquet", 50))
+    assert [len(p) for p in portions] == [50, 50, 20] and len({f for p in portions for f in p}) == 120
+
+
 def test_ingest_isolates_failures(spark, folder):
     def fails():
         raise OSError("down")
@@ -248,8 +280,8 @@ def test_ingest_isolates_failures(spark, folder):
         "disputes": fails,
         "refunds": lambda: payloads(spark, '{"id":"a","created":5}', '{"id":"b","created":50}'),
         "payouts": lambda: payloads(spark, '{"id":"c","created":5}')}, folder, "r1", ts("2024-02-01"),
-        {"refunds": 5, "payouts": 5})
-    assert landed == {"disputes": -1, "refunds": 1, "payouts": 0}
+        {"refunds": 5, "payouts": 5}, errors=(errors := {}))
+    assert landed == {"disputes": -1, "refunds": 1, "payouts": 0} and errors == {"disputes": "down"}
     with pytest.raises(RuntimeError, match="disputes"):
         landing.raise_on_failure(landed)
     got = landing.read_landing(spark, folder, "refunds", RAW["refunds"]).first()
