@@ -4,7 +4,7 @@ A document is the set of its distinct five-word shingles, held as 64-bit hashes;
 sketch embeds the set in 256 coordinates. Documents with the same set are one class and only
 classes are joined. Each tree starts at another coordinate: classes with the same minwise token
 there are a node. Nodes of up to ``SMALL`` classes are compared exhaustively by their sketches;
-larger ones choose one or two coordinates by the node's path and branch by the tokens found
+larger ones are first split by bands of set size, which parts no link, and those still larger choose one or two coordinates by the node's path and branch by the tokens found
 there, unless all but a few of their classes are linked already: then these few are held against
 the others block by block. A pair at the threshold goes on with 0.75 * 11 / 6 > 1 children in the
 mean, so it does not die out with depth: a tree parts it with a probability of at most 0.4, and
@@ -43,7 +43,9 @@ PERCENT = 75
 #: Equal coordinates of two sketches from which a pair is confirmed: a pair at the threshold has
 #: fewer with a probability of about 2e-5.
 LEAST_EQUAL = 163
-SMALL, DEPTH, TREES, STARS = 400, 5, 12, 8
+#: Classes of a node that are compared by their sketches, and by their full sets.
+SMALL, SMALL_SETS = 4000, 400
+DEPTH, TREES, STARS = 5, 12, 8
 
 
 def _sets(rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
@@ -136,10 +138,12 @@ def _compare(nodes: DataFrame, percent: int) -> DataFrame:
 
     def pairs(ids, labels, matrix, sizes):
         one, other, equal = [], [], []
+        order = np.argsort(sizes, kind="stable")
+        ids, labels, matrix, sizes = ids[order], labels[order], matrix[order], sizes[order]
+        # Sets much larger cannot be alike: those that can follow each other.
+        reach = np.searchsorted(sizes, 100 * sizes // percent, side="right")
         for i in range(len(ids) - 1):
-            a, b = sizes[i], sizes[i + 1:]
-            near = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)  # else sets cannot be alike
-            ok = np.flatnonzero(near & (labels[i + 1:] != labels[i])) + i + 1
+            ok = np.flatnonzero(labels[i + 1:reach[i]] != labels[i]) + i + 1
             if len(ok):
                 same = np.count_nonzero(matrix[ok] == matrix[i], axis=1)
                 alike = same >= LEAST_EQUAL
@@ -252,38 +256,51 @@ def _full_sets(wanted: DataFrame, rows: DataFrame, key: str, rid: str, text: str
     return found.mapInArrow(lean(emit), "id long, elements binary").dropDuplicates(["id"])
 
 
-def _nodes(state: DataFrame) -> DataFrame:
+def _nodes(state: DataFrame, percent: int, most: int) -> DataFrame:
     """Small nodes (path, id, label) of all trees; ``state`` has id, label, size, sketch, roots."""
     members = _root_paths(state, 1, TREES, "label")
     small: list[DataFrame] = []
-    for level in range(DEPTH + 1):
+    for level in range(DEPTH + 2):
         by_label = members.groupBy("path", "label").agg(F.count(F.lit(1)).alias("k"))
         mixed = (by_label.groupBy("path").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("labels"),
                                               F.max(F.struct("k", "label")).alias("most"))
                  .where(F.col("labels") > 1)
                  .select("path", "n", (F.col("n") - F.col("most.k")).alias("others"), F.col("most.label").alias("main")))
         alive = settle(members.join(mixed, "path"), "nodes")
-        fits = F.col("n") <= SMALL
+        fits = F.col("n") <= most
         # Few classes beside those of one label, which are linked already: no need to branch.
-        few = ~fits & (F.col("others") <= SMALL // 2)
+        few = ~fits & (F.col("others") <= most // 2)
         small.append(alive.where(fits).select("path", "id", "label"))
-        small.append(_against_main(alive.where(few)))
+        small.append(_against_main(alive.where(few), most))
         large = alive.where(~fits & ~few)
         if not large.take(1):
             break
-        if level == DEPTH:
-            small.append(_blocks(large))
+        if level == DEPTH + 1:
+            small.append(_blocks(large, most))
             break
-        members = settle(_branch(large.join(state.select("id", "sketch"), "id")).distinct(), "nodes")
+        if level:
+            next_ = _branch(large.join(state.select("id", "sketch"), "id"))
+        else:
+            next_ = _banded(large.join(state.select("id", "size"), "id"), percent)
+        members = settle(next_.distinct(), "nodes")
     nodes = small[0]
     for part in small[1:]:
         nodes = nodes.unionByName(part)
     return nodes
 
 
-def _against_main(nodes: DataFrame) -> DataFrame:
+def _banded(nodes: DataFrame, percent: int) -> DataFrame:
+    """Each node by bands of set size. Sets that can be alike lie in one band or in neighbours, so
+    each class goes to its own and the next."""
+    width = float(np.log(100 / percent)) + 1e-9
+    band = F.floor(F.ln(F.col("size").cast("double")) / F.lit(width))
+    return (nodes.withColumn("band", F.explode(F.array(band, band + 1)))
+            .select(F.xxhash64("path", "band").alias("path"), "id", "label"))
+
+
+def _against_main(nodes: DataFrame, most: int) -> DataFrame:
     """Nodes whose classes have one label but for a few: the main part in blocks, the few in each."""
-    half = SMALL // 2
+    half = most // 2
     blocks = F.ceil((F.col("n") - F.col("others")) / half).cast("long")
     block = F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("id", "path"), blocks))) \
         .otherwise(F.sequence(F.lit(0).cast("long"), blocks - 1))
@@ -291,9 +308,9 @@ def _against_main(nodes: DataFrame) -> DataFrame:
             .select(F.xxhash64("path", "block").alias("path"), "id", "label"))
 
 
-def _blocks(large: DataFrame) -> DataFrame:
+def _blocks(large: DataFrame, most: int) -> DataFrame:
     """Nodes too alike to fall apart, as pairs of blocks: every two classes of a node meet."""
-    half = SMALL // 4
+    half = most // 4
     blocks = F.ceil(F.col("n") / half).cast("long")
     own = F.pmod(F.xxhash64("id", "path"), blocks)
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
@@ -367,7 +384,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                       .withColumn("label", F.coalesce("label", "id")), "state")
 
     state = labelled_state()
-    pairs = settle(_compare(_nodes(state).join(state.select("id", "sketch", "size"), "id"), percent), "pairs")
+    pairs = settle(_compare(_nodes(state, percent, SMALL).join(state.select("id", "sketch", "size"), "id"), percent), "pairs")
     if pairs.take(1):
         new = confirmed(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"))
         links = links.unionByName(new)
@@ -381,7 +398,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             state = settle(state.join(ends.join(state.select("id", "label"), "id").select("label").distinct(),
                                       "label", "left_semi"), "state")
             sets = settle(_full_sets(state.select("id", "r_key", "r_rid"), rows, key, rid, text), "sets")
-            members = _nodes(state).join(state.select("id", "sketch", "size"), "id").join(sets, "id")
+            members = _nodes(state, percent, SMALL_SETS).join(state.select("id", "sketch", "size"), "id").join(sets, "id")
             new = settle(_link(members, percent), "links")
             if new.take(1):
                 links = links.unionByName(new)

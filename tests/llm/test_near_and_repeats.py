@@ -70,6 +70,7 @@ def check(rows, found):
 @pytest.mark.parametrize("small", [200, 6])
 def test_components_equal_brute_force(spark, monkeypatch, small):
     monkeypatch.setattr(op3_near_dedup, "SMALL", small)  # 6: nodes branch, and are worked off in blocks
+    monkeypatch.setattr(op3_near_dedup, "SMALL_SETS", small)
     docs = repeated(frame(spark, near_texts()))
     check([(r.doc_id, r.text) for r in docs.collect()], near_duplicates(docs).collect())
 
@@ -95,7 +96,7 @@ def test_every_pair_of_a_large_node_meets(spark):
                                   "path long, id long, label long, n long, others long, main long")
     for cut in (op3_near_dedup._blocks, op3_near_dedup._against_main):
         groups: dict = {}
-        for r in cut(nodes).collect():
+        for r in cut(nodes, 400).collect():
             groups.setdefault(r.path, set()).add(r.id)
         met = {(a, b) for g in groups.values() for a in g for b in g if a < b and a % 2 != b % 2}
         assert len(met) == 350 * 350
