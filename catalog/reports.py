@@ -69,19 +69,19 @@ WITH c AS (SELECT {month('created_date')} AS month, count(*) n, sum(amount_usd)
   FROM m LEFT JOIN c USING (month) LEFT JOIN r USING (month) LEFT JOIN p USING (month))
 SELECT *, {ratio('refunds', 'charges')} AS refund_rate, {ratio('refunded_usd', 'charged_usd')} AS refunded_share,
  {ratio('disputes', 'charges')} AS dispute_rate, {ratio('won', '(won + lost)')} AS dispute_win_rate FROM j"""))(
-    lambda s, d: (lambda w: marts.risk_rates(w.fct_charges, w.fct_refunds, w.fct_disputes))(warehouse(s, d)))
+    lambda s, d: (lambda w: marts.risk_rates(w.charges_daily, w.refunds_daily, w.disputes_daily))(warehouse(s, d)))
 
 register("R3_charge_outcomes", o.statement("fct_charges", f"""
 SELECT {month('created_date')} AS month, payment_method_type, card_brand, count(*) AS attempts,
  count(*) FILTER (status = 'succeeded') AS succeeded, count(*) FILTER (is_failed) AS failed,
  {ratio("count(*) FILTER (status = 'succeeded')", 'count(*)')} AS success_rate, CAST(sum(amount_usd) AS {T}) AS amount_usd
 FROM fct_charges GROUP BY ALL"""))(
-    lambda s, d: marts.charge_outcomes(warehouse(s, d).fct_charges))
+    lambda s, d: marts.charge_outcomes(warehouse(s, d).charges_daily))
 
 register("R3_failure_codes", o.statement("fct_charges", f"""
 SELECT failure_code, payment_method_type, count(*) AS charges, CAST(sum(amount_usd) AS {T}) AS amount_usd
 FROM fct_charges WHERE is_failed GROUP BY ALL"""))(
-    lambda s, d: marts.failure_codes(warehouse(s, d).fct_charges))
+    lambda s, d: marts.failure_codes(warehouse(s, d).charges_daily))
 
 register("R4_refund_latency", o.statement("fct_refunds", """
 SELECT reason, count(*) AS refunds, CAST(quantile_cont(CAST(days_since_charge AS DOUBLE), 0.5) AS DOUBLE) AS median_days,
@@ -92,7 +92,7 @@ SELECT reason, count(*) AS refunds, CAST(quantile_cont(CAST(days_since_charge AS
  count(*) FILTER (days_since_charge BETWEEN 31 AND 90) AS "31_90_days",
  count(*) FILTER (days_since_charge > 90) AS over_90_days
 FROM fct_refunds WHERE days_since_charge IS NOT NULL GROUP BY ALL"""))(
-    lambda s, d: marts.refund_latency(warehouse(s, d).fct_refunds))
+    lambda s, d: marts.refund_latency(warehouse(s, d).refunds_daily))
 
 register("R4_dispute_sla", o.statement("fct_disputes", f"""
 SELECT outcome_category, count(*) AS disputes, count(*) FILTER (is_overdue) AS overdue,
@@ -101,7 +101,7 @@ SELECT outcome_category, count(*) AS disputes, count(*) FILTER (is_overdue) AS o
  min(days_to_evidence_due) AS min_days_to_due, max(days_to_evidence_due) AS max_days_to_due,
  CAST(sum(amount_usd) AS {T}) AS amount_usd
 FROM fct_disputes GROUP BY ALL"""))(
-    lambda s, d: marts.dispute_sla(warehouse(s, d).fct_disputes))
+    lambda s, d: marts.dispute_sla(warehouse(s, d).disputes_daily))
 
 register("R5_cash_by_day", o.statement("fct_payouts", f"""
 SELECT arrival_date, count(*) AS payouts, CAST(ifnull(sum(amount_usd) FILTER (is_paid), 0) AS {T}) AS net_cash_usd,

@@ -215,12 +215,17 @@ def _through_charge(facts: DataFrame, stg_charges: DataFrame, row_id: str) -> Da
                       spread_by=row_id)
 
 
+def refund_days(stg: DataFrame, stg_charges: DataFrame) -> DataFrame:
+    """Refunds with the customer of their charge and the days since it."""
+    r = _through_charge(stg, stg_charges, "refund_id")
+    r = r.withColumn("days_since_charge", days_between(F.col("charge_created_date"), F.col("created_date")))
+    return r.drop("charge_created_date")
+
+
 def fct_refunds(stg: DataFrame, stg_charges: DataFrame, dim_customers: DataFrame,
                 dates: Lookup, currencies: Lookup) -> DataFrame:
     r = stg.drop("payment_intent_id", "failure_balance_transaction_id", "load_mode")
-    r = _through_charge(r, stg_charges, "refund_id")
-    r = r.withColumn("days_since_charge", days_between(F.col("charge_created_date"), F.col("created_date")))
-    r = _with_customer_key(r.drop("charge_created_date"), dim_customers, "refund_id")
+    r = _with_customer_key(refund_days(r, stg_charges), dim_customers, "refund_id")
     return _with_currency(_with_day(r, dates, "created_date", "created_date_key"), currencies)
 
 

@@ -83,15 +83,15 @@ def movement_counts(fct_mrr: DataFrame) -> DataFrame:
     )
 
 
-def risk_rates(fct_charges: DataFrame, fct_refunds: DataFrame, fct_disputes: DataFrame) -> DataFrame:
-    """Refund rate, dispute rate and dispute win rate per month."""
+def risk_rates(charges_daily: DataFrame, refunds_daily: DataFrame, disputes_daily: DataFrame) -> DataFrame:
+    """Refund rate, dispute rate and dispute win rate per month, merged from daily partials."""
     def monthly(df: DataFrame, *aggs: Column) -> DataFrame:
-        return df.groupBy(month_of(F.col("created_date")).alias("month")).agg(*aggs)
+        return df.groupBy(month_of(F.col("day")).alias("month")).agg(*aggs)
 
-    charges = monthly(fct_charges, count().alias("charges"), total("amount_usd").alias("charged_usd"))
-    refunds = monthly(fct_refunds, count().alias("refunds"), total("amount_usd").alias("refunded_usd"))
-    disputes = monthly(fct_disputes, count().alias("disputes"), F.count_if("is_won").alias("won"),
-                       F.count_if("is_lost").alias("lost"), total("loss_amount_usd").alias("loss_usd"))
+    charges = monthly(charges_daily, F.sum("n").alias("charges"), total("amount_usd").alias("charged_usd"))
+    refunds = monthly(refunds_daily, F.sum("n").alias("refunds"), total("amount_usd").alias("refunded_usd"))
+    disputes = monthly(disputes_daily, F.sum("n").alias("disputes"), F.sum("won").alias("won"),
+                       F.sum("lost").alias("lost"), total("loss_usd").alias("loss_usd"))
     joined = charges.join(refunds, "month", "full").join(disputes, "month", "full")
 
     def n(name: str) -> Column:
@@ -111,24 +111,21 @@ def risk_rates(fct_charges: DataFrame, fct_refunds: DataFrame, fct_disputes: Dat
     )
 
 
-def charge_outcomes(fct_charges: DataFrame) -> DataFrame:
-    """Success rate per month, payment method and card brand."""
-    succeeded = F.count_if(F.col("status") == "succeeded")
-    return fct_charges.groupBy(
-        month_of(F.col("created_date")).alias("month"), "payment_method_type", "card_brand"
-    ).agg(
-        count().alias("attempts"),
-        succeeded.alias("succeeded"),
-        F.count_if("is_failed").alias("failed"),
-        share(succeeded, count()).alias("success_rate"),
+def charge_outcomes(charges_daily: DataFrame) -> DataFrame:
+    """Success rate per month, payment method and card brand, merged from daily partials."""
+    return charges_daily.groupBy(month_of(F.col("day")).alias("month"), "payment_method_type", "card_brand").agg(
+        F.sum("n").alias("attempts"),
+        F.sum("succeeded").alias("succeeded"),
+        F.sum("failed").alias("failed"),
+        share(F.sum("succeeded"), F.sum("n")).alias("success_rate"),
         total("amount_usd").alias("amount_usd"),
     )
 
 
-def failure_codes(fct_charges: DataFrame) -> DataFrame:
+def failure_codes(charges_daily: DataFrame) -> DataFrame:
     return (
-        fct_charges.filter("is_failed").groupBy("failure_code", "payment_method_type")
-        .agg(count().alias("charges"), total("amount_usd").alias("amount_usd"))
+        charges_daily.filter(F.col("failed") > 0).groupBy("failure_code", "payment_method_type")
+        .agg(F.sum("n").alias("charges"), total("amount_usd").alias("amount_usd"))
     )
 
 
@@ -136,33 +133,33 @@ LATENCY_BANDS = [(0, "before charge"), (8, "0-7 days"), (31, "8-30 days"), (91,
 LATENCY_ABOVE = "over 90 days"
 
 
-def refund_latency(fct_refunds: DataFrame) -> DataFrame:
-    """Days from charge to refund, by reason.
+def refund_latency(refunds_daily: DataFrame) -> DataFrame:
+    """Days from charge to refund, by reason, merged from daily histograms.
 
     The percentiles are exact; their state holds one counter per distinct number of days.
     """
-    known = fct_refunds.filter(F.col("days_since_charge").isNotNull())
-    days = F.col("days_since_charge")
+    known = refunds_daily.filter(F.col("days_since_charge").isNotNull())
+    days, n = F.col("days_since_charge"), F.col("n")
     bands = [label for _, label in LATENCY_BANDS] + [LATENCY_ABOVE]
     band = banded(days, LATENCY_BANDS, LATENCY_ABOVE)
     return known.groupBy("reason").agg(
-        count().alias("refunds"),
-        F.percentile(days, F.lit(0.5)).alias("median_days"),
-        F.percentile(days, F.lit(0.9)).alias("p90_days"),
+        F.sum(n).alias("refunds"),
+        F.percentile(days, F.lit(0.5), n).alias("median_days"),
+        F.percentile(days, F.lit(0.9), n).alias("p90_days"),
         F.min(days).alias("min_days"),
         F.max(days).alias("max_days"),
-        *(F.count_if(band == b).alias(b.replace(" ", "_").replace("-", "_")) for b in bands),
+        *(F.sum(F.when(band == b, n).otherwise(F.lit(0))).alias(b.replace(" ", "_").replace("-", "_")) for b in bands),
     )
 
 
-def dispute_sla(fct_disputes: DataFrame) -> DataFrame:
-    """Time left to answer disputes, per outcome."""
-    days = F.col("days_to_evidence_due")
-    return fct_disputes.groupBy("outcome_category").agg(
-        count().alias("disputes"),
-        F.count_if("is_overdue").alias("overdue"),
-        F.count_if("has_evidence_submitted").alias("with_evidence"),
-        F.percentile(days, F.lit(0.5)).alias("median_days_to_due"),
+def dispute_sla(disputes_daily: DataFrame) -> DataFrame:
+    """Time left to answer disputes, per outcome, merged from daily histograms."""
+    days, n = F.col("days_to_evidence_due"), F.col("n")
+    return disputes_daily.groupBy("outcome_category").agg(
+        F.sum(n).alias("disputes"),
+        F.sum("overdue").alias("overdue"),
+        F.sum("with_evidence").alias("with_evidence"),
+        F.percentile(days, F.lit(0.5), n).alias("median_days_to_due"),
         F.min(days).alias("min_days_to_due"),
         F.max(days).alias("max_days_to_due"),
         total("amount_usd").alias("amount_usd"),

@@ -14,9 +14,9 @@ from pyspark.sql.types import StructType
 
 from ledgerlake.operators.dedup import with_row_hash
 from ledgerlake.operators.fx import rate_lookup
-from ledgerlake.operators.lookup import Lookup
+from ledgerlake.operators.lookup import Lookup, semi_join
 from ledgerlake.operators.quality import count_missing_rates, freshness, reconcile, run_checks
-from ledgerlake.plans import bronze, checks, gold, increments, silver
+from ledgerlake.plans import bronze, checks, gold, increments, partials, silver
 from ledgerlake.schemas import AUDIT, DAILY_ENTITIES, OPTIONAL_ENTITIES, RAW, WATERMARK_START
 from ledgerlake.session import work_dir
 from ledgerlake.sources import control, files, landing
@@ -99,6 +99,11 @@ class Lake:
         return Table(self.spark, path, keys=[increments.FACTS[name][0]], buckets=self.buckets,
                      cluster_by=(LAID_OUT_BY.get(name, "created_date"),))
 
+    def daily(self, name: str) -> Table:
+        """The daily partials of a fact."""
+        return Table(self.spark, f"{self.root}/gold/{partials.PARTIALS[name][0]}", keys=["day"], buckets=self.buckets,
+                     cluster_by=("day",))
+
     def audit(self, name: str) -> Table:
         if name == "ingestion_control":
             return control.control_table(self.spark, f"{self.root}/audit/{name}")
@@ -240,6 +245,7 @@ def maintain(lake: Lake) -> None:
 
     lake.in_parallel(one, lake.entities)
     for table in (*(lake.silver(n) for n in SILVER), *(lake.gold(n) for n in (*DIMENSIONS, *FACTS)),
+                  *(lake.daily(n) for n in partials.PARTIALS),
                   *(lake.audit(n) for n in AUDIT_TABLES)):
         table.compact()
         table.drop_replaced()
@@ -399,8 +405,15 @@ def build_gold(lake: Lake, whole: bool = False) -> None:
         taken = {e: target.applied(e) for e in used}
         if whole or not target.exists() or min(taken.values()) < 0:
             target.replace(facts[name]())
+            if name in partials.PARTIALS:
+                lake.daily(name).replace(partials.PARTIALS[name][1](target.read()))
         elif found := increments.changes(sources, name, target.read(), taken.__getitem__):
+            days = None if name not in partials.PARTIALS else sources.ids(
+                [target.rows_of(found[0]).select("created_date"), found[1].select("created_date")], "day")
             target.swap(*found)
+            if days is not None:  # the days of the old rows and of the new ones
+                rows = semi_join(target.read(), days, {"created_date": "day"})
+                lake.daily(name).swap(days, partials.PARTIALS[name][1](rows))
         for entity in used:
             target.took(reached[entity], entity)
     try:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators.dedup import latest_values
 from ledgerlake.operators.fx import rate_lookup
 from ledgerlake.operators.lookup import FIXED_WIDTH, Lookup
-from ledgerlake.plans import bronze, gold, silver
+from ledgerlake.plans import bronze, gold, partials, silver
 
 # A row of the currency lookup: a short code and an MD5 key.
 CURRENCY_ROW_BYTES = 2 * FIXED_WIDTH + 64
@@ -89,6 +89,18 @@ class Warehouse:
         return latest_values(self.bronze("disputes"), ["id"], ["charge_id"]).select(
             F.col("id").alias("dispute_id"), "charge_id")
 
+    @cached_property
+    def charges_daily(self) -> DataFrame:
+        return partials.charges_daily(self.stg_charges)
+
+    @cached_property
+    def refunds_daily(self) -> DataFrame:
+        return partials.refunds_daily(gold.refund_days(self.stg_refunds, self.charge_owners))
+
+    @cached_property
+    def disputes_daily(self) -> DataFrame:
+        return partials.disputes_daily(self.stg_disputes)
+
     @cached_property
     def dim_customers(self) -> DataFrame:
         return gold.dim_customers(self.stg_customers_history)

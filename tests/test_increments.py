@@ -6,7 +6,7 @@ from conftest import plan, ts
 from pyspark.sql import functions as F
 
 import catalog
-from catalog.storage import lake
+from catalog.storage import LANDED, lake
 from ledgerlake.plans import gold, pipeline
 from ledgerlake.session import work_dir
 from ledgerlake.sources import files, landing
@@ -175,8 +175,6 @@ def test_increments_equal_the_whole_and_write_little(spark):
 
 
 def test_one_changed_fact_rewrites_one_bucket(spark, folder):
-    from catalog.storage import LANDED
-
     run = lake(spark, folder, "r")
     for entity in LANDED:
         landing.write_landing(catalog.raw(spark, SF, entity), folder, entity, "run-a", dt.date(2024, 2, 5))
@@ -190,6 +188,25 @@ def test_one_changed_fact_rewrites_one_bucket(spark, folder):
     assert before["fct_charges"] == after["fct_charges"]
 
 
+def test_a_late_refund_changes_the_partial_of_one_day(spark, folder):
+    run = lake(spark, folder, "r")
+    for entity in LANDED:
+        landing.write_landing(catalog.raw(spark, SF, entity), folder, entity, "run-a", dt.date(2024, 2, 5))
+    build(run)
+    table = run.daily("fct_refunds")
+    before = {r.day: str(r) for r in table.read().orderBy("day", "reason", "days_since_charge").collect()}
+    late = catalog.raw(spark, SF, "refunds").orderBy("id").limit(1).withColumns({
+        "id": F.lit("late"), "loaded_at": F.lit(ts("2024-03-01")).cast("timestamp_ntz")})
+    landing.write_landing(late, folder, "refunds", "run-b", dt.date(2024, 3, 1))
+    day = late.select(F.to_date(F.timestamp_seconds("created")).alias("day")).first().day
+    build(run)
+    rows_ = table.read().orderBy("day", "reason", "days_since_charge").collect()
+    assert sum(r.n for r in rows_ if r.day == day) == 1 + run.gold("fct_refunds").read().filter(
+        (F.col("created_date") == F.lit(day)) & (F.col("refund_id") != "late")).count()
+    after = {r.day: str(r) for r in rows_}
+    assert {d for d in after if after[d] != before.get(d)} <= {day}
+
+
 def test_latest_wins_reads_few_columns(spark, folder):
     """Two columns of the last versions: keys, order and the stored hash beside them."""
     from ledgerlake.operators.dedup import dedup_latest, latest_values, with_row_hash
