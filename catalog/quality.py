@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 import oracles as o
 from catalog.base import AS_OF, raw, register, warehouse
@@ -141,3 +142,15 @@ def _(spark, sf_dir):
 
 register("Q1_Q2_Q3_gold_tests", _layer_sql(checks.GOLD))(
     lambda s, d: (lambda w: _layer(checks.GOLD, lambda t: getattr(w, t)))(warehouse(s, d)))
+
+
+@register("Q5_fingerprints", o.statement("stg_charges", """
+SELECT charge_id AS key, CASE WHEN charge_id LIKE '%3' THEN 'only left' ELSE 'differs' END AS finding
+FROM stg_charges WHERE charge_id LIKE '%3' OR (charge_id LIKE '%17' AND amount_usd <> 0)
+UNION ALL SELECT charge_id || '+', 'only right' FROM stg_charges WHERE charge_id LIKE '%3'"""))
+def _(spark, sf_dir):
+    """As many rows on both sides, and the sum of some keys' amounts turned round: the keys are named."""
+    silver = warehouse(spark, sf_dir).stg_charges.select("charge_id", "amount_usd", "status")
+    gold = silver.withColumn("amount_usd", F.when(F.col("charge_id").endswith("17"), -F.col("amount_usd")).otherwise(F.col("amount_usd")))
+    gold = gold.withColumn("charge_id", F.when(F.col("charge_id").endswith("3"), F.concat("charge_id", F.lit("+"))).otherwise(F.col("charge_id")))
+    return quality.differing_keys(silver, gold, "charge_id", ("amount_usd", "status"))

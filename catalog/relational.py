@@ -23,7 +23,7 @@ LEFT JOIN fx ON fx.from_currency = upper(b.currency) AND fx.rate_date = b.create
 
 def _rated(spark, sf_dir, **options):
     w = warehouse(spark, sf_dir)
-    rates = rate_lookup(w.bronze("fx_rates"), **options)
+    rates = rate_lookup(daily_rates(w.bronze("fx_rates")), **options)
     rated = with_usd_rate(w.bronze("charges"), rates, F.upper("currency"), F.col("created_date"))
     return rated.select("id", "loaded_at", "usd_rate")
 

@@ -17,6 +17,7 @@ import oracles as o
 from catalog.base import AS_OF, CALENDAR_START, raw, register, warehouse
 from ledgerlake.functions.columns import epoch_date
 from ledgerlake.operators.align import align_to_schema, split_rejects
+from ledgerlake.operators.layout import overlapping
 from ledgerlake.plans import bronze, pipeline, silver
 from ledgerlake.schemas import RAW
 from ledgerlake.session import work_dir
@@ -184,13 +185,21 @@ def _(spark, sf_dir):
 
 
 @register("S9_layout", o.statement("stg_charges", """
-SELECT charge_id, created_date, amount_usd FROM stg_charges"""))
+SELECT charge_id, created_date, amount_usd, true AS few_files_by_date, true AS few_files_by_id FROM stg_charges"""))
 def _(spark, sf_dir):
-    """Written in date order, read back whole."""
+    """Written along a curve over date and id: a filter on either opens half of the files at most."""
     charges = warehouse(spark, sf_dir).stg_charges.select("charge_id", "created_date", "amount_usd")
-    table = Table(spark, work_dir(spark, "s9"), cluster_by=("created_date", "charge_id"))
+    table = Table(spark, work_dir(spark, "s9"), curve_by=("created_date", "charge_id"), files=16)
     table.replace(charges)
-    return table.read()
+    stored = table.read()
+    middle = stored.agg(F.percentile(F.unix_date("created_date"), F.lit(0.5)).cast("int").alias("day"),
+                        F.max_by("charge_id", F.xxhash64("charge_id")).alias("id")).first()
+    day = dt.date(1970, 1, 1) + dt.timedelta(middle["day"])
+    few = {}
+    for name, column, value in (("few_files_by_date", "created_date", day), ("few_files_by_id", "charge_id", middle["id"])):
+        hit, files_ = overlapping(stored, column, value)
+        few[name] = F.lit(files_ == 16 and 1 <= hit <= files_ // 2)
+    return stored.withColumns(few)
 
 
 @register("S12_stamp", o.statement("raw_payouts", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,17 +11,22 @@ from ledgerlake.functions.money import RATE, rate_or_one
 from ledgerlake.operators.dedup import latest_values
 from ledgerlake.operators.lookup import Lookup
 
+RATE_KEYS = ("from_currency", "rate_date")
+
 
-def daily_rates(brz_fx: DataFrame) -> DataFrame:
-    """One rate to USD per currency and day: the one loaded last."""
+def daily_rates(brz_fx: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """One rate to USD per currency and day: the one loaded last, with the columns ``also``."""
     usd = brz_fx.filter(F.col("to_currency") == "USD")
-    latest = latest_values(usd, ["from_currency", "rate_date"], ["rate"])
-    return latest.select("from_currency", "rate_date", F.col("rate").cast(RATE).alias("rate"))
+    latest = latest_values(usd, RATE_KEYS, ["rate", *also])
+    return latest.select("from_currency", "rate_date", F.col("rate").cast(RATE).alias("rate"), *also)
+
 
+def rate_lookup(rates: DataFrame, **options) -> Lookup:
+    """Daily rates as a lookup; its size is measured once and shared by all models.
 
-def rate_lookup(brz_fx: DataFrame, **options) -> Lookup:
-    """Daily rates as a lookup; its size is measured once and shared by all models."""
-    return Lookup(daily_rates(brz_fx), ["from_currency", "rate_date"], **options)
+    ``rates`` are written ones, so that no model works them out again.
+    """
+    return Lookup(rates, RATE_KEYS, **options)
 
 
 def with_usd_rate(facts: DataFrame, rates: Lookup, currency: Column, day: Column) -> DataFrame:

@@ -206,3 +206,65 @@ def count_missing_rates(frames: Sequence[tuple[DataFrame, str]], rates: Lookup)
     parts = [missing_rates(df, rates, F.upper("currency"), F.col(day)) for df, day in frames]
     return reduce(DataFrame.unionByName, parts).agg(
         F.coalesce(F.sum("fx_missing"), F.lit(0)).alias("fx_missing"))
+
+
+# Silver table, Gold table, key, and the columns that must agree.
+COMPARED = {
+    "charges": ("stg_charges", "fct_charges", "charge_id", ("amount_usd", "net_amount_usd", "status", "created_date")),
+    "refunds": ("stg_refunds", "fct_refunds", "refund_id", ("signed_amount_usd", "status", "created_date")),
+    "disputes": ("stg_disputes", "fct_disputes", "dispute_id", ("signed_amount_usd", "status", "created_date")),
+    "payouts": ("stg_payouts", "fct_payouts", "payout_id", ("amount_usd", "status", "arrival_date")),
+    "transactions": ("stg_finance_ledger_events", "fct_transactions", "transaction_id",
+                     ("signed_net_amount_usd", "event_type", "created_date")),
+}
+FINGERPRINT_BUCKETS = 4096
+
+
+def _fingerprints(rows: DataFrame, buckets: int) -> DataFrame:
+    """Per bucket of keys the count and the sum of the row hashes, in which order plays no part."""
+    return rows.groupBy(F.pmod("key_hash", F.lit(buckets)).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("row_hash").cast("decimal(38,0)")).alias("hashes"))
+
+
+def differing_keys(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str],
+                   buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
+    """``key`` and ``finding`` (only left, only right, differs) of rows that two tables do not share.
+
+    Fingerprints of key buckets are compared first, one aggregation of a number for each bucket;
+    only rows of buckets that differ are then joined by key. Keys are unique in each table.
+    """
+    def hashed(df: DataFrame) -> DataFrame:
+        return df.select(F.col(key).alias("key"), F.xxhash64(key).alias("key_hash"),
+                         F.xxhash64(key, *columns).alias("row_hash"))
+
+    one, two = hashed(left), hashed(right)
+    a, b = _fingerprints(one, buckets), _fingerprints(two, buckets).toDF("bucket_", "n_", "hashes_")
+    same = F.col("n").eqNullSafe(F.col("n_")) & F.col("hashes").eqNullSafe(F.col("hashes_"))
+    apart = a.join(b, F.col("bucket") == F.col("bucket_"), "full").filter(~same).select(
+        F.coalesce("bucket", "bucket_").alias("apart"))
+
+    def chosen(rows: DataFrame) -> DataFrame:  # at most one row for each bucket is broadcast
+        return rows.join(F.broadcast(apart), F.pmod("key_hash", F.lit(buckets)) == F.col("apart"), "left_semi")
+
+    left_rows = chosen(one).select("key", F.col("row_hash").alias("hash_left"))
+    right_rows = chosen(two).select(F.col("key").alias("key_"), F.col("row_hash").alias("hash_right"))
+    finding = (F.when(F.col("hash_right").isNull(), "only left").when(F.col("hash_left").isNull(), "only right")
+               .otherwise("differs"))
+    return (left_rows.join(right_rows, F.col("key").eqNullSafe(F.col("key_")), "full")
+            .filter(~F.col("hash_left").eqNullSafe(F.col("hash_right")))
+            .select(F.coalesce("key", "key_").alias("key"), finding.alias("finding")))
+
+
+def compare_values(tables: Mapping[str, DataFrame], run_id: str, checked_at: dt.datetime) -> DataFrame:
+    """One reconciliation row for each fact: how many keys differ from Silver in value. None may."""
+    parts = []
+    for name, (silver, gold, key, columns) in COMPARED.items():
+        found = differing_keys(tables[silver], tables[gold], key, columns).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(found.select(
+            F.lit(run_id).alias("run_id"), F.lit(f"{name}_values_agree").alias("check_name"),
+            F.lit("silver").alias("layer_from"), F.lit("gold").alias("layer_to"),
+            F.lit(0).cast("decimal(18,2)").alias("expected_value"), F.col("n").cast("decimal(18,2)").alias("actual_value"),
+            F.col("n").cast("decimal(18,2)").alias("delta"), F.lit(0).cast("decimal(5,2)").alias("tolerance_pct"),
+            F.when(F.col("n") == 0, "passed").otherwise("failed").alias("status"),
+            F.lit(checked_at).cast("timestamp_ntz").alias("checked_at")))
+    return reduce(DataFrame.unionByName, parts)

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.operators.dedup import with_row_hash
-from ledgerlake.operators.fx import rate_lookup
+from ledgerlake.operators.fx import RATE_KEYS, daily_rates, rate_lookup
 from ledgerlake.operators.lookup import Lookup, semi_join
-from ledgerlake.operators.quality import count_missing_rates, freshness, reconcile, run_checks
+from ledgerlake.operators.quality import compare_values, count_missing_rates, freshness, reconcile, run_checks
 from ledgerlake.plans import bronze, checks, gold, increments, partials, silver
 from ledgerlake.schemas import AUDIT, DAILY_ENTITIES, OPTIONAL_ENTITIES, RAW, WATERMARK_START
 from ledgerlake.session import work_dir
@@ -40,6 +40,7 @@ CLUSTERED_BRONZE = ("balance_transactions", "charges", "refunds", "disputes", "p
 DIMENSIONS = ("dim_customers", "dim_dates", "dim_currencies", "dim_geography",
               "dim_payment_category", "dim_plans")
 FACTS = tuple(increments.FACTS)
+LOADED = ("loaded_at", "ingestion_run_id")
 AUDIT_TABLES = ("dbt_test_results", "reconciliation_results", "pipeline_runs", "source_freshness")
 LOAD_LOG = "load_number long, rows long, newest_loaded_at timestamp_ntz, newest_created timestamp_ntz"
 
@@ -109,9 +110,14 @@ class Lake:
             return control.control_table(self.spark, f"{self.root}/audit/{name}")
         return Table(self.spark, f"{self.root}/audit/{name}")
 
+    @property
+    def daily_rates(self) -> Table:
+        """The rate of each currency and day, kept as rates come."""
+        return Table(self.spark, f"{self.root}/silver/daily_rates", keys=RATE_KEYS, buckets=1)
+
     @cached_property
     def rates(self) -> Lookup:
-        return rate_lookup(self.bronze("fx_rates").read())
+        return rate_lookup(self.daily_rates.read().drop("loaded_at", "ingestion_run_id"))
 
     def in_parallel(self, work: Callable[[str], object], names: Iterable[str]) -> list:
         """Submit independent jobs together, so small ones do not leave the cluster idle."""
@@ -263,10 +269,19 @@ def build_bronze(lake: Lake) -> int:
         target.append(bronze.MODELS[entity][1](new), reached) if reached > 0 else target.replace(bronze.MODELS[entity][1](new))
         return target.rows_written
     rows = sum(lake.in_parallel(one, [e for e in lake.entities if e in bronze.MODELS]))
-    lake.__dict__.pop("rates", None)  # rates may have come
+    keep_rates(lake)
     return rows
 
 
+def keep_rates(lake: Lake) -> None:
+    """Take the rates that came into the daily ones; the one loaded last counts."""
+    target = lake.daily_rates
+    new, reached = lake.bronze("fx_rates").loaded_since(target.applied()) if lake.bronze("fx_rates").exists() else (None, -1)
+    if new is not None:
+        target.upsert(daily_rates(new, LOADED), ("loaded_at", "ingestion_run_id"), batch=reached)
+    lake.__dict__.pop("rates", None)
+
+
 def silver_rows(lake: Lake, name: str, brz: DataFrame) -> DataFrame:
     """The Silver model ``name`` over the given Bronze rows."""
     if name == "stg_customers_history":
@@ -312,7 +327,6 @@ def restate_rates(lake: Lake, name: str, days: DataFrame) -> None:
     found by a semi join on them.
     """
     entity = SILVER[name][0]
-    lake.__dict__.pop("rates", None)  # the late rates must count
     day = "period_start_date" if name == "stg_invoice_line_items" else "created_date"
     first, last = days.agg(F.min("rate_date"), F.max("rate_date")).first()
     if first is None:
@@ -449,7 +463,8 @@ def reconcile_run(lake: Lake) -> DataFrame:
          for n in SILVER if n != "stg_customers_history"], lake.rates)
     # A few rows, computed once: recorded, read back for the gate.
     control.record(lake.audit("reconciliation_results"), "reconciliation_results",
-                   reconcile(tables, lake.run_id, lake.as_of, missing))
+                   reconcile(tables, lake.run_id, lake.as_of, missing).unionByName(
+                       compare_values(tables, lake.run_id, lake.as_of)))
     results = lake.audit("reconciliation_results").read().filter(F.col("run_id") == lake.run_id)
     failed = [r[0] for r in results.filter("status = 'failed'").select("check_name").collect()]
     if failed:

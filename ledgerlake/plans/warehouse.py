@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.dedup import latest_values
-from ledgerlake.operators.fx import rate_lookup
+from ledgerlake.operators.fx import daily_rates, rate_lookup
 from ledgerlake.operators.lookup import FIXED_WIDTH, Lookup
 from ledgerlake.plans import bronze, gold, partials, silver
+from ledgerlake.session import materialize, work_dir
 
 # A row of the currency lookup: a short code and an MD5 key.
 CURRENCY_ROW_BYTES = 2 * FIXED_WIDTH + 64
@@ -21,7 +22,7 @@ CURRENCY_ROW_BYTES = 2 * FIXED_WIDTH + 64
 class Warehouse:
     """Each attribute is one table as a DataFrame; nothing runs before it is used.
 
-    The only eager step is the measurement of the rate table, once. ``raw`` returns the
+    The only eager step is the rate table, written and measured once. ``raw`` returns the
     RAW frame of an entity. Pass ``resolve_sources=False`` to match ledger sources to
     customers by id only.
     """
@@ -41,7 +42,8 @@ class Warehouse:
 
     @cached_property
     def rates(self) -> Lookup:
-        return rate_lookup(self.bronze("fx_rates"))
+        found = daily_rates(self.bronze("fx_rates"))
+        return rate_lookup(materialize(found, work_dir(self.spark, "rates"), self.spark))
 
     @cached_property
     def stg_charges(self) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.dedup import LOAD_ORDER, dedup_latest
 from ledgerlake.operators.incremental import evolve
+from ledgerlake.operators.layout import along_curve
 from ledgerlake.operators.lookup import semi_join
 from ledgerlake.session import materialize, observed, work_dir
 from ledgerlake.sources import files
@@ -39,11 +40,13 @@ class Table:
     size over that of a file. ``part_by`` names a date column that a key can never change, and
     ``grain`` the length of a part. ``cluster_by`` orders rows inside files, which keeps the
     min/max statistics of those columns narrow; ``rebalance`` shuffles them together first.
+    ``curve_by`` orders an appended table along a space-filling curve instead, into ``files`` files
+    or as many as its size asks for, so that a filter on any of the columns opens few of them.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (), buckets: int = 16,
                  part_by: str | None = None, grain: str = "month", cluster_by: Sequence[str] = (),
-                 rebalance: bool = True):
+                 rebalance: bool = True, curve_by: Sequence[str] = (), files: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
@@ -52,6 +55,8 @@ class Table:
         self.grain = grain
         self.cluster_by = list(cluster_by)
         self.rebalance = rebalance
+        self.curve_by = list(curve_by)
+        self.files = files
         self.rows_written = 0
 
     # --- folders ------------------------------------------------------------------------
@@ -177,7 +182,9 @@ class Table:
             (laid_out.write.partitionBy(*place).mode("overwrite")
              .option("partitionOverwriteMode", mode).parquet(f"{self.path}/{folder}"))
             return
-        if self.cluster_by:
+        if self.curve_by:
+            df = along_curve(df, self.curve_by, self.files)
+        elif self.cluster_by:
             moved = df.hint("rebalance", self.cluster_by[0]) if self.rebalance else df
             df = moved.sortWithinPartitions(*self.cluster_by)
         df.write.mode("overwrite").parquet(f"{self.path}/{folder}")

@@ -5,7 +5,7 @@ from decimal import Decimal as D
 import pytest
 from conftest import day, epoch, plan, ts
 
-from ledgerlake.operators.fx import rate_lookup
+from ledgerlake.operators.fx import daily_rates, rate_lookup
 from ledgerlake.plans import bronze, gold, silver
 
 LOAD = {"loaded_at": ts("2024-02-01"), "ingestion_run_id": "r1"}
@@ -18,9 +18,9 @@ def rates(raw):
         ("2024-01-10", "EUR", "1.1", 1), ("2024-01-10", "eur", "1.2", 2), ("2024-01-11", "EUR", "0", 3),
         ("2024-01-11", "EUR", None, 3), ("2024-01-10", "gbp", "123.499995", 1),
     ]
-    return rate_lookup(bronze.brz_fx_rates(raw("fx_rates", [
+    return rate_lookup(daily_rates(bronze.brz_fx_rates(raw("fx_rates", [
         {"rate_date": day(d), "from_currency": c, "to_currency": "usd", "rate": None if r is None else D(r),
-         "loaded_at": ts(f"2024-02-0{n}"), "ingestion_run_id": "r1"} for d, c, r, n in rows])))
+         "loaded_at": ts(f"2024-02-0{n}"), "ingestion_run_id": "r1"} for d, c, r, n in rows]))))
 
 
 def charge(**kw):

@@ -155,3 +155,24 @@ def test_evolve(spark):
     assert a.columns == b.columns == ["id", "gone", "added"]
     a, b = evolve(old, new, "sync_all_columns")
     assert a.columns == b.columns == ["id", "added"] and a.unionByName(b).count() == 2
+
+
+def test_curve_keeps_both_columns_narrow(spark, folder):
+    import datetime as dt
+    import random
+
+    from ledgerlake.operators.layout import along_curve, curve, overlapping
+
+    rng = random.Random(6)
+    rows = [(f"id_{i:06d}", dt.date(2024, 1, 1) + dt.timedelta(rng.randrange(1000)), rng.random()) for i in range(5000)]
+    df = spark.createDataFrame(rows + [(None, None, None)], "k string, d date, x double")
+    along_curve(df, ["d", "k"], 16).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    assert stored.exceptAll(df).isEmpty() and stored.count() == 5001
+    for column, value in (("d", dt.date(2025, 3, 3)), ("k", "id_002345")):
+        hit, files = overlapping(stored, column, value)
+        assert 1 <= hit <= 8 and files == 16
+    # With one column the curve is its order.
+    ordered = [r.x for r in df.filter("x IS NOT NULL").orderBy(curve(df, ["x"], 30)).select("x").collect()]
+    assert max(a - b for a, b in zip(ordered, ordered[1:])) < 1e-8
+    assert along_curve(df.limit(0), ["d", "k"], 2).count() == 0

@@ -81,3 +81,15 @@ def test_reconcile_values(spark):
         "7.00", "6.00", "1.00", "2.00")
     assert str(rows["silver_charges_has_data"].expected_value) == "1.00"
     assert rows["fx_missing"].status == "warning"
+
+
+def test_fingerprints_name_the_keys_that_differ(spark):
+    left = spark.createDataFrame([(f"k{i}", i, "x" if i % 3 else None) for i in range(400)], "k string, v int, s string")
+    right = spark.createDataFrame(
+        [(f"k{i}", {17: 18, 18: 17}.get(i, i), ("y" if i == 40 else "x") if i % 3 else ("" if i == 60 else None))
+         for i in range(1, 401)], "k string, v int, s string")
+    for buckets in (1, 7, 4096):
+        got = {r.key: r.finding for r in quality.differing_keys(left, right, "k", ("v", "s"), buckets).collect()}
+        assert got == {"k17": "differs", "k18": "differs", "k40": "differs", "k60": "differs", "k0": "only left", "k400": "only right"}
+    assert quality.differing_keys(left, left, "k", ("v", "s")).count() == 0
+    assert quality.differing_keys(left.limit(0), left.limit(0), "k", ("v", "s")).count() == 0
