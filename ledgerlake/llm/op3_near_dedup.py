@@ -44,7 +44,7 @@ PERCENT = 75
 #: fewer with a probability of about 2e-5.
 LEAST_EQUAL = 163
 #: Classes of a node that are compared by their sketches, and by their full sets.
-SMALL, SMALL_SETS = 4000, 400
+SMALL, SMALL_SETS = 4000, 2000
 DEPTH, TREES, STARS = 5, 12, 8
 
 
@@ -203,22 +203,26 @@ def _link(nodes: DataFrame, percent: int) -> DataFrame:
     def links(table: pa.Table):
         ids, labels, sizes = (table.column(k).to_numpy() for k in ("id", "label", "size"))
         matrix = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype="u1").reshape(-1, FUNCTIONS)
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("elements").to_pylist()]
+        elements = table.column("elements")
+        order = np.argsort(sizes, kind="stable")
+        ids, labels, matrix, sizes = ids[order], labels[order], matrix[order], sizes[order]
+        reach = np.searchsorted(sizes, 100 * sizes // percent, side="right")
         parent: dict[int, int] = {}
 
+        def full(i: int) -> np.ndarray:  # a view, as the sets of a node are its largest part
+            return np.frombuffer(elements[int(order[i])].as_buffer(), dtype=np.uint64)
+
         def find(x: int) -> int:
             while parent.get(x, x) != x:
                 x = parent[x]
             return x
 
         for i in range(len(ids) - 1):
-            a, b = sizes[i], sizes[i + 1:]
-            near = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
-            ok = np.flatnonzero(near & (labels[i + 1:] != labels[i])) + i + 1
+            ok = np.flatnonzero(labels[i + 1:reach[i]] != labels[i]) + i + 1
             ok = ok[np.count_nonzero(matrix[ok] == matrix[i], axis=1) >= LEAST_EQUAL] if len(ok) else ok
             for j in ok.tolist():
                 one, other = find(int(labels[i])), find(int(labels[j]))
-                if one != other and similar(sets[i], sets[j], percent):
+                if one != other and similar(full(i), full(j), percent):
                     parent[one] = other
                     yield max(int(ids[i]), int(ids[j])), min(int(ids[i]), int(ids[j]))
 
