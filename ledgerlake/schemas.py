@@ -2,86 +2,101 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 _TYPES = {
-    "S": T.StringType(),
-    "L": T.LongType(),
-    "B": T.BooleanType(),
-    "D": T.DoubleType(),
-    "DATE": T.DateType(),
-    "TS": T.TimestampNTZType(),
-    "RATE": T.DecimalType(12, 6),
-    "NUM": T.DecimalType(18, 2),
-    "PCT": T.DecimalType(5, 2),
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(12,6)": T.DecimalType(12, 6),
+    "decimal(18,2)": T.DecimalType(18, 2),
+    "decimal(5,2)": T.DecimalType(5, 2),
 }
 
 
-def struct(spec: str, required: tuple[str, ...] = ()) -> T.StructType:
-    """``"id:S amount:L"`` to a schema. ``required`` columns may not be NULL."""
+def struct(ddl: str, required: tuple[str, ...] = ()) -> T.StructType:
+    """A schema from Spark DDL, read without a session. ``required`` columns may not be NULL."""
     fields = []
-    for item in spec.split():
-        name, code = item.split(":")
+    for column in re.split(r",\s+", ddl.strip()):
+        name, kind = column.split()
         meta = {"required": True} if name in required else {}
-        fields.append(T.StructField(name, _TYPES[code], True, meta))
+        fields.append(T.StructField(name, _TYPES[kind], True, meta))
     return T.StructType(fields)
 
 
-LOAD_COLUMNS = "source_file:S ingestion_run_id:S load_mode:S loaded_at:TS"
+# The columns of every source, as they arrive.
+LOAD_COLUMNS = "source_file string, ingestion_run_id string, load_mode string, loaded_at timestamp_ntz"
 
 _RAW = {
     "balance_transactions": """
-        id:S object:S amount:L available_on:L created:L currency:S description:S exchange_rate:D
-        fee:L net:L reporting_category:S source:S status:S type:S""",
+        id string, object string, amount bigint, available_on bigint, created bigint, currency string,
+        description string, exchange_rate double, fee bigint, net bigint, reporting_category string,
+        source string, status string, type string""",
     "charges": """
-        id:S object:S amount:L amount_captured:L amount_refunded:L captured:B created:L currency:S
-        customer:S description:S disputed:B failure_code:S failure_message:S invoice:S paid:B
-        payment_intent:S receipt_email:S refunded:B status:S payment_method:S
-        balance_transaction:S receipt_url:S statement_descriptor:S
-        payment_method_details_type:S payment_method_details_card_brand:S
-        payment_method_details_card_funding:S payment_method_details_card_country:S
-        payment_method_details_card_last4:S payment_method_details_card_exp_month:L
-        payment_method_details_card_exp_year:L""",
+        id string, object string, amount bigint, amount_captured bigint, amount_refunded bigint,
+        captured boolean, created bigint, currency string, customer string, description string,
+        disputed boolean, failure_code string, failure_message string, invoice string, paid boolean,
+        payment_intent string, receipt_email string, refunded boolean, status string,
+        payment_method string, balance_transaction string, receipt_url string,
+        statement_descriptor string, payment_method_details_type string,
+        payment_method_details_card_brand string, payment_method_details_card_funding string,
+        payment_method_details_card_country string, payment_method_details_card_last4 string,
+        payment_method_details_card_exp_month bigint, payment_method_details_card_exp_year bigint""",
     "refunds": """
-        id:S object:S amount:L charge:S created:L currency:S payment_intent:S reason:S status:S
-        balance_transaction:S description:S receipt_number:S failure_balance_transaction:S
-        failure_reason:S""",
+        id string, object string, amount bigint, charge string, created bigint, currency string,
+        payment_intent string, reason string, status string, balance_transaction string,
+        description string, receipt_number string, failure_balance_transaction string,
+        failure_reason string""",
     "disputes": """
-        id:S object:S amount:L charge:S created:L currency:S evidence_due_by:L
-        is_charge_refundable:B reason:S status:S payment_intent:S balance_transaction:S
-        evidence_details_due_by:L evidence_details_has_evidence:B""",
+        id string, object string, amount bigint, charge string, created bigint, currency string,
+        evidence_due_by bigint, is_charge_refundable boolean, reason string, status string,
+        payment_intent string, balance_transaction string, evidence_details_due_by bigint,
+        evidence_details_has_evidence boolean""",
     "payouts": """
-        id:S object:S amount:L arrival_date:L created:L currency:S description:S failure_code:S
-        failure_message:S method:S source_type:S status:S type:S automatic:B destination:S
-        balance_transaction:S statement_descriptor:S failure_balance_transaction:S""",
+        id string, object string, amount bigint, arrival_date bigint, created bigint, currency string,
+        description string, failure_code string, failure_message string, method string,
+        source_type string, status string, type string, automatic boolean, destination string,
+        balance_transaction string, statement_descriptor string, failure_balance_transaction string""",
     "customers": """
-        id:S object:S created:L currency:S description:S email:S name:S phone:S address_city:S
-        address_country:S address_line1:S address_postal_code:S delinquent:B balance:L
-        tax_exempt:S""",
+        id string, object string, created bigint, currency string, description string, email string,
+        name string, phone string, address_city string, address_country string, address_line1 string,
+        address_postal_code string, delinquent boolean, balance bigint, tax_exempt string""",
     "subscriptions": """
-        id:S object:S customer:S created:L current_period_start:L current_period_end:L cancel_at:L
-        canceled_at:L ended_at:L start_date:L status:S plan_id:S plan_interval:S
-        plan_interval_count:L plan_amount:L plan_currency:S quantity:L""",
+        id string, object string, customer string, created bigint, current_period_start bigint,
+        current_period_end bigint, cancel_at bigint, canceled_at bigint, ended_at bigint,
+        start_date bigint, status string, plan_id string, plan_interval string,
+        plan_interval_count bigint, plan_amount bigint, plan_currency string, quantity bigint""",
     "invoices": """
-        id:S object:S account_country:S amount_due:L amount_paid:L amount_remaining:L created:L
-        currency:S customer:S customer_email:S due_date:L period_end:L period_start:L status:S
-        subscription:S subtotal:L tax:L total:L""",
+        id string, object string, account_country string, amount_due bigint, amount_paid bigint,
+        amount_remaining bigint, created bigint, currency string, customer string, customer_email string,
+        due_date bigint, period_end bigint, period_start bigint, status string, subscription string,
+        subtotal bigint, tax bigint, total bigint""",
     "invoice_line_items": """
-        id:S object:S invoice_id:S amount:L currency:S description:S discountable:B invoice_item:S
-        period_start:L period_end:L plan_id:S plan_interval:S plan_interval_count:L plan_amount:L
-        price_id:S proration:B quantity:L subscription:S subscription_item:S type:S""",
+        id string, object string, invoice_id string, amount bigint, currency string, description string,
+        discountable boolean, invoice_item string, period_start bigint, period_end bigint,
+        plan_id string, plan_interval string, plan_interval_count bigint, plan_amount bigint,
+        price_id string, proration boolean, quantity bigint, subscription string,
+        subscription_item string, type string""",
     "prices": """
-        id:S object:S active:B billing_scheme:S created:L currency:S product:S
-        recurring_interval:S recurring_interval_count:L type:S unit_amount:L""",
-    "products": "id:S object:S active:B created:L description:S name:S updated:L",
+        id string, object string, active boolean, billing_scheme string, created bigint, currency string,
+        product string, recurring_interval string, recurring_interval_count bigint, type string,
+        unit_amount bigint""",
+    "products": """
+        id string, object string, active boolean, created bigint, description string, name string,
+        updated bigint""",
 }
 
 RAW: dict[str, T.StructType] = {
-    entity: struct(f"{spec} raw_payload:S {LOAD_COLUMNS}", required=("id",))
+    entity: struct(f"{spec}, raw_payload string, {LOAD_COLUMNS}", required=("id",))
     for entity, spec in _RAW.items()
 }
 RAW["fx_rates"] = struct(
-    f"rate_date:DATE from_currency:S to_currency:S rate:RATE source:S {LOAD_COLUMNS}",
+    f"rate_date date, from_currency string, to_currency string, rate decimal(12,6), source string, {LOAD_COLUMNS}",
     required=("rate_date", "from_currency"),
 )
 
@@ -97,30 +112,35 @@ DAILY_ENTITIES = (
     "subscriptions", "invoices", "invoice_line_items", "fx_rates",
 )
 
+# The columns of the audit tables.
 AUDIT: dict[str, T.StructType] = {
     "ingestion_control": struct(
-        """source_name:S entity_name:S load_strategy:S last_successful_watermark:TS
-        last_successful_cursor:S last_successful_run_id:S last_run_status:S updated_at:TS""",
+        """source_name string, entity_name string, load_strategy string,
+        last_successful_watermark timestamp_ntz, last_successful_cursor string,
+        last_successful_run_id string, last_run_status string, updated_at timestamp_ntz""",
         required=("source_name", "entity_name", "load_strategy"),
     ),
     "pipeline_runs": struct(
-        """run_id:S dag_id:S task_id:S status:S started_at:TS finished_at:TS duration_sec:L
-        row_count:L error_message:S extra_metadata:S logged_at:TS""",
+        """run_id string, dag_id string, task_id string, status string, started_at timestamp_ntz,
+        finished_at timestamp_ntz, duration_sec bigint, row_count bigint, error_message string,
+        extra_metadata string, logged_at timestamp_ntz""",
         required=("run_id",),
     ),
     "failed_files": struct(
-        """id:S file_path:S source:S entity:S error_type:S error_message:S failed_at:TS
-        resolved_at:TS resolved_by:S run_id:S""",
+        """id string, file_path string, source string, entity string, error_type string,
+        error_message string, failed_at timestamp_ntz, resolved_at timestamp_ntz, resolved_by string,
+        run_id string""",
         required=("file_path",),
     ),
     "reconciliation_results": struct(
-        """id:S run_id:S check_name:S layer_from:S layer_to:S expected_value:NUM actual_value:NUM
-        delta:NUM tolerance_pct:PCT status:S checked_at:TS""",
+        """id string, run_id string, check_name string, layer_from string, layer_to string,
+        expected_value decimal(18,2), actual_value decimal(18,2), delta decimal(18,2),
+        tolerance_pct decimal(5,2), status string, checked_at timestamp_ntz""",
         required=("run_id", "check_name"),
     ),
     "dbt_test_results": struct(
-        """run_id:S test_name:S model_name:S column_name:S status:S failure_count:L
-        generated_at:TS logged_at:TS""",
+        """run_id string, test_name string, model_name string, column_name string, status string,
+        failure_count bigint, generated_at timestamp_ntz, logged_at timestamp_ntz""",
     ),
 }
 
