@@ -123,7 +123,7 @@ def test_align(spark):
 
 
 def test_rejects(spark):
-    schema = struct("id:S amount:L", required=("id",))
+    schema = struct("id string, amount bigint", required=("id",))
     df = spark.createDataFrame([("a", "1"), ("b", "x"), (None, "2"), ("c", None)], "id string, amount string")
     good, bad = split_rejects(df, schema, {})
     assert sorted((r.id, r.amount) for r in good.collect()) == [("a", 1), ("c", None)]
