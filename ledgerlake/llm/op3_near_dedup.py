@@ -44,7 +44,7 @@ PERCENT = 75
 #: fewer with a probability of about 2e-5.
 LEAST_EQUAL = 163
 #: Classes of a node that are compared by their sketches, and by their full sets.
-SMALL, SMALL_SETS = 4000, 2000
+SMALL, SMALL_SETS = 4000, 1000
 DEPTH, TREES, STARS = 5, 12, 8
 
 
