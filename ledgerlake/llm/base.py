@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.session import materialize, work_dir
+from ledgerlake.sources import files
 
 #: Rows that cross to Python at once; with whole documents a batch stays within a few MB.
 BATCH_ROWS = 1000
@@ -47,6 +48,13 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df, work_dir(df.sparkSession, purpose))
 
 
+def settled(df: DataFrame, purpose: str) -> tuple[DataFrame, Callable[[], None]]:
+    """As ``settle``, with a function that removes the table when nothing reads it any more."""
+    path = work_dir(df.sparkSession, purpose)
+    most = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return materialize(df.coalesce(most), path), lambda: files.remove(df.sparkSession, path)
+
+
 def lean(work):
     """``work`` on batches, after which the Python worker gives its free memory back: Spark keeps
     workers for later tasks, and what they once held adds to the executor's memory."""
