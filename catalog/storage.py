@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 import adapters
 import oracles as o
 from catalog.base import AS_OF, CALENDAR_START, raw, register, warehouse
-from ledgerlake.functions.columns import epoch_date
 from ledgerlake.operators.align import align_to_schema, split_rejects
 from ledgerlake.operators.layout import overlapping
 from ledgerlake.plans import bronze, pipeline, silver

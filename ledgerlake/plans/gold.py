@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import (
-    banded, days_between, fiscal_month, fiscal_year, is_true, mapped, month_of, non_empty,
+    banded, days_between, fiscal_month, fiscal_year, mapped, month_of, non_empty,
     surrogate_key, title_case, weekday_from_sunday,
 )
 from ledgerlake.functions.money import MONEY, RATE

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.columns import banded, month_of
-from ledgerlake.functions.money import MONEY
 from ledgerlake.operators.lookup import join_large
 from ledgerlake.plans.labels import MOVEMENT_TYPES
 
