@@ -2,6 +2,13 @@
 
 Each stage works on what its predecessor kept, written as Parquet and read again. A stage that
 changes texts brings ``n_chars`` up to date.
+
+All stages but the last return the columns of their documents, also columns whose names the
+operators use. Null and empty texts pass every filter
+and are packed as the end mark alone; texts of any length are read whole. Repeated rows are
+rows of their own, but near duplicates keep one row for each key and text that stays. Ties go to the
+least key. Empty documents give empty results, empty labels a model that rejects nothing, and an
+empty benchmark leaves all documents clean.
 """
 
 from __future__ import annotations

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.automaton import WORDS, Automaton, words_of
-from ledgerlake.llm.base import bytes_of, lean, prepare, settle, table, with_fields
+from ledgerlake.llm.base import bytes_of, fresh, lean, prepare, settle, table, with_fields
 
 WINDOW = 10
 #: Documents of which a larger share of words is hit are dropped as a whole.
@@ -96,41 +96,53 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _without(data: bytes, ranges: list[tuple[int, int]]) -> bytes:
+    """A text without the words of the ranges and what lies between them."""
+    at = [m.span() for m in re.finditer(rb"[^ ]+", data.translate(WORDS))]
+    parts, start = [], 0
+    for first, after in ranges:
+        parts.append(data[start:at[first][0]])
+        start = at[after - 1][1]
+    return b"".join([*parts, data[start:]])
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text", coverage: float = COVERAGE,
-                  **options) -> DataFrame:
+                  item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without hit words, and without documents that are hit beyond ``coverage``.
 
     Documents without words, null texts among them, stay as they are. Repeated rows are cut one by
-    one. Empty documents or items give the documents back; other columns, also ones named like
-    those of ``find_leaks``, keep their names and places, but such columns come back replaced.
+    one. Empty documents or items give the documents back; other columns stay as they are. Items
+    of one block are searched for and cut in one pass.
     """
-    columns = docs.columns
-    found = find_leaks(docs, items, text=text, **options)
-    kept = found.where(F.col("n_hit") <= F.lit(coverage) * F.col("n_words"))
-    schema = kept.schema
+    prepare(docs.sparkSession)
+    columns, schema = docs.columns, docs.schema
+    place = columns.index(text)
+    blocks = _blocks(items, item_id, item_text, block_bytes)
+    part, more = next(blocks), next(blocks, None)
+    source = docs
+    if more is not None:
+        names = dict(zip(columns, fresh(docs, *(f"own_{n}" for n in range(len(columns))))))
+        found = find_leaks(docs.withColumnsRenamed(names), items, text=names[text], item_id=item_id,
+                           item_text=item_text, window=window, block_bytes=block_bytes)
+        source = found.select(*(F.col(names[c]).alias(c) for c in columns), "hit_words")
 
     def cut(batches):
-        word = re.compile(rb"[^ ]+")
+        automaton = Automaton(part, window) if more is None else None
         for batch in batches:
-            k = batch.schema.names.index(text)
-            hits = batch.column(batch.schema.names.index("hit_words")).to_pylist()
-            if any(hits):
-                texts = []
-                for value, ranges in zip(batch.column(k).to_pylist(), hits):
-                    if ranges:
-                        data = value.encode()
-                        at = [m.span() for m in word.finditer(data.translate(WORDS))]
-                        parts, start = [], 0
-                        for r in ranges:
-                            parts.append(data[start:at[r["first"]][0]])
-                            start = at[r["after"] - 1][1]
-                        value = b"".join([*parts, data[start:]]).decode()
-                    texts.append(value)
-                # The field stays as it came: all batches of a task must have one schema.
-                batch = batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
-            yield batch
-
-    return kept.mapInArrow(lean(cut), schema).select(*columns)
+            field, kept, texts = batch.schema.field(place), [], []
+            known = None if automaton is not None else batch.column(len(columns)).to_pylist()
+            for k, value in enumerate(batch.column(place).cast(pa.binary()).to_pylist()):
+                words = words_of(value or b"")
+                ranges = automaton.scan(words)[0] if known is None else [(r["first"], r["after"]) for r in known[k]]
+                if sum(after - first for first, after in ranges) <= coverage * len(words):
+                    kept.append(k)
+                    texts.append(_without(value, ranges) if ranges else value)
+            rows = batch.select(columns).take(pa.array(kept, pa.int64()))
+            # The field stays as it came: all batches of a task must have one schema.
+            yield rows.set_column(place, field, pa.array(texts, pa.binary()).cast(field.type))
+
+    return source.mapInArrow(lean(cut), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

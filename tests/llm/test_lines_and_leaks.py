@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from ledgerlake.llm import op2_line_dedup
 from ledgerlake.llm.op2_line_dedup import chunks_of, dedup_lines
 from ledgerlake.llm.op4_decontamination import decontaminate, find_leaks
@@ -187,9 +189,11 @@ def test_leaks_equal_brute_force(spark):
 def test_decontaminated_texts(spark):
     docs = frame(spark, leaky_texts())
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = docs.withColumn("n_hit", F.lit("own"))
     done = decontaminate(docs, items)
     assert done.columns == docs.columns
-    kept = {r["doc_id"]: r["text"] for r in collected(done)}
+    assert collected(done) == collected(decontaminate(docs, items, block_bytes=300))  # one pass, and block by block
+    kept = {r["doc_id"]: r["text"] for r in collected(done) if r["n_hit"] == "own"}
     for r in docs.collect():
         n, hit, _ = brute_leaks(r.text, ITEMS)
         assert (r.doc_id in kept) == (len(hit) <= 0.5 * n)

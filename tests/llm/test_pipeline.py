@@ -85,6 +85,22 @@ def test_each_stage_against_brute_force(spark, tmp_path, library):  # noqa: F811
     assert max(sums.values()) <= 1024 and len(sums) == -(-sum(sums.values()) // 1024)
 
 
+def test_stages_take_empty_tables_and_clashing_columns(spark, tmp_path):
+    rows, *_ = tables(spark, str(tmp_path))
+    odd = [(900, None), (901, ""), (902, " \n "), (903, "one"), (None, text(77, 60)), (904, text(78, 3000))]
+    docs = spark.createDataFrame([(k, t, "en", "src", len(t or ""), -1.0, "x", True, 5) for k, t in odd],
+                                 COLUMNS + ", p_toxic double, n_hit string, kept boolean, n_removed int")
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, docs.limit(0), str(tmp_path))
+        assert none.count() == 0
+        found = stage(spark, docs, str(tmp_path))
+        keys = sorted((r.doc_id is None, r.doc_id or 0) for r in found.select("doc_id").distinct().collect())
+        if name != "packing":
+            assert found.columns == none.columns == docs.columns
+        assert [k for _, k in keys][:3] == [900, 901, 902] or name == "line dedup"
+        assert (False, 904) in keys and (True, 0) in keys
+
+
 def test_run_applies_all_stages(spark, tmp_path):
     tables(spark, str(tmp_path))
     out = corpus_pipeline.run(spark, str(tmp_path))
