@@ -193,6 +193,18 @@ def test_repeated_rows_repeat_each_other(spark):
     assert remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_segments_of_equal_polynomial_hash(spark):
+    """Sums of the bytes by powers of any odd base agree for these two, modulo 2**64: four-byte
+    letters in the order of Thue and Morse, and the same with the letters changed about."""
+    letters = "b28j", "hglu"
+    first, second = ("".join(letters[(bin(i).count("1") + k) % 2] for i in range(32)) for k in (0, 1))
+    gap = "xxqgotqnxwjwfotvqglqavmsnmktsxwxcpxhuujuanxueuymzifycytalizwnvrj"
+    texts = [first + gap + second, second + gap + first]
+    for r, expected in zip(collected(remove_repeats(frame(spark, texts))), brute_repeats(texts), strict=True):
+        kept = bytes(r["kept"])
+        assert (r["n_bytes"], r["n_bytes"] - len(kept), len(r["removed"]), hashlib.sha256(kept).hexdigest()) == expected
+
+
 def test_columns_against_all_windows():
     texts = [(t or "").encode() for t in repeat_texts()]
     found = anchors(texts, Hasher())
