@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from conftest import day, epoch, ts
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import AUDIT, RAW
@@ -318,3 +319,34 @@ def test_run_log(spark, folder):
     last = control.last_runs(table.read())
     assert [r.run_id for r in last.collect()] == [f"r{n:02d}" for n in range(11, 1, -1)]
     assert "TakeOrderedAndProject" in last._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_rewrite_shuffles_stored_rows_once(spark, tmp_path, monkeypatch):
+    plans = []
+    write = DataFrameWriter.parquet
+
+    def parquet(self, path, *rest, **named):
+        if "/base=" in path:
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *rest, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = Table(spark, f"{tmp_path}/t", keys=["k"], buckets=3)
+        columns = "k long, v string, loaded_at timestamp_ntz"
+        at = [dt.datetime(2024, 2, n) for n in range(1, 5)]
+        table.replace(spark.createDataFrame([(i, "old", at[1]) for i in range(40)] + [(None, "old", at[1])], columns))
+        plans.clear()
+        table.upsert(spark.createDataFrame([(1, "late", at[0])] * 50 + [(2, "new", at[2]), (2, "newer", at[3]),
+                                            (None, "new", at[2]), (70, "new", at[2])], columns), ("loaded_at",))
+        table.swap(spark.createDataFrame([(3,), (None,), (99,)], "k long"),
+                   spark.createDataFrame([(3, "a", at[3]), (3, "b", at[3]), (5, "c", at[3])], columns))
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    found = sorted((-1 if r.k is None else r.k, r.v) for r in table.read().collect())
+    changed = {2: ["newer"], 3: ["a", "b"], 5: ["c"], 70: ["new"]}
+    assert found == sorted((k, v) for k in [*range(40), 70] for v in changed.get(k, ["old"]))
+    assert [plan.count("Exchange") for plan in plans] == [1, 1]
