@@ -13,8 +13,9 @@ the full sets.
 
 Only links that can join two components matter, so nodes whose classes are all linked already
 are left. First each class is held against the least class that shares three tokens with it
-(a star); then the most similar pair between two components of a node; then, where that is no
-link, every pair left, by the full sets within the node. So
+(a star); then the most similar pair between two components of a node, and where a node has more
+than ``DENSE`` such pairs for each component only the most similar that join all they join; then,
+where one of these is no link, every pair left, by the full sets within the node. So
 a group of thousands of near copies costs a few links for each copy. A node that does not fall
 apart in ``DEPTH`` double levels is compared in pairs of blocks.
 
@@ -46,6 +47,8 @@ LEAST_EQUAL = 163
 #: Classes of a node that are compared by their sketches, and by their full sets.
 SMALL, SMALL_SETS = 4000, 1000
 DEPTH, TREES, STARS = 5, 12, 8
+#: Pairs for each component that leave a node before they are thinned to a spanning forest.
+DENSE = 4
 
 
 def _sets(rows: DataFrame, key: str, rid: str, text: str) -> DataFrame:
@@ -132,9 +135,52 @@ def _branch(nodes: DataFrame) -> DataFrame:
     return nodes.select("path", "id", "label", "sketch").mapInArrow(lean(emit), "path long, id long, label long")
 
 
+def _forest(one: np.ndarray, other: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of edges between ``n`` vertices, best first: which are in the best spanning forest, and the
+    tree of each vertex (Boruvka)."""
+    chosen, tree, left = np.zeros(len(one), dtype=bool), np.arange(n), np.arange(len(one))
+    while True:
+        a, b = tree[one[left]], tree[other[left]]
+        apart = a != b
+        a, b, left = a[apart], b[apart], left[apart]
+        if not len(left):
+            return chosen, tree
+        best = np.full(n, len(a))
+        np.minimum.at(best, a, np.arange(len(a)))
+        np.minimum.at(best, b, np.arange(len(a)))
+        root = np.flatnonzero(best < len(a))
+        edge = best[root]
+        chosen[left[edge]] = True
+        to = np.arange(n)
+        to[root] = np.where(a[edge] == root, b[edge], a[edge])
+        mutual = (to[to] == np.arange(n)) & (np.arange(n) < to)  # both ends took the same edge
+        to[mutual] = np.flatnonzero(mutual)
+        while (to[to] != to).any():
+            to = to[to]
+        tree = to[tree]
+
+
+def _thinned(lo: np.ndarray, hi: np.ndarray, equal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs of labels leave a node, and which of them stand for others that do not.
+    Labels joined by many pairs keep a spanning forest of the most alike: if all of it are links,
+    the others join nothing; if not, each label that could still be joined is at one that is none."""
+    keep, stands = np.ones(len(lo), dtype=bool), np.zeros(len(lo), dtype=bool)
+    if len(lo) <= DENSE * (2 * DENSE + 2):  # fewer labels have no more pairs than that
+        return keep, stands
+    names, ends = np.unique(np.concatenate([lo, hi]), return_inverse=True)
+    order = np.argsort(-equal, kind="stable")
+    one, other = ends[:len(lo)][order], ends[len(lo):][order]
+    chosen, tree = _forest(one, other, len(names))
+    dense = np.bincount(tree[one], minlength=len(names)) > DENSE * np.bincount(tree, minlength=len(names))
+    stands[order] = dense[tree[one]]
+    keep[order] = chosen | ~dense[tree[one]]
+    return keep, stands
+
+
 def _compare(nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of one node that differ in label and whose sketches are alike: the most
-    alike of each two labels, and whether there are ``more``. Every node is small."""
+    alike of each two labels, and whether there are ``more``, between them or among labels that
+    are joined by too many pairs to send them all. Every node is small."""
 
     def pairs(ids, labels, matrix, sizes):
         one, other, equal = [], [], []
@@ -162,6 +208,8 @@ def _compare(nodes: DataFrame, percent: int) -> DataFrame:
             head[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
             one, other = one[order[head]], other[order[head]]
             more = np.diff(np.append(np.flatnonzero(head), len(head))) > 1
+            keep, stands = _thinned(lo[head], hi[head], equal[order[head]])
+            one, other, more = one[keep], other[keep], (more | stands)[keep]
         return ids[one], ids[other], more
 
     def emit(batches):
@@ -394,13 +442,17 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         links = links.unionByName(new)
         if new.take(1):
             labels = components(links)
-        # Only components whose most similar pair is no link, though there are others.
+        # Only components whose most similar pair is no link, though there are others, and that
+        # are not joined by another way.
         open_pairs = pairs.where("more").join(links, ["a", "b"], "left_anti").select("a", "b")
-        if open_pairs.take(1):
+        for end in ("a", "b"):
+            open_pairs = open_pairs.join(labels.select(F.col("id").alias(end), F.col("label").alias(f"label_{end}")), end, "left") \
+                .withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+        apart = settle(open_pairs.where("label_a <> label_b")
+                       .select(F.explode(F.array("label_a", "label_b")).alias("label")).distinct(), "open")
+        if apart.take(1):
             state = labelled_state()
-            ends = open_pairs.select(F.explode(F.array("a", "b")).alias("id"))
-            state = settle(state.join(ends.join(state.select("id", "label"), "id").select("label").distinct(),
-                                      "label", "left_semi"), "state")
+            state = settle(state.join(apart, "label", "left_semi"), "state")
             sets = settle(_full_sets(state.select("id", "r_key", "r_rid"), rows, key, rid, text), "sets")
             members = _nodes(state, percent, SMALL_SETS).join(state.select("id", "sketch", "size"), "id").join(sets, "id")
             new = settle(_link(members, percent), "links")

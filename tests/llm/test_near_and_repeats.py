@@ -91,6 +91,62 @@ def test_one_document_of_each_group_stays(spark):
     assert {r.doc_id for r in kept.collect()} == {k for (k, _), c in zip(rows, expected) if k == c}
 
 
+def test_pairs_that_leave_a_node_grow_with_its_labels(spark):
+    rng = np.random.Generator(np.random.PCG64(7))
+    base = rng.integers(0, 256, size=op3_near_dedup.FUNCTIONS, dtype=np.uint8)
+    found = {}
+    for n in (5, 60, 240):  # every two sketches are alike
+        rows = []
+        for i in range(n):
+            sketch = base.copy()
+            sketch[rng.choice(len(base), 30, replace=False)] = rng.integers(0, 256, size=30)
+            rows.append((1, i, i, bytearray(sketch.tobytes()), 100))
+        nodes = spark.createDataFrame(rows, "path long, id long, label long, sketch binary, size long")
+        found[n] = op3_near_dedup._compare(nodes, 75).collect()
+    assert len(found[5]) == 10 and not any(r.more for r in found[5])  # few labels: each pair is sent
+    for n in (60, 240):
+        assert len(found[n]) == n - 1 and all(r.more for r in found[n])
+        assert {r.a for r in found[n]} | {r.b for r in found[n]} == set(range(n))
+
+
+def test_thinned_pairs_are_the_best_spanning_forest():
+    rng = np.random.Generator(np.random.PCG64(8))
+    for n in (30, 31, 80):
+        group = np.arange(n) % 3  # three groups without a pair between them
+        a, b = np.triu_indices(n, 1)
+        some = (group[a] == group[b]) & ((group[a] > 0) | (b - a == 3))  # the first is a path
+        lo, hi, equal = a[some] * 7, b[some] * 7, rng.integers(163, 256, size=some.sum())
+        keep, stands = op3_near_dedup._thinned(lo, hi, equal)
+        wanted = 0
+        parent = {}
+
+        def find(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        for k in np.argsort(-equal, kind="stable"):
+            if find(lo[k]) != find(hi[k]):
+                parent[find(lo[k])] = find(hi[k])
+                wanted += equal[k]
+        thin = (group[lo // 7] > 0) & (np.bincount(group[lo // 7])[group[lo // 7]] > 4 * np.bincount(group)[group[lo // 7]])
+        assert stands.tolist() == thin.tolist()
+        assert keep[~thin].all() and keep.sum() == n - 3
+        assert equal[keep].sum() == wanted
+
+
+@pytest.mark.parametrize("dense", [0, 4])
+def test_links_beside_a_spanning_forest_are_found(spark, monkeypatch, dense):
+    monkeypatch.setattr(op3_near_dedup, "DENSE", dense)
+    monkeypatch.setattr(op3_near_dedup, "STARS", 1)
+    texts = []
+    for g in range(3):  # groups in which most pairs are alike by sketch and about half are links
+        base = text(700 + g, 120)
+        texts += [edited(800 + 100 * g + i, base, 1 + i % 5) for i in range(40)]
+    docs = frame(spark, texts)
+    check([(r.doc_id, r.text) for r in docs.collect()], near_duplicates(docs).collect())
+
+
 def test_every_pair_of_a_large_node_meets(spark):
     nodes = spark.createDataFrame([(1, i, i % 2, 700, 350, 0) for i in range(700)],
                                   "path long, id long, label long, n long, others long, main long")
