@@ -4,13 +4,15 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pandas as pd
 from conftest import ts
 
 from ledgerlake.operators.dedup import dedup_latest, with_row_hash
 from ledgerlake.session import work_dir
 from ledgerlake.sources.tables import Table
 from ledgerlake.streaming import loads
-from ledgerlake.streaming.newest import ORDER, newest_rows, order_text
+from ledgerlake.streaming import newest as newest_module
+from ledgerlake.streaming.newest import KEY, ORDER, ROW, Newest, newest_rows, order_text
 
 SCHEMA = "k string, v int, m decimal(18,2), t timestamp, loaded_at timestamp_ntz, ingestion_run_id string, source_file string"
 
@@ -70,3 +72,69 @@ def test_rows_pass_unchanged(spark, folder):
         .option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(map(str, got)) == sorted(map(str, with_row_hash(spark.createDataFrame(rows, SCHEMA)).collect()))
+
+
+class Times:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+class Handle:
+    """State of one slice, which counts how often it is asked."""
+
+    def __init__(self):
+        self.value, self.asked = None, 0
+
+    def getValueState(self, name, schema, ttlDurationMs=None):
+        return self
+
+    def exists(self):
+        self.asked += 1
+        return self.value is not None
+
+    def get(self):
+        self.asked += 1
+        return self.value
+
+    def update(self, value):
+        self.asked += 1
+        self.value = value
+
+
+def slice_of(*rows):
+    return iter([pd.DataFrame(rows, columns=[KEY, ORDER, ROW])])
+
+
+def passed(found):
+    return sorted(r for frame in found for r in frame[ROW])
+
+
+def test_keys_of_a_slice_cost_one_access_to_the_state():
+    handle, newest = Handle(), Newest(dt.timedelta(days=1))
+    newest.init(handle)
+    rows = [(f"k{i}", "2", f"row {i}") for i in range(500)]
+    assert passed(newest.handleInputRows((0,), slice_of(*rows), Times(1000))) == sorted(r for _, _, r in rows)
+    assert handle.asked <= 3
+    late = [(f"k{i}", "1", "late") for i in range(500)] + [("k7", "3", "new"), ("k8", "2", "again")]
+    assert passed(newest.handleInputRows((0,), slice_of(*late), Times(2000))) == ["new"]
+
+
+def test_keys_are_let_go_one_by_one():
+    handle, newest = Handle(), Newest(dt.timedelta(seconds=1))
+    newest.init(handle)
+    passed(newest.handleInputRows((0,), slice_of(("a", "2", "a2"), ("b", "2", "b2")), Times(0)))
+    assert passed(newest.handleInputRows((0,), slice_of(("b", "3", "b3")), Times(600))) == ["b3"]
+    # 'a' passed last at 0 and is forgotten, 'b' at 600 and is not.
+    assert passed(newest.handleInputRows((0,), slice_of(("a", "1", "a1"), ("b", "1", "b1")), Times(1200))) == ["a1"]
+
+
+def test_slices_are_fewer_than_keys(spark, folder, monkeypatch):
+    monkeypatch.setattr(newest_module, "SLICES", 2)  # keys that share a slice, null and texts like numbers among them
+    batches = [[row(k, 1, "2024-02-02") for k in ("a", "b", "1", "", None, 'q"', "null")],
+               [row("a", 2, "2024-02-01"), row("b", 2, "2024-02-03"), row(None, 2, "2024-02-01"), row("null", 2, "2024-02-04")]]
+    got, taken = upserted(spark, batches, folder)
+    assert taken == [7, 2]
+    assert {r.k: r.v for r in got.collect()} == {"a": 1, "b": 2, "1": 1, "": 1, None: 1, 'q"': 1, "null": 2}
