@@ -7,6 +7,7 @@ from conftest import day, epoch, plan, ts
 
 from ledgerlake.operators.fx import daily_rates, rate_lookup
 from ledgerlake.plans import bronze, gold, silver
+from ledgerlake.plans.warehouse import Warehouse
 
 LOAD = {"loaded_at": ts("2024-02-01"), "ingestion_run_id": "r1"}
 AS_OF = ts("2024-03-01")
@@ -273,3 +274,19 @@ def test_unknown_event_type_gets_a_readable_label(spark):
     got = by(gold.dim_payment_category(ledger, AS_OF), "event_type")
     assert (got["late_fee"]["event_label"], got["late_fee"]["financial_category"]) == ("Late Fee", "Other")
     assert (got["payout"]["sign_convention"], got["payout"]["affects_cash"]) == ("Negative", True)
+
+
+def test_tables_read_twice_are_stored_once(spark, raw):
+    rows = {
+        "balance_transactions": [{"id": f"t{i}", "type": kind, "amount": 100, "fee": 1, "net": 99, "currency": "EUR",
+                                  "created": epoch("2024-01-10"), **LOAD}
+                                 for i, kind in enumerate(["charge", "charge", "payout", None])],
+        "fx_rates": [{"rate_date": day("2024-01-10"), "from_currency": "EUR", "to_currency": "usd", "rate": D("1.1"), **LOAD}]}
+    w = Warehouse(spark, lambda entity: raw(entity, rows[entity]), AS_OF)
+    shared = w.storing({"stg_finance_ledger_events": ("transaction_id", "event_type", "reporting_category", "amount_usd")})
+    assert "Window" in plan(w.dim_payment_category)
+    read = plan(shared.dim_payment_category)
+    assert "Window" not in read and "FileScan parquet" in read
+    assert sorted(map(str, shared.dim_payment_category.collect())) == sorted(map(str, w.dim_payment_category.collect()))
+    kept = shared.stg_finance_ledger_events
+    assert sorted(map(str, kept.collect())) == sorted(map(str, w.stg_finance_ledger_events.select(*kept.columns).collect()))
