@@ -57,6 +57,15 @@ NESTED: dict[str, dict[str, str]] = {
 }
 
 
+def once(value: Column) -> Column:
+    """A column worked out once for each row, however it is used later.
+
+    A filter on a plain column, say a watermark, is pushed below what gives it and works that
+    out, and all it is built from, a second time; nothing is pushed below an explode.
+    """
+    return F.explode(F.array(value))
+
+
 def _fields(entity: str) -> list[T.StructField]:
     return [f for f in RAW[entity].fields if f.name not in _LOADED and f.name != "raw_payload"]
 
@@ -88,7 +97,7 @@ def _column(entity: str, name: str, root: str) -> Column:
 
 def flatten(df: DataFrame, entity: str) -> DataFrame:
     """One RAW row per payload, with the payload itself as ``raw_payload``."""
-    parsed = df.withColumn("p", F.from_json("payload", payload_schema(entity)))
+    parsed = df.select("payload", once(F.from_json("payload", payload_schema(entity))).alias("p"))
     return parsed.select(*(_column(entity, f.name, "p") for f in _fields(entity)),
                          F.col("payload").alias("raw_payload"))
 
@@ -101,8 +110,10 @@ def flatten_invoice_line_items(df: DataFrame) -> DataFrame:
     line = payload_schema("invoice_line_items", skip=("invoice_id",))
     as_text = F.coalesce(
         F.get_json_object("payload", "$.lines.data"), F.get_json_object("payload", "$.lines"))
-    lines = df.select(
-        F.get_json_object("payload", "$.id").alias("invoice_id"),
+    # The id is taken before the lines, else the invoice is read again for each line.
+    invoices = df.select("payload", once(F.get_json_object("payload", "$.id")).alias("invoice_id"))
+    lines = invoices.select(
+        "invoice_id",
         F.explode(F.from_json(as_text, T.ArrayType(T.StringType()))).alias("line"),
     ).withColumn("p", F.from_json("line", line))
     return lines.select(
@@ -131,8 +142,18 @@ def fx_from_usd_base(df: DataFrame, source: str = "exchangerate") -> DataFrame:
         F.lit(source).alias("source"))
 
 
+def _has_decimals(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_decimals(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_decimals(kind.elementType)
+    return isinstance(kind, T.DecimalType)
+
+
 def _as_numbers(value: Column, kind: T.DataType) -> Column:
-    """Decimals, also inside structs and arrays, as doubles."""
+    """Decimals, also inside structs and arrays, as doubles. What holds none is not rebuilt."""
+    if not _has_decimals(kind):
+        return value
     if isinstance(kind, T.DecimalType):
         return value.cast("double")
     if isinstance(kind, T.StructType):

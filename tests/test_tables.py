@@ -1,6 +1,7 @@
 """Tables, landing, payloads, streams and control."""
 
 import datetime as dt
+import threading
 
 import pytest
 from conftest import day, epoch, ts
@@ -289,6 +290,69 @@ def test_ingest_isolates_failures(spark, folder):
     assert (got.id, got.ingestion_run_id, got.load_mode, got.loaded_at) == ("b", "r1", "batch", ts("2024-02-01"))
 
 
+def test_a_watermark_does_not_read_payloads_twice(spark, folder):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def payload(n):
+        calls.add(1)
+        return f'{{"id":"a{n}","created":{n},"lines":[{{"id":"l{n}"}},{{"id":"m{n}"}}]}}' if n % 7 else None
+
+    for entity, each in (("refunds", 1), ("invoices", 1), ("invoice_line_items", 2)):
+        before = calls.value
+        landed = landing.ingest_all(spark, {entity: lambda: spark.range(40).select(payload("id").alias("payload"))},
+                                    folder, "r1", ts("2024-02-01"), {entity: 9})
+        assert landed == {entity: 26 * each} and calls.value - before == 40
+    got = landing.read_landing(spark, folder, "invoice_line_items", RAW["invoice_line_items"])
+    assert {(r.invoice_id, r.id) for r in got.collect()} == {
+        (f"a{n}", f"{c}{n}") for n in range(10, 40) if n % 7 for c in "lm"}
+
+
+def test_an_invoice_is_not_read_again_for_each_line(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        calls.add(1)
+        return text
+
+    lines = '{"id":"i%d","lines":{"data":[{"id":"a"},{"id":"b"},{"id":"c"}]}}'
+    got = flatten.flatten_invoice_line_items(payloads(spark, *(lines % n for n in range(5))).select(seen("payload").alias("payload")))
+    assert sorted((r.invoice_id, r.id) for r in got.select("invoice_id", "id").collect()) == [
+        (f"i{n}", c) for n in range(5) for c in "abc"]
+    assert calls.value == 5
+    below = got._jdf.queryExecution().optimizedPlan().toString().split("from_json(ArrayType")[0]
+    assert "$.id" not in below
+
+
+def test_entities_are_landed_together(spark, folder, monkeypatch):
+    gate, write = threading.Barrier(2, timeout=60), landing.write_landing
+
+    def meets(rows, root, entity, *rest):
+        gate.wait()
+        return write(rows, root, entity, *rest)
+
+    monkeypatch.setattr(landing, "write_landing", meets)
+    errors = {}
+    landed = landing.ingest_all(spark, {
+        "refunds": lambda: payloads(spark, '{"id":"a","created":5}', '{"id":"b","created":6}'),
+        "invoice_line_items": lambda: payloads(spark, '{"id":"i","created":"never","lines":[]}'),
+    }, folder, "r1", ts("2024-02-01"), {"refunds": 5, "invoice_line_items": 5}, errors=errors)
+    assert list(landed.items()) == [("refunds", 1), ("invoice_line_items", -1)]
+    assert list(errors) == ["invoice_line_items"] and "never" in errors["invoice_line_items"]
+
+
+def test_payload_of_nested_values(spark):
+    df = spark.sql("SELECT array(named_struct('n', 1, 't', CAST(NULL AS STRING)), NULL) AS plain,"
+                   " array(named_struct('n', 1.50BD, 's', named_struct('t', 'x')), NULL) AS amounts,"
+                   " CAST(NULL AS STRUCT<a: INT>) AS none")
+    got = flatten.to_payload(df)
+    assert got.first().payload == (
+        '{"plain":[{"n":1,"t":null},null],"amounts":[{"n":1.5,"s":{"t":"x"}},null],"none":null}')
+    plain = flatten.to_payload(spark.range(1).selectExpr("array(named_struct('n', id)) AS plain"))
+    assert "transform(" not in plain._jdf.queryExecution().analyzed().toString()
+
+
 # --- control ----------------------------------------------------------------------------
 
 def test_watermarks(spark, folder):
