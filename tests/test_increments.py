@@ -219,3 +219,63 @@ def test_latest_wins_reads_few_columns(spark, folder):
         assert scan.requiredSchema().size() <= 6
     whole = dedup_latest(table.read(), ["id"]).select("id", "amount", "status")
     assert whole.exceptAll(latest_values(table.read(), ["id"], ["amount", "status"])).isEmpty()
+
+
+def many_keys(spark, count):
+    return spark.range(count).select(F.concat(F.lit("key-"), F.col("id").cast("string")).alias("k"))
+
+
+def test_many_keys_of_a_semi_join_are_not_sent_to_the_driver(spark, folder):
+    """Files of keys are small, the hash table that the driver builds of them is not."""
+    from ledgerlake.operators.lookup import noted, semi_join
+    from ledgerlake.session import materialize
+
+    facts = materialize(many_keys(spark, 300_000), f"{folder}/facts")
+    many, few = materialize(many_keys(spark, 200_000), f"{folder}/many"), materialize(many_keys(spark, 2_000), f"{folder}/few")
+    found = semi_join(facts, many, {"k": "k"}, different=True)
+    assert "BroadcastHashJoin" not in plan(found) and found.count() == 200_000
+    found = semi_join(facts, few, {"k": "k"}, different=True)
+    assert "BroadcastHashJoin" in plan(found) and found.count() == 2_000
+    assert "BroadcastHashJoin" not in plan(semi_join(facts, noted(few, 1 << 40), {"k": "k"}, different=True))
+
+
+def test_sets_of_keys_are_measured_while_they_are_written(spark, folder):
+    from ledgerlake.operators import lookup
+    from ledgerlake.plans.increments import Sources
+
+    sources = Sources(*[None] * 8, folder)
+    keys_ = sources.ids([many_keys(spark, 100), many_keys(spark, 50)], "id")
+    assert lookup._NOTED[keys_] == keys_.agg(F.sum(lookup.width(keys_))).first()[0] > 0
+    assert lookup._NOTED[sources.ids([many_keys(spark, 0)], "id")] == 0
+
+
+def test_models_at_once_follow_the_cores(spark, folder):
+    import threading
+    import time
+
+    run, lock, now, most = lake(spark, folder, "r"), threading.Lock(), [], []
+
+    def work(name):
+        with lock:
+            now.append(name)
+            most.append(len(now))
+        time.sleep(0.1)
+        with lock:
+            now.remove(name)
+        return name.upper()
+
+    assert run.in_parallel(work, "abcdefghij") == list("ABCDEFGHIJ")
+    assert max(most) <= max(2, spark.sparkContext.defaultParallelism // 3)
+
+
+def test_written_rows_are_swapped_without_a_copy(spark, folder, monkeypatch):
+    from ledgerlake.session import materialize
+    from ledgerlake.sources import tables
+
+    table = Table(spark, f"{folder}/t", keys=["k"])
+    table.replace(rows(spark, ("a", 1, "2024-02-01"), ("b", 1, "2024-02-01"), ("c", 1, "2024-02-01")))
+    new = materialize(rows(spark, ("a", 2, "2024-02-02")), f"{folder}/new")
+    gone = materialize(rows(spark, ("a", 0, "2024-02-02"), ("b", 0, "2024-02-02")).select("k"), f"{folder}/gone")
+    monkeypatch.setattr(tables, "materialize", lambda *a: (_ for _ in ()).throw(RuntimeError("copied")))
+    table.swap(gone, new, written=True)
+    assert sorted((r.k, r.v) for r in table.read().collect()) == [("a", 2), ("c", 1)]
