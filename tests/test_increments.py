@@ -249,6 +249,28 @@ def test_sets_of_keys_are_measured_while_they_are_written(spark, folder):
     assert lookup._NOTED[sources.ids([many_keys(spark, 0)], "id")] == 0
 
 
+def test_shuffle_files_go_with_their_query(spark, folder):
+    import time
+
+    stored = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = stored.getAllFiles().iterator()
+        names = []
+        while found.hasNext():
+            names.append(found.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffles()
+    kept = many_keys(spark, 1000).groupBy(F.substring("k", -1, 1).alias("last")).count()
+    kept.write.parquet(folder)
+    until = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert kept.count() == 10 == len(kept.collect()) == len(kept.collect())  # what is asked for again is there
+
+
 def test_models_at_once_follow_the_cores(spark, folder):
     import threading
     import time
