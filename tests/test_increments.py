@@ -301,3 +301,26 @@ def test_written_rows_are_swapped_without_a_copy(spark, folder, monkeypatch):
     monkeypatch.setattr(tables, "materialize", lambda *a: (_ for _ in ()).throw(RuntimeError("copied")))
     table.swap(gone, new, written=True)
     assert sorted((r.k, r.v) for r in table.read().collect()) == [("a", 2), ("c", 1)]
+
+
+def test_large_rewrites_go_bucket_by_bucket(spark, folder, monkeypatch):
+    """The same rows, whatever is rewritten at once; NULL is a key, and one that goes leaves no folder."""
+    from ledgerlake.sources import tables
+
+    def run(path, portion):
+        monkeypatch.setattr(tables, "PORTION", portion)
+        table, writes, write = Table(spark, path, keys=["k"], buckets=5), [], Table._write
+        monkeypatch.setattr(Table, "_write", lambda *a: (writes.append(a[2]), write(*a)))
+        table.upsert(rows(spark, *((f"k{n}", n, "2024-02-01") for n in range(30)), (None, 1, "2024-02-01")), ("loaded_at",))
+        table.upsert(rows(spark, *((f"k{n}", -n, "2024-02-02") for n in range(20, 40)), ("k1", 9, "2024-01-01"),
+                          (None, 2, "2024-02-02")), ("loaded_at",))
+        rewritten = table.rows_written
+        table.swap(rows(spark, *((f"k{n}", 0, "2024-02-01") for n in range(35))).select("k"),
+                   rows(spark, ("k3", 3, "2024-02-03"), (None, 3, "2024-02-03")))
+        monkeypatch.setattr(Table, "_write", write)
+        return sorted((str(r.k), r.v) for r in table.read().collect()), rewritten, len(writes)
+
+    whole, first, one = run(f"{folder}/whole", 1 << 30)
+    parted, second, many = run(f"{folder}/parted", 1)
+    assert whole == parted == sorted([("None", 3), ("k3", 3), *((f"k{n}", -n) for n in range(35, 40))])
+    assert first == second > 0 and one == 3 and many > 6
